@@ -81,3 +81,97 @@ def kept_pages(spark, sf_dir):
                                          filter_lists=S.FILTER_LISTS)
     return (decided.where("include")
             .select("resource_pos", "item_pos", "title", "link", T.page_id("link").alias("page_id")))
+
+
+# --- incremental skip, marks, history (J2, F2, A1, W1, T1, A6, D1, D2, D7, J9, J10) --
+
+from quire.operators import incremental as INC  # noqa: E402
+from quire.operators import state as ST  # noqa: E402
+
+
+def _event_run(spark, sf_dir):
+    items = S.event_items(S.read(spark, sf_dir, "events"))
+    hist = S.event_history(items)
+    passed = INC.skip_processed(items, ST.latest_marks(hist))
+    feeds_old = hist.select(F.col("feed_url").alias("url"),
+                            F.concat(F.lit("user "), F.col("feed_url")).alias("title"), "last_processed_at")
+    return items, hist, passed, feeds_old
+
+
+@register("skip_processed", f"WITH {O.EVENTS} SELECT event_id, feed_url, ts FROM passed")
+def skip_processed(spark, sf_dir):
+    """Second run over the events: items at or below their feed's mark are skipped."""
+    _, _, passed, _ = _event_run(spark, sf_dir)
+    return passed.select("event_id", "feed_url", "ts")
+
+
+@register("include_all", "WITH ev AS (SELECT CAST(user_id AS VARCHAR) AS feed_url, event_id FROM events) "
+          "SELECT event_id, feed_url FROM ev")
+def include_all(spark, sf_dir):
+    """include-all ignores the history: every item passes."""
+    items, hist, _, _ = _event_run(spark, sf_dir)
+    return INC.skip_processed(items, ST.latest_marks(hist), include_all=True).select("event_id", "feed_url")
+
+
+@register("run_marks", f"""WITH {O.EVENTS}
+SELECT url, title, last_processed_at FROM (
+  SELECT feed_url AS url, 'user ' || feed_url AS title, last_processed_at FROM newmarks
+  UNION ALL
+  SELECT * FROM feeds_old WHERE url NOT IN (SELECT feed_url FROM newmarks))""")
+def run_marks(spark, sf_dir):
+    """New mark per feed (A1) upserted into the feed table (D1)."""
+    _, _, passed, feeds_old = _event_run(spark, sf_dir)
+    new = INC.new_marks(passed).select(F.col("feed_url").alias("url"),
+                                       F.concat(F.lit("user "), F.col("feed_url")).alias("title"),
+                                       "last_processed_at")
+    return ST.upsert(feeds_old, new, ["url"])
+
+
+def _history_after(spark, sf_dir):
+    items, hist, passed, feeds_old = _event_run(spark, sf_dir)
+    created = items.agg(F.max("ts")).first()[0] + 1
+    return ST.append_history(hist, INC.new_marks(passed), created), feeds_old
+
+
+@register("history_after_run", f"WITH {O.EVENTS} SELECT * FROM hist_after")
+def history_after_run(spark, sf_dir):
+    """History append (D2): one shared created_at for the rows of a run."""
+    h, _ = _history_after(spark, sf_dir)
+    return h.select("feed_url", "last_processed_at", "created_at")
+
+
+@register("history_orphans", f"""WITH {O.EVENTS}
+SELECT * FROM hist_after WHERE feed_url NOT IN (SELECT url FROM feeds_old)""")
+def history_orphans(spark, sf_dir):
+    """History rows whose feed has no feed-table row (declared foreign key)."""
+    h, feeds_old = _history_after(spark, sf_dir)
+    return ST.history_orphans(h, feeds_old).select("feed_url", "last_processed_at", "created_at")
+
+
+@register("feed_lookup", f"""WITH {O.EVENTS}
+SELECT d.feed_url, f.title, f.last_processed_at FROM (SELECT DISTINCT feed_url FROM ev) d
+LEFT JOIN feeds_old f ON d.feed_url = f.url""")
+def feed_lookup(spark, sf_dir):
+    items, _, _, feeds_old = _event_run(spark, sf_dir)
+    return ST.feed_lookup(items.select("feed_url").distinct(), feeds_old)
+
+
+@register("latest_marks", f"""WITH {O.ORDERS_HISTORY}
+SELECT feed_url, last_processed_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY feed_url ORDER BY created_at DESC, id DESC) AS rn FROM oh)
+WHERE rn = 1""")
+def latest_marks(spark, sf_dir):
+    """Mark of each feed's newest run (W1) over orders-as-history."""
+    return ST.latest_marks(S.orders_history(S.read(spark, sf_dir, "orders")))
+
+
+@register("latest_generation", f"WITH {O.ORDERS_HISTORY} SELECT max(created_at) AS created_at FROM oh")
+def latest_generation(spark, sf_dir):
+    return ST.latest_generation_time(S.orders_history(S.read(spark, sf_dir, "orders")))
+
+
+@register("regenerate_history", f"""WITH {O.ORDERS_HISTORY}
+SELECT * FROM oh WHERE created_at <> (SELECT max(created_at) FROM oh)""")
+def regenerate_history(spark, sf_dir):
+    """Delete the latest generation: every row sharing the global newest created_at (D7)."""
+    return ST.delete_latest_generation(S.orders_history(S.read(spark, sf_dir, "orders")))

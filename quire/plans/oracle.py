@@ -80,3 +80,21 @@ def resource_decided() -> str:
     return f"""WITH {ITEMS}, {RESOURCES},
     t AS (SELECT i.*, i.title || ' ' || i.description AS ftext, r.filters, r.enabled FROM items i JOIN resources r USING (resource_pos))
     SELECT t.*, CASE {' '.join(cases).replace('r.filters', 't.filters')} END AS reason FROM t"""
+
+EVENTS = r"""ev AS (SELECT CAST(user_id AS VARCHAR) AS feed_url, event_id,
+                  CAST(epoch_us(ts) // 1000000 AS BIGINT) AS ts FROM events),
+cut AS (SELECT (min(ts) + max(ts)) // 2 AS c FROM ev),
+hist AS (SELECT CAST(feed_url AS BIGINT) AS id, feed_url, max(ts) AS last_processed_at,
+                (SELECT c FROM cut) AS created_at
+         FROM ev WHERE ts <= (SELECT c FROM cut) GROUP BY feed_url),
+passed AS (SELECT e.* FROM ev e LEFT JOIN hist h USING (feed_url)
+           WHERE NOT (e.ts > 0 AND e.ts <= coalesce(h.last_processed_at, 0))),
+newmarks AS (SELECT feed_url, max(ts) AS last_processed_at FROM passed GROUP BY feed_url HAVING max(ts) > 0),
+feeds_old AS (SELECT feed_url AS url, 'user ' || feed_url AS title, last_processed_at FROM hist),
+hist_after AS (SELECT feed_url, last_processed_at, created_at FROM hist
+               UNION ALL
+               SELECT feed_url, last_processed_at, (SELECT max(ts) + 1 FROM ev) AS created_at FROM newmarks)"""
+
+ORDERS_HISTORY = r"""oh AS (SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS feed_url,
+                  CAST(trunc(o_totalprice) AS BIGINT) AS last_processed_at,
+                  CAST(epoch_us(o_orderdate) // 1000000 AS BIGINT) AS created_at FROM orders)"""

@@ -70,3 +70,37 @@ def resources_from_documents(docs: DataFrame) -> DataFrame:
                 F.when(n % 5 == 0, F.lit(None).cast("boolean")).otherwise(n % 5 != 4).alias("enabled"),
                 _pick(FILTER_LISTS, n % 4).alias("filters"),
             ))
+
+
+# --- events as an item stream, orders as generation history ----------------
+
+def epoch_seconds(ts) -> F.Column:
+    """Whole epoch seconds (floor) of a timestamp or a session-UTC local timestamp."""
+    return F.unix_seconds(T._c(ts).cast("timestamp"))
+
+
+def event_items(events: DataFrame) -> DataFrame:
+    """items(feed_url, event_id, ts): one feed per user, epoch-second times."""
+    return events.select(F.col("user_id").cast("string").alias("feed_url"), "event_id",
+                         epoch_seconds("ts").alias("ts"))
+
+
+def event_cutoff(items: DataFrame) -> DataFrame:
+    """Scalar: the middle of the event time range (first run covers the first half)."""
+    return items.agg(((F.min("ts") + F.max("ts")) / 2).cast("long").alias("c"))
+
+
+def event_history(items: DataFrame) -> DataFrame:
+    """History of a first run over the first half of the events."""
+    cut = event_cutoff(items).scalar()  # scalar subquery, evaluated once
+    return (items.where(F.col("ts") <= cut).groupBy("feed_url")
+            .agg(F.max("ts").alias("last_processed_at"))
+            .select(F.col("feed_url").cast("long").alias("id"), "feed_url", "last_processed_at",
+                    cut.alias("created_at")))
+
+
+def orders_history(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("o_orderkey").alias("id"),
+                         F.col("o_custkey").cast("string").alias("feed_url"),
+                         F.col("o_totalprice").cast("long").alias("last_processed_at"),
+                         epoch_seconds("o_orderdate").alias("created_at"))
