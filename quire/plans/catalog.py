@@ -175,3 +175,62 @@ SELECT * FROM oh WHERE created_at <> (SELECT max(created_at) FROM oh)""")
 def regenerate_history(spark, sf_dir):
     """Delete the latest generation: every row sharing the global newest created_at (D7)."""
     return ST.delete_latest_generation(S.orders_history(S.read(spark, sf_dir, "orders")))
+
+
+# --- content cache (J3-J6, W3, D3, D5, A2-A5, C14-C16) -------------------------
+
+from quire.operators import cache as C  # noqa: E402
+from quire.operators import content as CT  # noqa: E402
+
+RUN_TIME = 1800000000  # fixed "now" of the bundled cache runs (epoch seconds)
+
+
+def _cascade(spark, sf_dir):
+    li = S.labelled_items(spark, sf_dir)
+    pc, ac = S.derived_parser_cache(li), S.derived_agent_cache(li)
+    items = li.drop("quality", "toxic")
+    return C.resolve(items, pc, ac, CT.parse_landed), pc, ac
+
+
+@register("content_cascade", f"""WITH {O.ITEMS}, {O.RESOURCES}, {O.LABELLED}, {O.CASCADE}
+SELECT resource_pos, item_pos, content_source, content FROM casc""")
+def content_cascade(spark, sf_dir):
+    """Agent cache, else parser cache (decoded envelope), else a fresh parse."""
+    res, _, _ = _cascade(spark, sf_dir)
+    return res.select("resource_pos", "item_pos", "content_source", "content")
+
+
+@register("cache_stats", f"""WITH {O.ITEMS}, {O.RESOURCES}, {O.LABELLED}
+SELECT (SELECT count(*) FROM pc) AS parser_entries, (SELECT count(*) FROM ac) AS agent_entries,
+       (SELECT CASE WHEN min(created_at) > 0 THEN min(created_at) END FROM
+          (SELECT created_at FROM pc UNION ALL SELECT created_at FROM ac)) AS oldest_entry""")
+def cache_stats(spark, sf_dir):
+    li = S.labelled_items(spark, sf_dir)
+    return C.stats(S.derived_parser_cache(li), S.derived_agent_cache(li))
+
+
+@register("parser_cache_after_run", f"""WITH {O.ITEMS}, {O.RESOURCES}, {O.LABELLED}, {O.CASCADE},
+kept AS (SELECT pc.url, pc.parser_type, li.title, li.description, pc.created_at,
+                CASE WHEN EXISTS (SELECT 1 FROM casc c WHERE c.link = pc.url AND c.parser = pc.parser_type AND c.parser_hit)
+                     THEN {RUN_TIME} ELSE pc.accessed_at END AS accessed_at, pc.kind
+         FROM pc JOIN li ON li.link = pc.url AND li.parser = pc.parser_type),
+fresh_rows AS (SELECT c.link AS url, c.parser AS parser_type, li.title, li.description
+               FROM casc c JOIN li ON li.link = c.link AND li.parser = c.parser
+               WHERE c.content_source = 'parsed')
+SELECT url, parser_type, {O.cached('parser_type', 'title', 'description')} AS content, created_at, accessed_at
+FROM kept WHERE NOT EXISTS (SELECT 1 FROM fresh_rows f WHERE f.url = kept.url AND f.parser_type = kept.parser_type)
+UNION ALL
+SELECT url, parser_type,
+       CASE WHEN parser_type = 'telegram' THEN {O.chat_html('description')} ELSE {O.cached('parser_type', 'title', 'description')} END,
+       {RUN_TIME}, {RUN_TIME}
+FROM fresh_rows""")
+def parser_cache_after_run(spark, sf_dir):
+    """Hits touched (D5), fresh parses stored with reset timestamps (D3); payload decoded (C15)."""
+    res, pc, _ = _cascade(spark, sf_dir)
+    touched = C.touch(pc, res.where("parser_hit").select(F.col("link").alias("url"), F.col("parser").alias("parser_type")),
+                      ["url", "parser_type"], RUN_TIME)
+    fresh = res.where(F.col("content_source") == "parsed").select(
+        F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("fresh_payload").alias("output_data"))
+    after = C.put(touched, fresh, ["url", "parser_type"], RUN_TIME)
+    return after.select("url", "parser_type", C.decode("output_data", "parser_type").alias("content"),
+                        "created_at", "accessed_at")

@@ -98,3 +98,54 @@ hist_after AS (SELECT feed_url, last_processed_at, created_at FROM hist
 ORDERS_HISTORY = r"""oh AS (SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS feed_url,
                   CAST(trunc(o_totalprice) AS BIGINT) AS last_processed_at,
                   CAST(epoch_us(o_orderdate) // 1000000 AS BIGINT) AS created_at FROM orders)"""
+
+NL = "chr(10)"
+
+LABELLED = r"""li AS (SELECT i.*, r.parser, r.agents, array_to_string(r.agents, ',') AS pipeline, l.quality, l.toxic
+       FROM items i JOIN resources r USING (resource_pos) LEFT JOIN labels l ON l.doc_id = i.item_pos),
+pc AS (SELECT link AS url, parser AS parser_type, item_pos AS created_at, item_pos AS accessed_at,
+              CASE WHEN quality = 0 AND toxic = 0 THEN 'bad' WHEN quality = 0 THEN 'other' ELSE 'ok' END AS kind
+       FROM li WHERE quality IS NOT NULL),
+ac AS (SELECT link AS url, parser AS parser_type,
+              CASE WHEN quality = 1 THEN pipeline ELSE 'legacy' END AS agent_pipeline,
+              '[' || CASE WHEN quality = 1 THEN pipeline ELSE 'legacy' END || '] ' || description AS output_data,
+              item_pos + 1000000 AS created_at, item_pos + 1000000 AS accessed_at
+       FROM li WHERE toxic = 0)"""
+
+
+def chat_html(col: str) -> str:
+    e = f"replace(replace(replace(replace(replace({col}, '&', '&amp;'), '''', '&#39;'), '<', '&lt;'), '>', '&gt;'), '\"', '&#34;')"
+    rules = [(r"```([^`]+)```", r"<pre><code>\1</code></pre>"), (r"`([^`]+)`", r"<code>\1</code>"),
+             (r"\*\*([^\*]+)\*\*", r"<strong>\1</strong>"), (r"__([^_]+)__", r"<em>\1</em>"),
+             (r"~~([^~]+)~~", r"<del>\1</del>"), (r"\[([^\]]+)\]\(([^\)]+)\)", r'<a href="\2">\1</a>')]
+    for p, r in rules:
+        e = f"regexp_replace({e}, {_q(p)}, {_q(r)}, 'g')"
+    e = f"replace({e}, {NL}, '<br>' || {NL})"
+    return f"CASE WHEN coalesce({col}, '') = '' THEN '' ELSE '<p>' || {e} || '</p>' END"
+
+
+def one_segment_transcript(title: str, text: str) -> str:
+    return (f"'# ' || {title} || {NL} || {NL} || '**Language:** en' || {NL} || {NL} || '## Transcription' || {NL} || {NL}"
+            f" || '[00:00] ' || {text} || {NL} || {NL}")
+
+
+def fresh(parser: str = "parser", title: str = "title", text: str = "description") -> str:
+    return (f"CASE WHEN {parser} = 'youtube' THEN {one_segment_transcript(title, text)} "
+            f"WHEN {parser} = 'telegram' THEN {chat_html(text)} ELSE {text} END")
+
+
+def cached(parser: str = "parser", title: str = "title", text: str = "description") -> str:
+    return f"CASE WHEN {parser} = 'youtube' THEN {one_segment_transcript(title, text)} ELSE {text} END"
+
+
+CASCADE = f"""casc AS (
+  SELECT li.resource_pos, li.item_pos, li.link, li.parser, li.pipeline,
+         (ac.output_data IS NOT NULL AND li.pipeline <> '') AS agent_hit,
+         (pc.kind IS NOT NULL AND NOT (ac.output_data IS NOT NULL AND li.pipeline <> '')) AS parser_hit,
+         CASE WHEN ac.output_data IS NOT NULL AND li.pipeline <> '' THEN 'agent_cache'
+              WHEN pc.kind = 'ok' THEN 'parser_cache' ELSE 'parsed' END AS content_source,
+         CASE WHEN ac.output_data IS NOT NULL AND li.pipeline <> '' THEN ac.output_data
+              WHEN pc.kind = 'ok' THEN {cached('li.parser', 'li.title', 'li.description')}
+              ELSE {fresh('li.parser', 'li.title', 'li.description')} END AS content
+  FROM li LEFT JOIN ac ON ac.url = li.link AND ac.parser_type = li.parser AND ac.agent_pipeline = li.pipeline
+          LEFT JOIN pc ON pc.url = li.link AND pc.parser_type = li.parser)"""

@@ -104,3 +104,47 @@ def orders_history(orders: DataFrame) -> DataFrame:
                          F.col("o_custkey").cast("string").alias("feed_url"),
                          F.col("o_totalprice").cast("long").alias("last_processed_at"),
                          epoch_seconds("o_orderdate").alias("created_at"))
+
+
+# --- caches derived from labelled documents ---------------------------------
+# Labels decide what an earlier run left behind:
+#   quality 1, toxic 0 -> agent output for the resource's pipeline + parser output
+#   quality 1, toxic 1 -> parser output only
+#   quality 0, toxic 0 -> unreadable parser payload, agent output of an old pipeline
+#   quality 0, toxic 1 -> parser payload written by another parser type
+
+def labelled_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    items = items_from_documents(docs)
+    res = resources_from_documents(docs).select("resource_pos", "parser", "agents")
+    lab = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("item_pos"), "quality", "toxic")
+    return items.join(res, "resource_pos").join(lab, "item_pos", "left")
+
+
+def derived_parser_cache(li: DataFrame) -> DataFrame:
+    from quire.operators import cache as C
+    lab = li.where(F.col("quality").isNotNull())
+    other = F.when(F.col("parser") == "web", F.lit("youtube")).otherwise(F.lit("web"))
+    payload_type = F.when((F.col("quality") == 0) & (F.col("toxic") == 1), other).otherwise(F.col("parser"))
+    payload = F.when(F.col("parser") == "youtube",
+                     F.to_json(F.struct(payload_type.alias("parser_type"), F.struct(F.struct(
+                         F.col("title").alias("title"), F.lit("en").alias("language"),
+                         F.array(F.struct(F.lit(0.0).alias("start"), F.lit(2.0).alias("end"),
+                                          F.col("description").alias("text"))).alias("segments"))
+                         .alias("Transcription")).alias("data"))))
+    payload = payload.otherwise(C.encode_html(payload_type, F.col("description")))
+    out = F.when((F.col("quality") == 0) & (F.col("toxic") == 0), F.lit("{not json")).otherwise(payload)
+    return lab.select(F.col("link").alias("url"), F.col("parser").alias("parser_type"),
+                      out.alias("output_data"), F.col("item_pos").alias("created_at"),
+                      F.col("item_pos").alias("accessed_at"))
+
+
+def derived_agent_cache(li: DataFrame) -> DataFrame:
+    from quire.operators import cache as C
+    lab = li.where(F.col("toxic") == 0)
+    pipe = F.when(F.col("quality") == 1, C.pipeline_key("agents")).otherwise(F.lit("legacy"))
+    return lab.select(F.col("link").alias("url"), F.col("parser").alias("parser_type"),
+                      pipe.alias("agent_pipeline"),
+                      F.concat(F.lit("["), pipe, F.lit("] "), F.col("description")).alias("output_data"),
+                      (F.col("item_pos") + 1000000).alias("created_at"),
+                      (F.col("item_pos") + 1000000).alias("accessed_at"))
