@@ -234,3 +234,77 @@ def parser_cache_after_run(spark, sf_dir):
     after = C.put(touched, fresh, ["url", "parser_type"], RUN_TIME)
     return after.select("url", "parser_type", C.decode("output_data", "parser_type").alias("content"),
                         "created_at", "accessed_at")
+
+
+# --- message channels (S3, S4, F14, F16, T2, T3, C3-C6, C10, A11, S11, A13) ------
+
+from quire.sources import messages as M  # noqa: E402
+
+
+def _message_items(spark, sf_dir):
+    return M.message_items(M.messages_from_conversations(S.read(spark, sf_dir, "conversations")))
+
+
+@register("message_items", f"""WITH {O.MESSAGES}
+SELECT channel, item_pos, title, link, description, published_ts, guid, n_media,
+       photo_path, photo_width, photo_height, photo_caption FROM items_m""")
+def message_items(spark, sf_dir):
+    """Newest 50 per channel, service/empty dropped, byte-cut titles, largest photo size."""
+    it = _message_items(spark, sf_dir)
+    p = F.try_element_at("media", F.lit(1))
+    return it.select("channel", "item_pos", "title", "link", "description",
+                     F.unix_seconds("published").alias("published_ts"), "guid",
+                     F.size("media").alias("n_media"), p["local_path"].alias("photo_path"),
+                     p["width"].alias("photo_width"), p["height"].alias("photo_height"),
+                     p["caption"].alias("photo_caption"))
+
+
+@register("message_render", f"""WITH {O.MESSAGES}
+SELECT item_pos, {O.img_html('photo_path', 'photo_caption', 'photo_width', 'photo_height')} || {O.chat_html('description')} AS content
+FROM items_m""")
+def message_render(spark, sf_dir):
+    """Chat parser: photos (img or error box), then the markup rendered to HTML."""
+    it = _message_items(spark, sf_dir)
+    return it.select("item_pos", CT.render_message("description", "media").alias("content"))
+
+
+@register("media_manifest", f"""WITH {O.MESSAGES}
+SELECT DISTINCT photo_path AS local_path, regexp_extract(photo_path, '[^/]*$') AS file_name
+FROM items_m WHERE photo_path <> ''""")
+def media_manifest(spark, sf_dir):
+    return M.media_manifest(_message_items(spark, sf_dir))
+
+
+CHANNEL_URL_FORMS = ["https://t.me/%s", "http://t.me/%s/", "t.me/%s", "@%s", "  %s\t", "https://t.me/%s/42"]
+
+
+@register("channel_names", """
+SELECT conv_id, url, CASE WHEN conv_id % 6 = 5 THEN NULL ELSE 'chan' || CAST(conv_id % 10 AS VARCHAR) END AS channel
+FROM (SELECT DISTINCT conv_id, CASE conv_id % 6
+        WHEN 0 THEN 'https://t.me/chan' || CAST(conv_id % 10 AS VARCHAR)
+        WHEN 1 THEN 'http://t.me/chan' || CAST(conv_id % 10 AS VARCHAR) || '/'
+        WHEN 2 THEN 't.me/chan' || CAST(conv_id % 10 AS VARCHAR)
+        WHEN 3 THEN '@chan' || CAST(conv_id % 10 AS VARCHAR)
+        WHEN 4 THEN '  chan' || CAST(conv_id % 10 AS VARCHAR) || chr(9)
+        ELSE 'https://t.me/chan' || CAST(conv_id % 10 AS VARCHAR) || '/42' END AS url
+      FROM conversations)""")
+def channel_names(spark, sf_dir):
+    """Channel username from the configured URL forms; deep links are rejected (NULL)."""
+    conv = S.read(spark, sf_dir, "conversations").select("conv_id").distinct()
+    name = F.concat(F.lit("chan"), (F.col("conv_id") % 10).cast("string"))
+    forms = F.array(*[F.format_string(f, name) for f in CHANNEL_URL_FORMS])
+    url = F.element_at(forms, (F.col("conv_id") % len(CHANNEL_URL_FORMS) + 1).cast("int"))
+    return conv.select("conv_id", url.alias("url")).withColumn("channel", T.channel_name("url"))
+
+
+@register("channel_feeds", """
+SELECT channel, channel AS feed_title,
+       CASE WHEN n % 2 = 0 THEN 'Telegram channel @' || channel ELSE 'Notes of ' || channel END AS feed_description
+FROM (SELECT DISTINCT 'chan' || CAST(conv_id % 10 AS VARCHAR) AS channel, conv_id % 10 AS n FROM conversations)""")
+def channel_feeds(spark, sf_dir):
+    """Feed title and description: the about text, else a default sentence."""
+    ch = (S.read(spark, sf_dir, "conversations").select((F.col("conv_id") % 10).alias("n")).distinct()
+          .select(F.concat(F.lit("chan"), F.col("n").cast("string")).alias("channel"),
+                  F.when(F.col("n") % 2 == 0, F.lit("")).otherwise(
+                      F.concat(F.lit("Notes of chan"), F.col("n").cast("string"))).alias("about")))
+    return M.channel_feed(ch.withColumn("title", F.col("channel")))

@@ -149,3 +149,59 @@ CASCADE = f"""casc AS (
               ELSE {fresh('li.parser', 'li.title', 'li.description')} END AS content
   FROM li LEFT JOIN ac ON ac.url = li.link AND ac.parser_type = li.parser AND ac.agent_pipeline = li.pipeline
           LEFT JOIN pc ON pc.url = li.link AND pc.parser_type = li.parser)"""
+
+MESSAGES = r"""m0 AS (
+  SELECT 'chan' || CAST(conv_id % 10 AS VARCHAR) AS channel, conv_id * 100 + turn AS msg_id, turn,
+         1704067200 + conv_id * 100 + turn AS date,
+         CASE WHEN role = 'system' THEN 'service' ELSE 'message' END AS kind,
+         CASE WHEN turn % 6 = 5 THEN '' ELSE coalesce(text, '') END AS text
+  FROM conversations),
+m1 AS (
+  SELECT *, CASE WHEN msg_id % 5 = 0 THEN 'photo' WHEN msg_id % 5 = 1 AND turn > 2 THEN 'document' END AS media_kind,
+         CASE WHEN msg_id % 5 = 0 AND msg_id % 4 <> 0 THEN
+           [{'type': 's', 'w': 90, 'h': 90}, {'type': 'm', 'w': 320, 'h': CAST(240 + msg_id % 7 AS INTEGER)},
+            {'type': 'x', 'w': CAST(800 - msg_id % 3 * 80 AS INTEGER), 'h': 600}, {'type': 'y', 'w': 640, 'h': 750}]
+         END AS sizes,
+         msg_id % 3 <> 0 AS download_ok
+  FROM m0),
+m2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY msg_id DESC) AS rn FROM m1)
+       WHERE rn <= 50 AND kind = 'message'),
+m3 AS (SELECT *, list_max(list_filter(list_transform(sizes, lambda s, i: {'px': s.w * s.h, 'npos': -i, 'w': s.w, 'h': s.h}),
+                                      lambda x: x.px > 0)) AS best FROM m2),
+m4 AS (SELECT *, CASE WHEN media_kind = 'photo' THEN 1 ELSE 0 END AS n_media,
+         CASE WHEN media_kind = 'photo' AND best IS NOT NULL AND download_ok
+              THEN 'telegram-media/photo_' || CAST(msg_id AS VARCHAR) || '_' || CAST(msg_id * 7 AS VARCHAR) || '.jpg'
+              WHEN media_kind = 'photo' THEN '' END AS photo_path,
+         CASE WHEN media_kind = 'photo' THEN coalesce(best.w, 0) END AS photo_width,
+         CASE WHEN media_kind = 'photo' THEN coalesce(best.h, 0) END AS photo_height,
+         CASE WHEN media_kind <> 'photo' OR media_kind IS NULL THEN NULL
+              WHEN best IS NULL THEN 'Error downloading photo: no suitable photo size found'
+              WHEN NOT download_ok THEN 'Error downloading photo: failed to download photo: download interrupted'
+              ELSE '' END AS photo_caption,
+         encode(text)[1:100] AS b FROM m3),
+m5 AS (SELECT *, CASE WHEN regexp_matches(hex(b), '^(?:[0-9A-F]{2})*20')
+                      THEN strlen(regexp_extract(hex(b), '^((?:[0-9A-F]{2})*)20', 1)) // 2 ELSE -1 END AS idx FROM m4),
+m6 AS (SELECT *, CASE WHEN idx > 50 THEN b[1:idx] ELSE b END AS cut FROM m5),
+m7 AS (SELECT *, coalesce(try(decode(cut)),
+                 decode(from_hex(regexp_replace(hex(cut), '^((?:[0-9A-F]{2})*?)[C-F][0-9A-F](?:[89AB][0-9A-F]){0,2}$', '\1')))
+                 || chr(65533)) AS cutstr FROM m6),
+mi AS (SELECT channel, msg_id AS item_pos,
+         CASE WHEN text <> '' THEN (CASE WHEN strlen(text) <= 100 THEN text ELSE cutstr || '...' END)
+              WHEN n_media = 1 THEN 'Photo' WHEN n_media > 1 THEN 'Album (' || n_media || ' photos)' ELSE '' END AS title,
+         'https://t.me/' || channel || '/' || CAST(msg_id AS VARCHAR) AS link,
+         text AS description, date AS published_ts, CAST(msg_id AS VARCHAR) AS guid,
+         n_media, photo_path, photo_width, photo_height, photo_caption
+       FROM m7),
+items_m AS (SELECT * FROM mi WHERE NOT (title = '' AND n_media = 0))"""
+
+
+def img_html(path: str, caption: str, w: str, h: str) -> str:
+    esc = (f"replace(replace(replace(replace(replace({caption}, '&', '&amp;'), '''', '&#39;'), '<', '&lt;'), "
+           f"'>', '&gt;'), '\"', '&#34;')")
+    img = (f"'<img src=\"media/' || regexp_extract({path}, '[^/]*$') || '\" alt=\"' || {esc} || "
+           f"'\" style=\"max-width: 100%; height: auto; margin-bottom: 1em;\" width=\"' || CAST({w} AS VARCHAR) || "
+           f"'\" height=\"' || CAST({h} AS VARCHAR) || '\">' || chr(10)")
+    box = (f"'<div style=\"padding: 1em; background: #fee; border: 1em solid #fcc; margin-bottom: 1em;\">' || {esc} || "
+           f"'</div>' || chr(10)")
+    return (f"CASE WHEN {path} IS NULL THEN '' WHEN {path} <> '' THEN {img} "
+            f"WHEN {caption} <> '' THEN {box} ELSE '' END")
