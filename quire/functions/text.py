@@ -161,9 +161,9 @@ def vtt_seconds(x) -> Column:
     p = F.split(F.replace(_c(x), F.lit(","), F.lit(".")), ":")
     n = F.size(p)
     g = lambda i: F.element_at(p, i)
-    return (F.when(n == 3, g(1).cast("long") * 3600 + g(2).cast("long") * 60 + g(3).cast("double"))
-            .when(n == 2, g(1).cast("long") * 60 + g(2).cast("double"))
-            .otherwise(g(1).cast("double")))
+    return (F.when(n == 3, g(1).try_cast("long") * 3600 + g(2).try_cast("long") * 60 + g(3).try_cast("double"))
+            .when(n == 2, g(1).try_cast("long") * 60 + g(2).try_cast("double"))
+            .otherwise(g(1).try_cast("double")))
 
 
 def render_transcript(title, language, segments) -> Column:

@@ -308,3 +308,80 @@ def channel_feeds(spark, sf_dir):
                   F.when(F.col("n") % 2 == 0, F.lit("")).otherwise(
                       F.concat(F.lit("Notes of chan"), F.col("n").cast("string"))).alias("about")))
     return M.channel_feed(ch.withColumn("title", F.col("channel")))
+
+
+# --- subtitles and transcripts (S6, S7, W2, C11-C13, C22-C24) --------------------
+
+from quire.operators import transcripts as TR  # noqa: E402
+from quire.sources import subtitles as SUB  # noqa: E402
+
+
+def _segments(spark, sf_dir):
+    return SUB.segments(SUB.vtt_lines_from_conversations(S.read(spark, sf_dir, "conversations")))
+
+
+@register("subtitle_segments", f"""WITH {O.SUBTITLES}
+SELECT file_id, seg_pos, start, "end", text FROM segs""")
+def subtitle_segments(spark, sf_dir):
+    """Cue segments of one subtitle file per conversation (header/NOTE skipped, tags removed)."""
+    return _segments(spark, sf_dir)
+
+
+@register("transcript_render", f"""WITH {O.SUBTITLES}
+SELECT file_id, '# Conversation ' || CAST(file_id AS VARCHAR) || chr(10) || chr(10) || '**Language:** en'
+       || chr(10) || chr(10) || '## Transcription' || chr(10) || chr(10)
+       || string_agg(printf('[%02d:%02d] %s', CAST(trunc(start) AS BIGINT) // 60, CAST(trunc(start) AS BIGINT) % 60, text)
+                     || chr(10) || chr(10), '' ORDER BY seg_pos) AS content
+FROM segs GROUP BY file_id""")
+def transcript_render(spark, sf_dir):
+    """Transcription rendered as title, language and '[mm:ss] text' lines."""
+    segs = _segments(spark, sf_dir)
+    titles = segs.select("file_id").distinct().select(
+        "file_id", F.concat(F.lit("Conversation "), F.col("file_id").cast("string")).alias("title"),
+        F.lit("en").alias("language"))
+    tr = SUB.transcripts(segs, titles).where(F.size("segments") > 0)
+    return tr.select("file_id", T.render_transcript("title", "language", "segments").alias("content"))
+
+
+def _expected(spark, sf_dir):
+    conv = S.read(spark, sf_dir, "conversations")
+    st = F.col("turn") * 5
+    raw = F.concat(F.lit("["), F.format_string("%02d:%02d:%02d", (st / 3600).cast("int"), ((st % 3600) / 60).cast("int"),
+                                               (st % 60).cast("int")),
+                   F.lit("] "), F.replace(T.s("text"), F.lit("\n"), F.lit(" ")))
+    return TR.parse_expected(conv.select(F.col("conv_id").alias("file_id"), "turn", raw.alias("raw")))
+
+
+@register("transcript_similarity", f"""WITH {O.SUBTITLES}, {O.SIMILARITY}
+SELECT file_id, n_expected, n_actual, common,
+       CASE WHEN n_expected = 0 AND n_actual = 0 THEN 1.0 WHEN n_expected = 0 OR n_actual = 0 THEN 0.0
+            ELSE least(n_actual / n_expected, n_expected / n_actual) * 0.3 + common / n_expected * 0.7 END AS similarity
+FROM sim""")
+def transcript_similarity(spark, sf_dir):
+    """Expected '[HH:MM:SS] text' segments against the parsed subtitles, per conversation."""
+    exp = _expected(spark, sf_dir).select("file_id", "text")
+    act = _segments(spark, sf_dir).select("file_id", "text")
+    return TR.similarity(exp, act, key="file_id")
+
+
+@register("transcript_validity", f"""WITH {O.SUBTITLES}
+SELECT file_id, count(*) AS n_segments, sum(CASE WHEN start < 0 THEN 1 ELSE 0 END) AS bad_start,
+       sum(CASE WHEN "end" <= start THEN 1 ELSE 0 END) AS bad_timing,
+       sum(CASE WHEN regexp_replace(text, '^{O.WS}+|{O.WS}+$', '', 'g') = '' THEN 1 ELSE 0 END) AS blank_text
+FROM segs GROUP BY file_id""")
+def transcript_validity(spark, sf_dir):
+    return TR.validity(_segments(spark, sf_dir))
+
+
+@register("subtitle_choice", """
+WITH f AS (SELECT DISTINCT source AS video,
+             source || '.' || lang || CASE WHEN n_chars % 2 = 0 THEN '.auto' ELSE '' END || '.vtt' AS name FROM documents)
+SELECT video, arg_min(name, (CASE WHEN contains(name, '.en.') AND NOT contains(name, '.auto.') THEN 0
+                                  WHEN contains(name, '.auto.') OR contains(name, '.en.') THEN 1 ELSE 2 END, name)) AS name
+FROM f GROUP BY video""")
+def subtitle_choice(spark, sf_dir):
+    """Subtitle file per video: manual English, else automatic, else any (by name)."""
+    d = S.read(spark, sf_dir, "documents")
+    name = F.concat(F.col("source"), F.lit("."), F.col("lang"),
+                    F.when(F.col("n_chars") % 2 == 0, F.lit(".auto")).otherwise(F.lit("")), F.lit(".vtt"))
+    return SUB.choose_file(d.select(F.col("source").alias("video"), name.alias("name")).distinct())

@@ -205,3 +205,70 @@ def img_html(path: str, caption: str, w: str, h: str) -> str:
            f"'</div>' || chr(10)")
     return (f"CASE WHEN {path} IS NULL THEN '' WHEN {path} <> '' THEN {img} "
             f"WHEN {caption} <> '' THEN {box} ELSE '' END")
+
+STRIP = r"[\t\n\x0B\f\r\x{85}\p{Z}\x1C-\x1F]"
+TIMING = r"^([0-9:.,]+)[\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]*-->[\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]*([0-9:.,]+)"
+
+
+def _stamp(sec: str) -> str:
+    hms = f"printf('%02d:%02d:%06.3f', {sec} // 3600, ({sec} % 3600) // 60, CAST({sec} % 60 AS DOUBLE))"
+    ms = f"printf('%02d:%06.3f', {sec} // 60, CAST({sec} % 60 AS DOUBLE))"
+    return f"CASE WHEN style = 0 THEN {hms} WHEN style = 1 THEN replace({ms}, '.', ',') ELSE {ms} END"
+
+
+def _secs(x: str) -> str:
+    p = f"string_split(replace({x}, ',', '.'), ':')"
+    return (f"CASE len({p}) WHEN 3 THEN TRY_CAST({p}[1] AS BIGINT) * 3600 + TRY_CAST({p}[2] AS BIGINT) * 60 + TRY_CAST({p}[3] AS DOUBLE) "
+            f"WHEN 2 THEN TRY_CAST({p}[1] AS BIGINT) * 60 + TRY_CAST({p}[2] AS DOUBLE) "
+            f"ELSE TRY_CAST({p}[1] AS DOUBLE) END")
+
+
+SUBTITLES = f"""cl AS (SELECT conv_id AS file_id, turn, text, conv_id % 3 AS style, turn * 5 AS st, turn * 5 + 4 AS en
+       FROM conversations),
+stamps AS (SELECT *, {_stamp('st')} AS a, {_stamp('en')} AS b FROM cl),
+fl AS (SELECT file_id, turn,
+         (CASE WHEN turn = 0 THEN (CASE WHEN file_id % 4 = 0 THEN ['WEBVTT', '', 'NOTE timing --> checked', '']
+                                        ELSE ['WEBVTT', ''] END) ELSE []::VARCHAR[] END)
+         || [CAST(turn + 1 AS VARCHAR), a || ' --> ' || b]
+         || list_transform(string_split(coalesce(text, ''), chr(10)),
+                           lambda x, i: CASE WHEN i = 1 AND turn % 2 = 0 THEN regexp_replace(x, '^(\\S+)', '<i>\\1</i>') ELSE x END)
+         || [''] AS lines FROM stamps),
+ln AS (SELECT file_id, turn * 100000 + generate_subscripts(lines, 1) - 1 AS pos, unnest(lines) AS line FROM fl),
+l1 AS (SELECT *, contains(line, '-->') AS arrow,
+              regexp_replace(line, '^{STRIP}+|{STRIP}+$', '', 'g') AS s FROM ln),
+l2 AS (SELECT *, s = '' AS blank,
+              sum(CASE WHEN arrow THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM l1),
+l3 AS (SELECT *, max(CASE WHEN blank THEN 1 ELSE 0 END) OVER (PARTITION BY file_id, grp ORDER BY pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS blank_seen FROM l2),
+heads AS (SELECT file_id, grp, pos AS seg_pos,
+                 {_secs("regexp_extract(s, '" + TIMING + "', 1)")} AS start,
+                 {_secs("regexp_extract(s, '" + TIMING + "', 2)")} AS "end"
+          FROM l3 WHERE arrow AND NOT starts_with(s, 'WEBVTT') AND NOT starts_with(s, 'NOTE')
+                AND regexp_matches(s, '{TIMING}')),
+body AS (SELECT file_id, grp, string_agg(t, ' ' ORDER BY pos) AS text
+         FROM (SELECT *, regexp_replace(s, '<[^>]+>', '', 'g') AS t FROM l3
+               WHERE NOT arrow AND grp > 0 AND blank_seen = 0) WHERE t <> '' GROUP BY file_id, grp),
+segs AS (SELECT h.file_id, h.seg_pos, h.start, h."end", b.text FROM heads h JOIN body b USING (file_id, grp)
+         WHERE h.start IS NOT NULL AND h."end" IS NOT NULL)"""
+
+WS = r"[\t\n\x0B\f\r\x{85}\p{Z}]"
+
+
+def _norm_words(x: str) -> str:
+    t = f"regexp_replace(lower({x}), '[^0-9A-Za-z_\\t\\n\\f\\r ]', '', 'g')"
+    t = f"regexp_replace(regexp_replace({t}, '^[\\t\\n\\f\\r ]+|[\\t\\n\\f\\r ]+$', '', 'g'), '[\\t\\n\\f\\r ]+', ' ', 'g')"
+    return f"CASE WHEN {t} = '' THEN []::VARCHAR[] ELSE string_split({t}, ' ') END"
+
+
+SIMILARITY = f"""ex AS (SELECT conv_id AS file_id, turn,
+         '[' || printf('%02d:%02d:%02d', (turn * 5) // 3600, ((turn * 5) % 3600) // 60, (turn * 5) % 60) || '] '
+         || replace(coalesce(text, ''), chr(10), ' ') AS raw FROM conversations),
+exp AS (SELECT file_id, turn, regexp_replace(regexp_extract(raw, '\\[(\\d{{2}}):(\\d{{2}}):(\\d{{2}})\\](.*)', 4),
+                '^{WS}+|{WS}+$', '', 'g') AS text
+        FROM ex WHERE regexp_matches(raw, '\\[(\\d{{2}}):(\\d{{2}}):(\\d{{2}})\\](.*)')),
+ej AS (SELECT file_id, {_norm_words("string_agg(text, ' ' ORDER BY turn)")} AS ew FROM exp GROUP BY file_id),
+aj AS (SELECT file_id, {_norm_words("string_agg(text, ' ' ORDER BY seg_pos)")} AS aw FROM segs GROUP BY file_id),
+sim AS (SELECT k.file_id, CAST(len(coalesce(ew, [])) AS BIGINT) AS n_expected, CAST(len(coalesce(aw, [])) AS BIGINT) AS n_actual,
+               CAST(len(list_filter(coalesce(aw, []), lambda w: list_contains(ew, w))) AS BIGINT) AS common
+        FROM (SELECT file_id FROM ej UNION SELECT file_id FROM aj) k LEFT JOIN ej USING (file_id) LEFT JOIN aj USING (file_id))"""
