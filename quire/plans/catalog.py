@@ -385,3 +385,133 @@ def subtitle_choice(spark, sf_dir):
     name = F.concat(F.col("source"), F.lit("."), F.col("lang"),
                     F.when(F.col("n_chars") % 2 == 0, F.lit(".auto")).otherwise(F.lit("")), F.lit(".vtt"))
     return SUB.choose_file(d.select(F.col("source").alias("video"), name.alias("name")).distinct())
+
+
+# --- page extraction (S5, E6) ----------------------------------------------------
+
+from quire.operators import config as CFG  # noqa: E402
+from quire.operators import errors as ERR  # noqa: E402
+from quire.operators import extract as EX  # noqa: E402
+
+_BP = EX.BOILERPLATE_RE.replace("'", "''")
+
+
+@register("page_extract", f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+m AS (SELECT *, CASE WHEN regexp_matches(h, '{EX.ARTICLE_RE}') THEN regexp_extract(h, '{EX.ARTICLE_RE}', 1)
+                     ELSE regexp_extract(h, '{EX.BODY_RE}', 1) END AS main FROM p),
+c AS (SELECT *, regexp_replace(regexp_replace(main, '{_BP}', '', 'g'), '^{O.WS}+|{O.WS}+$', '', 'g') AS clean FROM m),
+t AS (SELECT *, strlen(regexp_replace(regexp_replace(clean, '<[^>]+>', '', 'g'), '{O.WS}+', '', 'g')) AS text_bytes FROM c)
+SELECT page_id, url, regexp_extract(h, '{EX.TITLE_RE}', 1) AS title,
+       CASE WHEN text_bytes > 0 THEN clean END AS content, text_bytes,
+       CASE WHEN text_bytes = 0 THEN 'readability returned empty article for ''' || coalesce(url, '') || '''' END AS error
+FROM t""")
+def page_extract(spark, sf_dir):
+    """Main block of every landed page, boilerplate removed; empty result is an error."""
+    return EX.extract_main_content(S.read(spark, sf_dir, "pages")).drop("html")
+
+
+# --- error triage and retry schedule (C19-C21, A12) --------------------------------
+
+ERROR_TEMPLATES = [  # fixed values: API error messages, %d = whole part of the event value
+    "RESOURCE_EXHAUSTED: please retry in %d.5s",
+    "Error 429: rate limit exceeded",
+    "Error 503: service unavailable, retryDelay:%ds",
+    "invalid input",
+    "authentication failed",
+    "googleapi: Error 500: retry in %ds.",
+    "quota exceeded: retry in 1s2s then retryDelay:%ds",
+    "deadline exceeded after %ds",
+]
+
+
+def _api_errors(spark, sf_dir):
+    ev = S.read(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    v = F.floor("value").cast("int")
+    k = (F.col("event_id") % len(ERROR_TEMPLATES)).cast("int")
+    msg = None
+    for i, tpl in enumerate(ERROR_TEMPLATES):
+        m = F.format_string(tpl, v) if "%d" in tpl else F.lit(tpl)
+        msg = F.when(k == i, m) if msg is None else msg.when(k == i, m)
+    return ev.select("event_id", msg.alias("message"), (F.col("event_id") % 11).alias("attempt"))
+
+
+def _tpl_sql() -> str:
+    whens = []
+    for i, tpl in enumerate(ERROR_TEMPLATES):
+        parts = tpl.split("%d")
+        expr = " || CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) || ".join(O._q(p) for p in parts)
+        whens.append(f"WHEN {i} THEN {expr}")
+    return f"CASE event_id % {len(ERROR_TEMPLATES)} " + " ".join(whens) + " END"
+
+
+def _dur_sql(x: str, frac: bool) -> str:
+    num = r"(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)" if frac else r"[0-9]+"
+    valid = f"(regexp_matches({x}, '^(?:{num}s)+$') OR {x} = '0')"
+    total = f"coalesce(list_sum(list_transform(list_filter(string_split({x}, 's'), lambda p: p <> ''), lambda p: CAST(p AS DOUBLE))), 0.0)"
+    return f"CASE WHEN {x} <> '' AND {valid} THEN {total} END"
+
+
+@register("error_triage", f"""
+WITH e AS (SELECT event_id, {_tpl_sql()} AS message, event_id % 11 AS attempt FROM events WHERE event_type = 'error'),
+d AS (SELECT *, regexp_extract(message, 'retry in ([0-9.s]*)', 1) AS a, regexp_extract(message, 'retryDelay:([0-9s]*)', 1) AS b FROM e),
+v AS (SELECT *, coalesce({_dur_sql('a', True)}, {_dur_sql('b', False)}, 0.0) AS delay_s FROM d)
+SELECT event_id, message, attempt,
+       regexp_matches(lower(message), '{T.RETRYABLE_RE}') AS retryable, delay_s,
+       CASE WHEN delay_s > 0 THEN least(delay_s, 30.0) ELSE least(pow(2.0, attempt), 30.0) END AS backoff_s
+FROM v""")
+def error_triage(spark, sf_dir):
+    """Transient-error test, suggested delay and backoff per failed agent call."""
+    return ERR.triage(_api_errors(spark, sf_dir))
+
+
+@register("error_counts", f"""
+WITH e AS (SELECT event_id, {_tpl_sql()} AS message FROM events WHERE event_type = 'error'),
+x AS ({ORACLE["page_extract"]})
+SELECT stage, count(*) AS n FROM (
+  SELECT 'agent' AS stage FROM e WHERE NOT regexp_matches(lower(message), '{T.RETRYABLE_RE}')
+  UNION ALL SELECT 'fetch' FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 6 = 5
+  UNION ALL SELECT 'parse' FROM x WHERE error IS NOT NULL) GROUP BY stage""")
+def error_counts(spark, sf_dir):
+    """Error table of a run (fetch, parse, agent stages) counted by stage."""
+    agent = ERR.triage(_api_errors(spark, sf_dir)).where(~F.col("retryable")).select(F.lit("agent").alias("stage"))
+    fetch = channel_names(spark, sf_dir).where(F.col("channel").isNull()).select(F.lit("fetch").alias("stage"))
+    parse = page_extract(spark, sf_dir).where(F.col("error").isNotNull()).select(F.lit("parse").alias("stage"))
+    return ERR.counts_by_stage(agent.unionByName(fetch).unionByName(parse))
+
+
+# --- configuration (S8, S12, F1, F17, A7, A8) --------------------------------------
+
+def _resources(spark, sf_dir):
+    return S.resources_from_documents(S.read(spark, sf_dir, "documents"))
+
+
+@register("enabled_resources", f"""WITH {O.RESOURCES}
+SELECT resource_pos, feed_url, parser, type, array_to_string(agents, ',') AS agents,
+       array_to_string(filters, ',') AS filters FROM resources WHERE coalesce(enabled, TRUE)""")
+def enabled_resources(spark, sf_dir):
+    return CFG.enabled(_resources(spark, sf_dir)).select(
+        "resource_pos", "feed_url", "parser", "type", F.array_join("agents", ",").alias("agents"),
+        F.array_join("filters", ",").alias("filters"))
+
+
+@register("agent_types", f"""WITH {O.RESOURCES}
+SELECT DISTINCT unnest(agents) AS agent FROM resources WHERE coalesce(enabled, TRUE)""")
+def agent_types(spark, sf_dir):
+    return CFG.agent_types(_resources(spark, sf_dir))
+
+
+@register("parser_types", f"""WITH {O.RESOURCES}
+SELECT DISTINCT parser FROM resources WHERE coalesce(enabled, TRUE)""")
+def parser_types(spark, sf_dir):
+    return CFG.parser_types(_resources(spark, sf_dir))
+
+
+@register("unknown_types", f"""WITH {O.RESOURCES}
+SELECT resource_pos, 'type' AS kind, type AS value FROM resources
+WHERE coalesce(enabled, TRUE) AND type NOT IN ('rss', 'telegram_channel')
+UNION ALL SELECT resource_pos, 'parser', parser FROM resources
+WHERE coalesce(enabled, TRUE) AND parser NOT IN ('web', 'telegram', 'youtube')""")
+def unknown_types(spark, sf_dir):
+    """Dispatch check: enabled resources naming an unregistered source or parser type."""
+    return CFG.unknown_types(spark, _resources(spark, sf_dir))
