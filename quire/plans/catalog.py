@@ -515,3 +515,36 @@ WHERE coalesce(enabled, TRUE) AND parser NOT IN ('web', 'telegram', 'youtube')""
 def unknown_types(spark, sf_dir):
     """Dispatch check: enabled resources naming an unregistered source or parser type."""
     return CFG.unknown_types(spark, _resources(spark, sf_dir))
+
+
+# --- agents (E1-E4, E8) -------------------------------------------------------------
+
+from quire.operators import enrich as EN  # noqa: E402
+
+FAST_RETRY = EN.RetryPolicy(max_retries=10, initial_backoff=0.0, max_backoff=0.0, timeout=60.0)
+
+
+@register("agent_chain", f"""WITH {O.ITEMS}, {O.RESOURCES}, {O.LABELLED}, {O.CASCADE}
+SELECT resource_pos, item_pos, pipeline,
+       CASE WHEN contains(content, 'License') THEN content ELSE 'summary: ' || content END AS output,
+       CASE WHEN contains(content, 'License') THEN 'failed' ELSE 'ok' END AS status,
+       CASE WHEN contains(content, 'License') OR pipeline = 'summary,format' THEN 1 ELSE 0 END AS n_errors
+FROM casc WHERE pipeline <> '' AND NOT agent_hit""")
+def agent_chain(spark, sf_dir):
+    """Agent chains over cache misses: unknown agents skipped, failures stop the chain."""
+    res, _, _ = _cascade(spark, sf_dir)
+    todo = res.where((F.col("pipeline") != "") & ~F.col("agent_hit")).select(
+        "resource_pos", "item_pos", "pipeline", "agents", "content")
+    out = EN.enrich(todo, EN.stand_in_registry, FAST_RETRY)
+    return out.select("resource_pos", "item_pos", "pipeline", F.col("enriched").alias("output"),
+                      F.col("agent_status").alias("status"), F.size("agent_errors").alias("n_errors"))
+
+
+@register("agent_requests", f"""WITH {O.ITEMS}, {O.RESOURCES}, {O.LABELLED}, {O.CASCADE}
+SELECT resource_pos, item_pos, replace({O._q(EN.SUMMARY_PROMPT)}, '{{{{content}}}}', content) AS request
+FROM casc WHERE contains(pipeline, 'summary') AND NOT agent_hit""")
+def agent_requests(spark, sf_dir):
+    """Prompt requests of the summary agent: the template with the content filled in."""
+    res, _, _ = _cascade(spark, sf_dir)
+    return (res.where(F.array_contains("agents", "summary") & ~F.col("agent_hit"))
+            .select("resource_pos", "item_pos", EN.prompt_request("content").alias("request")))
