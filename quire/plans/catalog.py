@@ -548,3 +548,103 @@ def agent_requests(spark, sf_dir):
     res, _, _ = _cascade(spark, sf_dir)
     return (res.where(F.array_contains("agents", "summary") & ~F.col("agent_hit"))
             .select("resource_pos", "item_pos", EN.prompt_request("content").alias("request")))
+
+
+# --- syndication documents (S1, S2, S13) ---------------------------------------------
+
+from quire.operators import digest as DG  # noqa: E402
+from quire.sources import feeds as FD  # noqa: E402
+
+
+def _feed_documents(spark, sf_dir):
+    """One landed feed document per document row: RSS for even ids, Atom for odd ids;
+    every fiftieth document is cut short (malformed)."""
+    it = _items(spark, sf_dir).withColumn("source", F.regexp_extract("link", r"^https://example\.com/([^/]+)/", 1))
+    d = F.col("item_pos")
+    pub = F.col("published")
+    rss_date = F.when(pub.isNotNull(), F.concat(F.lit("<pubDate>"),
+                                                F.date_format(pub, "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("</pubDate>")))
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssXXX")
+    atom_date = (F.when(pub.isNull(), F.lit(""))
+                 .when(d % 4 == 1, F.concat(F.lit("<updated>"), iso(pub), F.lit("</updated>")))
+                 .otherwise(F.concat(F.lit("<published>"), iso(pub), F.lit("</published><updated>"),
+                                     iso(pub + F.expr("INTERVAL 1 DAY")), F.lit("</updated>"))))
+    desc = FD.xml_escape("description")
+    rss = F.concat(F.lit('<rss version="2.0"><channel><title>'), F.col("source"), F.lit("</title><description>Feed "),
+                   F.col("source"), F.lit("</description><item><title>"), F.col("title"), F.lit("</title><link>"),
+                   F.col("link"), F.lit("</link><description>"), desc, F.lit("</description><guid>"), F.col("guid"),
+                   F.lit("</guid>"), F.coalesce(rss_date, F.lit("")), F.lit("</item></channel></rss>"))
+    atom = F.concat(F.lit("<feed><title>"), F.col("source"), F.lit("</title><entry><title>"), F.col("title"),
+                    F.lit('</title><link href="'), F.col("link"), F.lit('"/><summary>'), desc, F.lit("</summary><id>"),
+                    F.col("guid"), F.lit("</id>"), atom_date, F.lit("</entry></feed>"))
+    xml = F.when(F.col("feed_id") % 50 == 49, F.expr("substring(xml_doc, 1, length(xml_doc) - 20)")) \
+        .otherwise(F.col("xml_doc"))
+    return it.select(F.col("item_pos").alias("feed_id"), F.when(d % 2 == 0, rss).otherwise(atom).alias("xml_doc")) \
+        .select("feed_id", xml.alias("xml"))
+
+
+@register("feed_items", f"""WITH {O.ITEMS}
+SELECT regexp_extract(link, '^https://example\\.com/([^/]+)/', 1) AS feed_title, item_pos, title, link, description,
+       CASE WHEN ts IS NULL THEN NULL ELSE ts END AS published_ts, guid
+FROM items WHERE item_pos % 50 <> 49""")
+def feed_items(spark, sf_dir):
+    """RSS items and Atom entries parsed from landed XML; date = published, else updated."""
+    feeds, items, _ = FD.parse(_feed_documents(spark, sf_dir))
+    return items.join(feeds, "feed_id").select(
+        "feed_title", F.col("guid").cast("long").alias("item_pos"), "title", "link", "description",
+        F.unix_seconds("published").alias("published_ts"), "guid")
+
+
+@register("feed_errors", "SELECT count(*) AS n FROM documents WHERE doc_id % 50 = 49")
+def feed_errors(spark, sf_dir):
+    """Malformed feed documents become error rows; the other feeds go on."""
+    _, _, errors = FD.parse(_feed_documents(spark, sf_dir))
+    return errors.agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- digest (S10, A9, A10, T4, C17, F15) ----------------------------------------------
+
+def _digest_pages(spark, sf_dir):
+    li = S.labelled_items(spark, sf_dir)
+    docs = S.read(spark, sf_dir, "documents")
+    res = CFG.enabled(S.resources_from_documents(docs))
+    kept = rules.apply_resource_rules(S.items_from_documents(docs), res, _rule_sets(),
+                                      filter_lists=S.FILTER_LISTS).where("include")
+    casc, _, _ = _cascade(spark, sf_dir)
+    pages = kept.select("resource_pos", "item_pos", "title", "link", "published").join(
+        casc.select("resource_pos", "item_pos", "content"), ["resource_pos", "item_pos"])
+    del li
+    return pages.withColumn("page_id", T.page_id("link")), res
+
+
+@register("digest_lines", f"""WITH {O.digest_pages()}
+SELECT 1 AS section, resource_pos, CAST(-1 AS BIGINT) AS item_pos, 0 AS line_no,
+       '<h2 class="toc-resource-name">' || feed_title || '</h2>' AS line
+FROM (SELECT DISTINCT resource_pos FROM dpages) JOIN resources USING (resource_pos)
+UNION ALL SELECT 1, resource_pos, item_pos, 0, '<li><a href="#' || page_id || '">' || title || '</a></li>' FROM dpages
+UNION ALL SELECT 3, resource_pos, item_pos, 0, '<article class="article" id="' || page_id || '">' FROM dpages
+UNION ALL SELECT 3, resource_pos, item_pos, 1, '<h1 class="article-title">' || title || '</h1>' FROM dpages
+UNION ALL SELECT 3, resource_pos, item_pos, 2, '<div class="article-source">Source: <a href="' || link || '">' || link || '</a>'
+       || CASE WHEN ts IS NULL THEN '' ELSE '<br>Published: ' || strftime(make_timestamp(ts * 1000000), '%Y-%m-%d %H:%M:%S') || ' UTC' END
+       || '</div>' FROM dpages WHERE link <> ''
+UNION ALL SELECT 3, resource_pos, item_pos, 3, '<div class="article-content">' || content || '</div>' FROM dpages
+UNION ALL SELECT 3, resource_pos, item_pos, 4, '</article>' FROM dpages""")
+def digest_lines(spark, sf_dir):
+    """Ordered digest lines: contents per non-empty resource, then one article per page."""
+    pages, res = _digest_pages(spark, sf_dir)
+    return DG.digest_lines(pages, res)
+
+
+@register("run_totals", f"""WITH {O.digest_pages()}
+SELECT count(DISTINCT resource_pos) AS resources, count(*) AS pages FROM dpages""")
+def run_totals(spark, sf_dir):
+    pages, _ = _digest_pages(spark, sf_dir)
+    return DG.run_totals(pages)
+
+
+@register("pages_per_resource", f"""WITH {O.digest_pages()}
+SELECT resource_pos, count(*) AS n_pages, min(item_pos) AS first_item, max(item_pos) AS last_item
+FROM dpages GROUP BY resource_pos""")
+def pages_per_resource(spark, sf_dir):
+    pages, _ = _digest_pages(spark, sf_dir)
+    return DG.pages_per_resource(pages)

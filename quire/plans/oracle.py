@@ -272,3 +272,11 @@ aj AS (SELECT file_id, {_norm_words("string_agg(text, ' ' ORDER BY seg_pos)")} A
 sim AS (SELECT k.file_id, CAST(len(coalesce(ew, [])) AS BIGINT) AS n_expected, CAST(len(coalesce(aw, [])) AS BIGINT) AS n_actual,
                CAST(len(list_filter(coalesce(aw, []), lambda w: list_contains(ew, w))) AS BIGINT) AS common
         FROM (SELECT file_id FROM ej UNION SELECT file_id FROM aj) k LEFT JOIN ej USING (file_id) LEFT JOIN aj USING (file_id))"""
+
+
+def digest_pages() -> str:
+    """kept pages of enabled resources with their resolved content."""
+    return f"""{ITEMS}, {RESOURCES}, {LABELLED}, {CASCADE},
+kept AS (SELECT * FROM ({resource_decided()}) WHERE reason IS NULL AND coalesce(enabled, TRUE)),
+dpages AS (SELECT k.resource_pos, k.item_pos, k.title, k.link, c.content, substr(sha256(k.link), 1, 16) AS page_id, k.ts
+           FROM kept k JOIN casc c ON c.resource_pos = k.resource_pos AND c.item_pos = k.item_pos)"""
