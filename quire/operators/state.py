@@ -15,7 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire import session
+from quire import fs, session
 
 HISTORY_COLS = ["id", "feed_url", "last_processed_at", "created_at"]
 FEED_COLS = ["url", "title", "last_processed_at"]
@@ -90,12 +90,10 @@ class StateStore:
 
     def _versions(self, table: str) -> list[int]:
         d = os.path.join(self.root, table)
-        if not os.path.isdir(d):
-            return []
         out = []
-        for n in os.listdir(d):
+        for n in fs.list_names(self.spark, d):
             m = re.fullmatch(r"v=(\d+)", n)
-            if m and os.path.exists(os.path.join(d, n, "_SUCCESS")):
+            if m and fs.exists(self.spark, os.path.join(d, n, "_SUCCESS")):
                 out.append(int(m.group(1)))
         return sorted(out)
 

@@ -648,3 +648,31 @@ FROM dpages GROUP BY resource_pos""")
 def pages_per_resource(spark, sf_dir):
     pages, _ = _digest_pages(spark, sf_dir)
     return DG.pages_per_resource(pages)
+
+
+# --- streaming marks (K1, K3, K5) ------------------------------------------------------
+
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from quire import session as SESSION  # noqa: E402
+from quire.streaming import marks as SM  # noqa: E402
+
+
+@register("stream_marks", """
+SELECT CAST(user_id AS VARCHAR) AS url, max(CAST(epoch_us(ts) // 1000000 AS BIGINT)) AS last_processed_at
+FROM events GROUP BY 1 HAVING max(CAST(epoch_us(ts) // 1000000 AS BIGINT)) > 0""")
+def stream_marks(spark, sf_dir):
+    """Events land as time slices; a foreachBatch stream keeps per-feed marks; final feed table."""
+    root = os.path.join(SESSION.checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    items = S.event_items(S.read(spark, sf_dir, "events"))
+    lo_hi = items.agg(F.min("ts"), F.max("ts")).first()
+    width = max(1, (lo_hi[1] - lo_hi[0] + 1) // 4 + 1)
+    (items.withColumn("slice", ((F.col("ts") - lo_hi[0]) / width).cast("int"))
+     .repartition(4, "slice").write.partitionBy("slice").parquet(os.path.join(root, "landing")))
+    stream = (spark.readStream.schema("feed_url string, event_id long, ts long, slice int")
+              .option("maxFilesPerTrigger", 1).parquet(os.path.join(root, "landing")))
+    store = ST.StateStore(spark, os.path.join(root, "state"))
+    q, job = SM.run(spark, stream, store, os.path.join(root, "checkpoint"))
+    q.awaitTermination()
+    return job.feed_state().select("url", "last_processed_at")
