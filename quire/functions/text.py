@@ -51,8 +51,14 @@ def byte_length(x) -> Column:
     return F.octet_length(_c(x))
 
 
+_W, _NW = r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]"
+
+
 def word_count(x) -> Column:
-    return F.regexp_count(_c(x), F.lit(WORD_RE))
+    """Runs of letters/numbers. Each word and the gap after it collapse to one
+    char, so the count is a length, without materialising the words."""
+    c = _c(x)
+    return F.when(c.rlike(_W), F.length(F.regexp_replace(c, f"{_NW}*{_W}+{_NW}*", "x"))).otherwise(F.lit(0))
 
 
 def has_paragraphs(x) -> Column:

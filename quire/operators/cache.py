@@ -82,35 +82,29 @@ def resolve(items: DataFrame, parser_cache: DataFrame, agent_cache: DataFrame, p
     """Content cascade: agent cache, else parser cache, else a fresh parse.
 
     `items` carries link, parser, agents; `parse(df) -> df + fresh` renders the
-    content of the keys that missed both caches (one parse per distinct key).
-    Output adds pipeline, content, content_source and the hit flags.
+    content of keys that missed both caches. One aggregation yields each
+    distinct key with its first item (resource order, then feed order), so a
+    link repeated in the run is looked up and parsed once and its first
+    occurrence serves the later ones. Output adds pipeline, content,
+    content_source and the hit flags.
     """
     it = items.withColumn("link", T.s("link")).withColumn("pipeline", pipeline_key("agents"))
-    keys = it.select("link", "parser", "pipeline").distinct()
-    hits = lookup(keys, parser_cache, agent_cache)
-    misses = hits.where(~F.col("agent_hit") & F.col("parser_out").isNull())
-    first = _first_occurrence(it, misses)
-    parsed = parse(first)
-    parsed = parsed.select("link", "parser", "pipeline",
-                           *[c for c in ("fresh", "fresh_payload", "parse_error") if c in parsed.columns])
-    res = (hits.join(parsed, ["link", "parser", "pipeline"], "left")
+    key = ["link", "parser", "pipeline"]
+    cols = [c for c in it.columns if c not in key]
+    firsts = (it.groupBy(*key).agg(F.min_by(F.struct(*cols), F.struct("resource_pos", "item_pos")).alias("_r"))
+              .select(*key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    hits = lookup(firsts.select(*key), parser_cache, agent_cache)
+    misses = hits.where(~F.col("agent_hit") & F.col("parser_out").isNull()).select(*key)
+    parsed = parse(firsts.join(misses, key, "left_semi"))
+    parsed = parsed.select(*key, *[c for c in ("fresh", "fresh_payload", "parse_error") if c in parsed.columns])
+    res = (hits.join(parsed, key, "left")
            .withColumn("content", F.coalesce("agent_out", "parser_out", "fresh"))
            .withColumn("content_source",
                        F.when(F.col("agent_out").isNotNull(), "agent_cache")
                         .when(F.col("parser_out").isNotNull(), "parser_cache")
                         .when(F.col("fresh").isNotNull(), "parsed")
                         .otherwise("failed")))
-    return it.join(res, ["link", "parser", "pipeline"], "left")
-
-
-def _first_occurrence(items: DataFrame, keys: DataFrame) -> DataFrame:
-    """The first item (resource order, then feed order) for each missed key."""
-    order = F.struct("resource_pos", "item_pos")
-    cols = [c for c in items.columns if c not in ("link", "parser", "pipeline")]
-    firsts = (items.join(keys.select("link", "parser", "pipeline"), ["link", "parser", "pipeline"], "left_semi")
-              .groupBy("link", "parser", "pipeline")
-              .agg(F.min_by(F.struct(*cols), order).alias("_r")))
-    return firsts.select("link", "parser", "pipeline", *[F.col(f"_r.{c}").alias(c) for c in cols])
+    return it.join(res, key, "left")
 
 
 # --- writes -----------------------------------------------------------------

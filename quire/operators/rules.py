@@ -55,13 +55,13 @@ def compile_rule_sets(config: dict[str, dict]) -> dict[str, RuleSet]:
     return out
 
 
-def rule_reason(text: Column, rs: RuleSet) -> Column:
+def rule_reason(text: Column, rs: RuleSet, words: Column | None = None) -> Column:
     """Checks in order length, words, patterns, paragraphs; first failure wins."""
     checks: list[tuple[Column, str]] = []
     if rs.min_length > 0:
         checks.append((T.byte_length(text) < rs.min_length, f"{rs.name}:min_length"))
     if rs.min_words > 0:
-        checks.append((T.word_count(text) < rs.min_words, f"{rs.name}:min_words"))
+        checks.append(((words if words is not None else T.word_count(text)) < rs.min_words, f"{rs.name}:min_words"))
     for original, java in rs.compiled:
         checks.append((text.rlike(java), f"{rs.name}:exclude_pattern[{original}]"))
     if rs.require_paragraphs:
@@ -74,23 +74,35 @@ def rule_reason(text: Column, rs: RuleSet) -> Column:
     return expr
 
 
-def chain_reason(text: Column, names: list[str], rule_sets: dict[str, RuleSet]) -> Column:
+def chain_reason(text: Column, names: list[str], rule_sets: dict[str, RuleSet],
+                 words: Column | None = None) -> Column:
     parts = []
     for n in names or []:
         if n not in rule_sets:
             log.warning("filter not found, skipping: %s", n)
             continue
-        parts.append(rule_reason(text, rule_sets[n]))
+        parts.append(rule_reason(text, rule_sets[n], words))
     if not parts:
         return F.lit(None).cast("string")
     return parts[0] if len(parts) == 1 else F.coalesce(*parts)
 
 
+def _with_text(items: DataFrame, rule_sets: dict[str, RuleSet], names) -> tuple[DataFrame, Column, Column | None]:
+    """The filter text and (when a rule needs it) its word count, computed once
+    per row as columns so that every check reads them instead of re-deriving."""
+    df = items.withColumn("_ftext", T.filter_text(F.col("title"), F.col("description")))
+    used = [rule_sets[n] for n in names if n in rule_sets]
+    if any(r.min_words > 0 for r in used):
+        df = df.withColumn("_words", T.word_count(F.col("_ftext")))
+        return df, F.col("_ftext"), F.col("_words")
+    return df, F.col("_ftext"), None
+
+
 def apply_rules(items: DataFrame, names: list[str], rule_sets: dict[str, RuleSet]) -> DataFrame:
     """Add `reason` (NULL = kept) and `include` for one fixed rule-set list."""
-    text = T.filter_text(F.col("title"), F.col("description"))
-    return (items.withColumn("reason", chain_reason(text, names, rule_sets))
-            .withColumn("include", F.col("reason").isNull()))
+    df, text, words = _with_text(items, rule_sets, names or [])
+    return (df.withColumn("reason", chain_reason(text, names, rule_sets, words))
+            .withColumn("include", F.col("reason").isNull()).drop("_ftext", "_words"))
 
 
 def resource_filter_lists(resources: DataFrame, max_lists: int = 10_000) -> list[list[str]]:
@@ -109,16 +121,16 @@ def apply_resource_rules(items: DataFrame, resources: DataFrame, rule_sets: dict
     res = bounded_broadcast(resources.select(
         "resource_pos", F.array_join(F.coalesce("filters", F.array().cast("array<string>")), ",")
         .alias("_fkey")))
-    j = items.join(res, "resource_pos")
-    text = T.filter_text(F.col("title"), F.col("description"))
+    all_names = sorted({n for lst in filter_lists for n in lst})
+    j, text, words = _with_text(items.join(res, "resource_pos"), rule_sets, all_names)
     reason = None
     for lst in sorted({tuple(x) for x in filter_lists}):
-        r = chain_reason(text, list(lst), rule_sets)
+        r = chain_reason(text, list(lst), rule_sets, words)
         cond = F.col("_fkey") == ",".join(lst)
         reason = F.when(cond, r) if reason is None else reason.when(cond, r)
     if reason is None:
         reason = F.lit(None).cast("string")
-    return (j.withColumn("reason", reason).drop("_fkey")
+    return (j.withColumn("reason", reason).drop("_fkey", "_ftext", "_words")
             .withColumn("include", F.col("reason").isNull()))
 
 

@@ -589,8 +589,8 @@ SELECT regexp_extract(link, '^https://example\\.com/([^/]+)/', 1) AS feed_title,
 FROM items WHERE item_pos % 50 <> 49""")
 def feed_items(spark, sf_dir):
     """RSS items and Atom entries parsed from landed XML; date = published, else updated."""
-    feeds, items, _ = FD.parse(_feed_documents(spark, sf_dir))
-    return items.join(feeds, "feed_id").select(
+    _, items, _ = FD.parse(_feed_documents(spark, sf_dir))
+    return items.select(
         "feed_title", F.col("guid").cast("long").alias("item_pos"), "title", "link", "description",
         F.unix_seconds("published").alias("published_ts"), "guid")
 
@@ -605,7 +605,6 @@ def feed_errors(spark, sf_dir):
 # --- digest (S10, A9, A10, T4, C17, F15) ----------------------------------------------
 
 def _digest_pages(spark, sf_dir):
-    li = S.labelled_items(spark, sf_dir)
     docs = S.read(spark, sf_dir, "documents")
     res = CFG.enabled(S.resources_from_documents(docs))
     kept = rules.apply_resource_rules(S.items_from_documents(docs), res, _rule_sets(),
@@ -613,7 +612,6 @@ def _digest_pages(spark, sf_dir):
     casc, _, _ = _cascade(spark, sf_dir)
     pages = kept.select("resource_pos", "item_pos", "title", "link", "published").join(
         casc.select("resource_pos", "item_pos", "content"), ["resource_pos", "item_pos"])
-    del li
     return pages.withColumn("page_id", T.page_id("link")), res
 
 
@@ -632,7 +630,8 @@ UNION ALL SELECT 3, resource_pos, item_pos, 4, '</article>' FROM dpages""")
 def digest_lines(spark, sf_dir):
     """Ordered digest lines: contents per non-empty resource, then one article per page."""
     pages, res = _digest_pages(spark, sf_dir)
-    return DG.digest_lines(pages, res)
+    # three consumers (contents, headers, articles): cut the lineage once in the shared folder
+    return DG.digest_lines(pages.checkpoint(eager=True), res)
 
 
 @register("run_totals", f"""WITH {O.digest_pages()}

@@ -82,3 +82,20 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     except Exception:
         return df
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer splits than cores.
+
+    Large inputs already arrive in many splits and pass through untouched (no
+    shuffle); a small file with one row group would otherwise put every row
+    of CPU-heavy text work into one task. Projections and filters written
+    after this call are still pushed below the exchange into the scan.
+    """
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    return df.repartition(par) if n < par else df

@@ -36,22 +36,28 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse(docs: DataFrame, feed_id: str = "feed_id", xml: str = "xml") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs(feed_id, xml) -> (feeds, items, errors)."""
-    p = docs.select(feed_id, F.from_xml(xml, FEED_SCHEMA, XML_OPTIONS).alias("f"))
-    ok = p.where(F.col("f._corrupt").isNull() & (F.col("f.channel").isNotNull() | F.col("f.entry").isNotNull()))
-    errors = p.where(F.col("f._corrupt").isNotNull() | (F.col("f.channel").isNull() & F.col("f.entry").isNull())) \
-        .select(feed_id, F.lit("fetch").alias("stage"), F.lit("failed to parse RSS feed").alias("message"))
-    feeds = ok.select(feed_id, T.s(F.coalesce("f.channel.title", "f.title")).alias("feed_title"),
-                      T.s(F.coalesce("f.channel.description", "f.subtitle")).alias("feed_description"))
-    rss = ok.select(feed_id, F.posexplode("f.channel.item").alias("item_pos", "i")).select(
-        feed_id, "item_pos", T.s("i.title").alias("title"), T.s("i.link").alias("link"),
-        T.s("i.description").alias("description"), T.s("i.guid").alias("guid"),
-        parse_date("i.pubDate").alias("published"))
-    atom = ok.select(feed_id, F.posexplode("f.entry").alias("item_pos", "e")).select(
-        feed_id, "item_pos", T.s("e.title").alias("title"), T.s("e.link._href").alias("link"),
-        T.s("e.summary").alias("description"), T.s("e.id").alias("guid"),
-        F.coalesce(parse_date("e.published"), parse_date("e.updated")).alias("published"))
-    return feeds, rss.unionByName(atom), errors
+    """docs(feed_id, xml) -> (feeds, items, errors). Each document is parsed once;
+    RSS items and Atom entries are mapped to one item struct and exploded once."""
+    f = F.from_xml(xml, FEED_SCHEMA, XML_OPTIONS)
+    rss = F.transform(F.coalesce(f["channel"]["item"], F.array()), lambda i: F.struct(
+        T.s(i["title"]).alias("title"), T.s(i["link"]).alias("link"), T.s(i["description"]).alias("description"),
+        T.s(i["guid"]).alias("guid"), parse_date(i["pubDate"]).alias("published")))
+    atom = F.transform(F.coalesce(f["entry"], F.array()), lambda e: F.struct(
+        T.s(e["title"]).alias("title"), T.s(e["link"]["_href"]).alias("link"), T.s(e["summary"]).alias("description"),
+        T.s(e["id"]).alias("guid"), F.coalesce(parse_date(e["published"]), parse_date(e["updated"])).alias("published")))
+    ok = f["_corrupt"].isNull() & (f["channel"].isNotNull() | f["entry"].isNotNull())
+    p = docs.select(feed_id, F.struct(
+        ok.alias("ok"),
+        T.s(F.coalesce(f["channel"]["title"], f["title"])).alias("feed_title"),
+        T.s(F.coalesce(f["channel"]["description"], f["subtitle"])).alias("feed_description"),
+        F.concat(rss, atom).alias("items")).alias("p"))
+    good = p.where("p.ok")
+    feeds = good.select(feed_id, "p.feed_title", "p.feed_description")
+    items = good.select(feed_id, "p.feed_title", F.posexplode("p.items").alias("item_pos", "i")).select(
+        feed_id, "feed_title", "item_pos", "i.title", "i.link", "i.description", "i.guid", "i.published")
+    errors = p.where(~F.col("p.ok")).select(feed_id, F.lit("fetch").alias("stage"),
+                                            F.lit("failed to parse RSS feed").alias("message"))
+    return feeds, items, errors
 
 
 def xml_escape(x) -> F.Column:

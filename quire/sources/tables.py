@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.session import spread
 
 # Fixed values of the document-to-item mapping.
 EPOCH_BASE = 1704067200          # 2024-01-01T00:00:00Z
@@ -23,8 +24,13 @@ AGENT_LISTS = [[], ["summary"], ["summary", "format"]]
 FILTER_LISTS = [[], ["quality"], ["quality", "privacy"], ["privacy", "missing"]]
 
 
+# Tables whose rows carry long texts and feed regex-heavy operators.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def source_number(source) -> F.Column:
