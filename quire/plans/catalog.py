@@ -675,3 +675,29 @@ def stream_marks(spark, sf_dir):
     q, job = SM.run(spark, stream, store, os.path.join(root, "checkpoint"))
     q.awaitTermination()
     return job.feed_state().select("url", "last_processed_at")
+
+
+# --- keyed streaming state (K2) -----------------------------------------------------------
+
+from quire.streaming import keyed as SK  # noqa: E402
+
+
+@register("stream_marks_keyed", """
+SELECT CAST(user_id AS VARCHAR) AS feed_url, max(CAST(epoch_us(ts) // 1000000 AS BIGINT)) AS last_processed_at
+FROM events GROUP BY 1 HAVING max(CAST(epoch_us(ts) // 1000000 AS BIGINT)) > 0""")
+def stream_marks_keyed(spark, sf_dir):
+    """Time slices streamed through per-feed ValueState; marks of the passed items."""
+    root = os.path.join(SESSION.checkpoint_dir(spark), f"keyed-{uuid.uuid4().hex}")
+    items = S.event_items(S.read(spark, sf_dir, "events"))
+    lo_hi = items.agg(F.min("ts"), F.max("ts")).first()
+    width = max(1, (lo_hi[1] - lo_hi[0] + 1) // 4 + 1)
+    (items.withColumn("slice", ((F.col("ts") - lo_hi[0]) / width).cast("int"))
+     .repartition(4, "slice").write.partitionBy("slice").parquet(os.path.join(root, "landing")))
+    stream = (spark.readStream.schema("feed_url string, event_id long, ts long, slice int")
+              .option("maxFilesPerTrigger", 1).parquet(os.path.join(root, "landing")))
+    out = os.path.join(root, "passed")
+    q = (SK.passed_items(stream).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(root, "checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    passed = spark.read.schema("feed_url string, event_id long, ts long").parquet(out)
+    return INC.new_marks(passed)
