@@ -35,23 +35,22 @@ def read_vtt_files(spark: SparkSession, path: str) -> DataFrame:
 def segments(lines: DataFrame) -> DataFrame:
     """lines(file_id, pos, line) -> segments(file_id, seg_pos, start, end, text)."""
     w = Window.partitionBy("file_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    s = strip("line")
-    l1 = (lines.withColumn("_arrow", F.col("line").contains("-->"))
-          .withColumn("_blank", s == "")
+    l1 = (lines.withColumn("_s", strip("line"))          # stripped once, read by every step below
+          .withColumn("_arrow", F.col("line").contains("-->"))
+          .withColumn("_blank", F.col("_s") == "")
           .withColumn("_grp", F.sum(F.col("_arrow").cast("int")).over(w)))
     wg = Window.partitionBy("file_id", "_grp").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     l2 = l1.withColumn("_blank_seen", F.max(F.col("_blank").cast("int")).over(wg))
-    heads = (l2.where("_arrow")
-             .withColumn("_s", strip("line"))
-             .where(~F.col("_s").startswith("WEBVTT") & ~F.col("_s").startswith("NOTE"))
+    # both timing groups need at least one char, so an empty first group means no match
+    heads = (l2.where(F.col("_arrow") & ~F.col("_s").startswith("WEBVTT") & ~F.col("_s").startswith("NOTE"))
              .withColumn("_a", F.regexp_extract("_s", TIMING_RE, 1))
+             .where(F.col("_a") != "")
              .withColumn("_b", F.regexp_extract("_s", TIMING_RE, 2))
-             .where(F.col("_s").rlike(TIMING_RE))
              .select("file_id", "_grp", F.col("pos").alias("seg_pos"),
                      T.vtt_seconds("_a").alias("start"), T.vtt_seconds("_b").alias("end"))
              .where(F.col("start").isNotNull() & F.col("end").isNotNull()))
     body = (l2.where(~F.col("_arrow") & (F.col("_grp") > 0) & (F.col("_blank_seen") == 0))
-            .withColumn("_t", F.regexp_replace(strip("line"), TAG_RE, ""))
+            .withColumn("_t", F.regexp_replace("_s", TAG_RE, ""))
             .where(F.col("_t") != "")
             .groupBy("file_id", "_grp")
             .agg(F.sort_array(F.collect_list(F.struct("pos", "_t"))).alias("_parts")))
