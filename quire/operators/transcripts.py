@@ -2,8 +2,8 @@
 
 Similarity = 0.3 * length ratio (shorter / longer word count)
            + 0.7 * (actual words found in the expected word set) / expected words.
-Words are computed per segment and exploded, so the overlap is a join on
-(key, word) after a map-side count, never an array scan per pair.
+Words are computed per segment and exploded, so the overlap is a count per
+(key, word) aggregated map-side, never an array scan per pair.
 """
 
 from __future__ import annotations
@@ -30,17 +30,23 @@ def parse_expected(df: DataFrame, col: str = "raw") -> DataFrame:
 
 
 def similarity(expected: DataFrame, actual: DataFrame, key: str = "key") -> DataFrame:
-    """expected/actual(key, text) segment rows -> key, n_expected, n_actual, common, similarity."""
-    ew = expected.select(key, F.explode(T.normalise_words("text")).alias("w"))
-    aw = actual.select(key, F.explode(T.normalise_words("text")).alias("w"))
-    keys = expected.select(key).unionByName(actual.select(key)).distinct()
-    n_e = ew.groupBy(key).agg(F.count(F.lit(1)).alias("n_expected"))
-    a_counts = aw.groupBy(key, "w").agg(F.count(F.lit(1)).alias("c"))
-    n_a = a_counts.groupBy(key).agg(F.sum("c").alias("n_actual"))
-    common = (a_counts.join(ew.distinct(), [key, "w"], "left_semi")
-              .groupBy(key).agg(F.sum("c").alias("common")))
-    j = (keys.join(n_e, key, "left").join(n_a, key, "left").join(common, key, "left")
-         .select(key, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_expected", "n_actual", "common")]))
+    """expected/actual(key, text) segment rows -> key, n_expected, n_actual, common, similarity.
+
+    Both sides are read once: their words are tagged, unioned and counted per
+    (key, word) (partial aggregation map-side), then per key. `common` counts
+    the actual words whose word also occurs on the expected side. Keys
+    without any word survive through `explode_outer`.
+    """
+    def words(df, e, a):
+        return df.select(key, F.explode_outer(T.normalise_words("text")).alias("w"),
+                         F.lit(e).alias("_e"), F.lit(a).alias("_a"))
+    tagged = words(expected, 1, 0).unionByName(words(actual, 0, 1))
+    has_w = F.col("w").isNotNull()
+    per_word = tagged.groupBy(key, "w").agg(F.sum(F.when(has_w, F.col("_e")).otherwise(0)).alias("ec"),
+                                            F.sum(F.when(has_w, F.col("_a")).otherwise(0)).alias("ac"))
+    j = per_word.groupBy(key).agg(F.sum("ec").cast("long").alias("n_expected"),
+                                  F.sum("ac").cast("long").alias("n_actual"),
+                                  F.sum(F.when(F.col("ec") > 0, F.col("ac")).otherwise(0)).cast("long").alias("common"))
     ne, na = F.col("n_expected").cast("double"), F.col("n_actual").cast("double")
     ratio = F.least(na / ne, ne / na)
     score = (F.when((ne == 0) & (na == 0), F.lit(1.0))

@@ -41,22 +41,25 @@ def segments(lines: DataFrame) -> DataFrame:
           .withColumn("_grp", F.sum(F.col("_arrow").cast("int")).over(w)))
     wg = Window.partitionBy("file_id", "_grp").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     l2 = l1.withColumn("_blank_seen", F.max(F.col("_blank").cast("int")).over(wg))
+    # one aggregation per cue group: its first line is the arrow line (the head),
+    # the following non-blank lines up to the first blank one are its text
+    body_part = F.when(~F.col("_arrow") & (F.col("_blank_seen") == 0),
+                       F.struct("pos", F.regexp_replace("_s", TAG_RE, "").alias("_t")))
+    g = (l2.where(F.col("_grp") > 0).groupBy("file_id", "_grp")
+         .agg(F.min_by(F.struct("pos", "_s"), "pos").alias("_h"),
+              F.sort_array(F.collect_list(body_part)).alias("_parts")))
+    head = F.col("_h._s")
     # both timing groups need at least one char, so an empty first group means no match
-    heads = (l2.where(F.col("_arrow") & ~F.col("_s").startswith("WEBVTT") & ~F.col("_s").startswith("NOTE"))
-             .withColumn("_a", F.regexp_extract("_s", TIMING_RE, 1))
-             .where(F.col("_a") != "")
-             .withColumn("_b", F.regexp_extract("_s", TIMING_RE, 2))
-             .select("file_id", "_grp", F.col("pos").alias("seg_pos"),
-                     T.vtt_seconds("_a").alias("start"), T.vtt_seconds("_b").alias("end"))
-             .where(F.col("start").isNotNull() & F.col("end").isNotNull()))
-    body = (l2.where(~F.col("_arrow") & (F.col("_grp") > 0) & (F.col("_blank_seen") == 0))
-            .withColumn("_t", F.regexp_replace("_s", TAG_RE, ""))
-            .where(F.col("_t") != "")
-            .groupBy("file_id", "_grp")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "_t"))).alias("_parts")))
-    return (heads.join(body, ["file_id", "_grp"])
-            .select("file_id", "seg_pos", "start", "end",
-                    F.array_join(F.transform("_parts", lambda p: p["_t"]), " ").alias("text")))
+    a = F.regexp_extract(head, TIMING_RE, 1)
+    b = F.regexp_extract(head, TIMING_RE, 2)
+    texts = F.filter(F.transform("_parts", lambda p: p["_t"]), lambda t: t != "")
+    return (g.where(~head.startswith("WEBVTT") & ~head.startswith("NOTE"))
+            .select("file_id", F.col("_h.pos").alias("seg_pos"),
+                    F.when(a != "", T.vtt_seconds(a)).alias("start"),
+                    F.when(a != "", T.vtt_seconds(b)).alias("end"),
+                    F.array_join(texts, " ").alias("text"), F.size(texts).alias("_n"))
+            .where(F.col("start").isNotNull() & F.col("end").isNotNull() & (F.col("_n") > 0))
+            .drop("_n"))
 
 
 def transcripts(segs: DataFrame, titles: DataFrame) -> DataFrame:
