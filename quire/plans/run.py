@@ -84,11 +84,13 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     decided = RL.apply_resource_rules(passed, res, rule_sets)
     rejected = decided.where(~F.col("include")).select("resource_pos", "item_pos", "link", "reason")
     kept = decided.where("include").drop("include", "reason")
-    marks = (kept.groupBy("resource_pos", "feed_url", "feed_title").agg(F.max("ts").alias("last_processed_at"))
-             .where(F.col("last_processed_at") > 0))
 
     # content: caches, fresh parse, agents (J3-J6, E3)
-    casc = C.resolve(kept, pc, ac, parse)
+    # resolved content feeds the agents, the digest, the errors and both cache writes
+    casc = C.resolve(kept, pc, ac, parse).checkpoint(eager=True)
+    # every kept item moves its feed's mark, parsed or not (A1)
+    marks = (casc.groupBy("resource_pos", "feed_url", "feed_title").agg(F.max("ts").alias("last_processed_at"))
+             .where(F.col("last_processed_at") > 0))
     todo = casc.where((F.col("pipeline") != "") & ~F.col("agent_hit") & F.col("content").isNotNull())
     registry = opts.make_registry or (lambda: {})
     enriched = EN.enrich(todo.select("link", "parser", "pipeline", "agents", "content").distinct(),
@@ -96,8 +98,7 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     enriched = enriched.checkpoint(eager=True)  # agent calls are not repeated on recomputation
     resolved = (casc.join(enriched.select("link", "parser", "pipeline", "enriched", "agent_status", "agent_errors"),
                           ["link", "parser", "pipeline"], "left")
-                .withColumn("final", F.coalesce("enriched", "content"))
-                .checkpoint(eager=True))
+                .withColumn("final", F.coalesce("enriched", "content")))
 
     pages = (resolved.where(F.col("final").isNotNull())
              .select("resource_pos", "item_pos", "title", "link", F.col("final").alias("content"),
