@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import rules
 from quire.plans import oracle as O
+from quire.session import bounded_broadcast
 from quire.sources import tables as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -558,8 +559,11 @@ from quire.sources import feeds as FD  # noqa: E402
 
 def _feed_documents(spark, sf_dir):
     """One landed feed document per document row: RSS for even ids, Atom for odd ids;
-    every fiftieth document is cut short (malformed)."""
-    it = _items(spark, sf_dir).withColumn("source", F.regexp_extract("link", r"^https://example\.com/([^/]+)/", 1))
+    the document of an item labelled toxic arrives cut short (malformed)."""
+    toxic = bounded_broadcast(S.read(spark, sf_dir, "labels").where(F.col("toxic") == 1)
+                              .select(F.col("doc_id").alias("item_pos"), F.lit(True).alias("_cut")))
+    it = (_items(spark, sf_dir).join(toxic, "item_pos", "left")
+          .withColumn("source", F.regexp_extract("link", r"^https://example\.com/([^/]+)/", 1)))
     d = F.col("item_pos")
     pub = F.col("published")
     rss_date = F.when(pub.isNotNull(), F.concat(F.lit("<pubDate>"),
@@ -577,16 +581,15 @@ def _feed_documents(spark, sf_dir):
     atom = F.concat(F.lit("<feed><title>"), F.col("source"), F.lit("</title><entry><title>"), F.col("title"),
                     F.lit('</title><link href="'), F.col("link"), F.lit('"/><summary>'), desc, F.lit("</summary><id>"),
                     F.col("guid"), F.lit("</id>"), atom_date, F.lit("</entry></feed>"))
-    xml = F.when(F.col("feed_id") % 50 == 49, F.expr("substring(xml_doc, 1, length(xml_doc) - 20)")) \
-        .otherwise(F.col("xml_doc"))
-    return it.select(F.col("item_pos").alias("feed_id"), F.when(d % 2 == 0, rss).otherwise(atom).alias("xml_doc")) \
+    xml = F.when(F.col("_cut"), F.expr("substring(xml_doc, 1, length(xml_doc) - 20)")).otherwise(F.col("xml_doc"))
+    return it.select(F.col("item_pos").alias("feed_id"), "_cut", F.when(d % 2 == 0, rss).otherwise(atom).alias("xml_doc")) \
         .select("feed_id", xml.alias("xml"))
 
 
 @register("feed_items", f"""WITH {O.ITEMS}
 SELECT regexp_extract(link, '^https://example\\.com/([^/]+)/', 1) AS feed_title, item_pos, title, link, description,
        CASE WHEN ts IS NULL THEN NULL ELSE ts END AS published_ts, guid
-FROM items WHERE item_pos % 50 <> 49""")
+FROM items WHERE item_pos NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
 def feed_items(spark, sf_dir):
     """RSS items and Atom entries parsed from landed XML; date = published, else updated."""
     _, items, _ = FD.parse(_feed_documents(spark, sf_dir))
@@ -595,7 +598,7 @@ def feed_items(spark, sf_dir):
         F.unix_seconds("published").alias("published_ts"), "guid")
 
 
-@register("feed_errors", "SELECT count(*) AS n FROM documents WHERE doc_id % 50 = 49")
+@register("feed_errors", "SELECT count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
 def feed_errors(spark, sf_dir):
     """Malformed feed documents become error rows; the other feeds go on."""
     _, _, errors = FD.parse(_feed_documents(spark, sf_dir))
