@@ -31,7 +31,7 @@ def parse_date(x) -> F.Column:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Landed feed documents -> (feed_id = file path, xml)."""
-    return (spark.read.option("wholetext", "true").text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("feed_id"), F.col("value").alias("xml")))
 
 

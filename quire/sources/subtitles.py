@@ -27,7 +27,7 @@ def strip(c) -> F.Column:
 
 def read_vtt_files(spark: SparkSession, path: str) -> DataFrame:
     """Landed .vtt files -> lines(file_id, pos, line); one file per task at most."""
-    files = (spark.read.option("wholetext", "true").text(path)
+    files = (spark.read.text(path, wholetext=True)
              .select(F.col("_metadata.file_path").alias("file_id"), "value"))
     return files.select("file_id", F.posexplode(F.split("value", "\n")).alias("pos", "line"))
 

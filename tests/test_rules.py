@@ -46,7 +46,8 @@ def test_paragraphs(spark):
             ("", "\n  \n x"), ("", "x\n \n")]
     got = decide(spark, rows, {"p": {"require_paragraphs": True}}, ["p"])
     assert got == [(True, None), (False, "p:require_paragraphs"), (True, None),
-                   (False, "p:require_paragraphs"), (False, "p:require_paragraphs")]
+                   (False, "p:require_paragraphs"), (False, "p:require_paragraphs"),
+                   (False, "p:require_paragraphs")]  # no-break and em spaces are blank
 
 
 def test_order_and_reason(spark):
