@@ -43,7 +43,7 @@ def test_cyrillic_patterns(spark):
 
 def test_paragraphs(spark):
     rows = [("T", "First paragraph.\n\nSecond paragraph."), ("", "single line"), ("A", "b\nc"),
-            ("", "\n  \n x"), ("", "x\n \n")]
+            ("", "\n  \n x"), ("", "x\n \n"), ("", "x\n\u00a0\u2003\n")]
     got = decide(spark, rows, {"p": {"require_paragraphs": True}}, ["p"])
     assert got == [(True, None), (False, "p:require_paragraphs"), (True, None),
                    (False, "p:require_paragraphs"), (False, "p:require_paragraphs"),
