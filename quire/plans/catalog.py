@@ -187,7 +187,8 @@ RUN_TIME = 1800000000  # fixed "now" of the bundled cache runs (epoch seconds)
 
 
 def _cascade(spark, sf_dir):
-    li = S.labelled_items(spark, sf_dir)
+    # the labelled items feed the run's items and both derived caches: materialise once
+    li = S.labelled_items(spark, sf_dir).checkpoint(eager=True)
     pc, ac = S.derived_parser_cache(li), S.derived_agent_cache(li)
     items = li.drop("quality", "toxic")
     return C.resolve(items, pc, ac, CT.parse_landed), pc, ac
@@ -615,7 +616,8 @@ def _digest_pages(spark, sf_dir):
     casc, _, _ = _cascade(spark, sf_dir)
     pages = kept.select("resource_pos", "item_pos", "title", "link", "published").join(
         casc.select("resource_pos", "item_pos", "content"), ["resource_pos", "item_pos"])
-    return pages.withColumn("page_id", T.page_id("link")), res
+    # several consumers per query (contents, headers, articles, totals): cut the lineage once
+    return pages.withColumn("page_id", T.page_id("link")).checkpoint(eager=True), res
 
 
 @register("digest_lines", f"""WITH {O.digest_pages()}
@@ -633,8 +635,7 @@ UNION ALL SELECT 3, resource_pos, item_pos, 4, '</article>' FROM dpages""")
 def digest_lines(spark, sf_dir):
     """Ordered digest lines: contents per non-empty resource, then one article per page."""
     pages, res = _digest_pages(spark, sf_dir)
-    # three consumers (contents, headers, articles): cut the lineage once in the shared folder
-    return DG.digest_lines(pages.checkpoint(eager=True), res)
+    return DG.digest_lines(pages, res)
 
 
 @register("run_totals", f"""WITH {O.digest_pages()}
