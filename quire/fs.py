@@ -22,3 +22,8 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not f.exists(p):
         return []
     return [s.getPath().getName() for s in f.listStatus(p)]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    f, p = _fs(spark, path)
+    f.create(p, True).close()

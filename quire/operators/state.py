@@ -63,10 +63,14 @@ def append_history(history: DataFrame, marks: DataFrame, created_at: int) -> Dat
     so no step gathers the run into one task.
     """
     base = history.agg(F.max("id")).first()[0] or 0
-    new = (marks.select("feed_url", "last_processed_at").orderBy("feed_url")
-           .select((F.lit(base + 1) + F.monotonically_increasing_id()).cast("long").alias("id"),
-                   "feed_url", "last_processed_at", F.lit(created_at).cast("long").alias("created_at")))
-    return history.select(*HISTORY_COLS).unionByName(new)
+    return history.select(*HISTORY_COLS).unionByName(history_rows(marks, created_at, base))
+
+
+def history_rows(marks: DataFrame, created_at: int, base_id: int) -> DataFrame:
+    """The history rows of one run (ids after `base_id`, one shared created_at)."""
+    return (marks.select("feed_url", "last_processed_at").orderBy("feed_url")
+            .select((F.lit(base_id + 1) + F.monotonically_increasing_id()).cast("long").alias("id"),
+                    "feed_url", "last_processed_at", F.lit(created_at).cast("long").alias("created_at")))
 
 
 def history_orphans(history: DataFrame, feeds: DataFrame) -> DataFrame:
@@ -79,32 +83,78 @@ def feed_lookup(urls: DataFrame, feeds: DataFrame) -> DataFrame:
     return urls.join(feeds, urls["feed_url"] == feeds["url"], "left").drop("url")
 
 
-# --- versioned tables -----------------------------------------------------
+# --- state tables: append-only parts with a latest-wins view --------------------
 
 class StateStore:
-    """Versioned parquet tables under one root (a shared folder on a cluster)."""
+    """Run-state tables under one root (a shared folder on a cluster).
+
+    `<root>/<table>/v=<n>/` holds the rows written by change n, each tagged
+    `_seq = n`. A run appends only the rows it changed; a keyed table is read
+    as the latest row per key (greatest `_seq`), and readers that need a few
+    keys filter before that aggregation. `compact` writes the current view as a
+    new part and marks it as the base (`_BASE`); reads start at the newest
+    base. Parts are never overwritten or deleted while they may be read: a
+    part counts only once its `_SUCCESS` marker exists, so a write that died
+    half-way is ignored and its folder reused. One writer per store at a time.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root or session.state_dir(spark)
 
-    def _versions(self, table: str) -> list[int]:
+    def _dir(self, table: str, n: int | None = None) -> str:
         d = os.path.join(self.root, table)
+        return d if n is None else os.path.join(d, f"v={n}")
+
+    def parts(self, table: str) -> list[int]:
         out = []
-        for n in fs.list_names(self.spark, d):
-            m = re.fullmatch(r"v=(\d+)", n)
-            if m and fs.exists(self.spark, os.path.join(d, n, "_SUCCESS")):
+        for name in fs.list_names(self.spark, self._dir(table)):
+            m = re.fullmatch(r"v=(\d+)", name)
+            if m and fs.exists(self.spark, os.path.join(self._dir(table), name, "_SUCCESS")):
                 out.append(int(m.group(1)))
         return sorted(out)
 
-    def read(self, table: str, schema: str) -> DataFrame:
-        vs = self._versions(table)
-        if not vs:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(os.path.join(self.root, table, f"v={vs[-1]}"))
-
-    def write(self, table: str, df: DataFrame) -> int:
-        vs = self._versions(table)
-        v = (vs[-1] + 1) if vs else 0
-        df.write.mode("overwrite").parquet(os.path.join(self.root, table, f"v={v}"))
-        return v
+    def _live(self, table: str) -> list[int]:
+        ps = self.parts(table)
+        bases = [p for p in ps if fs.exists(self.spark, os.path.join(self._dir(table, p), "_BASE"))]
+        return [p for p in ps if p >= bases[-1]] if bases else ps
+
+    def rows(self, table: str, schema: str) -> DataFrame:
+        """Every live row, with its `_seq`."""
+        live = self._live(table)
+        full = f"{schema}, _seq long"
+        if not live:
+            return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).parquet(*[self._dir(table, p) for p in live])
+
+    def read(self, table: str, schema: str, keys: list[str] | None = None) -> DataFrame:
+        """The table as of now: latest row per key, or every row of an append-only table."""
+        r = self.rows(table, schema)
+        if keys:
+            r = latest_wins(r, keys, ["_seq"])
+        return r.drop("_seq")
+
+    def read_for(self, table: str, schema: str, keys: list[str], wanted: DataFrame) -> DataFrame:
+        """Latest rows of the keys present in `wanted` only: the semi join (a
+        broadcast when `wanted` is small enough) filters before the aggregation."""
+        from quire.session import bounded_broadcast
+        r = self.rows(table, schema).join(bounded_broadcast(wanted.select(*keys).distinct()), keys, "left_semi")
+        return latest_wins(r, keys, ["_seq"]).drop("_seq")
+
+    def _next(self, table: str) -> int:
+        ps = fs.list_names(self.spark, self._dir(table))
+        nums = [int(m.group(1)) for m in (re.fullmatch(r"v=(\d+)", n) for n in ps) if m]
+        done = self.parts(table)
+        # reuse a folder left without _SUCCESS by a failed write, else take the next number
+        return max(done) + 1 if done else (min(nums) if nums else 0)
+
+    def append(self, table: str, df: DataFrame) -> int:
+        n = self._next(table)
+        df.withColumn("_seq", F.lit(n).cast("long")).write.mode("overwrite").parquet(self._dir(table, n))
+        return n
+
+    def compact(self, table: str, df: DataFrame) -> int:
+        """Write `df` (usually `read(...)` of the table) as the new base."""
+        n = self.append(table, df)
+        fs.touch(self.spark, os.path.join(self._dir(table, n), "_BASE"))
+        return n

@@ -52,7 +52,7 @@ class RunResult:
     rejected: DataFrame | None = None
     errors: DataFrame | None = None
     marks: DataFrame | None = None
-    stats: dict | None = None
+    stats: DataFrame | None = None  # cache statistics after the run (lazy)
     digest_path: str | None = None
 
 
@@ -61,18 +61,15 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     """items(resource_pos, item_pos, title, link, description, published, guid[, media]),
     resources(resource_pos, feed_url, feed_title, parser, type, agents, enabled, filters)."""
     now = int(opts.now if opts.now is not None else time.time())
-    pc = store.read("parser_cache", C.PARSER_CACHE_SCHEMA)
-    ac = store.read("agent_cache", C.AGENT_CACHE_SCHEMA)
-    if opts.clean:
-        store.write("parser_cache", C.clear(pc))
-        store.write("agent_cache", C.clear(ac))
+    pk, ak = ["url", "parser_type"], ["url", "parser_type", "agent_pipeline"]
+    if opts.clean:  # D6: an empty base hides every earlier part
+        store.compact("parser_cache", spark.createDataFrame([], C.PARSER_CACHE_SCHEMA))
+        store.compact("agent_cache", spark.createDataFrame([], C.AGENT_CACHE_SCHEMA))
         return RunResult()
     history = store.read("history", HISTORY_SCHEMA)
-    if opts.regenerate:
-        store.write("history", ST.delete_latest_generation(history))
+    if opts.regenerate:  # D7 rewrites the (small) history once, as a new base
+        store.compact("history", ST.delete_latest_generation(history))
         history = store.read("history", HISTORY_SCHEMA)
-    stats = C.stats(pc, ac).first().asDict()
-    log.info("cache: %s", stats)
 
     CFG.validate(spark, resources)
     res = CFG.enabled(resources)
@@ -85,8 +82,12 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     rejected = decided.where(~F.col("include")).select("resource_pos", "item_pos", "link", "reason")
     kept = decided.where("include").drop("include", "reason")
 
-    # content: caches, fresh parse, agents (J3-J6, E3)
-    # resolved content feeds the agents, the digest, the errors and both cache writes
+    # content: caches, fresh parse, agents (J3-J6, E3). Only the cache rows of this
+    # run's links enter the latest-wins view.
+    run_links = kept.select(T.s("link").alias("url")).distinct()
+    pc = store.read_for("parser_cache", C.PARSER_CACHE_SCHEMA, ["url"], run_links)
+    ac = store.read_for("agent_cache", C.AGENT_CACHE_SCHEMA, ["url"], run_links)
+    # resolved content feeds the marks, agents, digest, errors and both cache writes
     casc = C.resolve(kept, pc, ac, parse).checkpoint(eager=True)
     # every kept item moves its feed's mark, parsed or not (A1)
     marks = (casc.groupBy("resource_pos", "feed_url", "feed_title").agg(F.max("ts").alias("last_processed_at"))
@@ -116,27 +117,29 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
         lines = DG.digest_lines(pages, res.select("resource_pos", "feed_title"), escape=opts.escape)
         digest_path = DG.write_digest(lines, opts.out_dir, run_date, opts.title)
 
-    # caches (D3, D4, D5)
+    # caches (D3, D4, D5): append only the rows this run touched or produced
     hit_p = resolved.where("parser_hit").select(F.col("link").alias("url"), F.col("parser").alias("parser_type"))
     fresh = resolved.where(F.col("content_source") == "parsed").select(
         F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("fresh_payload").alias("output_data"))
-    store.write("parser_cache", C.put(C.touch(pc, hit_p, ["url", "parser_type"], now),
-                                      fresh, ["url", "parser_type"], now))
+    touched_p = C.touch(pc.join(hit_p, pk, "left_semi"), hit_p, pk, now)
+    store.append("parser_cache", C.put(touched_p, fresh.distinct(), pk, now))
     hit_a = resolved.where("agent_hit").select(F.col("link").alias("url"), F.col("parser").alias("parser_type"),
                                                F.col("pipeline").alias("agent_pipeline"))
     agent_rows = resolved.where(F.col("enriched").isNotNull()).select(
         F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("pipeline").alias("agent_pipeline"),
         F.col("enriched").alias("output_data")).distinct()
-    store.write("agent_cache", C.put(C.touch(ac, hit_a, ["url", "parser_type", "agent_pipeline"], now),
-                                     agent_rows, ["url", "parser_type", "agent_pipeline"], now))
+    touched_a = C.touch(ac.join(hit_a, ak, "left_semi"), hit_a, ak, now)
+    store.append("agent_cache", C.put(touched_a, agent_rows, ak, now))
 
-    # marks (A1, D1, D2); include-all writes none
+    # marks (A1, D1, D2); include-all writes none; the history part is the commit point
     if not opts.include_all and marks.take(1):
-        feeds = store.read("feed", FEED_SCHEMA)
-        new_feeds = marks.select(F.col("feed_url").alias("url"), F.col("feed_title").alias("title"),
-                                 "last_processed_at")
-        store.write("feed", ST.upsert(feeds, new_feeds, ["url"]))
-        store.write("history", ST.append_history(history, marks, now))
+        new_feeds = ST.latest_wins(marks.select(F.col("feed_url").alias("url"), F.col("feed_title").alias("title"),
+                                                "last_processed_at", "resource_pos"), ["url"], ["resource_pos"])
+        store.append("feed", new_feeds.select("url", "title", "last_processed_at"))
+        base = history.agg(F.max("id")).first()[0] or 0
+        store.append("history", ST.history_rows(marks, now, base))
+    stats = C.stats(store.read("parser_cache", C.PARSER_CACHE_SCHEMA, pk),
+                    store.read("agent_cache", C.AGENT_CACHE_SCHEMA, ak))
     return RunResult(pages=pages, rejected=rejected, errors=errors, marks=marks, stats=stats,
                      digest_path=digest_path)
 
