@@ -65,6 +65,9 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     if opts.clean:  # D6: an empty base hides every earlier part
         store.compact("parser_cache", spark.createDataFrame([], C.PARSER_CACHE_SCHEMA))
         store.compact("agent_cache", spark.createDataFrame([], C.AGENT_CACHE_SCHEMA))
+        store.compact("parser_cache_access", spark.createDataFrame([], "url string, parser_type string, accessed_at long"))
+        store.compact("agent_cache_access", spark.createDataFrame(
+            [], "url string, parser_type string, agent_pipeline string, accessed_at long"))
         return RunResult()
     history = store.read("history", HISTORY_SCHEMA)
     if opts.regenerate:  # D7 rewrites the (small) history once, as a new base
@@ -117,19 +120,20 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
         lines = DG.digest_lines(pages, res.select("resource_pos", "feed_title"), escape=opts.escape)
         digest_path = DG.write_digest(lines, opts.out_dir, run_date, opts.title)
 
-    # caches (D3, D4, D5): append only the rows this run touched or produced
+    # caches (D3, D4, D5): new outputs are appended as full rows; a hit appends only
+    # (key, accessed_at) to the table's access log, never the payload again
     hit_p = resolved.where("parser_hit").select(F.col("link").alias("url"), F.col("parser").alias("parser_type"))
     fresh = resolved.where(F.col("content_source") == "parsed").select(
         F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("fresh_payload").alias("output_data"))
-    touched_p = C.touch(pc.join(hit_p, pk, "left_semi"), hit_p, pk, now)
-    store.append("parser_cache", C.put(touched_p, fresh.distinct(), pk, now))
+    store.append("parser_cache", C.put(pc.where(F.lit(False)), fresh.distinct(), pk, now))
+    store.append("parser_cache_access", hit_p.distinct().withColumn("accessed_at", F.lit(now).cast("long")))
     hit_a = resolved.where("agent_hit").select(F.col("link").alias("url"), F.col("parser").alias("parser_type"),
                                                F.col("pipeline").alias("agent_pipeline"))
     agent_rows = resolved.where(F.col("enriched").isNotNull()).select(
         F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("pipeline").alias("agent_pipeline"),
         F.col("enriched").alias("output_data")).distinct()
-    touched_a = C.touch(ac.join(hit_a, ak, "left_semi"), hit_a, ak, now)
-    store.append("agent_cache", C.put(touched_a, agent_rows, ak, now))
+    store.append("agent_cache", C.put(ac.where(F.lit(False)), agent_rows, ak, now))
+    store.append("agent_cache_access", hit_a.distinct().withColumn("accessed_at", F.lit(now).cast("long")))
 
     # marks (A1, D1, D2); include-all writes none; the history part is the commit point
     if not opts.include_all and marks.take(1):
@@ -138,12 +142,22 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
         store.append("feed", new_feeds.select("url", "title", "last_processed_at"))
         base = history.agg(F.max("id")).first()[0] or 0
         store.append("history", ST.history_rows(marks, now, base))
-    stats = C.stats(store.read("parser_cache", C.PARSER_CACHE_SCHEMA, pk),
-                    store.read("agent_cache", C.AGENT_CACHE_SCHEMA, ak))
+    stats = C.stats(cache_view(store, "parser_cache", C.PARSER_CACHE_SCHEMA, pk),
+                    cache_view(store, "agent_cache", C.AGENT_CACHE_SCHEMA, ak))
     return RunResult(pages=pages, rejected=rejected, errors=errors, marks=marks, stats=stats,
                      digest_path=digest_path)
 
 
+def cache_view(store: ST.StateStore, table: str, schema: str, keys: list[str]) -> DataFrame:
+    """A cache table as of now: latest row per key with its latest access time."""
+    rows = store.read(table, schema, keys)
+    acc = (store.read(table + "_access", ", ".join(f"{k} string" for k in keys) + ", accessed_at long")
+           .groupBy(*keys).agg(F.max("accessed_at").alias("_acc")))
+    return (rows.join(acc, keys, "left")
+            .withColumn("accessed_at", F.greatest("accessed_at", F.coalesce("_acc", "accessed_at")))
+            .drop("_acc"))
+
+
 def documents_run(spark: SparkSession, sf_dir: str, store: ST.StateStore, opts: RunOptions) -> RunResult:
     """A run over the landed documents (one feed per source)."""
     from quire.sources import tables as S

@@ -97,3 +97,17 @@ def test_upsert_replaces(spark):
     new = spark.createDataFrame([("u2", "t2", 9), ("u3", "t3", 3)], "url string, title string, last_processed_at long")
     got = sorted(tuple(r) for r in ST.upsert(cur, new, ["url"]).collect())
     assert got == [("u1", "t", 1), ("u2", "t2", 9), ("u3", "t3", 3)]
+
+
+def test_cache_view_after_runs(spark, scratch):
+    store = ST.StateStore(spark, os.path.join(scratch, "state"))
+    _run(spark, store, now=1000)
+    _run(spark, store, now=2000, include_all=True)
+    view = {r.url: (r.created_at, r.accessed_at)
+            for r in R.cache_view(store, "parser_cache", "url string, parser_type string, output_data string, "
+                                  "created_at long, accessed_at long", ["url", "parser_type"]).collect()}
+    assert view["https://a/1"] == (1000, 2000)   # created by the first run, read by the second
+    assert view["https://b/1"] == (1000, 1000)   # served by the agent cache: parser row not read
+    R.run_once(spark, _items(spark, ROWS), _resources(spark), RULES, store, R.RunOptions(now=3000, clean=True))
+    assert R.cache_view(store, "parser_cache", "url string, parser_type string, output_data string, "
+                        "created_at long, accessed_at long", ["url", "parser_type"]).count() == 0
