@@ -81,7 +81,8 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
 
     # skip (J2, F2) and rules (F10, F11)
     passed = INC.skip_processed(it, ST.latest_marks(history), include_all=opts.include_all)
-    decided = RL.apply_resource_rules(passed, res, rule_sets)
+    # decisions are read by the rejection report, the key aggregation and the join back
+    decided = RL.apply_resource_rules(passed, res, rule_sets).checkpoint(eager=True)
     rejected = decided.where(~F.col("include")).select("resource_pos", "item_pos", "link", "reason")
     kept = decided.where("include").drop("include", "reason")
 
