@@ -67,6 +67,15 @@ def main() -> None:
     warm.pages.count()
     timings["run_warm"] = round(time.perf_counter() - t0, 3)
     rows["pages"] = n_pages
+    pstore = StateStore(spark, os.path.join(scratch, "state_pages"))
+    t0 = time.perf_counter()
+    R.pages_run(spark, sf_dir, pstore, R.RunOptions(now=1800000000, out_dir=os.path.join(scratch, "pout"),
+                                                    make_registry=EN.stand_in_registry, policy=opts.policy)).pages.count()
+    timings["run_pages_cold"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    R.pages_run(spark, sf_dir, pstore, R.RunOptions(now=1800000100, include_all=True, out_dir=os.path.join(scratch, "pout2"),
+                                                    make_registry=EN.stand_in_registry, policy=opts.policy)).pages.count()
+    timings["run_pages_warm"] = round(time.perf_counter() - t0, 3)
 
     total = round(sum(timings.values()), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)

@@ -58,3 +58,34 @@ def parse_landed(df: DataFrame) -> DataFrame:
                    T.render_transcript(tr["title"], tr["language"], tr["segments"])).otherwise(html)
     payload = F.when(F.col("parser") == "youtube", C.encode_transcript(tr)).otherwise(C.encode_html(F.col("parser"), html))
     return df.withColumn("fresh", fresh).withColumn("fresh_payload", payload)
+
+
+# Fixed value: the error of a web item whose page was not landed.
+PAGE_MISSING_ERROR = "could not go to '%s': page not landed"
+
+
+def parse_with_pages(pages: DataFrame, url: str = "url", html: str = "html"):
+    """A parse function whose web items read their landed page (link = url) and
+    keep its main content; other parser types render as in `parse_landed`.
+
+    Web items without a page, or whose page has no main content, get NULL
+    content and a `parse_error` (they are not cached, and are retried next run).
+    """
+    from quire.operators import extract as EX
+
+    def parse(df: DataFrame) -> DataFrame:
+        base = parse_landed(df)
+        pg = pages.select(F.col(url).alias("_page_url"), F.col(html).alias("_html"))
+        # join first: the extraction runs only on pages that meet a missed link
+        j = (base.join(pg, T.s(base["link"]) == pg["_page_url"], "left")
+             .withColumn("_page_content", EX.main_content("_html")))
+        web = F.col("parser") == "web"
+        err = (F.when(web & F.col("_page_url").isNull(), F.format_string(PAGE_MISSING_ERROR, T.s("link")))
+               .when(web & F.col("_page_content").isNull(), F.format_string(EX.EMPTY_ERROR, T.s("link"))))
+        return (j.withColumn("fresh", F.when(web, F.col("_page_content")).otherwise(F.col("fresh")))
+                .withColumn("fresh_payload", F.when(web, F.when(F.col("_page_content").isNotNull(),
+                                                                 C.encode_html(F.lit("web"), F.col("_page_content"))))
+                            .otherwise(F.col("fresh_payload")))
+                .withColumn("parse_error", err)
+                .drop("_page_url", "_html", "_page_content"))
+    return parse

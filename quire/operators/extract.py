@@ -24,15 +24,25 @@ TAG_RE = r"<[^>]+>"
 EMPTY_ERROR = "readability returned empty article for '%s'"
 
 
-def extract_main_content(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """pages -> + title, content (HTML of the main block), text_bytes, error."""
+def _main_block(html):
     h = T.s(html)
-    art = F.regexp_extract(h, ARTICLE_RE, 1)
-    main = F.when(h.rlike(ARTICLE_RE), art).otherwise(F.regexp_extract(h, BODY_RE, 1))
+    main = F.when(h.rlike(ARTICLE_RE), F.regexp_extract(h, ARTICLE_RE, 1)).otherwise(F.regexp_extract(h, BODY_RE, 1))
     clean = F.regexp_replace(F.regexp_replace(main, BOILERPLATE_RE, ""), rf"^[{T.WS_CLASS}]+|[{T.WS_CLASS}]+$", "")
-    text = F.regexp_replace(clean, TAG_RE, "")
-    text_bytes = F.octet_length(F.regexp_replace(text, rf"[{T.WS_CLASS}]+", ""))
-    return (pages.withColumn("title", F.regexp_extract(h, TITLE_RE, 1))
-            .withColumn("content", F.when(text_bytes > 0, clean))
-            .withColumn("text_bytes", text_bytes)
-            .withColumn("error", F.when(text_bytes == 0, F.format_string(EMPTY_ERROR, T.s(url)))))
+    text_bytes = F.octet_length(F.regexp_replace(F.regexp_replace(clean, TAG_RE, ""), rf"[{T.WS_CLASS}]+", ""))
+    return clean, text_bytes
+
+
+def main_content(html) -> F.Column:
+    """HTML of the page's main block, or NULL when it holds no text."""
+    clean, text_bytes = _main_block(html)
+    return F.when(text_bytes > 0, clean)
+
+
+def extract_main_content(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """pages -> + title, content (HTML of the main block), text_bytes, error."""
+    clean, text_bytes = _main_block(html)
+    return (pages.withColumn("_tb", text_bytes)
+            .withColumn("title", F.regexp_extract(T.s(html), TITLE_RE, 1))
+            .withColumn("content", F.when(F.col("_tb") > 0, clean))
+            .withColumnRenamed("_tb", "text_bytes")
+            .withColumn("error", F.when(F.col("text_bytes") == 0, F.format_string(EMPTY_ERROR, T.s(url)))))

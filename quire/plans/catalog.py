@@ -413,6 +413,19 @@ def page_extract(spark, sf_dir):
     return EX.extract_main_content(S.read(spark, sf_dir, "pages")).drop("html")
 
 
+@register("web_items_content", f"""
+WITH x AS ({ORACLE["page_extract"]})
+SELECT 100 + list_position(['en', 'fr', 'de', 'es'], regexp_extract(url, '^https?://[^/]+/([a-z]{{2}})/', 1)) AS resource_pos,
+       page_id AS item_pos, content, CASE WHEN content IS NULL THEN error END AS parse_error
+FROM x""")
+def web_items_content(spark, sf_dir):
+    """Web-feed items read their landed page (link = url) and keep its main block (S5, E5, E6)."""
+    pages = S.read(spark, sf_dir, "pages")
+    items = S.items_from_pages(pages).withColumn("parser", F.lit("web"))
+    return CT.parse_with_pages(pages)(items).select("resource_pos", "item_pos", F.col("fresh").alias("content"),
+                                                    "parse_error")
+
+
 # --- error triage and retry schedule (C19-C21, A12) --------------------------------
 
 ERROR_TEMPLATES = [  # fixed values: API error messages, %d = whole part of the event value

@@ -167,6 +167,14 @@ def documents_run(spark: SparkSession, sf_dir: str, store: ST.StateStore, opts:
                     RL.compile_rule_sets(RL.DEFAULT_RULE_SETS), store, opts)
 
 
+def pages_run(spark: SparkSession, sf_dir: str, store: ST.StateStore, opts: RunOptions) -> RunResult:
+    """A run over web feeds whose items are the landed pages (content = main block)."""
+    from quire.sources import tables as S
+    pages = S.read(spark, sf_dir, "pages")
+    return run_once(spark, S.items_from_pages(pages), S.resources_from_pages(spark), {}, store, opts,
+                    parse=CT.parse_with_pages(pages))
+
+
 def state_store(spark: SparkSession, name: str) -> ST.StateStore:
     from quire.session import state_dir
     return ST.StateStore(spark, os.path.join(state_dir(spark), name))

@@ -154,3 +154,34 @@ def derived_agent_cache(li: DataFrame) -> DataFrame:
                       F.concat(F.lit("["), pipe, F.lit("] "), F.col("description")).alias("output_data"),
                       (F.col("item_pos") + 1000000).alias("created_at"),
                       (F.col("item_pos") + 1000000).alias("accessed_at"))
+
+
+# --- landed web pages as the items of web feeds ---------------------------------
+PAGE_LANGS = ["en", "fr", "de", "es"]   # one web feed per language folder of the URL
+PAGE_RESOURCE_BASE = 100
+
+
+def page_lang(url) -> F.Column:
+    return F.regexp_extract(T._c(url), r"^https?://[^/]+/([a-z]{2})/", 1)
+
+
+def items_from_pages(pages: DataFrame) -> DataFrame:
+    """items(resource_pos, item_pos, title, link, description, published, guid): page links as feed items."""
+    lang = page_lang("url")
+    pos = F.array_position(F.array(*[F.lit(x) for x in PAGE_LANGS]), lang).cast("int")
+    return pages.select(
+        (F.lit(PAGE_RESOURCE_BASE) + pos).alias("resource_pos"),
+        F.col("page_id").alias("item_pos"),
+        F.regexp_extract(T.s("html"), r"(?s)<title\b[^>]*>(.*?)</title>", 1).alias("title"),
+        F.col("url").alias("link"),
+        F.lit("").alias("description"),
+        F.timestamp_seconds(F.lit(EPOCH_BASE) + F.lit(SECONDS_PER_DOC) * F.col("page_id")).alias("published"),
+        F.col("page_id").cast("string").alias("guid"))
+
+
+def resources_from_pages(spark: SparkSession) -> DataFrame:
+    """The web feeds: fixed configuration rows (one per language folder)."""
+    rows = [(PAGE_RESOURCE_BASE + i + 1, f"https://example.com/{lang}/feed", f"Web {lang}", "web", "rss",
+             ["summary"] if i % 2 else [], None, []) for i, lang in enumerate(PAGE_LANGS)]
+    return spark.createDataFrame(rows, "resource_pos int, feed_url string, feed_title string, parser string, "
+                                       "type string, agents array<string>, enabled boolean, filters array<string>")
