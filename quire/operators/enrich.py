@@ -154,6 +154,8 @@ def enrich(df: DataFrame, make_registry: Callable[[], dict[str, Callable[[str],
             pdf["agent_errors"] = [r[2] for r in res]
             yield pdf
 
+    from quire.session import ship_package
+    ship_package(df.sparkSession)
     src = df.repartition(partitions) if partitions else df
     return src.mapInPandas(run, f"struct<{out_schema}>")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import rules
 from quire.plans import oracle as O
+from quire import session as SESSION
 from quire.session import bounded_broadcast
 from quire.sources import tables as S
 
@@ -188,7 +189,7 @@ RUN_TIME = 1800000000  # fixed "now" of the bundled cache runs (epoch seconds)
 
 def _cascade(spark, sf_dir):
     # the labelled items feed the run's items and both derived caches: materialise once
-    li = S.labelled_items(spark, sf_dir).checkpoint(eager=True)
+    li = SESSION.materialize(S.labelled_items(spark, sf_dir))
     pc, ac = S.derived_parser_cache(li), S.derived_agent_cache(li)
     items = li.drop("quality", "toxic")
     return C.resolve(items, pc, ac, CT.parse_landed), pc, ac
@@ -630,7 +631,7 @@ def _digest_pages(spark, sf_dir):
     pages = kept.select("resource_pos", "item_pos", "title", "link", "published").join(
         casc.select("resource_pos", "item_pos", "content"), ["resource_pos", "item_pos"])
     # several consumers per query (contents, headers, articles, totals): cut the lineage once
-    return pages.withColumn("page_id", T.page_id("link")).checkpoint(eager=True), res
+    return SESSION.materialize(pages.withColumn("page_id", T.page_id("link"))), res
 
 
 @register("digest_lines", f"""WITH {O.digest_pages()}

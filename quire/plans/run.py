@@ -24,7 +24,7 @@ from quire.operators import enrich as EN
 from quire.operators import incremental as INC
 from quire.operators import rules as RL
 from quire.operators import state as ST
-from quire.session import bounded_broadcast
+from quire.session import bounded_broadcast, materialize
 
 log = logging.getLogger(__name__)
 
@@ -82,7 +82,7 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     # skip (J2, F2) and rules (F10, F11)
     passed = INC.skip_processed(it, ST.latest_marks(history), include_all=opts.include_all)
     # decisions are read by the rejection report, the key aggregation and the join back
-    decided = RL.apply_resource_rules(passed, res, rule_sets).checkpoint(eager=True)
+    decided = materialize(RL.apply_resource_rules(passed, res, rule_sets))
     rejected = decided.where(~F.col("include")).select("resource_pos", "item_pos", "link", "reason")
     kept = decided.where("include").drop("include", "reason")
 
@@ -92,7 +92,7 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     pc = store.read_for("parser_cache", C.PARSER_CACHE_SCHEMA, ["url"], run_links)
     ac = store.read_for("agent_cache", C.AGENT_CACHE_SCHEMA, ["url"], run_links)
     # resolved content feeds the marks, agents, digest, errors and both cache writes
-    casc = C.resolve(kept, pc, ac, parse).checkpoint(eager=True)
+    casc = materialize(C.resolve(kept, pc, ac, parse))
     # every kept item moves its feed's mark, parsed or not (A1)
     marks = (casc.groupBy("resource_pos", "feed_url", "feed_title").agg(F.max("ts").alias("last_processed_at"))
              .where(F.col("last_processed_at") > 0))
@@ -100,7 +100,7 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     registry = opts.make_registry or (lambda: {})
     enriched = EN.enrich(todo.select("link", "parser", "pipeline", "agents", "content").distinct(),
                          registry, opts.policy, partitions=opts.agent_partitions)
-    enriched = enriched.checkpoint(eager=True)  # agent calls are not repeated on recomputation
+    enriched = materialize(enriched)  # agent calls are not repeated on recomputation
     resolved = (casc.join(enriched.select("link", "parser", "pipeline", "enriched", "agent_status", "agent_errors"),
                           ["link", "parser", "pipeline"], "left")
                 .withColumn("final", F.coalesce("enriched", "content")))

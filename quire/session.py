@@ -99,3 +99,41 @@ def spread(df: DataFrame) -> DataFrame:
     except Exception:
         return df
     return df.repartition(par) if n < par else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """`checkpoint()` into the session's checkpoint folder (registered first if needed)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `quire` importable in the Python workers (what --py-files does).
+
+    Needed by the operators that run Python on executors (agent chains and
+    keyed streaming state); done once per application.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="quire-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    # Python functions carry sc.environment; the streaming runner reads the
+    # package from there (the zip lives on the driver host, where it runs).
+    prev = sc.environment.get("PYTHONPATH")
+    sc.environment["PYTHONPATH"] = path + (os.pathsep + prev if prev else "")
+    _SHIPPED.add(app)

@@ -40,7 +40,9 @@ class FeedMark(StatefulProcessor):
 
 def passed_items(items: DataFrame) -> DataFrame:
     """Streaming items(feed_url, event_id, ts) -> the items that pass their feed's mark."""
+    from quire.session import ship_package
     spark = items.sparkSession
+    ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     return (items.select("feed_url", "event_id", "ts").groupBy("feed_url")
             .transformWithStateInPandas(FeedMark(), "feed_url string, event_id long, ts long", "append", "None"))

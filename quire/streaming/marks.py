@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import incremental as INC
 from quire import fs
+from quire.session import materialize
 from quire.operators import state as ST
 
 FEED_SCHEMA = "url string, title string, last_processed_at long"
@@ -45,7 +46,7 @@ class MarkJob:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         marks = self.feed_state().select(F.col("url").alias("feed_url"), "last_processed_at")
         passed = INC.skip_processed(batch, marks)
-        new = INC.new_marks(passed).checkpoint(eager=True)  # lineage cut under spark.checkpoint.dir
+        new = materialize(INC.new_marks(passed))  # lineage cut under spark.checkpoint.dir
         if not new.take(1):
             return
         created = int(batch.agg(F.max("ts")).first()[0] or 0)
