@@ -84,7 +84,7 @@ def to_java(pattern: str) -> str:
                 m = re.match(r"\[:(\^?)(\w+):\]", pattern[i:])
                 if m and m.group(2) in POSIX_CLASSES:
                     body = POSIX_CLASSES[m.group(2)]
-                    out.append(body if not m.group(1) else f"&&[^{body}]")
+                    out.append(body if not m.group(1) else f"[^{body}]")  # nested class = union
                     i += m.end()
                     continue
             if c == "[":

@@ -81,6 +81,9 @@ def test_invalid_pattern_dropped(spark):
     (r"\bcat\b", "écat", True),            # ASCII word boundary
     ("(?P<w>ab)", "xab", True),
     ("[[:digit:]]+", "a1", True),
+    ("^[[:^digit:]]+$", "abc", True),
+    ("^[[:^digit:]]+$", "ab1", False),
+    ("^[x[:space:]]+$", "x \t", True),
 ])
 def test_dialect(spark, pattern, text, match):
     df = spark.createDataFrame([(text,)], "t string")
