@@ -153,6 +153,16 @@ class StateStore:
         df.withColumn("_seq", F.lit(n).cast("long")).write.mode("overwrite").parquet(self._dir(table, n))
         return n
 
+    def live_parts(self, table: str) -> int:
+        return len(self._live(table))
+
+    def maybe_compact(self, table: str, schema: str, keys: list[str] | None, max_parts: int) -> bool:
+        """Fold the table into one base part once it has more than `max_parts` live parts."""
+        if self.live_parts(table) <= max_parts:
+            return False
+        self.compact(table, self.read(table, schema, keys))
+        return True
+
     def compact(self, table: str, df: DataFrame) -> int:
         """Write `df` (usually `read(...)` of the table) as the new base."""
         n = self.append(table, df)

@@ -44,6 +44,7 @@ class RunOptions:
     policy: EN.RetryPolicy = field(default_factory=EN.RetryPolicy)
     make_registry: object = None          # () -> {name: callable}; None = no agents available
     agent_partitions: int | None = None   # bound on concurrent agent calls
+    max_parts: int = 32                   # compact a state table beyond this many live parts
 
 
 @dataclass
@@ -143,6 +144,16 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
         store.append("feed", new_feeds.select("url", "title", "last_processed_at"))
         base = history.agg(F.max("id")).first()[0] or 0
         store.append("history", ST.history_rows(marks, now, base))
+    # keep reads short: fold long part chains into a base (rare; costs one rewrite)
+    access_p = "url string, parser_type string, accessed_at long"
+    access_a = "url string, parser_type string, agent_pipeline string, accessed_at long"
+    for table, schema, keys in (("parser_cache", C.PARSER_CACHE_SCHEMA, pk), ("agent_cache", C.AGENT_CACHE_SCHEMA, ak),
+                                ("feed", FEED_SCHEMA, ["url"]), ("history", HISTORY_SCHEMA, None)):
+        store.maybe_compact(table, schema, keys, opts.max_parts)
+    for table, schema, keys in (("parser_cache_access", access_p, pk), ("agent_cache_access", access_a, ak)):
+        if store.live_parts(table) > opts.max_parts:
+            latest = store.read(table, schema).groupBy(*keys).agg(F.max("accessed_at").alias("accessed_at"))
+            store.compact(table, latest)
     stats = C.stats(cache_view(store, "parser_cache", C.PARSER_CACHE_SCHEMA, pk),
                     cache_view(store, "agent_cache", C.AGENT_CACHE_SCHEMA, ak))
     return RunResult(pages=pages, rejected=rejected, errors=errors, marks=marks, stats=stats,

@@ -32,3 +32,14 @@ def test_half_written_part_is_ignored(spark, scratch):
     st.append("t", spark.createDataFrame([("a", 2)], SCHEMA))  # reuses the folder
     assert [tuple(r) for r in st.read("t", SCHEMA, ["url"]).collect()] == [("a", 2)]
     assert st.parts("t") == [0, 1]
+
+
+def test_maybe_compact(spark, scratch):
+    st = StateStore(spark, os.path.join(scratch, "s"))
+    for i in range(4):
+        st.append("t", spark.createDataFrame([("a", i), (f"k{i}", i)], SCHEMA))
+    assert st.maybe_compact("t", SCHEMA, ["url"], max_parts=8) is False
+    assert st.maybe_compact("t", SCHEMA, ["url"], max_parts=3) is True
+    assert st.live_parts("t") == 1
+    assert sorted(tuple(r) for r in st.read("t", SCHEMA, ["url"]).collect()) == \
+        [("a", 3), ("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3)]
