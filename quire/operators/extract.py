@@ -28,7 +28,8 @@ def _main_block(html):
     h = T.s(html)
     main = F.when(h.rlike(ARTICLE_RE), F.regexp_extract(h, ARTICLE_RE, 1)).otherwise(F.regexp_extract(h, BODY_RE, 1))
     clean = F.regexp_replace(F.regexp_replace(main, BOILERPLATE_RE, ""), rf"^[{T.WS_CLASS}]+|[{T.WS_CLASS}]+$", "")
-    text_bytes = F.octet_length(F.regexp_replace(F.regexp_replace(clean, TAG_RE, ""), rf"[{T.WS_CLASS}]+", ""))
+    text_bytes = F.octet_length(F.regexp_replace(F.regexp_replace(clean, TAG_RE, ""), rf"[{T.WS_CLASS}]+", "")) \
+        .cast("long")
     return clean, text_bytes
 
 

@@ -67,7 +67,7 @@ def rule_checks(spark, sf_dir):
     """Single checks (byte length, word count, paragraph test) per document."""
     d = S.read(spark, sf_dir, "documents")
     t = T.filter_text(F.concat(F.lit("Doc "), F.col("doc_id").cast("string")), F.col("text"))
-    return d.select("doc_id", T.byte_length(t).alias("n_bytes"), T.word_count(t).alias("n_words"),
+    return d.select("doc_id", T.byte_length(t).cast("long").alias("n_bytes"), T.word_count(t).cast("long").alias("n_words"),
                     T.has_paragraphs(t).alias("paragraphs"))
 
 
@@ -368,9 +368,9 @@ def transcript_similarity(spark, sf_dir):
 
 
 @register("transcript_validity", f"""WITH {O.SUBTITLES}
-SELECT file_id, count(*) AS n_segments, sum(CASE WHEN start < 0 THEN 1 ELSE 0 END) AS bad_start,
-       sum(CASE WHEN "end" <= start THEN 1 ELSE 0 END) AS bad_timing,
-       sum(CASE WHEN regexp_replace(text, '^{O.WS}+|{O.WS}+$', '', 'g') = '' THEN 1 ELSE 0 END) AS blank_text
+SELECT file_id, count(*) AS n_segments, CAST(sum(CASE WHEN start < 0 THEN 1 ELSE 0 END) AS BIGINT) AS bad_start,
+       CAST(sum(CASE WHEN "end" <= start THEN 1 ELSE 0 END) AS BIGINT) AS bad_timing,
+       CAST(sum(CASE WHEN regexp_replace(text, '^{O.WS}+|{O.WS}+$', '', 'g') = '' THEN 1 ELSE 0 END) AS BIGINT) AS blank_text
 FROM segs GROUP BY file_id""")
 def transcript_validity(spark, sf_dir):
     return TR.validity(_segments(spark, sf_dir))
