@@ -43,6 +43,10 @@ DEFAULT_RULE_SETS = {
 }
 
 
+# The rule-set list of the flagship report: applied in this order.
+FLAGSHIP_LIST = ["quality", "privacy"]
+
+
 def compile_rule_sets(config: dict[str, dict]) -> dict[str, RuleSet]:
     """Driver-side compilation; invalid patterns are dropped with a warning."""
     out = {}

@@ -46,14 +46,14 @@ SELECT coalesce(reason, 'kept') AS verdict, count(*) AS n
 FROM ({O.decided_items()}) GROUP BY 1""")
 def rule_report(spark, sf_dir):
     """Flagship: two rule sets in order over every item, reasons counted."""
-    decided = rules.apply_rules(_items(spark, sf_dir), O.FLAGSHIP_LIST, _rule_sets())
+    decided = rules.apply_rules(_items(spark, sf_dir), rules.FLAGSHIP_LIST, _rule_sets())
     return rules.rejection_report(decided)
 
 
 @register("rule_decisions", f"""
 SELECT item_pos, reason, reason IS NULL AS include FROM ({O.decided_items()})""")
 def rule_decisions(spark, sf_dir):
-    decided = rules.apply_rules(_items(spark, sf_dir), O.FLAGSHIP_LIST, _rule_sets())
+    decided = rules.apply_rules(_items(spark, sf_dir), rules.FLAGSHIP_LIST, _rule_sets())
     return decided.select("item_pos", "reason", "include")
 
 

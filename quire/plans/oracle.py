@@ -6,7 +6,7 @@ patterns go in unchanged here while Spark sees their Java translation.
 
 from __future__ import annotations
 
-from quire.operators.rules import DEFAULT_RULE_SETS
+from quire.operators.rules import DEFAULT_RULE_SETS, FLAGSHIP_LIST
 
 ITEMS = r"""items AS (
   SELECT CAST(regexp_extract(source, '(\d+)$', 1) AS INTEGER) AS resource_pos,
@@ -64,9 +64,6 @@ def chain_case(names: list[str], text: str = "ftext") -> str:
     return parts[0] if len(parts) == 1 else "coalesce(" + ", ".join(parts) + ")"
 
 
-FLAGSHIP_LIST = ["quality", "privacy"]
-
-
 def decided_items() -> str:
     return f"""WITH {ITEMS},
     t AS (SELECT *, title || ' ' || description AS ftext FROM items)
