@@ -79,8 +79,10 @@ def kept_pages(spark, sf_dir):
     """Per-resource rule lists (F11) on enabled resources, kept items with page id."""
     docs = S.read(spark, sf_dir, "documents")
     res = S.resources_from_documents(docs).where(F.coalesce("enabled", F.lit(True)))
-    decided = rules.apply_resource_rules(S.items_from_documents(docs), res, _rule_sets(),
-                                         filter_lists=S.FILTER_LISTS)
+    # decisions materialised before filtering, as in run_once: the filter then reads
+    # stored reasons instead of being pushed into the join with the rule expressions inlined
+    decided = SESSION.materialize(rules.apply_resource_rules(S.items_from_documents(docs), res, _rule_sets(),
+                                                             filter_lists=S.FILTER_LISTS))
     return (decided.where("include")
             .select("resource_pos", "item_pos", "title", "link", T.page_id("link").alias("page_id")))
 
@@ -625,8 +627,8 @@ def feed_errors(spark, sf_dir):
 def _digest_pages(spark, sf_dir):
     docs = S.read(spark, sf_dir, "documents")
     res = CFG.enabled(S.resources_from_documents(docs))
-    kept = rules.apply_resource_rules(S.items_from_documents(docs), res, _rule_sets(),
-                                      filter_lists=S.FILTER_LISTS).where("include")
+    kept = SESSION.materialize(rules.apply_resource_rules(S.items_from_documents(docs), res, _rule_sets(),
+                                                          filter_lists=S.FILTER_LISTS)).where("include")
     casc, _, _ = _cascade(spark, sf_dir)
     pages = kept.select("resource_pos", "item_pos", "title", "link", "published").join(
         casc.select("resource_pos", "item_pos", "content"), ["resource_pos", "item_pos"])
