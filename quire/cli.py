@@ -55,6 +55,8 @@ from quire.sources import subtitles as SUB
 RES_SCHEMA = ("resource_pos int, feed_url string, feed_title string, parser string, type string, "
               "agents array<string>, enabled boolean, filters array<string>, feed_key string")
 ITEM_COLS = ["resource_pos", "item_pos", "title", "link", "description", "published", "guid"]
+# Fixed value: the error of a video item without a landed subtitle file.
+NO_SUBTITLES_ERROR = "No subtitle files found. This video may not have subtitles available."
 MESSAGES_SCHEMA = ("msg_id long, date long, kind string, text string, media_kind string, "
                    "sizes array<struct<type:string,w:int,h:int>>, photo_id long, download_ok boolean")
 
@@ -145,7 +147,7 @@ def parse_function(spark: SparkSession, landing: str):
         ok = F.col("_segs").isNotNull() & (F.size("_segs") > 0)
         yt = (yt.withColumn("fresh", F.when(ok, T.render_transcript(T.s("title"), "_lang", "_segs")))
               .withColumn("fresh_payload", F.when(ok, C.encode_transcript(t)))
-              .withColumn("parse_error", F.when(~ok, F.lit("No subtitle files found.")))
+              .withColumn("parse_error", F.when(~ok, F.lit(NO_SUBTITLES_ERROR)))
               .drop("video", "_lang", "_segs"))
         return out.where(F.col("parser") != "youtube").unionByName(yt)
     return parse
