@@ -23,6 +23,10 @@ PARSER_CACHE_SCHEMA = ("url string, parser_type string, output_data string, "
                        "created_at long, accessed_at long")
 AGENT_CACHE_SCHEMA = ("url string, parser_type string, agent_pipeline string, output_data string, "
                       "created_at long, accessed_at long")
+# Stored agent-cache rows also keep the chain's status: a chain that failed part
+# way is cached with its last good text (as the original does) and marked
+# 'failed', so a run may choose not to serve it.
+AGENT_CACHE_STORED = AGENT_CACHE_SCHEMA + ", status string"
 KNOWN_PARSERS = ("web", "telegram", "youtube")
 
 

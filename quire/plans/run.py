@@ -45,6 +45,7 @@ class RunOptions:
     make_registry: object = None          # () -> {name: callable}; None = no agents available
     agent_partitions: int | None = None   # bound on concurrent agent calls
     max_parts: int = 32                   # compact a state table beyond this many live parts
+    reuse_failed_agents: bool = True      # serve cached outputs of chains that failed part way
 
 
 @dataclass
@@ -65,10 +66,10 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     pk, ak = ["url", "parser_type"], ["url", "parser_type", "agent_pipeline"]
     if opts.clean:  # D6: an empty base hides every earlier part
         store.compact("parser_cache", spark.createDataFrame([], C.PARSER_CACHE_SCHEMA))
-        store.compact("agent_cache", spark.createDataFrame([], C.AGENT_CACHE_SCHEMA))
         store.compact("parser_cache_access", spark.createDataFrame([], "url string, parser_type string, accessed_at long"))
         store.compact("agent_cache_access", spark.createDataFrame(
             [], "url string, parser_type string, agent_pipeline string, accessed_at long"))
+        store.compact("agent_cache", spark.createDataFrame([], C.AGENT_CACHE_STORED))
         return RunResult()
     history = store.read("history", HISTORY_SCHEMA)
     if opts.regenerate:  # D7 rewrites the (small) history once, as a new base
@@ -91,7 +92,9 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     # run's links enter the latest-wins view.
     run_links = kept.select(T.s("link").alias("url")).distinct()
     pc = store.read_for("parser_cache", C.PARSER_CACHE_SCHEMA, ["url"], run_links)
-    ac = store.read_for("agent_cache", C.AGENT_CACHE_SCHEMA, ["url"], run_links)
+    ac = store.read_for("agent_cache", C.AGENT_CACHE_STORED, ["url"], run_links)
+    if not opts.reuse_failed_agents:
+        ac = ac.where(F.coalesce(F.col("status"), F.lit("ok")) != "failed")
     # resolved content feeds the marks, agents, digest, errors and both cache writes
     casc = materialize(C.resolve(kept, pc, ac, parse))
     # every kept item moves its feed's mark, parsed or not (A1)
@@ -133,7 +136,7 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
                                                F.col("pipeline").alias("agent_pipeline"))
     agent_rows = resolved.where(F.col("enriched").isNotNull()).select(
         F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("pipeline").alias("agent_pipeline"),
-        F.col("enriched").alias("output_data")).distinct()
+        F.col("enriched").alias("output_data"), F.col("agent_status").alias("status")).distinct()
     store.append("agent_cache", C.put(ac.where(F.lit(False)), agent_rows, ak, now))
     store.append("agent_cache_access", hit_a.distinct().withColumn("accessed_at", F.lit(now).cast("long")))
 
@@ -147,7 +150,7 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     # keep reads short: fold long part chains into a base (rare; costs one rewrite)
     access_p = "url string, parser_type string, accessed_at long"
     access_a = "url string, parser_type string, agent_pipeline string, accessed_at long"
-    for table, schema, keys in (("parser_cache", C.PARSER_CACHE_SCHEMA, pk), ("agent_cache", C.AGENT_CACHE_SCHEMA, ak),
+    for table, schema, keys in (("parser_cache", C.PARSER_CACHE_SCHEMA, pk), ("agent_cache", C.AGENT_CACHE_STORED, ak),
                                 ("feed", FEED_SCHEMA, ["url"]), ("history", HISTORY_SCHEMA, None)):
         store.maybe_compact(table, schema, keys, opts.max_parts)
     for table, schema, keys in (("parser_cache_access", access_p, pk), ("agent_cache_access", access_a, ak)):

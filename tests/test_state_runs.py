@@ -111,3 +111,22 @@ def test_cache_view_after_runs(spark, scratch):
     R.run_once(spark, _items(spark, ROWS), _resources(spark), RULES, store, R.RunOptions(now=3000, clean=True))
     assert R.cache_view(store, "parser_cache", "url string, parser_type string, output_data string, "
                         "created_at long, accessed_at long", ["url", "parser_type"]).count() == 0
+
+
+def test_failed_agent_chain_status(spark, scratch):
+    from quire.operators import cache as C
+    from quire.operators import enrich as EN
+    store = ST.StateStore(spark, os.path.join(scratch, "state"))
+    rows = [(1, 1, "m1", "https://b/1", "License text here", 150), (1, 2, "m2", "https://b/2", "fine text", 160)]
+    pol = EN.RetryPolicy(initial_backoff=0.0, max_backoff=0.0)
+    first = _run(spark, store, rows=rows, make_registry=EN.stand_in_registry, policy=pol)
+    stored = {r.url: (r.status, r.output_data) for r in store.read("agent_cache", C.AGENT_CACHE_STORED,
+                                                                  ["url", "parser_type", "agent_pipeline"]).collect()}
+    assert stored["https://b/1"] == ("failed", "<p>License text here</p>")   # last good text, marked
+    assert stored["https://b/2"][0] == "ok"
+    # by default the failed output is served again; on request the chain is run again
+    reuse = _run(spark, store, rows=rows, now=2000, include_all=True, make_registry=EN.stand_in_registry, policy=pol)
+    assert reuse.errors.count() == 0
+    retry = _run(spark, store, rows=rows, now=3000, include_all=True, make_registry=EN.stand_in_registry,
+                 policy=pol, reuse_failed_agents=False)
+    assert [r.item_pos for r in retry.errors.collect()] == [1]
