@@ -84,7 +84,7 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if size <= max_bytes else df
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Spread a scan over the cluster when it yields fewer splits than cores.
 
     Large inputs already arrive in many splits and pass through untouched (no
@@ -98,7 +98,11 @@ def spread(df: DataFrame) -> DataFrame:
         n = df.rdd.getNumPartitions()
     except Exception:
         return df
-    return df.repartition(par) if n < par else df
+    if n >= par:
+        return df
+    # hashing on an id spreads as evenly as round robin, without the local sort
+    # that round robin needs to be deterministic on retry
+    return df.repartition(par, *keys) if keys else df.repartition(par)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -24,13 +24,13 @@ AGENT_LISTS = [[], ["summary"], ["summary", "format"]]
 FILTER_LISTS = [[], ["quality"], ["quality", "privacy"], ["privacy", "missing"]]
 
 
-# Tables whose rows carry long texts and feed regex-heavy operators.
-TEXT_TABLES = ("documents", "pages", "conversations")
+# Tables whose rows carry long texts and feed regex-heavy operators, with their ids.
+TEXT_TABLES = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if name in TEXT_TABLES else df
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def source_number(source) -> F.Column:
