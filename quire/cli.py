@@ -47,7 +47,7 @@ from quire.operators import content as CT
 from quire.operators import rules as RL
 from quire.operators.state import StateStore
 from quire.plans import run as R
-from quire.session import bounded_broadcast, get_session
+from quire.session import bounded_broadcast, get_session, local_table
 from quire.sources import feeds as FD
 from quire.sources import messages as M
 from quire.sources import subtitles as SUB
@@ -79,7 +79,7 @@ def resources_frame(spark: SparkSession, conf: dict) -> DataFrame:
     for i, r in enumerate(conf.get("resources", [])):
         rows.append((i, r["feed_url"], "", r.get("parser", ""), r.get("type", ""), list(r.get("agents", [])),
                      r.get("enabled"), list(r.get("filters", [])), key_of(r["feed_url"])))
-    return spark.createDataFrame(rows, RES_SCHEMA)
+    return local_table(spark, rows, RES_SCHEMA)
 
 
 def _landed(spark: SparkSession, path: str) -> bool:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.session import local_table
+
 # The registries of the source and parser types.
 SOURCE_TYPES = ("rss", "telegram_channel")
 PARSER_TYPES = ("web", "telegram", "youtube")
@@ -29,8 +31,8 @@ def source_types(resources: DataFrame) -> DataFrame:
 
 def unknown_types(spark: SparkSession, resources: DataFrame) -> DataFrame:
     """Enabled resources naming an unregistered source or parser type (a startup failure)."""
-    known_s = spark.createDataFrame([(t,) for t in SOURCE_TYPES], "type string")
-    known_p = spark.createDataFrame([(p,) for p in PARSER_TYPES], "parser string")
+    known_s = local_table(spark, [(t,) for t in SOURCE_TYPES], "type string")
+    known_p = local_table(spark, [(p,) for p in PARSER_TYPES], "parser string")
     e = enabled(resources)
     bad_s = e.join(F.broadcast(known_s), "type", "left_anti").select("resource_pos", F.lit("type").alias("kind"),
                                                                       F.col("type").alias("value"))

@@ -63,7 +63,8 @@ def state_dir(spark: SparkSession) -> str:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimised plan (no job is run)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())  # Scala BigInt via py4j
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -141,3 +142,34 @@ def ship_package(spark: SparkSession) -> None:
     prev = sc.environment.get("PYTHONPATH")
     sc.environment["PYTHONPATH"] = path + (os.pathsep + prev if prev else "")
     _SHIPPED.add(app)
+
+
+def _sql_literal(v, dtype: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype})"
+    if dtype.startswith("array<"):
+        inner = dtype[len("array<"):-1]
+        if not v:
+            return f"CAST(array() AS {dtype})"
+        return "array(" + ", ".join(_sql_literal(x, inner) for x in v) + ")"
+    if dtype == "boolean":
+        return "TRUE" if v else "FALSE"
+    if dtype == "string":
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v!r} AS {dtype})"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Small driver-side rows (configuration) as an inline VALUES relation.
+
+    Unlike `createDataFrame`, whose size Catalyst cannot see, an inline table
+    carries exact statistics, so `bounded_broadcast` can prove it small.
+    """
+    fields = spark.createDataFrame([], schema).schema.fields
+    if not rows:
+        return spark.createDataFrame([], schema)
+    cols = [f"c{i}" for i in range(len(fields))]
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType.simpleString()) for v, f in zip(r, fields)) + ")"
+                       for r in rows)
+    select = ", ".join(f"CAST({c} AS {f.dataType.simpleString()}) AS `{f.name}`" for c, f in zip(cols, fields))
+    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({', '.join(cols)})")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.session import spread
+from quire.session import local_table, spread
 
 # Fixed values of the document-to-item mapping.
 EPOCH_BASE = 1704067200          # 2024-01-01T00:00:00Z
@@ -183,5 +183,5 @@ def resources_from_pages(spark: SparkSession) -> DataFrame:
     """The web feeds: fixed configuration rows (one per language folder)."""
     rows = [(PAGE_RESOURCE_BASE + i + 1, f"https://example.com/{lang}/feed", f"Web {lang}", "web", "rss",
              ["summary"] if i % 2 else [], None, []) for i, lang in enumerate(PAGE_LANGS)]
-    return spark.createDataFrame(rows, "resource_pos int, feed_url string, feed_title string, parser string, "
-                                       "type string, agents array<string>, enabled boolean, filters array<string>")
+    return local_table(spark, rows, "resource_pos int, feed_url string, feed_title string, parser string, "
+                                    "type string, agents array<string>, enabled boolean, filters array<string>")
