@@ -138,6 +138,11 @@ def apply_resource_rules(items: DataFrame, resources: DataFrame, rule_sets: dict
             .withColumn("include", F.col("reason").isNull()))
 
 
+def rejections(decided: DataFrame) -> DataFrame:
+    """The filtered items: (item, reason, url), as the run logs them."""
+    return decided.where(F.col("reason").isNotNull()).select("item_pos", "reason", "link")
+
+
 def rejection_report(decided: DataFrame) -> DataFrame:
     """Reason counts; kept items are counted under 'kept'."""
     return (decided.groupBy(F.coalesce("reason", F.lit("kept")).alias("verdict"))

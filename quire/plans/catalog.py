@@ -57,6 +57,16 @@ def rule_decisions(spark, sf_dir):
     return decided.select("item_pos", "reason", "include")
 
 
+@register("rule_rejections", f"""WITH {O.ITEMS},
+t AS (SELECT *, title || ' ' || description AS ftext FROM items),
+d AS (SELECT item_pos, link, {O.chain_case(rules.FLAGSHIP_LIST)} AS reason FROM t)
+SELECT item_pos, reason, link FROM d WHERE reason IS NOT NULL""")
+def rule_rejections(spark, sf_dir):
+    """Rejection report (F13): each filtered item with its reason and URL."""
+    decided = rules.apply_rules(_items(spark, sf_dir), rules.FLAGSHIP_LIST, _rule_sets())
+    return rules.rejections(decided)
+
+
 @register("rule_checks", r"""
 WITH t AS (SELECT doc_id, 'Doc ' || CAST(doc_id AS VARCHAR) || ' ' || coalesce(text, '') AS ftext FROM documents)
 SELECT doc_id, strlen(ftext) AS n_bytes,
