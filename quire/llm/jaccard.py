@@ -93,8 +93,13 @@ def needed(n: int | np.ndarray) -> int | np.ndarray:
     return -(-SIMILAR[0] * n // SIMILAR[1])
 
 
-def signatures(docs: DataFrame, freq: np.ndarray, prefix: bool = True) -> DataFrame:
-    """Columns of docs but text, plus n (set size), s1, s2 (hash of the set), and prefix (rarest first)."""
+def signatures(docs: DataFrame, freq: np.ndarray | None, prefix: bool = True, names: dict[str, str] | None = None,
+               keep_text: bool = False) -> DataFrame:
+    """Columns of docs (but text), plus n (set size), s1, s2 (hash of the set), and prefix (rarest first).
+
+    names: other names for n, s1 and s2.
+    """
+    names = names or {"n": "n", "s1": "s1", "s2": "s2"}
     shared = docs.sparkSession.sparkContext.broadcast(freq if prefix else None)
 
     def make(texts: list[str | None]) -> dict:
@@ -102,7 +107,7 @@ def signatures(docs: DataFrame, freq: np.ndarray, prefix: bool = True) -> DataFr
         first = np.concatenate([[0], np.cumsum(n)])
         one = _sums(C.mix(grams + np.uint64(0x1234567)), first)
         two = _sums(C.mix(grams ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93), first)
-        out = {"n": n, "s1": one.view(np.int64), "s2": two.view(np.int64)}
+        out = {names["n"]: n, names["s1"]: one.view(np.int64), names["s2"]: two.view(np.int64)}
         if prefix:
             doc = np.repeat(np.arange(len(n)), n)
             order = np.lexsort((grams, shared.value[bucket(grams)], doc))
@@ -111,8 +116,9 @@ def signatures(docs: DataFrame, freq: np.ndarray, prefix: bool = True) -> DataFr
             out["prefix"] = [ranked[a:a + k] for a, k in zip(first, keep, strict=False)]
         return out
 
-    ddl = "n long, s1 long, s2 long" + (", prefix array<long>" if prefix else "")
-    return C.by_text(docs, ddl, make).drop("text")
+    ddl = ", ".join(f"{names[k]} long" for k in ("n", "s1", "s2")) + (", prefix array<long>" if prefix else "")
+    made = C.by_text(docs, ddl, make)
+    return made if keep_text else made.drop("text")
 
 
 def _sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -191,24 +197,58 @@ def _length(a: str, b: str):
     return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Columns of docs but text, plus n_shingles and component_id (smallest linked doc_id).
-
-    docs: (doc_id, text, ...).
-    """
-    C.prepare(docs.sparkSession)
-    docs = docs.drop(*[c for c in ("n_shingles", "component_id") if c in docs.columns])
+def grouped(docs: DataFrame) -> DataFrame:
+    """(cid, n, s1, s2, first_id, root): the classes of equal shingle sets and the component of each."""
     freq = sketch(docs)
     sets = signatures(docs.select("doc_id", "text"), freq)
     classes = C.staged(sets.where("n > 0").groupBy("n", "s1", "s2").agg(
         F.min("doc_id").alias("first_id"), F.first("prefix").alias("prefix")).withColumn(
         "cid", F.monotonically_increasing_id()), "classes")
     links = C.staged(link_classes(classes, docs, freq), "links")
-    named = classes.select("cid", "n", "s1", "s2", "first_id").join(
+    return classes.select("cid", "n", "s1", "s2", "first_id").join(
         components(links).withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """Columns of docs but text, plus n_shingles and component_id (smallest linked doc_id).
+
+    docs: (doc_id, text, ...).
+    """
+    C.prepare(docs.sparkSession)
+    docs = docs.drop(*[c for c in ("n_shingles", "component_id") if c in docs.columns])
+    named = grouped(docs)
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    table = named.join(least, "root").select("n", "s1", "s2", "component_id")
-    rows = signatures(docs, freq, prefix=False)
-    return rows.join(table, ["n", "s1", "s2"], "left").select(
-        *[c for c in docs.columns if c != "text"], F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    table = named.join(least, "root").select(
+        F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "component_id")
+    names = {"n": "_n", "s1": "_s1", "s2": "_s2"}
+    rows = signatures(docs, None, prefix=False, names=names)
+    return rows.join(table, list(names.values()), "left").select(
+        *[c for c in docs.columns if c != "text"], F.col("_n").alias("n_shingles"),
+        F.when(F.col("_n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that stay when of each component one row does: that of the smallest doc_id.
+
+    Rows without shingles are linked with nothing and all stay; of repeated
+    rows one stays. All columns stay as they are.
+    """
+    C.prepare(docs.sparkSession)
+    named = grouped(docs.select("doc_id", "text"))
+    best = named.groupBy("root").agg(F.min(F.struct(
+        F.col("first_id").isNull().alias("no_id"), "first_id", "cid", "n", "s1", "s2")).alias("b"))
+    best = C.staged(best.select(F.col("b.first_id").alias("_id"), F.col("b.n").alias("_bn"), F.col("b.s1").alias("_b1"),
+                                F.col("b.s2").alias("_b2"), F.lit(True).alias("_best")), "best")
+    rows = signatures(docs, None, prefix=False, names={"n": "_n", "s1": "_s1", "s2": "_s2"}, keep_text=True)
+    held = rows.join(C.checked_broadcast(best, 64), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_bn"))
+                     & (F.col("_s1") == F.col("_b1")) & (F.col("_s2") == F.col("_b2")), "left").where("_n = 0 OR _best")
+    # ids that stand in several rows: of those with one shingle set only one row stays
+    key = ["doc_id", "_n", "_s1", "_s2"]
+    again = signatures(docs.select("doc_id", "text").join(
+        docs.groupBy("doc_id").agg(F.count("*").alias("_many")).where("_many > 1").select(F.col("doc_id").alias("_d")),
+        F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi"), None, prefix=False,
+        names={"n": "_n", "s1": "_s1", "s2": "_s2"}).where("_n > 0").groupBy(*key).count().where("count > 1").limit(1)
+    if again.count():
+        first = held.where("_n > 0").dropDuplicates(key)
+        held = first.unionByName(held.where("_n = 0"))
+    return held.select(*docs.columns)
