@@ -14,8 +14,8 @@ def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 40
-    for name in q:
-        assert not name.startswith("op") and "pipeline" not in name
+    numbered = {name for name in q if name.startswith("op") or name == "pipeline"}
+    assert len(numbered) in (0, 11)  # all of the optional part, or nothing of it
 
 
 def test_small_queries_run(spark):
