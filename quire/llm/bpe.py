@@ -27,10 +27,27 @@ from pyspark.sql import DataFrame
 
 from . import common as C
 
-# Fixed values of the vocabulary file's pipeline: white space, piece pattern, byte alphabet.
+# Fixed values of the vocabulary file's pipeline: white space; below, the piece pattern and the byte alphabet.
 WHITE = r"[\t-\r \u0085   -     　]"
-PIECE = (r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|"
-         r"[^\t-\r \u0085   -     　\p{L}\p{N}]+")
+# Letters and digits of Unicode versions after the vocabulary library's (16), which are symbols there.
+LATER = ("0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 "
+         "10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 "
+         "16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 "
+         "1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 "
+         "1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F")
+# Lower-case letters that Python's tables do not know yet, as (first, last, lower-case first).
+LATER_LOWER = ((0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF),
+               (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
+               (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB))
+
+
+def piece_pattern() -> str:
+    later = "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) for r in LATER.split())
+    letter, digit = rf"[\p{{L}}--[{later}]]", rf"[\p{{N}}--[{later}]]"
+    return rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{digit}|[^{WHITE[1:-1]}{letter}{digit}]+"
+
+
+LOWER = {a + i: chr(low + i) for a, b, low in LATER_LOWER for i in range(b - a + 1)}
 END = "</w>"
 # White space of Python's str.split() that the pipeline does not count as such.
 NOT_WHITE = "\x1c\x1d\x1e\x1f"
@@ -91,7 +108,7 @@ class Codec:
         spaced = [(text.get(i, "") + " ").encode() for i in range(max(text) + 1)]
         self.table = np.frombuffer(b"".join(spaced), np.uint8)
         self.offset = np.concatenate([[0], np.cumsum([len(s) for s in spaced])]).astype(np.int64)
-        self.piece = regex.compile(PIECE)
+        self.piece = regex.compile(piece_pattern())
         self.white = regex.compile(WHITE + "+")
         self.known_words = _Known(self.encode_word)
         self.known_pieces = _Known(self.encode_piece)
@@ -174,7 +191,7 @@ class Codec:
     def words(self, text: str) -> list[str]:
         """Normalised words between white space; a piece never spans white space."""
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(LOWER)
         text = text.lower()
         if any(c in text for c in NOT_WHITE):
             return [x for x in self.white.split(text) if x]

@@ -135,16 +135,18 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, with_text: boo
     """Columns of docs but text, plus n_words, n_removed and kept_sha256; with_text adds the kept text."""
     added = ["n_words", "n_removed", "kept_sha256", "kept"]
     docs = docs.drop(*[c for c in added if c in docs.columns])
-    runs = repeats(docs, length, k).dropDuplicates(["doc_id", "tk"]).withColumnsRenamed({"doc_id": "_d", "tk": "_t"})
+    runs = repeats(docs, length, k).dropDuplicates(["doc_id", "tk"]).withColumnsRenamed(
+        {"doc_id": "_sd_id", "tk": "_sd_tk", "runs": "_sd_runs"})
     runs = C.staged(runs, "unique-runs")
-    size = runs.agg(F.sum(F.size("runs") * 8 + 64)).first()[0] or 0
+    size = runs.agg(F.sum(F.size("_sd_runs") * 8 + 64)).first()[0] or 0
     side = F.broadcast(runs) if size <= C.BROADCAST_BYTES else runs
-    rows = docs.withColumn("_k", F.xxhash64("text")).join(
-        side, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("_k").eqNullSafe(F.col("_t")), "left").drop("_d", "_t", "_k")
+    rows = docs.withColumn("_sd_key", F.xxhash64("text")).join(
+        side, F.col("doc_id").eqNullSafe(F.col("_sd_id")) & F.col("_sd_key").eqNullSafe(F.col("_sd_tk")), "left").drop(
+        "_sd_id", "_sd_tk", "_sd_key")
 
     def make(cols: dict[str, list]) -> dict:
         out: dict[str, list] = {k: [] for k in added}
-        for text, cover in zip(cols["text"], cols["runs"], strict=True):
+        for text, cover in zip(cols["text"], cols["_sd_runs"], strict=True):
             words = [x for x in (text or "").encode("utf-8", "surrogatepass").split()]  # ASCII white space
             kept = words
             if cover:
@@ -161,5 +163,5 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, with_text: boo
         return out
 
     more = ", kept string" if with_text else ""
-    return C.by_rows(rows, ["text", "runs"], "n_words long, n_removed long, kept_sha256 string" + more, make,
-                     drop=["text", "runs"])
+    return C.by_rows(rows, ["text", "_sd_runs"], "n_words long, n_removed long, kept_sha256 string" + more, make,
+                     drop=["text", "_sd_runs"])
