@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from quire.session import checkpoint_dir, ship_package
 
 # Bytes of text turned into numpy arrays at once; longer single texts go alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 # A side of a join is broadcast only when its counted rows fit into this.
 BROADCAST_BYTES = 48 << 20
 

@@ -9,10 +9,16 @@ a class's n-grams fall into one segment per fragment, the overlaps of a
 candidate pair are counted for each fragment on its own, and the partial
 overlaps are summed per pair.
 
-Candidates are not all pairs of a bucket: first every member is paired with the
-smallest member only; what that links is one component, and after it only pairs
-of different components remain to be tried. No link between components is
-lost, and a group of near copies costs as much as it has members.
+Prefixes travel packed: one row per run of texts and part of the hash space,
+four bytes an n-gram, so that they are shuffled once and cheaply; n-grams whose
+frequency bucket is very large go row by row instead, so no task ever gathers
+their occurrences.
+
+Candidates are not all pairs of a bucket: first every class is paired with one
+smallest member only, the one it shares most prefix n-grams with; what that
+links is one component, and after it only pairs of different components remain
+to be tried. No link between components is lost, and a group of near copies
+costs as much as it has members.
 
 Defined results: null, empty and wordless texts have no shingles and are
 linked with nothing; repeated rows share a class; a null doc_id counts as no
@@ -33,8 +39,10 @@ from .components import components
 
 SHINGLE = 5
 SIMILAR = (3, 4)      # similarity of at least 3/4
-SKETCH_BITS = 18      # buckets of the n-gram frequency sketch: 2^18, whatever the input
+SKETCH_BITS = 21      # buckets of the n-gram frequency sketch: 2^21, whatever the input
 FRAGMENTS = 4
+PART = 1 << 18        # prefix n-grams in a part of the hash space, about
+HOT = 1 << 20         # documents in a frequency bucket from which its n-grams are not gathered in a part
 
 
 def shingle_sets(texts: list[str | None], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -62,27 +70,35 @@ def bucket(grams: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> np.ndarray:
-    """Documents per n-gram bucket, over all documents: a vector of fixed length."""
+    """Documents per n-gram bucket, over all documents: a vector of fixed length, summed in chunks."""
+    chunks = 1 << max(0, SKETCH_BITS - 12)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)
         for b in batches:
             texts = b["text"].tolist()
             for s in C.text_slices(texts):
-                total += np.bincount(bucket(shingle_sets(texts[s])[0]), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"b": at, "n": total[at]})
+                at, n = np.unique(bucket(shingle_sets(texts[s])[0]), return_counts=True)
+                total[at] += n.astype(np.uint32)
+        parts = total.reshape(chunks, -1)
+        used = np.flatnonzero(parts.any(axis=1))
+        yield pd.DataFrame({"chunk": used, "n": [parts[i].tobytes() for i in used]})
+
+    def add(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in b["n"])
+        return pd.DataFrame({"chunk": [key[0]], "n": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
 
-    rows = docs.select("text").mapInPandas(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    out[rows["b"].to_numpy(int)] = rows["n"].to_numpy(int)
-    return out
+    part = docs.select("text").mapInPandas(count, "chunk long, n binary")
+    out = np.zeros((chunks, (1 << SKETCH_BITS) // chunks), np.int32)
+    for r in part.groupBy("chunk").applyInPandas(add, "chunk long, n binary").toPandas().itertuples():
+        out[r.chunk] = np.frombuffer(r.n, np.int32)
+    return out.ravel()
 
 
 def cuts(freq: np.ndarray, fragments: int = FRAGMENTS) -> np.ndarray:
     """Bucket counts at which the order is cut, so that fragments hold about equal shares of all occurrences."""
     order = np.sort(freq)
-    mass = np.cumsum(order)
+    mass = np.cumsum(order, dtype=np.int64)
     if not mass[-1]:
         return np.zeros(0, np.int64)
     return np.unique(order[np.searchsorted(mass, mass[-1] * np.arange(1, fragments) / fragments)])
@@ -93,162 +109,260 @@ def needed(n: int | np.ndarray) -> int | np.ndarray:
     return -(-SIMILAR[0] * n // SIMILAR[1])
 
 
-def signatures(docs: DataFrame, freq: np.ndarray | None, prefix: bool = True, names: dict[str, str] | None = None,
-               keep_text: bool = False) -> DataFrame:
-    """Columns of docs (but text), plus n (set size), s1, s2 (hash of the set), and prefix (rarest first).
-
-    names: other names for n, s1 and s2.
-    """
+def signatures(docs: DataFrame, names: dict[str, str] | None = None, keep_text: bool = False) -> DataFrame:
+    """Columns of docs (but text), plus n (set size), s1 and s2 (hash of the set). names: other names for those."""
     names = names or {"n": "n", "s1": "s1", "s2": "s2"}
-    shared = docs.sparkSession.sparkContext.broadcast(freq if prefix else None)
 
     def make(texts: list[str | None]) -> dict:
         grams, n = shingle_sets(texts)
-        first = np.concatenate([[0], np.cumsum(n)])
-        one = _sums(C.mix(grams + np.uint64(0x1234567)), first)
-        two = _sums(C.mix(grams ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93), first)
-        out = {names["n"]: n, names["s1"]: one.view(np.int64), names["s2"]: two.view(np.int64)}
-        if prefix:
-            doc = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((grams, shared.value[bucket(grams)], doc))
-            keep = np.maximum(n - needed(n) + 1, 0) * (n > 0)
-            ranked = grams[order].view(np.int64)
-            out["prefix"] = [ranked[a:a + k] for a, k in zip(first, keep, strict=False)]
-        return out
-
-    ddl = ", ".join(f"{names[k]} long" for k in ("n", "s1", "s2")) + (", prefix array<long>" if prefix else "")
-    made = C.by_text(docs, ddl, make)
+        one, two = _set_hashes(grams, n)
+        return {names["n"]: n, names["s1"]: one, names["s2"]: two}
+
+    made = C.by_text(docs, ", ".join(f"{names[k]} long" for k in ("n", "s1", "s2")), make)
     return made if keep_text else made.drop("text")
 
 
+def _set_hashes(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = np.concatenate([[0], np.cumsum(n)])
+    one = _sums(C.mix(grams + np.uint64(0x1234567)), first)
+    two = _sums(C.mix(grams ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93), first)
+    return one.view(np.int64), two.view(np.int64)
+
+
 def _sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(len(x) + 1, np.uint64)
     np.cumsum(x, out=total[1:])
     return total[first[1:]] - total[first[:-1]]
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text, and the columns of `wanted`) of the documents that stand for the wanted classes.
+
+    wanted: (first_id, n, s1, ...). A document of that id whose set is another
+    one comes along; what reads the rows compares n and s1.
+    """
+    return docs.select(F.col("doc_id").alias("_id"), "text").join(
+        C.checked_broadcast(wanted, 64), F.col("_id").eqNullSafe(F.col("first_id"))).drop("_id", "first_id")
+
+
+def postings(docs: DataFrame, classes: DataFrame, freq: np.ndarray, part: int = PART, hot: int = HOT) -> DataFrame:
+    """(h, cid, n, pos, low, n_low, pos_low): prefix n-grams that several classes share, with the smallest class of each.
+
+    pos: a lower bound of the n-gram's place in the class's order.
+    """
+    spark = docs.sparkSession
+    total = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1)).first()[0] or 0
+    parts = max(1, int(total) // part)
+    shared = spark.sparkContext.broadcast(freq)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts = b["text"].tolist()
+            for s in C.text_slices(texts):
+                rows = b.iloc[s]
+                grams, n = shingle_sets(texts[s])
+                ok = (n == rows["n"].to_numpy()) & (_set_hashes(grams, n)[0] == rows["s1"].to_numpy())
+                first = np.concatenate([[0], np.cumsum(n)])
+                often = shared.value[bucket(grams)]
+                order = np.lexsort((grams, often, np.repeat(np.arange(len(n)), n)))
+                keep = np.where(ok, n - needed(n) + 1, 0)
+                at = C.spans(first[:-1], keep)
+                own = np.repeat(np.arange(len(n)), keep)
+                pos = at - first[own]
+                h, often = grams[order[at]], often[order[at]]
+                where = np.where(often >= hot, -1, ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64))
+                cid = rows["cid"].to_numpy(np.int64)
+                out = []
+                by = np.argsort(where, kind="stable")
+                cut = np.flatnonzero(np.diff(where[by], prepend=-2))
+                for i, j in zip(cut, [*cut[1:], len(by)], strict=True):
+                    e = by[i:j]  # texts in order, so each text's entries are one run
+                    run = np.flatnonzero(np.diff(own[e], prepend=-1))
+                    who = own[e][run]
+                    out.append((where[e[0]], cid[who].tobytes(), n[who].astype("<i8").tobytes(),
+                                np.diff(run, append=j - i).astype("<i4").tobytes(),
+                                h[e].astype("<u4").tobytes() if where[e[0]] >= 0 else h[e].tobytes(),
+                                (pos[e] * 256 // keep[own[e]]).astype(np.uint8).tobytes()))
+                yield pd.DataFrame(out, columns=["part", "cids", "ns", "runs", "hs", "ps"])
+
+    rows = texts_of(docs, classes.select("cid", "first_id", "n", "s1")).mapInPandas(
+        packed, "part long, cids binary, ns binary, runs binary, hs binary, ps binary")
+
+    def opened(b: pd.DataFrame, kind: str) -> tuple[np.ndarray, ...]:
+        join = lambda c, t: np.frombuffer(b"".join(b[c]), t)
+        runs, n = join("runs", "<i4"), join("ns", "<i8")
+        return (join("hs", kind), np.repeat(join("cids", "<i8"), runs), np.repeat(n, runs),
+                (join("ps", np.uint8).astype(np.int64) * np.repeat(n - needed(n) + 1, runs)) >> 8)
+
+    def meet(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        h, cid, n, pos = opened(b, "<u4")
+        order = np.lexsort((cid, h))
+        h, cid, n, pos = h[order], cid[order], n[order], pos[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (cid[1:] != cid[:-1])  # repeated rows say the same
+        h, cid, n, pos = h[new], cid[new], n[new], pos[new]
+        start = np.flatnonzero(np.diff(h, prepend=-1 if not len(h) else int(h[0]) + 1))
+        size = np.diff(start, append=len(h))
+        low, many = np.repeat(start, size), np.repeat(size, size) > 1
+        low = low[many]
+        return pd.DataFrame({"h": h[many].astype(np.int64) + (int(key[0]) << 32), "cid": cid[many], "n": n[many], "pos": pos[many],
+                             "low": cid[low], "n_low": n[low], "pos_low": pos[low]})
+
+    ddl = "h long, cid long, n long, pos long, low long, n_low long, pos_low long"
+    rows = C.staged(rows, "prefixes")
+    cold = rows.where("part >= 0").groupBy("part").applyInPandas(meet, ddl)
+    if not rows.where("part < 0").limit(1).count():
+        return C.staged(cold, "postings")
+
+    def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            h, cid, n, pos = opened(b, "<i8")
+            yield pd.DataFrame({"h": h, "cid": cid, "n": n, "pos": pos})
+
+    frequent = C.staged(rows.where("part < 0").mapInPandas(apart, "h long, cid long, n long, pos long"), "frequent")
+    least = frequent.groupBy("h").agg(F.min(F.struct("cid", "n", "pos")).alias("l"), F.max("cid").alias("high")).where("l.cid <> high")
+    least = least.select("h", F.col("l.cid").alias("low"), F.col("l.n").alias("n_low"), F.col("l.pos").alias("pos_low"))
+    return C.staged(cold.unionByName(frequent.join(least, "h").dropDuplicates(["h", "cid"])), "postings")
+
+
+def _slack(n):
+    """Prefix n-grams of one class that may have met in one four-byte hash, and so count once: far above the expected number."""
+    return F.lit(2) + F.floor(n * n / float(1 << 34))
+
+
+def _sizes(n: str, m: str):
+    return SIMILAR[1] * F.least(n, m) >= SIMILAR[0] * F.greatest(n, m)
+
+
+def _possible(*c: str):
+    """Both sizes are near enough, and from the shared n-gram on enough is left of both. c: n, pos of one and the other."""
+    n, pos, m, at = map(F.col, c)
+    left = F.least(n - pos, m - at)
+    return _sizes(n, m) & (left * (SIMILAR[0] + SIMILAR[1]) >= (n + m) * SIMILAR[0])
+
+
 def segments(docs: DataFrame, wanted: DataFrame, freq: np.ndarray) -> DataFrame:
-    """(cid, fragment, grams) of the wanted classes: their n-grams by fragment of the order."""
+    """(columns of wanted but first_id and s1, fragment, grams): the n-grams of wanted classes by fragment of the order."""
     shared = docs.sparkSession.sparkContext.broadcast((freq, cuts(freq)))
-    keys = wanted.select("cid", "first_id", F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"))
-    rows = docs.select("doc_id", "text").join(
-        C.checked_broadcast(keys, 48), F.col("doc_id").eqNullSafe(F.col("first_id"))).drop("first_id", "doc_id")
 
-    def make(texts: list[str | None]) -> dict:
+    def make(cols: dict[str, list]) -> dict:
         freq, at = shared.value
-        grams, n = shingle_sets(texts)
+        grams, n = shingle_sets(cols["text"])
+        ok = (n == np.array(cols["n"])) & (_set_hashes(grams, n)[0] == np.array(cols["s1"]))
         first = np.concatenate([[0], np.cumsum(n)])
-        one = _sums(C.mix(grams + np.uint64(0x1234567)), first).view(np.int64)
         part = np.searchsorted(at, freq[bucket(grams)], side="left")
         out = []
-        for i in range(len(texts)):
+        for i in range(len(n)):
             g, p = grams[first[i]:first[i + 1]].view(np.int64), part[first[i]:first[i + 1]]
-            out.append([{"fragment": int(f), "grams": g[p == f]} for f in np.unique(p)])
-        return {"n": n, "s1": one, "segments": out}
+            out.append([{"fragment": int(f), "grams": g[p == f]} for f in np.unique(p)] if ok[i] else [])
+        return {"segments": out}
 
-    made = C.by_text(rows, "n long, s1 long, segments array<struct<fragment: int, grams: array<long>>>", make)
-    own = made.where("n = _n AND s1 = _s1").select("cid", "segments").dropDuplicates(["cid"])
-    return own.select("cid", F.explode("segments").alias("s")).select("cid", "s.fragment", "s.grams")
+    made = C.by_rows(texts_of(docs, wanted), ["text", "n", "s1"], "segments array<struct<fragment: int, grams: array<long>>>",
+                     make, drop=["text", "s1"])
+    rest = [c for c in made.columns if c != "segments"]
+    return made.select(*rest, F.explode("segments").alias("s")).select(*rest, "s.fragment", "s.grams")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, freq: np.ndarray) -> DataFrame:
-    """The pairs (a, b) whose summed partial overlaps reach the similarity."""
-    ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = C.staged(classes.join(ids, "cid").select("cid", "first_id", "n", "s1", "s2"), "wanted")
-    seg = C.staged(segments(docs, wanted, freq), "segments")
-    left = pairs.join(seg.withColumnsRenamed({"cid": "a", "grams": "ga"}), "a")
-    both = left.join(seg.withColumnsRenamed({"cid": "b", "grams": "gb"}), ["b", "fragment"])
-    partial = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("o"))  # one fragment of one pair
-    over = partial.groupBy("a", "b").agg(F.sum("o").alias("o"))
-    size = wanted.select("cid", "n")
-    return over.join(size.withColumnsRenamed({"cid": "a", "n": "na"}), "a").join(
-        size.withColumnsRenamed({"cid": "b", "n": "nb"}), "b").where(
-        F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select("a", "b")
-
-
-def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray) -> DataFrame:
-    """(a, b) links that connect all similar classes. classes: (cid, n, s1, s2, first_id, prefix)."""
-    at = classes.select("cid", F.posexplode("prefix").alias("pos", "h"))
-    shared = at.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low <> high").drop("high")
-    posts = C.staged(at.join(shared, "h"), "postings")
-    size = classes.select("cid", "n")
-    sized = posts.join(size, "cid")
-    stars = sized.where("cid <> low").join(size.withColumnsRenamed({"cid": "low", "n": "n_low"}), "low").where(
-        _length("n", "n_low")).select(F.col("low").alias("a"), F.col("cid").alias("b")).distinct()
-    first = C.staged(stars, "stars")
+    """The pairs (a, b) whose summed partial overlaps reach the similarity.
+
+    The n-grams of b travel to those of a, fragment by fragment; both are cut
+    from the texts on the way, so no table of n-grams is written.
+    """
+    one = classes.select("cid", "first_id", "n", "s1")
+    centres = C.staged(one.join(pairs.select(F.col("a").alias("cid")).distinct(), "cid"), "centres")
+    members = C.staged(one.join(pairs.withColumnRenamed("b", "cid"), "cid"), "members")  # cid, first_id, n, s1, a
+    left = segments(docs, centres, freq).select(F.col("cid").alias("a"), "fragment", F.col("n").alias("na"), F.col("grams").alias("ga"))
+    right = segments(docs, members, freq).select("a", "fragment", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
+    partial = right.join(left, ["a", "fragment"]).select(
+        "a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ga", "gb")).alias("o"))  # one fragment of one pair
+    once = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("o").alias("o"))  # of repeated rows one counts
+    over = once.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+    return over.where(F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select("a", "b")
+
+
+def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, **options) -> DataFrame:
+    """(a, b) links that connect all similar classes. classes: (cid, n, s1, s2, first_id)."""
+    posts = postings(docs, classes, freq, **options)
+    stars = posts.where(F.col("cid") != F.col("low")).where(_possible("n", "pos", "n_low", "pos_low")).groupBy("cid", "low").count()
+    best = stars.groupBy("cid").agg(F.max(F.struct("count", -F.col("low"))).alias("m"))
+    first = C.staged(best.select((-F.col("m.col2")).alias("a"), F.col("cid").alias("b")), "stars")
     links = C.staged(verified(first, classes, docs, freq), "links-1")
     root = components(links)
-    # buckets that still hold more than one component: pairs across them
-    own = sized.join(root.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    # n-grams that still belong to more than one component: pairs across them
+    own = posts.select("h", "cid", "n", "pos").join(root.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+        "root", F.coalesce("root", "cid"))
     mixed = own.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
     rest = C.staged(own.join(mixed, "h").select("h", "cid", "n", "pos", "root"), "mixed")
     x, y = (rest.select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("cid", "n", "pos", "root")]) for k in "xy")
-    # from the first n-gram that a pair shares, enough must be left of both
-    left = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
-    both = x.join(y, "h").where(
-        (F.col("root_x") != F.col("root_y")) & (F.col("cid_x") < F.col("cid_y")) & _length("n_x", "n_y")
-        & (left * (SIMILAR[0] + SIMILAR[1]) >= (F.col("n_x") + F.col("n_y")) * SIMILAR[0]))
-    cross = both.select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct()
+    both = x.join(y, "h").where((F.col("root_x") != F.col("root_y")) & (F.col("cid_x") < F.col("cid_y")) & _sizes("n_x", "n_y"))
+    # what a pair shares lies in both prefixes, or behind the one that ends first
+    cross = both.groupBy(F.col("cid_x").alias("a"), F.col("cid_y").alias("b"), "n_x", "n_y").agg(
+        F.count("*").alias("c"), F.max(_possible("n_x", "pos_x", "n_y", "pos_y")).alias("p")).where("p")
+    behind = F.ceil(F.greatest("n_x", "n_y") * SIMILAR[0] / SIMILAR[1]) - 1
+    cross = cross.where((F.col("c") + _slack(F.greatest("n_x", "n_y")) + behind) * (SIMILAR[0] + SIMILAR[1])
+                        >= (F.col("n_x") + F.col("n_y")) * SIMILAR[0]).select("a", "b")
     more = C.staged(cross.join(first, ["a", "b"], "left_anti"), "cross")
+    if not more.limit(1).count():
+        return links
     return links.union(verified(more, classes, docs, freq))
 
 
-def _length(a: str, b: str):
-    return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
+def grouped(docs: DataFrame, rows: DataFrame, names: dict[str, str], **options) -> DataFrame:
+    """(cid, n, s1, s2, first_id, root): the classes of equal shingle sets and the component of each.
 
-
-def grouped(docs: DataFrame) -> DataFrame:
-    """(cid, n, s1, s2, first_id, root): the classes of equal shingle sets and the component of each."""
+    docs: (doc_id, text); rows: their signatures, under `names`.
+    """
     freq = sketch(docs)
-    sets = signatures(docs.select("doc_id", "text"), freq)
-    classes = C.staged(sets.where("n > 0").groupBy("n", "s1", "s2").agg(
-        F.min("doc_id").alias("first_id"), F.first("prefix").alias("prefix")).withColumn(
+    sets = rows.select("doc_id", *[F.col(v).alias(k) for k, v in names.items()])
+    classes = C.staged(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("first_id")).withColumn(
         "cid", F.monotonically_increasing_id()), "classes")
-    links = C.staged(link_classes(classes, docs, freq), "links")
-    return classes.select("cid", "n", "s1", "s2", "first_id").join(
-        components(links).withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    links = C.staged(link_classes(classes, docs, freq, **options), "links")
+    return classes.join(components(links).withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+        "root", F.coalesce("root", "cid"))
+
+
+NAMES = {"n": "_jj_n", "s1": "_jj_s1", "s2": "_jj_s2"}
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, **options) -> DataFrame:
     """Columns of docs but text, plus n_shingles and component_id (smallest linked doc_id).
 
-    docs: (doc_id, text, ...).
+    docs: (doc_id, text, ...); options: as of postings().
     """
     C.prepare(docs.sparkSession)
     docs = docs.drop(*[c for c in ("n_shingles", "component_id") if c in docs.columns])
-    named = grouped(docs)
+    rows = C.staged(signatures(docs, NAMES), "signatures")
+    named = grouped(docs.select("doc_id", "text"), rows, NAMES, **options)
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    table = named.join(least, "root").select(
-        F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "component_id")
-    names = {"n": "_n", "s1": "_s1", "s2": "_s2"}
-    rows = signatures(docs, None, prefix=False, names=names)
-    return rows.join(table, list(names.values()), "left").select(
-        *[c for c in docs.columns if c != "text"], F.col("_n").alias("n_shingles"),
-        F.when(F.col("_n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    table = named.join(least, "root").select(*[F.col(k).alias(v) for k, v in NAMES.items()], "component_id")
+    size = F.col(NAMES["n"])
+    return rows.join(table, list(NAMES.values()), "left").select(
+        *[c for c in docs.columns if c != "text"], size.alias("n_shingles"),
+        F.when(size > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that stay when of each component one row does: that of the smallest doc_id.
 
     Rows without shingles are linked with nothing and all stay; of repeated
     rows one stays. All columns stay as they are.
     """
     C.prepare(docs.sparkSession)
-    named = grouped(docs.select("doc_id", "text"))
+    pure = docs.select("doc_id", "text")
+    found = C.staged(signatures(pure, NAMES), "signatures")
+    named = grouped(pure, found, NAMES, **options)
     best = named.groupBy("root").agg(F.min(F.struct(
         F.col("first_id").isNull().alias("no_id"), "first_id", "cid", "n", "s1", "s2")).alias("b"))
-    best = C.staged(best.select(F.col("b.first_id").alias("_id"), F.col("b.n").alias("_bn"), F.col("b.s1").alias("_b1"),
-                                F.col("b.s2").alias("_b2"), F.lit(True).alias("_best")), "best")
-    rows = signatures(docs, None, prefix=False, names={"n": "_n", "s1": "_s1", "s2": "_s2"}, keep_text=True)
-    held = rows.join(C.checked_broadcast(best, 64), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_bn"))
-                     & (F.col("_s1") == F.col("_b1")) & (F.col("_s2") == F.col("_b2")), "left").where("_n = 0 OR _best")
-    # ids that stand in several rows: of those with one shingle set only one row stays
-    key = ["doc_id", "_n", "_s1", "_s2"]
-    again = signatures(docs.select("doc_id", "text").join(
-        docs.groupBy("doc_id").agg(F.count("*").alias("_many")).where("_many > 1").select(F.col("doc_id").alias("_d")),
-        F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi"), None, prefix=False,
-        names={"n": "_n", "s1": "_s1", "s2": "_s2"}).where("_n > 0").groupBy(*key).count().where("count > 1").limit(1)
-    if again.count():
-        first = held.where("_n > 0").dropDuplicates(key)
-        held = first.unionByName(held.where("_n = 0"))
+    best = C.staged(best.select(F.col("b.first_id").alias("_jj_id"), *[F.col(f"b.{k}").alias(f"{v}_best") for k, v in NAMES.items()],
+                                F.lit(True).alias("_jj_best")), "best")
+    rows = signatures(docs, NAMES, keep_text=True)
+    same = F.col("doc_id").eqNullSafe(F.col("_jj_id"))
+    for v in NAMES.values():
+        same = same & (F.col(v) == F.col(f"{v}_best"))
+    held = rows.join(C.checked_broadcast(best, 64), same, "left").where(f"{NAMES['n']} = 0 OR _jj_best")
+    # an id with one shingle set in several rows: one of them stays
+    key = ["doc_id", *NAMES.values()]
+    if found.where(F.col(NAMES["n"]) > 0).groupBy(*key).count().where("count > 1").limit(1).count():
+        held = held.where(F.col(NAMES["n"]) > 0).dropDuplicates(key).unionByName(held.where(F.col(NAMES["n"]) == 0))
     return held.select(*docs.columns)
