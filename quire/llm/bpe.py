@@ -52,7 +52,7 @@ END = "</w>"
 # White space of Python's str.split() that the pipeline does not count as such.
 NOT_WHITE = "\x1c\x1d\x1e\x1f"
 # Kept words and pieces per Python worker; further ones are encoded each time (no effect on results).
-KEPT = 1_000_000
+KEPT = 100_000
 LONGEST_KEPT = 64
 
 
