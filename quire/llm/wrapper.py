@@ -3,8 +3,8 @@
 Pages of one host are aligned with one page of that host (the smallest
 page_id) by simple tree matching of their DOM trees. A node of that page whose
 own text is the same in nearly all aligned pages is template; a node whose
-text varies is a slot. The wrapper of a host is the place under which its
-slots hold most text (an article or main element where pages have one), and
+text varies is a slot. The wrapper of a host is the lowest place under which
+most of its slots' text lies (an article or main element where pages have one), and
 the template nodes. A page's text is what lies at that place, without
 template nodes and without the parts that are never article by element or
 class (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 MIN_PAGES = 4       # aligned pages from which a constant node counts as template
+PLACE = 0.8         # share of a host's varying text that lies under its place
 CONSTANT = 0.9      # share of them that agree on its text
 
 # Element names of HTML.
@@ -200,10 +201,8 @@ def align(a: Tree, b: Tree) -> list[tuple[int, int]]:
     memo: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
     kids_a, kids_b, label_a, label_b = a.kids(), b.kids(), a.label, b.label
 
-    def match(x: int, y: int) -> int:
-        got = memo.get((x, y))
-        if got is not None:
-            return got[0]
+    def match(x: int, y: int) -> list[tuple[int, int]]:
+        """Child pairs still to be matched first; without any, the pair's own matching goes into memo."""
         xs, ys, chosen = kids_a[x], kids_b[y], []
         lo, n, m = 0, len(xs), len(ys)
         while lo < n and lo < m and _leaves(xs[lo], ys[lo]):
@@ -212,6 +211,10 @@ def align(a: Tree, b: Tree) -> list[tuple[int, int]]:
         while n > lo and m > lo and _leaves(xs[n - 1], ys[m - 1]):
             n, m = n - 1, m - 1
             chosen.append((xs[n], ys[m]))
+        inner = [v for v in ys[lo:m] if kids_b[v]]
+        first = [(u, v) for u in xs[lo:n] if kids_a[u] for v in inner if label_a[u] == label_b[v] and (u, v) not in memo]
+        if first:
+            return first
         total = len(chosen) + 1
         xs, ys = xs[lo:n], ys[lo:m]
         n, m = len(xs), len(ys)
@@ -225,7 +228,7 @@ def align(a: Tree, b: Tree) -> list[tuple[int, int]]:
                     up = above[j] if above[j] >= row[j - 1] else row[j - 1]
                     if name == names[j - 1]:
                         v = ys[j - 1]
-                        w = above[j - 1] + (1 if leaf or not kids_b[v] else match(u, v))
+                        w = above[j - 1] + (1 if leaf or not kids_b[v] else memo[u, v][0])
                         if w > up:
                             up = w
                     row[j] = up
@@ -240,12 +243,19 @@ def align(a: Tree, b: Tree) -> list[tuple[int, int]]:
                     i, j = i - 1, j - 1
                     chosen.append((xs[i], ys[j]))
         memo[x, y] = (total, chosen)
-        return total
+        return []
 
     def _leaves(u: int, v: int) -> bool:
         return label_a[u] == label_b[v] and not kids_a[u] and not kids_b[v]
 
-    match(0, 0)
+    waiting = [(0, 0)]  # a stack of its own, as trees may be very deep
+    while waiting:
+        pair = waiting[-1]
+        more = [] if pair in memo else match(*pair)
+        if more:
+            waiting += more
+        else:
+            waiting.pop()
     out, todo = [], [(0, 0)]
     while todo:
         pair = todo.pop()
@@ -264,9 +274,10 @@ def root_of(tree: Tree, wanted: str | None) -> int:
         if at:
             return max(at, key=lambda i: (sum(map(len, tree.blocks(i, set()))), -i))
     if wanted:
-        for i in range(1, len(tree.tag)):
-            if tree.path(i) == wanted:
-                return i
+        end = wanted.rpartition("/")[2]
+        at = [i for i in range(1, len(tree.tag)) if tree.label[i] == end and tree.path(i) == wanted]
+        if at:  # of several such nodes the one with most text
+            return max(at, key=lambda i: (sum(map(len, tree.blocks(i, set()))), -i))
     return 0
 
 
@@ -336,14 +347,13 @@ def wrappers(pages: DataFrame, hosts: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for host, seed, nodes in zip(b["host"], b["seed"], b["nodes"], strict=True):
-                tree, fixed, weight = Tree(seed), [], {}
+                tree, fixed, slots = Tree(seed), [], []
                 for r in nodes if nodes is not None else []:
                     if r["n"] >= MIN_PAGES and r["same"] >= CONSTANT * r["n"]:
                         fixed.append(int(r["node"]))
                     elif not _under_never(tree, r["node"]):
-                        up = tree.parent[r["node"]]
-                        weight[up] = weight.get(up, 0) + int(r["chars"])
-                place = tree.path(max(weight, key=lambda k: (weight[k], -k))) if weight else None
+                        slots.append((int(r["node"]), int(r["chars"])))
+                place = tree.path(_place(tree, slots)) if slots else None
                 out.append((host, seed, place, sorted(fixed)))
             yield pd.DataFrame(out, columns=["host", "seed", "place", "fixed"])
 
@@ -352,6 +362,17 @@ def wrappers(pages: DataFrame, hosts: DataFrame) -> DataFrame:
         decide, "host string, seed string, place string, fixed array<int>")
 
 
+def _place(tree: Tree, slots: list[tuple[int, int]]) -> int:
+    """The lowest node that has most (PLACE) of the slots' text under it."""
+    under = [0] * len(tree.tag)
+    for node, chars in slots:
+        under[node] += chars
+    for node in range(len(tree.tag) - 1, 0, -1):  # children come after their parents
+        under[tree.parent[node]] += under[node]
+    at = max((i for i in range(len(under)) if under[i] >= PLACE * under[0]), default=0)
+    return tree.parent[at] if tree.tag[at] not in BLOCK and at else at
+
+
 def _rows(seen: dict) -> pd.DataFrame:
     return pd.DataFrame([(h, x, *s) for (h, x), s in seen.items()], columns=["host", "node", "n", "same", "chars"])
 
