@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SMALL = "/root/testdata/sf0.001"
+SMALL = SF = "/root/testdata/sf0.001"  # one name with tests/conftest.py, whichever of both is found
 
 # null, empty, blank, one word, odd white space, code points beyond the first plane, repeated rows, a long text
 EDGES = [
