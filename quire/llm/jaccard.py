@@ -15,10 +15,12 @@ frequency bucket is very large go row by row instead, so no task ever gathers
 their occurrences.
 
 Candidates are not all pairs of a bucket: first every class is paired with one
-smallest member only, the one it shares most prefix n-grams with; what that
-links is one component, and after it only pairs of different components remain
-to be tried. No link between components is lost, and a group of near copies
-costs as much as it has members.
+smallest member only, the one it shares most prefix n-grams with; then, in a
+few rounds, with a centre of each n-gram, the class of which most is shared,
+if that is of another component. What is linked so far is one component, and
+at last all pairs of different components are tried whose first shared n-gram
+leaves enough behind it. No link between components is lost, and a group of
+near copies costs about as much as it has members.
 
 Defined results: null, empty and wordless texts have no shingles and are
 linked with nothing; repeated rows share a class; a null doc_id counts as no
@@ -42,6 +44,8 @@ SIMILAR = (3, 4)      # similarity of at least 3/4
 SKETCH_BITS = 21      # buckets of the n-gram frequency sketch: 2^21, whatever the input
 FRAGMENTS = 4
 PART = 1 << 18        # prefix n-grams in a part of the hash space, about
+ROUNDS = 4            # rounds of one centre per n-gram, at most, before pairs across components
+FEW = 100             # rounds go on while one links at least this fraction of the classes that are left
 HOT = 1 << 20         # documents in a frequency bucket from which its n-grams are not gathered in a part
 
 
@@ -196,7 +200,7 @@ def postings(docs: DataFrame, classes: DataFrame, freq: np.ndarray, part: int =
 
     def meet(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         h, cid, n, pos = opened(b, "<u4")
-        order = np.lexsort((cid, h))
+        order = np.lexsort((pos, cid, h))
         h, cid, n, pos = h[order], cid[order], n[order], pos[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (cid[1:] != cid[:-1])  # repeated rows say the same
@@ -225,11 +229,6 @@ def postings(docs: DataFrame, classes: DataFrame, freq: np.ndarray, part: int =
     return C.staged(cold.unionByName(frequent.join(least, "h").dropDuplicates(["h", "cid"])), "postings")
 
 
-def _slack(n):
-    """Prefix n-grams of one class that may have met in one four-byte hash, and so count once: far above the expected number."""
-    return F.lit(2) + F.floor(n * n / float(1 << 34))
-
-
 def _sizes(n: str, m: str):
     return SIMILAR[1] * F.least(n, m) >= SIMILAR[0] * F.greatest(n, m)
 
@@ -242,7 +241,7 @@ def _possible(*c: str):
 
 
 def segments(docs: DataFrame, wanted: DataFrame, freq: np.ndarray) -> DataFrame:
-    """(columns of wanted but first_id and s1, fragment, grams): the n-grams of wanted classes by fragment of the order."""
+    """(columns of wanted but first_id and s1, segments): the n-grams of wanted classes, an array for each fragment of the order."""
     shared = docs.sparkSession.sparkContext.broadcast((freq, cuts(freq)))
 
     def make(cols: dict[str, list]) -> dict:
@@ -254,55 +253,89 @@ def segments(docs: DataFrame, wanted: DataFrame, freq: np.ndarray) -> DataFrame:
         out = []
         for i in range(len(n)):
             g, p = grams[first[i]:first[i + 1]].view(np.int64), part[first[i]:first[i + 1]]
-            out.append([{"fragment": int(f), "grams": g[p == f]} for f in np.unique(p)] if ok[i] else [])
+            out.append([g[p == f] for f in range(FRAGMENTS)] if ok[i] else None)
         return {"segments": out}
 
-    made = C.by_rows(texts_of(docs, wanted), ["text", "n", "s1"], "segments array<struct<fragment: int, grams: array<long>>>",
-                     make, drop=["text", "s1"])
-    rest = [c for c in made.columns if c != "segments"]
-    return made.select(*rest, F.explode("segments").alias("s")).select(*rest, "s.fragment", "s.grams")
+    made = C.by_rows(texts_of(docs, wanted), ["text", "n", "s1"], "segments array<array<long>>", make, drop=["text", "s1"])
+    return made.where("segments IS NOT NULL")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, freq: np.ndarray) -> DataFrame:
     """The pairs (a, b) whose summed partial overlaps reach the similarity.
 
-    The n-grams of b travel to those of a, fragment by fragment; both are cut
-    from the texts on the way, so no table of n-grams is written.
+    The n-grams of b travel to those of a, cut into the fragments; they are
+    made from the texts once per class on the way, so no table of n-grams is
+    written. One row per pair: its overlap is counted fragment by fragment.
+    """
+    pairs = pairs.select("a", "b")
+    ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    cut = segments(docs, C.staged(classes.select("cid", "first_id", "n", "s1").join(ids, "cid"), "wanted"), freq)
+    left, right = (cut.select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("segments").alias(f"g{k}")) for k in "ab")
+    partial = [F.size(F.array_intersect(F.col("ga")[f], F.col("gb")[f])) for f in range(FRAGMENTS)]
+    over = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("o"))
+    return over.where(F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select(
+        "a", "b").distinct()  # repeated rows say the same
+
+
+def _best(counted: DataFrame) -> DataFrame:
+    """(a, b): for each class b its centre a with which it shares most prefix n-grams. counted: (cid, low, count)."""
+    best = counted.groupBy("cid").agg(F.max(F.struct("count", -F.col("low"))).alias("m"))
+    return best.select((-F.col("m.col2")).alias("a"), F.col("cid").alias("b"))
+
+
+def _mixed(posts: DataFrame, root: DataFrame) -> DataFrame:
+    """posts with `root`: the postings of those n-grams that still belong to more than one component."""
+    own = posts.join(root.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    mixed = own.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
+    return C.staged(own.join(mixed, "h"), "mixed")
+
+
+def _stars(rest: DataFrame, seed: int) -> DataFrame:
+    """(cid, low, count): each class with the centres, of other components, of its n-grams.
+
+    Centres of an n-gram: the class of which most of the prefix is shared with
+    others (in a group of near copies the one with the fewest changes), and
+    the class that `seed` puts first.
+    """
+    cols = ("cid", "n", "pos", "root")
+    by = {"c0": F.struct((-F.col("share")).alias("o"), F.xxhash64("cid", F.lit(seed)).alias("t"), *cols),
+          "c1": F.struct(F.lit(0.0).alias("o"), F.xxhash64("cid", F.lit(-seed)).alias("t"), *cols)}
+    centre = rest.groupBy("h").agg(*[F.min(v).alias(k) for k, v in by.items()]).select(
+        "h", F.explode(F.array_distinct(F.array(*[F.struct(*[f"{k}.{c}" for c in cols]) for k in by]))).alias("c"))
+    centre = centre.select("h", *[F.col(f"c.{c}").alias(f"{c}_low") for c in cols])
+    met = rest.join(centre, "h").where((F.col("root") != F.col("root_low")) & _possible("n", "pos", "n_low", "pos_low"))
+    return met.groupBy("cid", F.col("cid_low").alias("low")).count()
+
+
+def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, rounds: int = ROUNDS, **options) -> DataFrame:
+    """(a, b) links that connect all similar classes. classes: (cid, n, s1, s2, first_id).
+
+    rounds: how often classes are paired with one centre each before all pairs
+    that are left between components are tried; no effect on what is connected.
     """
-    one = classes.select("cid", "first_id", "n", "s1")
-    centres = C.staged(one.join(pairs.select(F.col("a").alias("cid")).distinct(), "cid"), "centres")
-    members = C.staged(one.join(pairs.withColumnRenamed("b", "cid"), "cid"), "members")  # cid, first_id, n, s1, a
-    left = segments(docs, centres, freq).select(F.col("cid").alias("a"), "fragment", F.col("n").alias("na"), F.col("grams").alias("ga"))
-    right = segments(docs, members, freq).select("a", "fragment", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    partial = right.join(left, ["a", "fragment"]).select(
-        "a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ga", "gb")).alias("o"))  # one fragment of one pair
-    once = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("o").alias("o"))  # of repeated rows one counts
-    over = once.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    return over.where(F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select("a", "b")
-
-
-def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, **options) -> DataFrame:
-    """(a, b) links that connect all similar classes. classes: (cid, n, s1, s2, first_id)."""
     posts = postings(docs, classes, freq, **options)
     stars = posts.where(F.col("cid") != F.col("low")).where(_possible("n", "pos", "n_low", "pos_low")).groupBy("cid", "low").count()
-    best = stars.groupBy("cid").agg(F.max(F.struct("count", -F.col("low"))).alias("m"))
-    first = C.staged(best.select((-F.col("m.col2")).alias("a"), F.col("cid").alias("b")), "stars")
-    links = C.staged(verified(first, classes, docs, freq), "links-1")
-    root = components(links)
-    # n-grams that still belong to more than one component: pairs across them
-    own = posts.select("h", "cid", "n", "pos").join(root.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "root", F.coalesce("root", "cid"))
-    mixed = own.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-    rest = C.staged(own.join(mixed, "h").select("h", "cid", "n", "pos", "root"), "mixed")
+    tried = C.staged(_best(stars), "stars")
+    links = C.staged(verified(tried, classes, docs, freq), "links-0")
+    prefix = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1
+    share = posts.groupBy("cid", "n").count().select("cid", (F.col("count") / prefix).alias("share"))
+    rest, found = _mixed(posts.select("h", "cid", "n", "pos").join(share, "cid"), components(links)), links.count()
+    for k in range(1, rounds + 1):
+        if found * FEW < rest.select("cid").distinct().count():
+            break
+        pairs = C.staged(_best(_stars(rest, k).join(
+            tried.select(F.col("b").alias("cid"), F.col("a").alias("low")), ["cid", "low"], "left_anti")), "stars")
+        more = C.staged(verified(pairs, classes, docs, freq), f"links-{k}")
+        found = more.count()
+        tried, links = tried.union(pairs), links.union(more)
+        if found:
+            rest = _mixed(rest.drop("root"), components(links))
     x, y = (rest.select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("cid", "n", "pos", "root")]) for k in "xy")
-    both = x.join(y, "h").where((F.col("root_x") != F.col("root_y")) & (F.col("cid_x") < F.col("cid_y")) & _sizes("n_x", "n_y"))
-    # what a pair shares lies in both prefixes, or behind the one that ends first
-    cross = both.groupBy(F.col("cid_x").alias("a"), F.col("cid_y").alias("b"), "n_x", "n_y").agg(
-        F.count("*").alias("c"), F.max(_possible("n_x", "pos_x", "n_y", "pos_y")).alias("p")).where("p")
-    behind = F.ceil(F.greatest("n_x", "n_y") * SIMILAR[0] / SIMILAR[1]) - 1
-    cross = cross.where((F.col("c") + _slack(F.greatest("n_x", "n_y")) + behind) * (SIMILAR[0] + SIMILAR[1])
-                        >= (F.col("n_x") + F.col("n_y")) * SIMILAR[0]).select("a", "b")
-    more = C.staged(cross.join(first, ["a", "b"], "left_anti"), "cross")
+    # what a similar pair shares first has enough left behind it in both
+    cross = x.join(y, "h").where((F.col("root_x") != F.col("root_y")) & (F.col("cid_x") < F.col("cid_y"))
+                                 & _possible("n_x", "pos_x", "n_y", "pos_y")).select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct()
+    done = tried.union(tried.select("b", "a"))
+    more = C.staged(cross.join(done, ["a", "b"], "left_anti"), "cross")
     if not more.limit(1).count():
         return links
     return links.union(verified(more, classes, docs, freq))
