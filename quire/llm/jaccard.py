@@ -260,19 +260,26 @@ def segments(docs: DataFrame, wanted: DataFrame, freq: np.ndarray) -> DataFrame:
     return made.where("segments IS NOT NULL")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, freq: np.ndarray) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, freq: np.ndarray, one_each: bool = False) -> DataFrame:
     """The pairs (a, b) whose summed partial overlaps reach the similarity.
 
     The n-grams of b travel to those of a, cut into the fragments; they are
     made from the texts once per class on the way, so no table of n-grams is
     written. One row per pair: its overlap is counted fragment by fragment.
+    one_each: every b has one a, so its n-grams are shuffled once only.
     """
-    pairs = pairs.select("a", "b")
-    ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    cut = segments(docs, C.staged(classes.select("cid", "first_id", "n", "s1").join(ids, "cid"), "wanted"), freq)
-    left, right = (cut.select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("segments").alias(f"g{k}")) for k in "ab")
+    sets = classes.select("cid", "first_id", "n", "s1")
+    centres = sets.join(pairs.select(F.col("a").alias("cid")).distinct(), "cid")
+    left = segments(docs, C.staged(centres, "centres"), freq).select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("segments").alias("ga"))
+    named = (F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("segments").alias("gb"))
+    if one_each:  # a comes along on the way from the text
+        members = sets.join(pairs.select("a", F.col("b").alias("cid")), "cid")
+        right = segments(docs, C.staged(members, "members"), freq).select("a", *named)
+    else:
+        members = sets.join(pairs.select(F.col("b").alias("cid")).distinct(), "cid")
+        right = pairs.select("a", "b").join(segments(docs, C.staged(members, "members"), freq).select(*named), "b")
     partial = [F.size(F.array_intersect(F.col("ga")[f], F.col("gb")[f])) for f in range(FRAGMENTS)]
-    over = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("o"))
+    over = right.join(left, "a").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("o"))
     return over.where(F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select(
         "a", "b").distinct()  # repeated rows say the same
 
@@ -316,7 +323,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, rounds:
     posts = postings(docs, classes, freq, **options)
     stars = posts.where(F.col("cid") != F.col("low")).where(_possible("n", "pos", "n_low", "pos_low")).groupBy("cid", "low").count()
     tried = C.staged(_best(stars), "stars")
-    links = C.staged(verified(tried, classes, docs, freq), "links-0")
+    links = C.staged(verified(tried, classes, docs, freq, True), "links-0")
     prefix = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1
     share = posts.groupBy("cid", "n").count().select("cid", (F.col("count") / prefix).alias("share"))
     rest, found = _mixed(posts.select("h", "cid", "n", "pos").join(share, "cid"), components(links)), links.count()
@@ -325,7 +332,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, rounds:
             break
         pairs = C.staged(_best(_stars(rest, k).join(
             tried.select(F.col("b").alias("cid"), F.col("a").alias("low")), ["cid", "low"], "left_anti")), "stars")
-        more = C.staged(verified(pairs, classes, docs, freq), f"links-{k}")
+        more = C.staged(verified(pairs, classes, docs, freq, True), f"links-{k}")
         found = more.count()
         tried, links = tried.union(pairs), links.union(more)
         if found:
