@@ -256,8 +256,8 @@ def parser_cache_after_run(spark, sf_dir):
 from quire.sources import messages as M  # noqa: E402
 
 
-def _message_items(spark, sf_dir):
-    return M.message_items(M.messages_from_conversations(S.read(spark, sf_dir, "conversations")))
+def _message_items(spark, sf_dir, **options):
+    return M.message_items(M.messages_from_conversations(S.read(spark, sf_dir, "conversations")), **options)
 
 
 @register("message_items", f"""WITH {O.MESSAGES}
@@ -274,20 +274,20 @@ def message_items(spark, sf_dir):
                      p["caption"].alias("photo_caption"))
 
 
-@register("message_render", f"""WITH {O.MESSAGES}
+@register("message_render", f"""WITH {O.ALL_MESSAGES}
 SELECT item_pos, {O.img_html('photo_path', 'photo_caption', 'photo_width', 'photo_height')} || {O.chat_html('description')} AS content
 FROM items_m""")
 def message_render(spark, sf_dir):
-    """Chat parser: photos (img or error box), then the markup rendered to HTML."""
-    it = _message_items(spark, sf_dir)
+    """Chat parser over every message: photos (img or error box), then the markup rendered to HTML."""
+    it = _message_items(spark, sf_dir, limit=None)
     return it.select("item_pos", CT.render_message("description", "media").alias("content"))
 
 
-@register("media_manifest", f"""WITH {O.MESSAGES}
+@register("media_manifest", f"""WITH {O.ALL_MESSAGES}
 SELECT DISTINCT photo_path AS local_path, regexp_extract(photo_path, '[^/]*$') AS file_name
 FROM items_m WHERE photo_path <> ''""")
 def media_manifest(spark, sf_dir):
-    return M.media_manifest(_message_items(spark, sf_dir))
+    return M.media_manifest(_message_items(spark, sf_dir, limit=None))
 
 
 CHANNEL_URL_FORMS = ["https://t.me/%s", "http://t.me/%s/", "t.me/%s", "@%s", "  %s\t", "https://t.me/%s/42"]

@@ -191,6 +191,9 @@ mi AS (SELECT channel, msg_id AS item_pos,
        FROM m7),
 items_m AS (SELECT * FROM mi WHERE NOT (title = '' AND n_media = 0))"""
 
+# every message, not only the newest of each channel
+ALL_MESSAGES = MESSAGES.replace("rn <= 50 AND ", "")
+
 
 def img_html(path: str, caption: str, w: str, h: str) -> str:
     esc = (f"replace(replace(replace(replace(replace({caption}, '&', '&amp;'), '''', '&#39;'), '<', '&lt;'), "

@@ -86,9 +86,9 @@ def photo_media(m: DataFrame) -> F.Column:
     return F.when(F.col("media_kind") == "photo", F.array(att)).otherwise(F.array().cast(MEDIA_TYPE))
 
 
-def message_items(messages: DataFrame, limit: int = MESSAGE_LIMIT) -> DataFrame:
-    """items(channel, item_pos, title, link, description, published, guid, media)."""
-    m = newest_per_channel(messages, limit).where(F.col("kind") == "message")
+def message_items(messages: DataFrame, limit: int | None = MESSAGE_LIMIT) -> DataFrame:
+    """items(channel, item_pos, title, link, description, published, guid, media). limit: None takes every message."""
+    m = (messages if limit is None else newest_per_channel(messages, limit)).where(F.col("kind") == "message")
     m = m.withColumn("media", photo_media(m))
     n = F.size("media")
     title = (F.when(F.col("text") != "", T.truncate_bytes("text"))
