@@ -44,7 +44,7 @@ SIMILAR = (3, 4)      # similarity of at least 3/4
 SKETCH_BITS = 21      # buckets of the n-gram frequency sketch: 2^21, whatever the input
 FRAGMENTS = 4
 PART = 1 << 18        # prefix n-grams in a part of the hash space, about
-ROUNDS = 4            # rounds of one centre per n-gram, at most, before pairs across components
+ROUNDS = 2            # rounds of one centre per n-gram, at most, before pairs across components
 FEW = 100             # rounds go on while one links at least this fraction of the classes that are left
 HOT = 1 << 20         # documents in a frequency bucket from which its n-grams are not gathered in a part
 
