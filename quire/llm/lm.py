@@ -1,17 +1,23 @@
 """Language-model scores by a weighted backoff automaton.
 
-Training tokens are counted over all training documents. Words and n-grams
-whose relative frequency reaches one in `words` (`grams`) become states and
-arcs; there can be no more of them than those limits, whatever the input, so
-the automaton's size is bounded by its parameters. Absolute discounting gives
-each arc its weight; what it leaves is the weight of the state's failure arc to
-the state one word shorter, down to the root, where every word has its add-0.1
-probability from exact counts. A text is read once from left to right: the
-state after a token is the longest suffix that is a state, and a token without
-an arc takes failure arcs until it has one.
-
-Counts of words outside the automaton's head table are never on one machine:
-their occurrences are joined with the count table and summed per document.
+Training tokens are counted over all training documents. Every word and every
+n-gram seen at least twice (an absolute count, the same at every size) becomes
+a state and an arc, so the automaton grows with the input; its arcs and failure
+weights are tables keyed by a 64-bit hash and never on one machine. Absolute
+discounting gives each arc its weight; what it leaves is the weight of the
+state's failure arc to the state one word shorter, down to the root, where
+every word has its add-0.1 probability from exact counts.
+
+A token whose n-gram has an arc takes it; otherwise it takes the failure arc of
+every state before it until a shorter one has an arc. So a text's score is its
+score at the root plus, for each occurrence of an n-gram in the automaton, one
+gain: the failure weight of its state, and its arc's weight less what the
+failure path would have given. Occurrences are joined with the gains by key and
+summed per document.
+
+The most frequent keys (HEAD, HEAD_GRAMS) have their gains in every task, and a
+bitmap of hashes that drops most keys without a row goes along. Both only spare
+rows of the join; the scores are the same without them.
 
 Defined results: null, empty and blank texts have one token (the end); a null
 id is never held out; repeated rows are learned from and scored each; without
@@ -20,8 +26,8 @@ training tokens every probability is that of an unknown word.
 
 from __future__ import annotations
 
-import copy
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,14 +36,17 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-WORDS = 50_000        # words from a relative frequency of 1/WORDS take part in longer n-grams
-GRAMS = 400_000       # n-grams (of each length) from 1/GRAMS become arcs
-HEAD = 2_000_000      # words from 1/HEAD have their counts in every task; others are joined
+WORDS = math.inf        # a finite value adds a relative floor: words from a frequency of 1/WORDS take part in longer n-grams
+GRAMS = math.inf        # a finite value adds a relative floor: n-grams from 1/GRAMS become arcs
+LEAST = 2               # words and n-grams seen this often take part, at every size
+HEAD = 2_000_000        # words from a relative frequency of 1/HEAD have their counts in every task; others are joined
+HEAD_GRAMS = 2_000_000  # the same for n-grams of each length
 ORDER = 3
 DISCOUNT = 0.75
 ADD = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
-FLUSH = 3_000_000     # tokens gathered before a task passes on their counts
+FLUSH = 3_000_000       # keys gathered before a task passes on their counts
+SLOTS = 20              # a bitmap has 2**SLOTS numbers of 64 bits
 
 
 def held_out(doc_id: Column, parts: int = 10, part: int = 0) -> Column:
@@ -57,162 +66,189 @@ def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return out, first[: n + 1]
 
 
-def _counted(df: DataFrame, keys) -> DataFrame:
-    """(key, c) over the rows of df; keys(texts) gives the int64 keys of a run of texts."""
+def _turn(n: int) -> int:
+    """Bits by which the key of an n-gram's last n-1 words is turned before it is mixed with that of its first n-1."""
+    return (14 * n - 11) % 64
+
+
+def _join_keys(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    t = _turn(n)
+    return a ^ (b << np.uint64(t) | b >> np.uint64(64 - t))
+
+
+def _joined_key(n: int) -> Column:
+    """_join_keys() as a Column of a and b."""
+    t = _turn(n)
+    return F.col("a").bitwiseXOR(F.shiftleft("b", t).bitwiseOR(F.shiftrightunsigned("b", 64 - t)))
+
+
+def grams_of(tokens: np.ndarray, first: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For n = 1..order, the key of the n-gram that starts at each token and whether it lies within the text."""
+    left = np.repeat(first[1:], np.diff(first)) - np.arange(len(tokens))
+    keys, ok = [tokens], [np.ones(len(tokens), bool)]
+    for n in range(2, order + 1):
+        keys.append(_join_keys(keys[-1], np.roll(keys[-1], -1), n))
+        ok.append(left >= n)
+    return keys, ok
+
+
+def _bitmap(df: DataFrame) -> np.ndarray:
+    """Bits of the hashes in column key: at most 2**SLOTS rows, whatever the input."""
+    rows = df.groupBy(F.col("key").bitwiseAND(F.lit((1 << SLOTS) - 1)).alias("slot")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(shiftrightunsigned(key, 58) as int)))").alias("bits")).toArrow()  # Arrow, as a million Row objects do not fit
+    out = np.zeros(1 << SLOTS, np.uint64)
+    out[rows["slot"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return (bits[keys & np.uint64((1 << SLOTS) - 1)] >> (keys >> np.uint64(58)) & np.uint64(1)).astype(bool)
+
+
+def _counted(df: DataFrame, keys: Callable[[list], np.ndarray]) -> DataFrame:
+    """(key, c) over the rows of df; keys(texts) gives the keys of a run of texts."""
+
+    def rows(texts: list[str | None]) -> dict[str, np.ndarray]:
+        return {"key": keys(texts).view(np.int64)}
+
+    return _summed(df, rows, ["key"], "key")
+
+
+def _summed(df: DataFrame, rows: Callable[[list], dict], names: list[str], by: str) -> DataFrame:
+    """(names, c): how often rows(texts), arrays by name, have each row; the value of `by` tells rows apart."""
+
+    def flush(held: list[dict]) -> pd.DataFrame:
+        all_ = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
+        _, at, c = np.unique(all_[by], return_index=True, return_counts=True)
+        return pd.DataFrame({k: all_[k][at] for k in names} | {"c": c})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for b in batches:
             texts = b["text"].tolist()
             for s in C.text_slices(texts):
-                k = keys(texts[s])
-                held.append(k)
-                size += len(k)
+                held.append(rows(texts[s]))
+                size += len(held[-1][by])
                 if size >= FLUSH:
-                    u, c = np.unique(np.concatenate(held), return_counts=True)
-                    yield pd.DataFrame({"key": u, "c": c})
+                    yield flush(held)
                     held, size = [], 0
         if held:
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            yield pd.DataFrame({"key": u, "c": c})
+            yield flush(held)
 
-    return df.select("text").mapInPandas(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    schema = ", ".join(f"{k} {'int' if k == 'n' else 'long'}" for k in [*names, "c"])
+    return df.select("text").mapInPandas(count, schema).groupBy(*names).agg(F.sum("c").alias("c"))
 
 
-class Automaton:
-    """Counts of the head words, and per length n >= 2 the sorted keys and counts of the kept n-grams.
+def _gram_counts(docs: DataFrame, words: DataFrame, floor: float, order: int) -> DataFrame:
+    """(n, a, b, c) of all n-grams seen `floor` times: keys of their first and of their last n-1 words.
 
-    A kept n-gram's key is (number of its first n-1 words) * words + (number
-    of its last word); numbers are positions in the sorted tables.
+    Shorter lengths are counted by key alone first. An n-gram is no more
+    frequent than its parts, so one with a part outside the bitmap is not sent.
     """
+    context = docs.sparkSession.sparkContext
+    maps = [_bitmap(words)]
+    for n in range(2, order):
+        shared = context.broadcast(maps[-1])
 
-    def __init__(self, head: np.ndarray, counts: np.ndarray, total: int, distinct: int, words: int):
-        order = np.argsort(head)
-        self.head, self.counts = head[order], counts[order]
-        self.total, self.distinct = total, distinct
-        keep = np.maximum(2, total / words)
-        self.of_head = np.full(len(head), -1, np.int64)
-        kept = np.flatnonzero(self.counts >= keep)
-        self.of_head[kept] = np.arange(len(kept))
-        self.size = len(kept)
-        self.keys: list[np.ndarray] = [kept]
-        self.grams: list[np.ndarray] = [self.counts[kept].astype(float)]
-
-    def with_grams(self, keys: np.ndarray, counts: np.ndarray) -> Automaton:
-        """A copy with the kept n-grams of the next length."""
-        new = copy.copy(self)
-        order = np.argsort(keys)
-        new.keys = [*self.keys, keys[order]]
-        new.grams = [*self.grams, counts[order].astype(float)]
-        return new
-
-    def close(self, discount: float = DISCOUNT) -> None:
-        """Arc weights (log10 probability) and failure weights (log10) of all states."""
-        self.arc, self.fail = [], []
-        p = (self.grams[0] + ADD) / (self.total + ADD * (self.distinct + 1))
-        self.arc.append(np.log10(p))
-        for n in range(1, len(self.keys)):
-            before, last = self.keys[n] // max(self.size, 1), self.keys[n] % max(self.size, 1)
-            rest = self.grams[n] - discount
-            seen = self.grams[n - 1].copy()  # every context but the end is followed by a token
-            used = np.bincount(before, weights=rest, minlength=len(seen))
-            left = (seen - used) / seen
-            self.fail.append(np.log10(left))
-            shorter = p[last] if n == 1 else self._lower(n, p, before, last)
-            q = rest / seen[before] + left[before] * shorter
-            self.arc.append(np.log10(q))
-            p = q
-
-    def _lower(self, n: int, p: np.ndarray, before: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Probability of `last` one word shorter than in `before`; that arc is kept, being at least as frequent."""
-        return p[self._find(self.keys[n - 1], self.suffix(n - 1, before) * self.size + last)]
-
-    def suffix(self, n: int, gram: np.ndarray) -> np.ndarray:
-        """Numbers of the n-grams (of list n-1) that end those of list n: where a failure arc leads."""
-        key = self.keys[n][gram]
-        if n == 1:
-            return key % self.size
-        return self._find(self.keys[n - 1], self.suffix(n - 1, key // self.size) * self.size + key % self.size)
-
-    @staticmethod
-    def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        if not len(table):
-            return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return np.where(table[at] == keys, at, -1)
-
-    def lookup(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count of each token (-1: not in the head table) and its word number (-1: none)."""
-        at = self._find(self.head, tokens)
-        ok = at >= 0
-        return (np.where(ok, self.counts[np.maximum(at, 0)] if len(self.counts) else 0, -1),
-                np.where(ok, self.of_head[np.maximum(at, 0)] if len(self.of_head) else -1, -1))
-
-    def numbers(self, tokens: np.ndarray) -> np.ndarray:
-        """Word number of each token (-1: none)."""
-        return self._find(self.head[self.keys[0]], tokens)
-
-    def grams_at(self, word: np.ndarray, first: np.ndarray, n: int) -> list[np.ndarray]:
-        """For each length up to n, the number of the kept n-gram that ends at each token (-1: none)."""
-        out = [word]
-        begin = np.zeros(len(word), bool)
-        begin[first[:-1]] = True
-        for k in range(1, n):
-            before = np.concatenate([[-1], out[-1][:-1]])
-            before[begin] = -1  # out[-1] already lies within the text
-            ok = (before >= 0) & (word >= 0)
-            if k >= len(self.keys):
-                out.append(np.where(ok, before * self.size + word, -1))  # keys of the next length, for counting
-                break
-            got = np.full(len(word), -1, np.int64)
-            got[ok] = self._find(self.keys[k], before[ok] * self.size + word[ok])
-            out.append(got)
-        return out
-
-    def traverse(self, word: np.ndarray, first: np.ndarray, rooted: np.ndarray) -> np.ndarray:
-        """log10 probability of each token; rooted: its weight at the root."""
-        ends = self.grams_at(word, first, len(self.keys))
-        begin = np.zeros(len(word), bool)
-        begin[first[:-1]] = True
-        out = np.zeros(len(word))
-        open_ = np.ones(len(word), bool)  # tokens that have not taken an arc yet
-        for n in range(len(self.keys) - 1, 0, -1):
-            state = np.concatenate([[-1], ends[n - 1][:-1]])  # the n-gram before the token, if it is a state
-            state[begin] = -1
-            arc = open_ & (state >= 0) & (ends[n] >= 0)
-            out[arc] += self.arc[n][ends[n][arc]]
-            open_ &= ~arc
-            fail = open_ & (state >= 0)
-            out[fail] += self.fail[n - 1][state[fail]]
-        return np.where(open_, out + rooted, out)
-
-
-def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, head: int = HEAD, order: int = ORDER,
-          discount: float = DISCOUNT) -> tuple[Automaton, DataFrame]:
-    """The automaton and the table (key, c) of all token counts."""
-    spark = C.prepare(docs.sparkSession)
-    counts = C.staged(_counted(docs, lambda texts: tokens_of(texts)[0].view(np.int64)), "tokens")
+        def keys(texts: list[str | None], n=n, shared=shared) -> np.ndarray:
+            key, ok = grams_of(*tokens_of(texts), n)
+            part = _may_have(shared.value, key[n - 2])
+            return key[n - 1][ok[n - 1] & part & np.roll(part, -1)]
+
+        maps.append(_bitmap(_counted(docs, keys).where(F.col("c") >= floor)))
+        shared.destroy()
+    shared = context.broadcast(maps)
+
+    def rows(texts: list[str | None]) -> dict[str, np.ndarray]:
+        key, ok = grams_of(*tokens_of(texts), order)
+        out = []
+        for n in range(2, order + 1):
+            if n < order:
+                at = np.flatnonzero(ok[n - 1])
+                at = at[_may_have(shared.value[n - 1], key[n - 1][at])]
+            else:
+                part = _may_have(shared.value[n - 2], key[n - 2])
+                at = np.flatnonzero(ok[n - 1] & part & np.roll(part, -1))
+            out.append((np.full(len(at), n, np.int32), key[n - 2][at].view(np.int64),
+                        key[n - 2][np.minimum(at + 1, len(key[0]) - 1)].view(np.int64), key[n - 1][at].view(np.int64)))
+        return dict(zip(("n", "a", "b", "key"), map(np.concatenate, zip(*out)), strict=True))
+
+    out = C.staged(_summed(docs, rows, ["n", "a", "b"], "key").where(F.col("c") >= floor), "grams")
+    shared.destroy()
+    return out
+
+
+class Model:
+    """Numbers of training tokens and words, and the tables of the automaton.
+
+    counts: (key, c) of all words. gains: (n, key, c, gain) of the words and
+    n-grams whose gain is not 0 at all events: for a word the failure weight of
+    its state, for longer ones that plus what their arc adds.
+    """
+
+    def __init__(self, total: int, distinct: int, counts: DataFrame, gains: DataFrame):
+        self.total, self.distinct, self.counts, self.gains = total, distinct, counts, gains
+        self.scale = math.log10(total + ADD * (distinct + 1))
+
+
+def train(docs: DataFrame, words: float = WORDS, grams: float = GRAMS, order: int = ORDER,
+          discount: float = DISCOUNT) -> Model:
+    C.prepare(docs.sparkSession)
+    counts = C.staged(_counted(docs, lambda texts: tokens_of(texts)[0]), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.col("c") >= max(1, total / head)).toPandas()  # at most `head` rows
-    model = Automaton(top["key"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), total, distinct, words)
+    known = counts.where(F.col("c") >= max(LEAST, total / words))
+    # of each length: key, count, probability and the gain of the arc over the failure path
+    level = known.select("key", "c", ((F.col("c") + ADD) / (total + ADD * (distinct + 1))).alias("q"), F.lit(0.0).alias("arc"))
+    found = _gram_counts(docs, known, max(LEAST, total / grams), order) if order > 1 else None
+    gains = []
     for n in range(2, order + 1):
-        shared = spark.sparkContext.broadcast(model)
+        arcs = found.where(F.col("n") == n).drop("n").join(
+            level.select(F.col("key").alias("b"), F.col("q").alias("shorter")), "b")
+        used = arcs.groupBy("a").agg(F.sum(F.col("c") - discount).alias("used"))
+        states = C.staged(level.join(used.withColumnRenamed("a", "key"), "key", "left").select(
+            "key", "c", ((F.col("c") - F.coalesce("used", F.lit(0.0))) / F.col("c")).alias("fail"), "arc"), f"states{n - 1}")
+        gains.append(states.select(F.lit(n - 1).alias("n"), "key", "c", (F.col("arc") + F.log10("fail")).alias("gain"))
+                     .where("gain <> 0"))
+        q = (F.col("c") - discount) / F.col("seen") + F.col("fail") * F.col("shorter")
+        level = arcs.join(states.where("fail < 1").select(F.col("key").alias("a"), F.col("c").alias("seen"), "fail"), "a").select(
+            _joined_key(n).alias("key"), "c", q.alias("q"), (F.log10(q / F.col("shorter")) - F.log10("fail")).alias("arc"))
+        if n < order:
+            level = C.staged(level, f"arcs{n}")
+    if order > 1:  # the longest are arcs only: after them the state is a shorter one
+        gains.append(C.staged(level.select(F.lit(order).alias("n"), "key", "c", F.col("arc").alias("gain")), f"arcs{order}"))
+    table = docs.sparkSession.createDataFrame([], "n int, key long, c long, gain double")
+    for g in gains:
+        table = table.unionByName(g)
+    return Model(total, distinct, counts, table)
+
+
+class Head:
+    """The most frequent keys: count of a word (0 for longer ones) and gain."""
+
+    def __init__(self, key: np.ndarray, c: np.ndarray, gain: np.ndarray):
+        order = np.argsort(key)
+        self.key, self.c, self.gain = key[order], c[order], gain[order]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each key (-1: none)."""
+        if not len(self.key):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        return np.where(self.key[at] == keys, at, -1)
 
-        def keys(texts: list[str | None], n=n, shared=shared) -> np.ndarray:
-            m = shared.value
-            tokens, first = tokens_of(texts)
-            found = m.grams_at(m.numbers(tokens), first, n)[n - 1]
-            return found[found >= 0]
 
-        got = _counted(docs, keys).where(F.col("c") >= max(2, total / grams)).toPandas()  # at most `grams` rows
-        found_k, found_c = got["key"].to_numpy(np.int64), got["c"].to_numpy(np.int64)
-        shared.unpersist()
-        model = model.with_grams(found_k, found_c)
-    model.close(discount)
-    return model, counts
+def _heads(model: Model, head: int, head_grams: int) -> tuple[Head, Head]:
+    """Of words (at most `head` rows) and of longer keys (at most `head_grams` of each length)."""
+    top = model.counts.where(F.col("c") >= max(1, model.total / head)).join(
+        model.gains.where("n = 1").select("key", "gain"), "key", "left").select(
+            "key", "c", F.coalesce("gain", F.lit(0.0)).alias("gain")).toArrow()
+    long = model.gains.where((F.col("n") > 1) & (F.col("c") >= max(1, model.total / head_grams))).toArrow()
+    one = lambda t: Head(t["key"].to_numpy().view(np.uint64), t["c"].to_numpy(), t["gain"].to_numpy())
+    return one(top), one(long)
 
 
-def scores(docs: DataFrame, parts: int = 10, part: int = 0, **options) -> DataFrame:
+def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, head_grams: int = HEAD_GRAMS,
+           order: int = ORDER, **options) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     docs: (doc_id, text). Documents whose crc32(id) modulo parts equals part
@@ -220,34 +256,48 @@ def scores(docs: DataFrame, parts: int = 10, part: int = 0, **options) -> DataFr
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id"), parts, part))
-    model, counts = train(docs.where(~F.col("held_out")), **options)
-    shared = spark.sparkContext.broadcast(model)
+    model = train(docs.where(~F.col("held_out")), order=order, **options)
+    scale = model.scale
+    shared = spark.sparkContext.broadcast((*_heads(model, head, head_grams), _bitmap(model.gains.where("n > 1"))))
 
     def local(texts: list[str | None]) -> dict:
-        """All but the root weights of words outside the head table."""
-        m = shared.value
+        """Sums over the keys of the heads; the others as they are."""
+        words, longer, bits = shared.value
         tokens, first = tokens_of(texts)
-        count, word = m.lookup(tokens)
-        rare = count < 0
-        scale = np.log10(m.total + ADD * (m.distinct + 1))
-        rooted = np.where(rare, 0.0, np.log10(np.maximum(count, 0) + ADD)) - scale
-        path = m.traverse(word, first, rooted)
-        at = first[:-1]
-        cut = np.concatenate([[0], np.cumsum(rare)])[first]
-        h = tokens[rare].view(np.int64)
-        return {"n_tokens": np.diff(first), "_known": np.add.reduceat(~rare, at, dtype=np.int64),
-                "_base": np.add.reduceat(rooted, at), "_score": np.add.reduceat(path, at),
-                "_rare": [h[cut[i]:cut[i + 1]] for i in range(len(texts))]}
-
-    rows = C.by_text(docs, "n_tokens long, _known long, _base double, _score double, _rare array<long>", local)
+        keys, ok = grams_of(tokens, first, order)
+        at = words.find(tokens)
+        near = at >= 0
+        base, gain = np.zeros(len(tokens)), np.zeros(len(tokens))
+        base[near] = np.log10(words.c[at[near]] + ADD)
+        gain[near] = words.gain[at[near]]
+        rest_key, rest_at = [tokens[~near]], [np.flatnonzero(~near)]
+        for n in range(2, order + 1):
+            pos = np.flatnonzero(ok[n - 1])
+            pos = pos[_may_have(bits, keys[n - 1][pos])]
+            row = longer.find(keys[n - 1][pos])
+            gain[pos[row >= 0]] += longer.gain[row[row >= 0]]
+            rest_key.append(keys[n - 1][pos[row < 0]])
+            rest_at.append(pos[row < 0])
+        rest, where = np.concatenate(rest_key).view(np.int64), np.concatenate(rest_at)
+        by = np.argsort(where, kind="stable")
+        rest, cut = rest[by], np.searchsorted(where[by], first)
+        begin = first[:-1]
+        unseen = np.add.reduceat(~near, begin, dtype=np.int64)
+        return {"n_tokens": np.diff(first), "_far": unseen, "_base": np.add.reduceat(base, begin),
+                "_gain": np.add.reduceat(gain, begin), "_rest": [rest[cut[i]:cut[i + 1]] for i in range(len(texts))]}
+
+    rows = C.by_text(docs, "n_tokens long, _far long, _base double, _gain double, _rest array<long>", local)
     rows = C.staged(rows.drop("text").withColumn("_row", F.monotonically_increasing_id()), "local")
-    # occurrences of rare words meet their counts, then come together per document
-    rare = rows.select("_row", F.explode("_rare").alias("key")).join(counts, "key", "left")
-    sums = rare.groupBy("_row").agg(
-        F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))).alias("_add"), F.count("c").alias("_more"))
-    out = rows.drop("_rare").join(sums, "_row", "left")
-    add, more = F.coalesce("_add", F.lit(0.0)), F.coalesce("_more", F.lit(0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("_known") + more).alias("n_known"),
-                      F.lit(int(model.total)).cast("long").alias("train_tokens"),
-                      F.round(F.col("_base") + add, 6).alias("base_score"),
-                      F.round(F.col("_score") + add, 6).alias("score"))
+    # the other occurrences meet their counts and gains, then come together per document
+    far = model.counts.select("key", "c", F.lit(0.0).alias("gain")).unionByName(
+        model.gains.select("key", F.lit(None).cast("long").alias("c"), "gain"))
+    rest = rows.select("_row", F.explode("_rest").alias("key")).join(far, "key")
+    sums = rest.groupBy("_row").agg(F.sum(F.log10(F.col("c") + F.lit(ADD))).alias("_add"), F.count("c").alias("_more"),
+                                    F.sum("gain").alias("_gains"))
+    out = rows.drop("_rest").join(sums, "_row", "left")
+    more = F.coalesce("_more", F.lit(0))
+    unknown = F.col("_far") - more
+    base = F.col("_base") + F.coalesce("_add", F.lit(0.0)) + unknown * math.log10(ADD) - F.col("n_tokens") * scale
+    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_tokens") - unknown).alias("n_known"),
+                      F.lit(int(model.total)).cast("long").alias("train_tokens"), F.round(base, 6).alias("base_score"),
+                      F.round(base + F.col("_gain") + F.coalesce("_gains", F.lit(0.0)), 6).alias("score"))

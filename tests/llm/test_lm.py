@@ -77,3 +77,15 @@ def test_edges(spark, edges, nothing):
 def test_no_training_rows(spark):
     held = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
     check(spark, [(held, "a b c")])
+
+
+def test_floor_does_not_grow(spark):
+    """N-grams seen twice are arcs however large the rest is, also where each one is joined."""
+    pairs = [(2, "alpha beta gamma"), (4, "alpha beta delta"), (7, "one alpha beta gamma")]
+    rows = pairs + [(11 + 10 * i, "filler " * 5000) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, math.inf, math.inf)
+    for options in ({}, {"head": 3, "head_grams": 3}):
+        got = {r.doc_id: r for r in lm.scores(df, **options).collect()}
+        for i, (doc, _) in enumerate(pairs):
+            assert abs(got[doc].score - want[i][5]) < 1e-4 and got[doc].score > got[doc].base_score + 1
