@@ -2,12 +2,13 @@
 
 Preference pairs (good document over bad document) are drawn from labelled
 rows; the logistic loss of their feature differences gives one weight per
-feature. Scores of the fitting sample fix the threshold: the score quantile at
-the sample's share of bad documents. score = logistic(s - threshold), so a
+feature. Scores of all labelled documents fix the threshold: the exact score
+quantile at their share of bad documents. score = logistic(s - threshold), so a
 document is predicted good exactly when it lies above that quantile.
 
-Only the fitting sample is bounded (FIT_ROWS per class, smallest hash of the
-id first); every document is scored over its whole text. Features use the text
+Only the sample that the weights are fitted on is bounded (FIT_ROWS per class,
+smallest hash of the id first); threshold and scores cover every document over
+its whole text. Features use the text
 alone: no label, language, source or id.
 
 Defined results: null and empty texts have all-zero features and are scored
@@ -29,6 +30,7 @@ FIT_ROWS = 4000     # labelled documents per class at most that the model is fit
 PAIRS = 60_000      # preference pairs drawn from them
 L2 = 1e-3
 ROUNDS = 30
+BINS = 4096         # counts per step of the search for a quantile
 
 FEATURES = ("log_words", "word_chars", "symbols", "dup_lines", "repeats", "upper", "digits", "bars", "bangs",
             "marks", "distinct", "lines", "stops", "capitals")
@@ -87,8 +89,12 @@ def fit(x: np.ndarray, good: np.ndarray, seed: int = 7) -> dict:
     return {"weight": weight, "mean": mean, "scale": scale, "threshold": threshold}
 
 
+def raw_scores(model: dict, x: np.ndarray) -> np.ndarray:
+    return np.clip((x - model["mean"]) / model["scale"], -6, 6) @ model["weight"]
+
+
 def scores(model: dict, x: np.ndarray) -> np.ndarray:
-    s = np.clip((x - model["mean"]) / model["scale"], -6, 6) @ model["weight"] - model["threshold"]
+    s = raw_scores(model, x) - model["threshold"]
     return np.round(1 / (1 + np.exp(-np.clip(s, -35, 35))), 9)
 
 
@@ -105,10 +111,51 @@ def fitting_rows(docs: DataFrame, labelled: DataFrame, per_class: int = FIT_ROWS
     return C.by_text(rows, "x array<double>", lambda t: {"x": list(features(t))}).select("doc_id", "x", "good")
 
 
+def labelled_scores(model: dict, docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(s, good) of all labelled rows."""
+    lab = labelled.where("doc_id IS NOT NULL AND good IS NOT NULL").select(F.col("doc_id").alias("_id"), "good")
+    ids = lab.select("_id").distinct()
+    rows = docs.select("doc_id", "text")
+    if ids.count() * 64 <= C.BROADCAST_BYTES:  # else the other texts are scored too rather than shuffled
+        rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
+    made = C.by_text(rows, "s double", lambda t: {"s": raw_scores(model, features(t))}).select("doc_id", "s")
+    return made.join(lab, F.col("doc_id") == F.col("_id")).select("s", "good")
+
+
+def at_rank(rows: DataFrame, rank: int) -> float:
+    """The value of column s with `rank` smaller or equal ones before it, by counts in ever narrower bins."""
+    low, high = rows.agg(F.min("s"), F.max("s")).first()
+    while low < high:
+        width = (high - low) / BINS
+        if not width:
+            break
+        place = F.least(F.floor((F.col("s") - F.lit(low)) / F.lit(width)), F.lit(BINS - 1))
+        bins = rows.where(F.col("s").between(low, high)).groupBy(place.alias("bin")).agg(
+            F.count("*").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")).collect()  # BINS rows at most
+        for r in sorted(bins, key=lambda r: r["bin"]):
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+        low, high = r["low"], r["high"]
+    return low
+
+
+def quantile(rows: DataFrame, n: int, share: float) -> float:
+    """np.quantile() of column s, without bringing its n values together."""
+    at = share * (n - 1)
+    low = at_rank(rows, int(at))
+    return low + (at - int(at)) * (at_rank(rows, min(int(at) + 1, n - 1)) - low)
+
+
 def train(docs: DataFrame, labelled: DataFrame, per_class: int = FIT_ROWS) -> dict:
     rows = fitting_rows(docs, labelled, per_class).toPandas().sort_values("doc_id", kind="stable")
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
-    return fit(x, rows["good"].to_numpy(bool))
+    model = fit(x, rows["good"].to_numpy(bool))
+    if model["weight"].any():
+        every = C.staged(labelled_scores(model, docs, labelled), "labelled")
+        n, bad = every.agg(F.count("*"), F.count_if(~F.col("good"))).first()
+        model["threshold"] = quantile(every, n, bad / n)
+    return model
 
 
 def quality_scores(docs: DataFrame, labelled: DataFrame, per_class: int = FIT_ROWS) -> DataFrame:

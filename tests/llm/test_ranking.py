@@ -47,3 +47,15 @@ def test_edges(spark, edges, nothing):
     none = ranking.quality_scores(edges, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert ranking.quality_scores(nothing, labels).count() == 0
+
+
+def test_threshold_covers_all_labels(spark):
+    """With more labels than the fitting sample takes, the threshold is still that of all of them."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{DIR}/labels.parquet").select("doc_id", (F.col("quality") == 1).alias("good"))
+    model = ranking.train(docs, labels, per_class=20)
+    rows = docs.join(labels, "doc_id").collect()
+    s = ranking.raw_scores(model, ranking.features([r.text for r in rows]))
+    bad = sum(not r.good for r in rows)
+    assert 20 < bad < len(rows) - 20
+    assert abs(model["threshold"] - np.quantile(s, bad / len(rows))) < 1e-9
