@@ -1,7 +1,11 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned with one page of that host (the smallest
-page_id) by simple tree matching of their DOM trees. A node of that page whose
+Pages of one host and layout are aligned with one page of them by simple tree
+matching of their DOM trees. A layout is a set of structural elements with their
+classes; one with fewer than MIN_PAGES pages goes with the host's largest. The
+page aligned with is one with the most frequent sequence of such elements (then
+the longest sequence, then the smallest page_id), so an empty or odd page does
+not stand for others. A node of that page whose
 own text is the same in nearly all aligned pages is template; a node whose
 text varies is a slot. The wrapper of a host is the lowest place under which
 most of its slots' text lies (an article or main element where pages have one), and
@@ -14,7 +18,7 @@ account of its text, because copies of one article look constant as well.
 Every page is aligned and counted; per host only counts by node meet.
 
 Defined results: null, empty and tagless pages give the text that is there
-("" if none); a null url is a host of its own; repeated pages are extracted
+("" if none); a null url is a host of its own; an empty page is no layout of others; repeated pages are extracted
 each; a host with fewer than MIN_PAGES pages has no template nodes.
 """
 
@@ -305,11 +309,34 @@ def host_of(url) -> F.Column:
                               F.lit("")))
 
 
+STRUCTURE = (r"(?i)<((?:body|div|section|article|main|header|footer|nav|aside|table|form)\b"
+             r"(?:\s+class\s*=\s*(?:\"[^\"]*\"|'[^']*'))?)")
+
+
+def with_layout(pages: DataFrame) -> DataFrame:
+    """host: host and layout that a page goes with; _seq, _n: hash and length of its sequence of structural elements."""
+    found = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(STRUCTURE), F.lit(1))
+    rows = pages.withColumn("_found", found).withColumns({
+        "_n": F.size("_found"), "_seq": F.xxhash64("_found"),
+        "_layout": F.xxhash64(F.array_sort(F.array_distinct("_found")))}).drop("_found")
+    sizes = rows.groupBy("host", "_layout", (F.col("_n") > 0).alias("_any")).agg(F.count("*").alias("_pages"))
+    largest = sizes.groupBy("host").agg(F.max_by("_layout", F.struct("_any", "_pages", "_layout")).alias("_largest"))
+    goes = sizes.join(largest, "host").select(
+        "host", "_layout", F.when(F.col("_any") & (F.col("_pages") >= MIN_PAGES), F.col("_layout")).otherwise(
+            F.col("_largest")).alias("_with"))
+    goes = C.checked_broadcast(C.staged(goes, "layouts"), 96)
+    return rows.join(goes, ["host", "_layout"]).withColumn(
+        "host", F.concat_ws(" ", "host", F.col("_with").cast("string"))).drop("_layout", "_with")
+
+
 def seeds(pages: DataFrame) -> DataFrame:
-    """(host, seed html) with the page of the smallest page_id (then the smallest html) of each host."""
-    first = pages.groupBy("host").agg(F.min("page_id").alias("_first"))
-    return pages.join(C.checked_broadcast(first, 64), "host").where("page_id <=> _first").groupBy("host").agg(
-        F.min("html").alias("seed"))
+    """(host, seed html) with one page of the most frequent sequence of each host and layout."""
+    seq = pages.groupBy("host", "_seq", "_n").agg(F.count("*").alias("_pages"), F.min("page_id").alias("_first"))
+    first = seq.groupBy("host").agg(F.max_by(F.struct("_seq", "_first"), F.struct(
+        F.col("_n") > 0, "_pages", "_n", F.col("_first").isNull(), -F.col("_first"), "_seq")).alias("_pick")).select(
+            "host", "_pick.*")
+    return pages.join(C.checked_broadcast(first.withColumnRenamed("_seq", "_of"), 64), "host").where(
+        "page_id <=> _first AND _seq = _of").groupBy("host").agg(F.min("html").alias("seed"))
 
 
 def wrappers(pages: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -381,15 +408,24 @@ def main_text(pages: DataFrame) -> DataFrame:
     """All columns of `pages` (page_id, url, html, ...) plus text and n_chars."""
     spark = C.prepare(pages.sparkSession)
     base = pages.drop(*[c for c in ("text", "n_chars") if c in pages.columns])
-    keyed = base.select("page_id", "html", host_of(F.col("url")).alias("host"))
+    given = base.columns
+    base = with_layout(base.withColumnsRenamed({c: f"_in_{i}" for i, c in enumerate(given) if c not in ("page_id", "html")})
+                       .withColumn("host", host_of(F.col(_renamed(given, "url")))))
+    keyed = base.select("page_id", "html", "host", "_seq", "_n")
     hosts = C.staged(seeds(keyed), "seeds")
     wrap = C.staged(wrappers(keyed, _small(hosts)), "wrappers")
     known = _small(wrap).withColumnsRenamed({"host": "_host", "seed": "_seed", "place": "_place", "fixed": "_fixed"})
-    joined = base.withColumn("_key", host_of(F.col("url"))).join(known, F.col("_key") == F.col("_host"), "left").drop("_host")
+    joined = base.join(known, F.col("host") == F.col("_host"), "left").select(
+        *[F.col(_renamed(given, c)).alias(c) for c in given], F.col("host").alias("_key"), "_seed", "_place", "_fixed")
     return C.by_rows(joined, ["html", "_key", "_seed", "_place", "_fixed"], "text string, n_chars long", _extract_rows,
                      drop=["_key", "_seed", "_place", "_fixed"])
 
 
+def _renamed(given: list[str], column: str) -> str:
+    """Name of an input column while columns of the wrapper's own stand beside it."""
+    return column if column in ("page_id", "html") else f"_in_{given.index(column)}"
+
+
 def _small(hosts: DataFrame) -> DataFrame:
     """The host table, broadcast when its bytes fit the bound."""
     size = hosts.agg(F.sum(F.length("seed") + 200)).first()[0] or 0

@@ -38,6 +38,17 @@ def test_constant_nodes_go(spark):
         assert len(r.text.split("\n")) == 3
 
 
+def test_odd_first_page_does_not_disable_the_host(spark):
+    """Empty and error pages with the smallest ids, and a second layout, leave the templates of both layouts found."""
+    other = [(i, u, h.replace("<body><div>", "<body><section class='top'><b>Other name</b></section><div>"))
+             for i, u, h in map(plain_page, range(20, 32))]
+    rows = [(-3, plain_page(0)[1], None), (-2, plain_page(0)[1], ""),
+            (-1, plain_page(0)[1], "<html><body><div>Error 500</div></body></html>"), *map(plain_page, range(12)), *other]
+    for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        if r.page_id >= 0:
+            assert not re.search("Site name|About us|All rights reserved|Other name", r.text) and len(r.text.split("\n")) == 3
+
+
 EDGES = [(1, None, "<p>a &amp; b &#233; &nbsp; c</p>"), (2, "http://x.example.com/", None), (3, "http://x.example.com/", ""),
          (4, "no address", "plain   text"), (5, "http://y.example.com", "<article><p>one<p>two<br>three <b>bo</b>ld<script>x</script></article>"),
          (5, "http://y.example.com", "<article><p>one<p>two<br>three <b>bo</b>ld<script>x</script></article>"),
