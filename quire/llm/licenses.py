@@ -11,6 +11,10 @@ first shared token (position). Every candidate is then counted exactly.
 
 Defined results: null, empty and wordless texts have no words and no labels;
 repeated rows are scanned each; equal lines count as one block.
+
+notice_scan() takes runs of consecutive words as blocks, whatever lines they
+stand on: a template of n words matches a run of ceil(n / THRESHOLD) words. It
+also knows longer notices, and the variants of Creative Commons by their names.
 """
 
 from __future__ import annotations
@@ -39,6 +43,28 @@ TEMPLATES = (
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
 )
 
+# The same in full, for notice_scan().
+NOTICES = (
+    *(t for t in TEMPLATES if t[0] != "cc-by"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation the "
+            "rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+               "with the license you may obtain a copy of the license at"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+            "public license as published by the free software foundation either version 3 of the license or at your "
+            "option any later version"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
+            "the following conditions are met redistributions of source code must retain the above copyright notice "
+            "this list of conditions and the following disclaimer"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was "
+            "not distributed with this file you can obtain one at"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+            "granted provided that the above copyright notice and this permission notice appear in all copies"),
+)
+# Names of the Creative Commons licenses, with their version, as words.
+CC = r"(?:^| )(?:cc|creative commons) (by|attribution)( nc| noncommercial| non commercial)?( sa| sharealike| share alike| nd| noderivatives| no derivatives| noderivs)? [1-4] [05](?= |$)"
+
 
 def lowered(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
@@ -125,3 +151,41 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESH
         F.array_join(F.array_sort(base), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(F.concat(base, found))), ",").alias("labels"),
         F.coalesce(F.array_max("_c"), F.lit(0.0)).alias("score"))
+
+
+def cc_labels(w: Column) -> Column:
+    """Labels of the Creative Commons licenses named with a version: cc-by, cc-by-nc, cc-by-nc-sa, ..."""
+    line = F.when(F.array_contains(w, "cc") | F.array_contains(w, "creative"), F.array_join(w, " ")).otherwise("")
+    part = lambda i: F.regexp_extract_all(line, F.lit(CC), F.lit(i))
+    end = lambda x: F.when(x.startswith(" s"), "-sa").when(x.startswith(" n"), "-nd").otherwise("")
+    return F.zip_with(part(2), part(3), lambda nc, x: F.concat(F.lit("cc-by"), F.when(nc != "", "-nc").otherwise(""), end(x)))
+
+
+def run_share(w: Column, text: str, plan: dict, threshold: float) -> Column:
+    """Largest share of the template's tokens in a run of words that reaches the threshold, else null."""
+    tokens, n, need = F.array(*map(F.lit, plan["tokens"])), len(plan["tokens"]), plan["need"]
+    length = math.ceil(len(text.split(" ")) / threshold - 1e-9)
+    prefix = F.array(*map(F.lit, plan["prefix"]))
+    shared = lambda start, size: F.size(F.array_intersect(F.slice(w, start, size), tokens))
+    start = lambda at: F.greatest(at - (length - 1), F.lit(1))
+    # a run that matches holds a prefix token; around it there must be enough of the template at all
+    at = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: F.array_contains(prefix, F.get(w, i - 1)))
+    near = F.filter(at, lambda i: shared(start(i), 2 * length - 1) >= need)
+    most = F.array_max(F.transform(near, lambda i: F.array_max(
+        F.transform(F.sequence(start(i), i), lambda s: shared(s, length)))))
+    return F.when(F.arrays_overlap(w, prefix), F.when(most >= need, most.cast("double") / n))
+
+
+def notice_scan(docs: DataFrame, templates=NOTICES, threshold: float = THRESHOLD) -> DataFrame:
+    """All columns of `docs` (doc_id, text, ...) plus notice_labels and notice_score, over runs of words across lines."""
+    plan = plans(token_order(docs, templates), templates, threshold)
+    docs = docs.drop(*[c for c in ("notice_labels", "notice_score") if c in docs.columns])
+    rows = docs.withColumn("_w", words(lowered(F.col("text"))))
+    w = F.col("_w")
+    rows = rows.withColumn("_c", F.array(*[run_share(w, t, p, threshold) for (_, t), p in zip(templates, plan, strict=True)]))
+    rows = rows.withColumn("_cc", cc_labels(w))
+    found = F.filter(F.transform(F.col("_c"), lambda c, i: F.when(c.isNotNull(), F.get(
+        F.array(*[F.lit(p["label"]) for p in plan]), i))), lambda x: x.isNotNull())
+    return rows.select(
+        *docs.columns, F.array_join(F.array_sort(F.array_distinct(F.concat(found, "_cc"))), ",").alias("notice_labels"),
+        F.greatest(F.coalesce(F.array_max("_c"), F.lit(0.0)), F.when(F.size("_cc") > 0, 1.0).otherwise(0.0)).alias("notice_score"))

@@ -53,6 +53,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(common.documents(spark, sf_dir)).drop("text")
 
 
+def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.notice_scan(common.documents(spark, sf_dir)).drop("text")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir).withColumn("held_out", lm.held_out(F.col("doc_id"), 3, 1))
     labelled = table(spark, sf_dir, "labels").where(~lm.held_out(F.col("doc_id"), 3, 1)).select(
@@ -66,6 +70,6 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_decontaminate, op3_ngram_jaccard, op4_quality_rules, op5_html_extract, op6_substring_dedup,
-    op7_pii, op8_license_scan, op9_quality_classifier, op10_lm_score)}
+    op7_pii, op8_license_scan, license_notices, op9_quality_classifier, op10_lm_score)}
 
 ORACLE = dict(oracle.ORACLE)

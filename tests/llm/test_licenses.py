@@ -70,3 +70,20 @@ def test_prefix_loses_nothing():
     order = {t: i for i, t in enumerate(sorted({t for _, s in L.TEMPLATES for t in s.split()}, reverse=True))}
     for p in L.plans(order):
         assert len(p["tokens"]) - len(p["prefix"]) < p["need"] <= len(p["tokens"])
+
+
+def test_wrapped_notices(spark):
+    """Notices that run over line ends, against all runs of words, and the names of the CC licenses."""
+    mit = "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software"
+    bsd = "# Redistribution and use in source\n# and binary forms, with or\n# without modification, are permitted"
+    texts = [mit, bsd, "x\n" * 50 + mit + "\n" + bsd, "permission is hereby granted\n" + "other words " * 40 + "to any person obtaining a copy",
+             "Licensed under CC BY-NC 4.0.", "CC BY 4.0 and CC BY-SA 3.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0", "cc by hand", None, ""]
+    rows = L.notice_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.notice_labels for r in rows] == ["mit", "bsd", "bsd,mit", "", "cc-by-nc", "cc-by,cc-by-sa", "cc-by-nc-nd", "", "", ""]
+    for r in rows:
+        w, best = words(r.text), 0.0
+        for _, s in L.NOTICES:
+            need, size = set(s.split(" ")), -(-len(s.split(" ")) * 5 // 4)
+            most = max((len(need & set(w[i:i + size])) for i in range(len(w))), default=0)
+            best = max(best, most / len(need)) if most >= L.THRESHOLD * len(need) - 1e-9 else best
+        assert abs(r.notice_score - (1.0 if "cc" in r.notice_labels else best)) < 1e-9
