@@ -115,6 +115,8 @@ def _small(placed: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """`docs` without the documents that hold a benchmark passage; all columns and other rows stay."""
-    bad = contamination(docs, items, **options).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """`docs` without the rows that hold a benchmark passage; all columns and other rows stay, also under the same id."""
+    key = F.xxhash64("doc_id", "text")
+    bad = contamination(docs.select(key.alias("doc_id"), "text"), items, **options).select(
+        F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, key == F.col("_bad"), "left_anti")

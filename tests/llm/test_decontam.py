@@ -100,3 +100,12 @@ def test_planted(spark):
     want = {(r.doc_id, grams[g]) for r in docs.collect() for w in [words(r.text)] for i in range(len(w) - 12) if (g := tuple(w[i:i + 13])) in grams}
     got = {(r.doc_id, r.item_id) for r in D.contamination(docs, items).collect()}
     assert want and want <= got
+
+
+def test_other_rows_of_the_id_stay(spark):
+    """Of rows with one id, or without an id, only those with a passage go."""
+    passage = " ".join(f"item{i}" for i in range(40))
+    docs, items = frames(spark, [(None, "x " + passage), (None, "clean"), (None, None), (1, passage), (1, "clean"), (1, passage), (2, "clean")],
+                         [(9, passage)])
+    left = sorted(((r.doc_id, r.text) for r in D.drop_contaminated(docs, items).collect()), key=str)
+    assert left == sorted([(None, "clean"), (None, None), (1, "clean"), (2, "clean")], key=str)
