@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -58,6 +59,21 @@ def checked_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
+def join_keyed(df: DataFrame, table: DataFrame, key: str, total: int, heavy: int = 1000) -> DataFrame:
+    """Left join of df with table (key, n, ...) on a key whose hot values df may hold in any share.
+
+    n: rows of df with that key, total: all rows of df. Keys with more than
+    1/heavy of the rows, fewer than `heavy` of them, are broadcast; the other
+    rows of df, which have no hot key, are joined by shuffle. n is dropped.
+    Keys match null-safely.
+    """
+    hot = F.broadcast(table.where(F.col("n") * heavy > total).drop("n").withColumnRenamed(key, "_hot_key"))
+    rest = table.where(F.col("n") * heavy <= total).drop("n").withColumnRenamed(key, "_key")
+    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
+    return df.join(hot, is_hot).drop("_hot_key").unionByName(
+        df.join(hot.select("_hot_key"), is_hot, "left_anti").join(rest, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key"))
+
+
 def pow2_at_least(n: int) -> int:
     return 1 << max(0, int(n) - 1).bit_length()
 
@@ -184,10 +200,10 @@ def by_rows(df: DataFrame, needs: list[str], added: str, make: Callable[[dict[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = {k: b.column(b.schema.get_field_index(k)).to_pylist() for k in needs}
-            for s in text_slices(cols[needs[0]]):
-                made = make({k: v[s] for k, v in cols.items()})
+            sizes = pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(needs[0]))), 0)
+            for s in slices(sizes.to_pylist()):  # only a slice at a time becomes Python objects
                 part = b.slice(s.start, s.stop - s.start)
+                made = make({k: part.column(b.schema.get_field_index(k)).to_pylist() for k in needs})
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in stay] + [pa.array(made[k], type=t) for k, t in kinds], names=names)
 

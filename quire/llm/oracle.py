@@ -54,6 +54,29 @@ FROM d LEFT JOIN c USING (r) LEFT JOIN f USING (r)
 """
 
 
+def vector_code_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Integer k-means written out: one table of nearest entries and one of new entries a round."""
+    steps = [f"""v AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT r, vec_id, label, p, e[p * (len(e) // {parts}) + 1:(p + 1) * (len(e) // {parts})] AS x
+  FROM v, (SELECT unnest(generate_series(0, {parts - 1})) AS p)),
+s AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS j FROM v ORDER BY vec_id LIMIT {entries}),
+c0 AS (SELECT p, j, x AS c FROM x JOIN s USING (r))"""]
+    square = "list_sum(list_transform(list_zip(x.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS (SELECT r, p, min({square} * {entries} + j) AS m FROM x JOIN c{k} c USING (p) GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""f{k} AS (SELECT x.p, m % {entries} AS j, i, sum(x.x[i]) AS s, count(*) AS n
+  FROM x JOIN a{k} USING (r, p), LATERAL (SELECT unnest(generate_series(1, len(x.x))) AS i) GROUP BY x.p, m % {entries}, i),
+m{k} AS (SELECT p, j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM f{k} GROUP BY p, j),
+c{k + 1} AS (SELECT p, j, coalesce(m.c, c.c) AS c FROM c{k} c LEFT JOIN m{k} m USING (p, j))""")
+    end = rounds
+    return f"""WITH {", ".join(steps)},
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM c{end}),
+o AS (SELECT r, string_agg(printf('%02x', CAST(m % {entries} AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error FROM a{end} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN o USING (r), h"""
+
+
 def licence_sql(phrases, templates, threshold) -> str:
     split = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     words = lambda s: f"list_filter(regexp_split_to_array({s}, '{split}'), lambda w: w <> '')"
@@ -86,4 +109,5 @@ def _licences() -> str:
     return licence_sql(L.PHRASES, L.TEMPLATES, L.THRESHOLD)
 
 
-ORACLE = {"op3_ngram_jaccard": OP3, "op6_substring_dedup": OP6, "op8_license_scan": _licences()}
+ORACLE = {"op3_ngram_jaccard": OP3, "op6_substring_dedup": OP6, "op8_license_scan": _licences(),
+          "op13_vector_codes": vector_code_sql()}

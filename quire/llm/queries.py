@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, jaccard, licenses, lm, oracle, pii, quality, ranking, substrings, wrapper
+from . import (
+    bpe, codes, common, decontam, jaccard, licenses, lm, oracle, periods, pii, quality, ranking, simhash, substrings, wrapper)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -68,8 +69,22 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(common.documents(spark, sf_dir))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.documents(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(common.documents(spark, sf_dir), plant=True)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return codes.with_label_error(codes.compress(vectors)[0])
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_decontaminate, op3_ngram_jaccard, op4_quality_rules, op5_html_extract, op6_substring_dedup,
-    op7_pii, op8_license_scan, license_notices, op9_quality_classifier, op10_lm_score)}
+    op7_pii, op8_license_scan, license_notices, op9_quality_classifier, op10_lm_score,
+    op11_simhash, op12_periodic_runs, op13_vector_codes)}
 
 ORACLE = dict(oracle.ORACLE)
