@@ -17,6 +17,8 @@ from quire.session import checkpoint_dir, ship_package
 
 # Bytes of text turned into numpy arrays at once; longer single texts go alone.
 SLICE_BYTES = 1 << 20
+# Bytes of an Arrow batch, which the JVM and the Python worker of a task both hold.
+BATCH_BYTES = 8 << 20
 # A side of a join is broadcast only when its counted rows fit into this.
 BROADCAST_BYTES = 48 << 20
 
@@ -36,8 +38,9 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """What every operator with Python tasks needs: shared folder known, package shipped."""
+    """What every operator with Python tasks needs: shared folder known, package shipped, batches of bounded bytes."""
     checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
     return spark
 
@@ -90,7 +93,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(kind: str, step: int, n: int) -> np.ndarray:
     have = _POWERS.get(kind)
     if have is None or len(have) < n:
-        p = np.full(pow2_at_least(max(n, SLICE_BYTES + 4096)), step, np.uint64)
+        p = np.full(max(n, SLICE_BYTES + 65536), step, np.uint64)
         p[0] = 1
         have = np.cumprod(p, dtype=np.uint64)
         if len(have) <= 4 * SLICE_BYTES:  # a single huge text does not stay in the worker's memory

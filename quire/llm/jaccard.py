@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,7 @@ from . import common as C
 from .components import components
 
 SHINGLE = 5
+WORD = r"[^ \t\n\x0B\f\r]"
 SIMILAR = (3, 4)      # similarity of at least 3/4
 SKETCH_BITS = 21      # buckets of the n-gram frequency sketch: 2^21, whatever the input
 FRAGMENTS = 4
@@ -113,17 +115,16 @@ def needed(n: int | np.ndarray) -> int | np.ndarray:
     return -(-SIMILAR[0] * n // SIMILAR[1])
 
 
-def signatures(docs: DataFrame, names: dict[str, str] | None = None, keep_text: bool = False) -> DataFrame:
+def signatures(docs: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """Columns of docs (but text), plus n (set size), s1 and s2 (hash of the set). names: other names for those."""
     names = names or {"n": "n", "s1": "s1", "s2": "s2"}
 
-    def make(texts: list[str | None]) -> dict:
-        grams, n = shingle_sets(texts)
+    def make(cols: dict[str, list]) -> dict:
+        grams, n = shingle_sets(cols["text"])
         one, two = _set_hashes(grams, n)
         return {names["n"]: n, names["s1"]: one, names["s2"]: two}
 
-    made = C.by_text(docs, ", ".join(f"{names[k]} long" for k in ("n", "s1", "s2")), make)
-    return made if keep_text else made.drop("text")
+    return C.by_rows(docs, ["text"], ", ".join(f"{names[k]} long" for k in ("n", "s1", "s2")), make, drop=["text"])
 
 
 def _set_hashes(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,15 +150,14 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         C.checked_broadcast(wanted, 64), F.col("_id").eqNullSafe(F.col("first_id"))).drop("_id", "first_id")
 
 
-def postings(docs: DataFrame, classes: DataFrame, freq: np.ndarray, part: int = PART, hot: int = HOT) -> DataFrame:
+def postings(docs: DataFrame, classes: DataFrame, order: Broadcast, part: int = PART, hot: int = HOT) -> DataFrame:
     """(h, cid, n, pos, low, n_low, pos_low): prefix n-grams that several classes share, with the smallest class of each.
 
-    pos: a lower bound of the n-gram's place in the class's order.
+    pos: a lower bound of the n-gram's place in the class's order. order:
+    the n-gram frequencies and the cuts between fragments.
     """
-    spark = docs.sparkSession
     total = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1)).first()[0] or 0
     parts = max(1, int(total) // part)
-    shared = spark.sparkContext.broadcast(freq)
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -167,13 +167,13 @@ def postings(docs: DataFrame, classes: DataFrame, freq: np.ndarray, part: int =
                 grams, n = shingle_sets(texts[s])
                 ok = (n == rows["n"].to_numpy()) & (_set_hashes(grams, n)[0] == rows["s1"].to_numpy())
                 first = np.concatenate([[0], np.cumsum(n)])
-                often = shared.value[bucket(grams)]
-                order = np.lexsort((grams, often, np.repeat(np.arange(len(n)), n)))
+                often = order.value[0][bucket(grams)]
+                ranks = np.lexsort((grams, often, np.repeat(np.arange(len(n)), n)))
                 keep = np.where(ok, n - needed(n) + 1, 0)
                 at = C.spans(first[:-1], keep)
                 own = np.repeat(np.arange(len(n)), keep)
                 pos = at - first[own]
-                h, often = grams[order[at]], often[order[at]]
+                h, often = grams[ranks[at]], often[ranks[at]]
                 where = np.where(often >= hot, -1, ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64))
                 cid = rows["cid"].to_numpy(np.int64)
                 out = []
@@ -240,12 +240,11 @@ def _possible(*c: str):
     return _sizes(n, m) & (left * (SIMILAR[0] + SIMILAR[1]) >= (n + m) * SIMILAR[0])
 
 
-def segments(docs: DataFrame, wanted: DataFrame, freq: np.ndarray) -> DataFrame:
+def segments(docs: DataFrame, wanted: DataFrame, order: Broadcast) -> DataFrame:
     """(columns of wanted but first_id and s1, segments): the n-grams of wanted classes, an array for each fragment of the order."""
-    shared = docs.sparkSession.sparkContext.broadcast((freq, cuts(freq)))
 
     def make(cols: dict[str, list]) -> dict:
-        freq, at = shared.value
+        freq, at = order.value
         grams, n = shingle_sets(cols["text"])
         ok = (n == np.array(cols["n"])) & (_set_hashes(grams, n)[0] == np.array(cols["s1"]))
         first = np.concatenate([[0], np.cumsum(n)])
@@ -260,7 +259,7 @@ def segments(docs: DataFrame, wanted: DataFrame, freq: np.ndarray) -> DataFrame:
     return made.where("segments IS NOT NULL")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, freq: np.ndarray, one_each: bool = False) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, order: Broadcast, one_each: bool = False) -> DataFrame:
     """The pairs (a, b) whose summed partial overlaps reach the similarity.
 
     The n-grams of b travel to those of a, cut into the fragments; they are
@@ -270,14 +269,14 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, freq: np.nda
     """
     sets = classes.select("cid", "first_id", "n", "s1")
     centres = sets.join(pairs.select(F.col("a").alias("cid")).distinct(), "cid")
-    left = segments(docs, C.staged(centres, "centres"), freq).select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("segments").alias("ga"))
+    left = segments(docs, C.staged(centres, "centres"), order).select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("segments").alias("ga"))
     named = (F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("segments").alias("gb"))
     if one_each:  # a comes along on the way from the text
         members = sets.join(pairs.select("a", F.col("b").alias("cid")), "cid")
-        right = segments(docs, C.staged(members, "members"), freq).select("a", *named)
+        right = segments(docs, C.staged(members, "members"), order).select("a", *named)
     else:
         members = sets.join(pairs.select(F.col("b").alias("cid")).distinct(), "cid")
-        right = pairs.select("a", "b").join(segments(docs, C.staged(members, "members"), freq).select(*named), "b")
+        right = pairs.select("a", "b").join(segments(docs, C.staged(members, "members"), order).select(*named), "b")
     partial = [F.size(F.array_intersect(F.col("ga")[f], F.col("gb")[f])) for f in range(FRAGMENTS)]
     over = right.join(left, "a").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("o"))
     return over.where(F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select(
@@ -314,16 +313,16 @@ def _stars(rest: DataFrame, seed: int) -> DataFrame:
     return met.groupBy("cid", F.col("cid_low").alias("low")).count()
 
 
-def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, rounds: int = ROUNDS, **options) -> DataFrame:
+def link_classes(classes: DataFrame, docs: DataFrame, order: Broadcast, rounds: int = ROUNDS, **options) -> DataFrame:
     """(a, b) links that connect all similar classes. classes: (cid, n, s1, s2, first_id).
 
     rounds: how often classes are paired with one centre each before all pairs
     that are left between components are tried; no effect on what is connected.
     """
-    posts = postings(docs, classes, freq, **options)
+    posts = postings(docs, classes, order, **options)
     stars = posts.where(F.col("cid") != F.col("low")).where(_possible("n", "pos", "n_low", "pos_low")).groupBy("cid", "low").count()
     tried = C.staged(_best(stars), "stars")
-    links = C.staged(verified(tried, classes, docs, freq, True), "links-0")
+    links = C.staged(verified(tried, classes, docs, order, True), "links-0")
     prefix = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1
     share = posts.groupBy("cid", "n").count().select("cid", (F.col("count") / prefix).alias("share"))
     rest, found = _mixed(posts.select("h", "cid", "n", "pos").join(share, "cid"), components(links)), links.count()
@@ -332,7 +331,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, rounds:
             break
         pairs = C.staged(_best(_stars(rest, k).join(
             tried.select(F.col("b").alias("cid"), F.col("a").alias("low")), ["cid", "low"], "left_anti")), "stars")
-        more = C.staged(verified(pairs, classes, docs, freq, True), f"links-{k}")
+        more = C.staged(verified(pairs, classes, docs, order, True), f"links-{k}")
         found = more.count()
         tried, links = tried.union(pairs), links.union(more)
         if found:
@@ -345,7 +344,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, freq: np.ndarray, rounds:
     more = C.staged(cross.join(done, ["a", "b"], "left_anti"), "cross")
     if not more.limit(1).count():
         return links
-    return links.union(verified(more, classes, docs, freq))
+    return links.union(verified(more, classes, docs, order))
 
 
 def grouped(docs: DataFrame, rows: DataFrame, names: dict[str, str], **options) -> DataFrame:
@@ -354,10 +353,12 @@ def grouped(docs: DataFrame, rows: DataFrame, names: dict[str, str], **options)
     docs: (doc_id, text); rows: their signatures, under `names`.
     """
     freq = sketch(docs)
+    order = docs.sparkSession.sparkContext.broadcast((freq, cuts(freq)))  # of fixed size, one for all steps
     sets = rows.select("doc_id", *[F.col(v).alias(k) for k, v in names.items()])
     classes = C.staged(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("first_id")).withColumn(
         "cid", F.monotonically_increasing_id()), "classes")
-    links = C.staged(link_classes(classes, docs, freq, **options), "links")
+    links = C.staged(link_classes(classes, docs, order, **options), "links")
+    order.destroy()
     return classes.join(components(links).withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "root", F.coalesce("root", "cid"))
 
@@ -390,19 +391,20 @@ def representatives(docs: DataFrame, **options) -> DataFrame:
     """
     C.prepare(docs.sparkSession)
     pure = docs.select("doc_id", "text")
-    found = C.staged(signatures(pure, NAMES), "signatures")
+    found = C.staged(signatures(pure.withColumn("_jj_t", F.xxhash64("text")), NAMES), "signatures")
     named = grouped(pure, found, NAMES, **options)
     best = named.groupBy("root").agg(F.min(F.struct(
-        F.col("first_id").isNull().alias("no_id"), "first_id", "cid", "n", "s1", "s2")).alias("b"))
-    best = C.staged(best.select(F.col("b.first_id").alias("_jj_id"), *[F.col(f"b.{k}").alias(f"{v}_best") for k, v in NAMES.items()],
-                                F.lit(True).alias("_jj_best")), "best")
-    rows = signatures(docs, NAMES, keep_text=True)
+        F.col("first_id").isNull().alias("no_id"), "first_id", "cid", "n", "s1", "s2")).alias("b")).select(
+            "root", F.col("b.first_id").alias("_jj_id"), *[F.col(f"b.{k}").alias(f"{v}_best") for k, v in NAMES.items()])
     same = F.col("doc_id").eqNullSafe(F.col("_jj_id"))
     for v in NAMES.values():
         same = same & (F.col(v) == F.col(f"{v}_best"))
-    held = rows.join(C.checked_broadcast(best, 64), same, "left").where(f"{NAMES['n']} = 0 OR _jj_best")
-    # an id with one shingle set in several rows: one of them stays
-    key = ["doc_id", *NAMES.values()]
-    if found.where(F.col(NAMES["n"]) > 0).groupBy(*key).count().where("count > 1").limit(1).count():
-        held = held.where(F.col(NAMES["n"]) > 0).dropDuplicates(key).unionByName(held.where(F.col(NAMES["n"]) == 0))
+    stands = C.staged(found.join(best, same), "stands")  # rows that could stay; of a group with several texts of one id, one text does
+    one = stands.groupBy("root", "_jj_id").agg(F.min("_jj_t").alias("_jj_text")).drop("root")
+    several = stands.groupBy("root").count().where("count > 1").limit(1).count()
+    chosen = docs.join(C.checked_broadcast(one.withColumn("_jj_best", F.lit(True)), 64), F.col("doc_id").eqNullSafe(F.col("_jj_id"))
+                       & (F.xxhash64("text") == F.col("_jj_text")), "left")
+    held = chosen.where(F.col("_jj_best") | ~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
+    if several:  # repeated rows: one of them stays
+        held = held.where("_jj_best").dropDuplicates(["doc_id", "text"]).unionByName(held.where("_jj_best IS NULL"))
     return held.select(*docs.columns)

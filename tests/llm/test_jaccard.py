@@ -3,7 +3,7 @@
 import random
 import re
 
-from quire.llm import jaccard
+from quire.llm import common, jaccard
 
 
 def shingles(text):
@@ -96,3 +96,14 @@ def test_representatives(spark, edges):
     assert sorted(r.doc_id for r in kept if shingles(r.text) and r.doc_id is not None) == sorted(c for c in comp if c is not None)
     assert sum(not shingles(r.text) for r in kept) == 2 and sum(r.doc_id is None for r in kept) == 1
     assert jaccard.representatives(edges).count() == 10  # of the three equal texts one stays; no words: all stay
+
+
+def test_shuffled_sides_and_hot_grams(spark, monkeypatch):
+    """The plans that a large input takes: no broadcast of wanted ids, frequent n-grams row by row."""
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common.checked_broadcast, "__defaults__", (0,))
+    rows = made(seed=11, n=60)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(jaccard.jaccard_components(df, hot=2)) == brute(rows)
+    kept = jaccard.representatives(df, hot=2)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
