@@ -91,7 +91,7 @@ def rss_items(spark: SparkSession, landing: str, res: DataFrame) -> tuple[DataFr
     path = os.path.join(landing, "rss")
     if not _landed(spark, path):
         return (None, spark.createDataFrame([], "resource_pos int, feed_title string"),
-                spark.createDataFrame([], "feed_id string, stage string, message string"))
+                spark.createDataFrame([], "resource_pos int, message string"))
     docs = FD.read_documents(spark, os.path.join(path, "*", "*.xml")).withColumn(
         "feed_key", F.element_at(F.split("feed_id", "/"), -2))
     feeds, items, errors = FD.parse(docs)
@@ -101,9 +101,20 @@ def rss_items(spark: SparkSession, landing: str, res: DataFrame) -> tuple[DataFr
              .withColumn("item_pos", F.col("item_pos").cast("long")))
     titles = feeds.join(fk, "feed_id").join(keyed, "feed_key").groupBy("resource_pos") \
         .agg(F.first("feed_title").alias("feed_title"))
+    errors = errors.join(fk, "feed_id").join(keyed, "feed_key").select("resource_pos", "message")
     return items.select(*ITEM_COLS), titles, errors
 
 
+# Fixed value: the error of a channel resource whose URL names no channel.
+CHANNEL_URL_ERROR = "invalid channel URL: %s"
+
+
+def channel_errors(res: DataFrame) -> DataFrame:
+    """Enabled channel resources whose URL names no channel."""
+    bad = (F.col("type") == "telegram_channel") & F.coalesce("enabled", F.lit(True)) & T.channel_name("feed_url").isNull()
+    return res.where(bad).select("resource_pos", F.format_string(CHANNEL_URL_ERROR, "feed_url").alias("message"))
+
+
 def channel_items(spark: SparkSession, landing: str, res: DataFrame) -> DataFrame | None:
     path = os.path.join(landing, "telegram_channel")
     if not _landed(spark, path):
@@ -169,7 +180,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> R.
     res = resources_frame(spark, conf)
     opts = R.RunOptions(include_all=a.include_all, regenerate=a.regenerate, clean=a.clean, now=a.now,
                         out_dir=conf.get("output_directory"))
-    rss, titles, _ = rss_items(spark, landing, res)
+    rss, titles, unread = rss_items(spark, landing, res)
+    unread = unread.unionByName(channel_errors(res))
     chan = channel_items(spark, landing, res)
     parts = [p for p in (rss, chan) if p is not None]
     if not parts:
@@ -181,4 +193,4 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> R.
     res = res.drop("feed_title").join(titles, "resource_pos", "left") \
         .withColumn("feed_title", F.coalesce("feed_title", "feed_url"))
     return R.run_once(spark, items, res.drop("feed_key"), rule_sets, store, opts,
-                      parse=parse_function(spark, landing))
+                      parse=parse_function(spark, landing), fetch_errors=unread)

@@ -3,6 +3,8 @@ object stores work the same as local paths."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -24,6 +26,25 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in f.listStatus(p)]
 
 
-def touch(spark: SparkSession, path: str) -> None:
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file appear at `path` in one step (written aside, then renamed); False if the name is taken."""
+    jvm = spark.sparkContext._jvm
+    aside = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    f, tmp = _fs(spark, aside)
+    out = f.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    done = jvm.org.apache.hadoop.fs.Path(path)
+    if not f.exists(done) and f.rename(tmp, done):
+        return True
+    f.delete(tmp, False)
+    return False
+
+
+def read_text(spark: SparkSession, path: str) -> str:
     f, p = _fs(spark, path)
-    f.create(p, True).close()
+    src = f.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(src)).decode()
+    finally:
+        src.close()

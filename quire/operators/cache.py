@@ -27,6 +27,7 @@ AGENT_CACHE_SCHEMA = ("url string, parser_type string, agent_pipeline string, ou
 # way is cached with its last good text (as the original does) and marked
 # 'failed', so a run may choose not to serve it.
 AGENT_CACHE_STORED = AGENT_CACHE_SCHEMA + ", status string"
+TEXTS = ("description", "media")  # item columns that only the parsers read
 KNOWN_PARSERS = ("web", "telegram", "youtube")
 
 
@@ -59,56 +60,46 @@ def decode(output_data, parser_type) -> Column:
     return F.when(ok, rendered)
 
 
-def lookup(keys: DataFrame, parser_cache: DataFrame, agent_cache: DataFrame) -> DataFrame:
-    """keys(link, parser, pipeline) -> + agent_hit, agent_out, parser_hit, parser_out.
-
-    An agent hit needs a non-empty pipeline; an empty stored string still is a hit.
-    A parser hit whose payload cannot be decoded is a hit for access time but
-    yields no content (parser_out NULL), so the item is parsed again.
-    """
-    a = agent_cache.select(F.col("url").alias("link"), F.col("parser_type").alias("parser"),
-                           F.col("agent_pipeline").alias("pipeline"),
-                           F.col("output_data").alias("agent_out"), F.lit(True).alias("agent_hit"))
-    p = parser_cache.select(F.col("url").alias("link"), F.col("parser_type").alias("parser"),
-                            F.col("output_data").alias("_payload"), F.lit(True).alias("parser_hit"))
-    k = keys.select("link", "parser", "pipeline")
-    j = (k.join(a, ["link", "parser", "pipeline"], "left")
-         .withColumn("agent_hit", F.coalesce("agent_hit", F.lit(False)) & (F.col("pipeline") != ""))
-         .withColumn("agent_out", F.when(F.col("agent_hit"), F.col("agent_out"))))
-    j = (j.join(p, ["link", "parser"], "left")
-         .withColumn("parser_hit", F.coalesce("parser_hit", F.lit(False)) & ~F.col("agent_hit"))
-         .withColumn("parser_out", F.when(F.col("parser_hit"), decode("_payload", "parser")))
-         .drop("_payload"))
-    return j
-
-
 def resolve(items: DataFrame, parser_cache: DataFrame, agent_cache: DataFrame, parse) -> DataFrame:
     """Content cascade: agent cache, else parser cache, else a fresh parse.
 
-    `items` carries link, parser, agents; `parse(df) -> df + fresh` renders the
-    content of keys that missed both caches. One aggregation yields each
-    distinct key with its first item (resource order, then feed order), so a
-    link repeated in the run is looked up and parsed once and its first
-    occurrence serves the later ones. Output adds pipeline, content,
-    content_source and the hit flags.
+    `items` carries link, parser, agents and what `parse` reads;
+    `parse(df) -> df + fresh` renders the content of items whose link missed.
+    An agent hit needs a non-empty pipeline; an empty stored string still is a
+    hit. A parser hit whose payload cannot be decoded counts as an access but
+    yields no content, so the item is parsed again. A (link, parser) is parsed
+    once in a run, whatever agent lists it stands under: its first occurrence
+    (resource order, then feed order) without an agent hit serves the others.
+
+    Keys are found from key columns alone; the item texts are read for the
+    first occurrences that have to be parsed, and do not come out again.
+    Output: the other item columns, pipeline, content, content_source, the hit flags.
     """
     it = items.withColumn("link", T.s("link")).withColumn("pipeline", pipeline_key("agents"))
-    key = ["link", "parser", "pipeline"]
-    cols = [c for c in it.columns if c not in key]
-    firsts = (it.groupBy(*key).agg(F.min_by(F.struct(*cols), F.struct("resource_pos", "item_pos")).alias("_r"))
-              .select(*key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
-    hits = lookup(firsts.select(*key), parser_cache, agent_cache)
-    misses = hits.where(~F.col("agent_hit") & F.col("parser_out").isNull()).select(*key)
-    parsed = parse(firsts.join(misses, key, "left_semi"))
-    parsed = parsed.select(*key, *[c for c in ("fresh", "fresh_payload", "parse_error") if c in parsed.columns])
-    res = (hits.join(parsed, key, "left")
-           .withColumn("content", F.coalesce("agent_out", "parser_out", "fresh"))
-           .withColumn("content_source",
-                       F.when(F.col("agent_out").isNotNull(), "agent_cache")
-                        .when(F.col("parser_out").isNotNull(), "parser_cache")
-                        .when(F.col("fresh").isNotNull(), "parsed")
-                        .otherwise("failed")))
-    return it.join(res, key, "left")
+    pos, page, full = ["resource_pos", "item_pos"], ["link", "parser"], ["link", "parser", "pipeline"]
+    a = agent_cache.where(F.col("agent_pipeline") != "").select(
+        F.col("url").alias("link"), F.col("parser_type").alias("parser"), F.col("agent_pipeline").alias("pipeline"),
+        F.col("output_data").alias("agent_out"), F.lit(True).alias("agent_hit"))
+    p = parser_cache.select(F.col("url").alias("link"), F.col("parser_type").alias("parser"),
+                            F.col("output_data").alias("_payload"), F.lit(True).alias("_stored"))
+    need = it.select(*pos, *full).join(a.select(*full), full, "left_anti").groupBy(*page).agg(F.min(F.struct(*pos)).alias("_first"))
+    looked = need.join(p, page, "left").withColumn("parser_out", F.when(F.col("_stored"), decode("_payload", "parser"))).drop("_payload")
+    missed = looked.where(F.col("parser_out").isNull()).select("_first.*")
+    parsed = parse(it.join(missed, pos, "left_semi"))
+    parsed = parsed.select(*page, *[c for c in ("fresh", "fresh_payload", "parse_error") if c in parsed.columns])
+    served = looked.drop("_first").join(parsed, page, "left")
+    slim = it.drop(*TEXTS)
+    return (slim.join(a, full, "left").join(served, page, "left")
+            .withColumn("agent_hit", F.coalesce("agent_hit", F.lit(False)))
+            .withColumn("parser_hit", F.coalesce("_stored", F.lit(False)) & ~F.col("agent_hit"))
+            .withColumn("parser_out", F.when(~F.col("agent_hit"), F.col("parser_out")))
+            .withColumn("fresh", F.when(~F.col("agent_hit"), F.col("fresh")))
+            .withColumn("content", F.coalesce("agent_out", "parser_out", "fresh"))
+            .withColumn("content_source",
+                        F.when(F.col("agent_hit"), "agent_cache")
+                         .when(F.col("parser_out").isNotNull(), "parser_cache")
+                         .when(F.col("fresh").isNotNull(), "parsed")
+                         .otherwise("failed")).drop("_stored"))
 
 
 # --- writes -----------------------------------------------------------------
@@ -137,7 +128,3 @@ def stats(parser_cache: DataFrame, agent_cache: DataFrame) -> DataFrame:
                     F.coalesce(F.sum("a"), F.lit(0)).cast("long").alias("agent_entries"),
                     F.when(oldest > 0, oldest).alias("oldest_entry"))
 
-
-def clear(cache: DataFrame) -> DataFrame:
-    """Both caches emptied: the next version keeps the schema and no rows."""
-    return cache.where(F.lit(False))

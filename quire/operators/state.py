@@ -3,14 +3,16 @@
 Keyed tables are latest-wins: a change set is unioned with the current rows
 and one row per key survives (`max_by` on a version), which aggregates
 partially map-side, so a hot key never gathers in one task. Tables are kept
-as versioned parquet folders under the shared state root; a new version is
-written next to the one being read and never over it.
+as parquet parts under the shared state root; a run's parts become visible
+together, when its manifest is published, or not at all.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
+import uuid
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,49 +85,120 @@ def feed_lookup(urls: DataFrame, feeds: DataFrame) -> DataFrame:
     return urls.join(feeds, urls["feed_url"] == feeds["url"], "left").drop("url")
 
 
-# --- state tables: append-only parts with a latest-wins view --------------------
+# --- state tables: parts that a commit makes visible -----------------------------
+
+BUCKETS = 16  # folders a keyed table's parts are laid out in, by hash of the first key
+
+
+def bucket_of(key: str | Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(F.col(key) if isinstance(key, str) else key), F.lit(buckets)).cast("int")
+
+
+class Change:
+    """The parts that one run writes; nothing of it is visible before `commit`.
+
+    All tables of a run go into folders of one commit number, which the run's
+    manifest names. A run that dies before its commit leaves folders that no
+    manifest lists, and its repetition overwrites them; a run whose manifest
+    exists is finished and need not write anything.
+    """
+
+    def __init__(self, store: StateStore, run_id: str, n: int, live: dict[str, list[dict]]):
+        self.store, self.run_id, self.n = store, run_id, n
+        self.live = {t: list(parts) for t, parts in live.items()}
+
+    def append(self, table: str, df: DataFrame, bucket_by: str | None = None) -> None:
+        """Add a part; bucket_by: the key by whose hash its rows are laid out."""
+        path = self.store.path(table, self.n)
+        if bucket_by:
+            laid = df.withColumn("_bucket", bucket_of(bucket_by, self.store.buckets))
+            laid.hint("rebalance", F.col("_bucket")).write.mode("overwrite").partitionBy("_bucket").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        self.live[table] = [*self.live.get(table, []), {"n": self.n, "by": bucket_by}]
+
+    def replace(self, table: str, df: DataFrame, bucket_by: str | None = None) -> None:
+        """A part that stands for the whole table from this commit on."""
+        self.append(table, df, bucket_by)
+        self.live[table] = self.live[table][-1:]
+
+    def commit(self, info: dict | None = None) -> None:
+        """Publish the manifest: the one step that makes the parts visible, all or none."""
+        text = json.dumps({"n": self.n, "run": self.run_id, "buckets": self.store.buckets, "live": self.live, "info": info or {}})
+        name = f"{self.n:012d}.{quote(self.run_id, safe='')}"
+        if not fs.publish(self.store.spark, os.path.join(self.store.commits, name), text):
+            raise RuntimeError(f"commit {self.n} exists: another writer used {self.store.root}")
+
 
 class StateStore:
     """Run-state tables under one root (a shared folder on a cluster).
 
-    `<root>/<table>/v=<n>/` holds the rows written by change n, each tagged
-    `_seq = n`. A run appends only the rows it changed; a keyed table is read
-    as the latest row per key (greatest `_seq`), and readers that need a few
-    keys filter before that aggregation. `compact` writes the current view as a
-    new part and marks it as the base (`_BASE`); reads start at the newest
-    base. Parts are never overwritten or deleted while they may be read: a
-    part counts only once its `_SUCCESS` marker exists, so a write that died
-    half-way is ignored and its folder reused. One writer per store at a time.
+    `<root>/<table>/_seq=<n>/` holds what commit n wrote of a table and
+    `<root>/_commits/<n>.<run id>` is its manifest, written last: the live
+    parts of every table after it, and a few figures of the run. Readers take
+    the newest manifest and read the parts it names, nothing else; parts are
+    never changed once a manifest names them. A run appends only the rows it
+    changed; a keyed table is read as the latest row per key (greatest commit).
+    Parts of keyed tables are laid out in buckets by the hash of their key, so
+    a reader of some keys prunes to their folders. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root or session.state_dir(spark)
+        self.commits = os.path.join(self.root, "_commits")
+        last = self._manifest()
+        self.buckets = last["buckets"] if last else buckets
+
+    def path(self, table: str, n: int) -> str:
+        return os.path.join(self.root, table, f"_seq={n}")
+
+    def _names(self) -> list[str]:
+        return sorted(n for n in fs.list_names(self.spark, self.commits) if not n.startswith("."))
+
+    def _manifest(self, name: str | None = None) -> dict | None:
+        names = self._names() if name is None else [name]
+        return json.loads(fs.read_text(self.spark, os.path.join(self.commits, names[-1]))) if names else None
+
+    def committed(self, run_id: str) -> dict | None:
+        """The manifest of a finished run, None when it did not commit."""
+        done = [n for n in self._names() if n.split(".", 1)[1] == quote(run_id, safe="")]
+        return self._manifest(done[-1]) if done else None
+
+    def runs(self) -> list[str]:
+        return [unquote(n.split(".", 1)[1]) for n in self._names()]
 
-    def _dir(self, table: str, n: int | None = None) -> str:
-        d = os.path.join(self.root, table)
-        return d if n is None else os.path.join(d, f"v={n}")
+    def begin(self, run_id: str | None = None) -> Change:
+        last = self._manifest()
+        return Change(self, run_id or uuid.uuid4().hex, last["n"] + 1 if last else 0, last["live"] if last else {})
+
+    def _live(self, table: str) -> list[dict]:
+        last = self._manifest()
+        return last["live"].get(table, []) if last else []
 
     def parts(self, table: str) -> list[int]:
-        out = []
-        for name in fs.list_names(self.spark, self._dir(table)):
-            m = re.fullmatch(r"v=(\d+)", name)
-            if m and fs.exists(self.spark, os.path.join(self._dir(table), name, "_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def _live(self, table: str) -> list[int]:
-        ps = self.parts(table)
-        bases = [p for p in ps if fs.exists(self.spark, os.path.join(self._dir(table, p), "_BASE"))]
-        return [p for p in ps if p >= bases[-1]] if bases else ps
+        """Commit numbers of the live parts."""
+        return [p["n"] for p in self._live(table)]
+
+    def live_parts(self, table: str) -> int:
+        return len(self._live(table))
+
+    def _scan(self, table: str, schema: str, parts: list[dict]) -> DataFrame:
+        """Rows of some parts with `_seq`, and `_bucket` when they have one."""
+        frames = []
+        for bucketed in (True, False):
+            dirs = [self.path(table, p["n"]) for p in parts if bool(p["by"]) == bucketed]
+            if dirs:
+                full = f"{schema}, _seq long" + ", _bucket int" * bucketed
+                df = self.spark.read.schema(full).option("basePath", os.path.join(self.root, table)).parquet(*dirs)
+                frames.append(df if bucketed else df.withColumn("_bucket", F.lit(None).cast("int")))
+        if not frames:
+            return self.spark.createDataFrame([], f"{schema}, _seq long, _bucket int")
+        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
     def rows(self, table: str, schema: str) -> DataFrame:
         """Every live row, with its `_seq`."""
-        live = self._live(table)
-        full = f"{schema}, _seq long"
-        if not live:
-            return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(*[self._dir(table, p) for p in live])
+        return self._scan(table, schema, self._live(table)).drop("_bucket")
 
     def read(self, table: str, schema: str, keys: list[str] | None = None) -> DataFrame:
         """The table as of now: latest row per key, or every row of an append-only table."""
@@ -134,37 +207,50 @@ class StateStore:
             r = latest_wins(r, keys, ["_seq"])
         return r.drop("_seq")
 
-    def read_for(self, table: str, schema: str, keys: list[str], wanted: DataFrame) -> DataFrame:
-        """Latest rows of the keys present in `wanted` only: the semi join (a
-        broadcast when `wanted` is small enough) filters before the aggregation."""
-        from quire.session import bounded_broadcast
-        r = self.rows(table, schema).join(bounded_broadcast(wanted.select(*keys).distinct()), keys, "left_semi")
-        return latest_wins(r, keys, ["_seq"]).drop("_seq")
-
-    def _next(self, table: str) -> int:
-        ps = fs.list_names(self.spark, self._dir(table))
-        nums = [int(m.group(1)) for m in (re.fullmatch(r"v=(\d+)", n) for n in ps) if m]
-        done = self.parts(table)
-        # reuse a folder left without _SUCCESS by a failed write, else take the next number
-        return max(done) + 1 if done else (min(nums) if nums else 0)
-
-    def append(self, table: str, df: DataFrame) -> int:
-        n = self._next(table)
-        df.withColumn("_seq", F.lit(n).cast("long")).write.mode("overwrite").parquet(self._dir(table, n))
-        return n
+    def read_for(self, table: str, schema: str, keys: list[str], wanted: DataFrame, key: str | None = None) -> DataFrame:
+        """The latest row of each of `keys` whose `key` (default: the first) is in `wanted`.
 
-    def live_parts(self, table: str) -> int:
-        return len(self._live(table))
-
-    def maybe_compact(self, table: str, schema: str, keys: list[str] | None, max_parts: int) -> bool:
-        """Fold the table into one base part once it has more than `max_parts` live parts."""
+        First the key columns alone are read, from the buckets of the wanted
+        keys, and tell which commit holds each key's latest row; then the
+        other columns are read from those buckets of those commits.
+        """
+        key = key or keys[0]
+        live = self._live(table)
+        if not live:
+            return self.spark.createDataFrame([], schema)
+        names = {p.split()[0]: " ".join(p.split()[1:]) for p in schema_parts(schema)}
+        want = wanted.select(key).distinct()
+        buckets = [r.b for r in want.select(bucket_of(key, self.buckets).alias("b")).distinct().collect()]  # no more than there are buckets
+        near = F.col("_bucket").isNull() | F.col("_bucket").isin(buckets)
+        found = self._scan(table, ", ".join(f"{k} {names[k]}" for k in keys), live).where(near).join(
+            session.bounded_broadcast(want), key, "left_semi")
+        latest = session.materialize(found.groupBy(*keys).agg(F.max("_seq").alias("_seq")))
+        used = {r[0] for r in latest.select("_seq").distinct().collect()}  # no more than there are live parts
+        rows = self._scan(table, schema, [p for p in live if p["n"] in used]).where(near)
+        return rows.join(session.bounded_broadcast(latest), [*keys, "_seq"]).select(*names)
+
+    def append(self, table: str, df: DataFrame, bucket_by: str | None = None) -> int:
+        """A commit of one part."""
+        change = self.begin()
+        change.append(table, df, bucket_by)
+        change.commit()
+        return change.n
+
+    def compact(self, table: str, df: DataFrame, bucket_by: str | None = None) -> int:
+        """A commit that makes `df` (usually `read(...)` of the table) the whole table."""
+        change = self.begin()
+        change.replace(table, df, bucket_by)
+        change.commit()
+        return change.n
+
+    def maybe_compact(self, table: str, schema: str, keys: list[str] | None, max_parts: int, bucket_by: str | None = None) -> bool:
+        """Fold the table into one part once it has more than `max_parts` live parts."""
         if self.live_parts(table) <= max_parts:
             return False
-        self.compact(table, self.read(table, schema, keys))
+        self.compact(table, self.read(table, schema, keys), bucket_by)
         return True
 
-    def compact(self, table: str, df: DataFrame) -> int:
-        """Write `df` (usually `read(...)` of the table) as the new base."""
-        n = self.append(table, df)
-        fs.touch(self.spark, os.path.join(self._dir(table, n), "_BASE"))
-        return n
+
+def schema_parts(schema: str) -> list[str]:
+    """Columns of a flat DDL string."""
+    return [p.strip() for p in schema.split(",")]

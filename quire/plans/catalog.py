@@ -731,3 +731,81 @@ def stream_marks_keyed(spark, sf_dir):
     q.awaitTermination()
     passed = spark.read.schema("feed_url string, event_id long, ts long").parquet(out)
     return INC.new_marks(passed)
+
+
+# --- whole runs: a stream of commits, errors by stage (K1, K3, K5, S10, S13, A12, D2) ------
+
+from quire.plans import run as RUN  # noqa: E402
+from quire.streaming import runs as SRUN  # noqa: E402
+
+SLICES = 3
+
+
+def _landed_slices(items: DataFrame):
+    """The items in the order they land: slices by position; some come one slice late."""
+    lo, hi = items.agg(F.min("item_pos"), F.max("item_pos")).first()
+    width = (hi - lo) // SLICES + 1
+    late = F.when(F.col("item_pos") % 17 == 5, 1).otherwise(0)
+    return items.withColumn("slice", F.least(F.lit(SLICES - 1), F.floor((F.col("item_pos") - lo) / width) + late).cast("int"))
+
+
+@register("stream_run_pages", f"""WITH d AS ({O.resource_decided()}), {O.RESOURCES},
+w AS (SELECT min(doc_id) AS lo, (max(doc_id) - min(doc_id)) // {SLICES} + 1 AS width FROM documents),
+k AS (SELECT d.*, r.parser, least({SLICES - 1}, (item_pos - lo) // width + CASE WHEN item_pos % 17 = 5 THEN 1 ELSE 0 END) AS slice
+      FROM d JOIN resources r USING (resource_pos), w WHERE reason IS NULL AND coalesce(d.enabled, TRUE)),
+m AS (SELECT *, max(ts) OVER (PARTITION BY resource_pos ORDER BY slice RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM k)
+SELECT resource_pos, item_pos, title, link, substr(sha256(link), 1, 16) AS page_id, {O.fresh()} AS content
+FROM m WHERE NOT coalesce(ts > 0 AND ts <= coalesce(mark, 0), FALSE)""")
+def stream_run_pages(spark, sf_dir):
+    """Whole runs over a stream of items, one commit a batch: the pages that the committed batches delivered.
+
+    Items that arrive late, at or below the mark their feed has by then, are skipped.
+    """
+    root = os.path.join(SESSION.checkpoint_dir(spark), f"runs-{uuid.uuid4().hex}")
+    docs = S.read(spark, sf_dir, "documents")
+    items = _landed_slices(S.items_from_documents(docs))
+    store = ST.StateStore(spark, os.path.join(root, "state"))
+    landing = os.path.join(root, "landing")
+    opts = RUN.RunOptions(now=RUN_TIME, out_dir=os.path.join(root, "out"), keep_pages=True)
+    resources = SESSION.materialize(S.resources_from_documents(docs))
+    for k in range(SLICES):  # a slice lands, the stream takes it up as one batch
+        items.where(F.col("slice") == k).drop("slice").write.parquet(os.path.join(landing, f"slice={k}"))
+        stream = spark.readStream.schema(items.drop("slice").schema).parquet(landing).drop("slice")
+        q, _ = SRUN.run(spark, stream, resources, _rule_sets(), store, opts, os.path.join(root, "checkpoint"))
+        q.awaitTermination()
+    return store.read("pages", RUN.PAGES_SCHEMA).select("resource_pos", "item_pos", "title", "link", "page_id", "content")
+
+
+def _landed_pages(spark, sf_dir):
+    """Fetched pages of the item links: one in four was not landed, one in four has no main content."""
+    d = F.col("item_pos")
+    body = F.when(d % 4 == 1, F.lit("<article> </article>")).otherwise(
+        F.concat(F.lit("<article><p>"), FD.xml_escape("description"), F.lit("</p></article>")))
+    return _items(spark, sf_dir).where(d % 4 != 0).select(
+        F.col("link").alias("url"), F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("html"))
+
+
+@register("run_errors", f"""WITH d AS ({O.resource_decided()}), {O.RESOURCES},
+bad AS (SELECT doc_id FROM labels WHERE toxic = 1),
+i AS (SELECT d.*, r.parser, array_to_string(r.agents, ',') AS pipeline FROM d JOIN resources r USING (resource_pos)
+      WHERE coalesce(d.enabled, TRUE) AND item_pos NOT IN (SELECT doc_id FROM bad)),
+k AS (SELECT *, parser = 'web' AND item_pos % 4 IN (0, 1) AS unread FROM i WHERE reason IS NULL)
+SELECT 'rejected' AS kind, count(*) AS n FROM i WHERE reason IS NOT NULL
+UNION ALL SELECT 'errors_fetch', count(*) FROM bad JOIN documents USING (doc_id)
+UNION ALL SELECT 'errors_parse', count(*) FROM k WHERE unread
+UNION ALL SELECT 'errors_agent', count(*) FROM k WHERE NOT unread AND pipeline <> ''
+          AND (pipeline = 'summary,format' OR contains(description, 'License'))
+UNION ALL SELECT 'pages', count(*) FROM k WHERE NOT unread""")
+def run_errors(spark, sf_dir):
+    """A run over landed feeds, pages and agents: rejections, pages and errors of each stage, counted as they are written."""
+    _, parsed, broken = FD.parse(_feed_documents(spark, sf_dir))
+    items = parsed.select(S.source_number("feed_title").alias("resource_pos"), F.col("guid").cast("long").alias("item_pos"),
+                          "title", "link", "description", "published", "guid")
+    docs = S.read(spark, sf_dir, "documents")
+    store = RUN.state_store(spark, f"errors-{uuid.uuid4().hex}")
+    opts = RUN.RunOptions(now=RUN_TIME, make_registry=EN.stand_in_registry, policy=FAST_RETRY)
+    unread = broken.select(F.lit(None).cast("int").alias("resource_pos"), "message")
+    res = RUN.run_once(spark, items, S.resources_from_documents(docs), _rule_sets(), store, opts,
+                       parse=CT.parse_with_pages(_landed_pages(spark, sf_dir)), fetch_errors=unread)
+    return SESSION.local_table(spark, [(k, res.info[k]) for k in ("rejected", "errors_fetch", "errors_parse", "errors_agent", "pages")],
+                               "kind string, n long")

@@ -1,8 +1,9 @@
 """One digest run as a Spark job: skip, filter, resolve content, enrich, assemble, commit.
 
-Order of writes: digest lines, then caches, then feed table, then history;
-the history append is the commit point of the run (a run that dies before it
-is simply repeated: items are skipped only by committed marks).
+Order of writes: digest lines and the parts of every state table, then the
+run's manifest, which makes all of them count at once. A run that dies before
+its manifest leaves nothing that is ever read and is simply repeated; a run
+whose manifest exists (a replayed micro-batch) writes nothing.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 import logging
 import os
 import time
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
@@ -30,6 +32,21 @@ log = logging.getLogger(__name__)
 
 HISTORY_SCHEMA = "id long, feed_url string, last_processed_at long, created_at long"
 FEED_SCHEMA = "url string, title string, last_processed_at long"
+REJECTED_SCHEMA = "run string, resource_pos int, item_pos long, link string, reason string"
+ERRORS_SCHEMA = "run string, resource_pos int, item_pos long, stage string, message string"
+PAGES_SCHEMA = "run string, resource_pos int, item_pos long, title string, link string, content string, page_id string, published timestamp"
+PARSER_ACCESS = "url string, parser_type string, accessed_at long"
+AGENT_ACCESS = "url string, parser_type string, agent_pipeline string, accessed_at long"
+PARSER_KEYS, AGENT_KEYS = ["url", "parser_type"], ["url", "parser_type", "agent_pipeline"]
+# table: schema, keys of its latest row (None: every row counts), key its parts are laid out by
+TABLES = {
+    "parser_cache": (C.PARSER_CACHE_SCHEMA, PARSER_KEYS, "url"),
+    "agent_cache": (C.AGENT_CACHE_STORED, AGENT_KEYS, "url"),
+    "parser_cache_access": (PARSER_ACCESS, PARSER_KEYS, None),
+    "agent_cache_access": (AGENT_ACCESS, AGENT_KEYS, None),
+    "feed": (FEED_SCHEMA, ["url"], None),
+    "history": (HISTORY_SCHEMA, None, None),
+}
 
 
 @dataclass
@@ -45,11 +62,17 @@ class RunOptions:
     make_registry: object = None          # () -> {name: callable}; None = no agents available
     agent_partitions: int | None = None   # bound on concurrent agent calls
     max_parts: int = 32                   # compact a state table beyond this many live parts
-    reuse_failed_agents: bool = True      # serve cached outputs of chains that failed part way
+    reuse_failed_agents: bool = True      # serve cached outputs of chains that failed or skipped a name
+    run_id: str | None = None             # a run of an id that has committed is not repeated
+    keep_pages: bool = False              # also store the pages of the digest as rows
 
 
 @dataclass
 class RunResult:
+    """Frames of a run that was carried out; of a replayed one only what its manifest says."""
+    run_id: str = ""
+    info: dict = field(default_factory=dict)  # figures of the run: pages, rejected, errors by stage
+    replayed: bool = False
     pages: DataFrame | None = None
     rejected: DataFrame | None = None
     errors: DataFrame | None = None
@@ -58,25 +81,34 @@ class RunResult:
     digest_path: str | None = None
 
 
+def clean(store: ST.StateStore, run_id: str) -> None:
+    """Both caches emptied (D6): empty parts stand for all earlier ones."""
+    change = store.begin(run_id)
+    for table in ("parser_cache", "agent_cache", "parser_cache_access", "agent_cache_access"):
+        schema, _, by = TABLES[table]
+        change.replace(table, store.spark.createDataFrame([], schema), by)
+    change.commit()
+
+
 def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_sets: dict,
-             store: ST.StateStore, opts: RunOptions = RunOptions(), parse=CT.parse_landed) -> RunResult:
+             store: ST.StateStore, opts: RunOptions = RunOptions(), parse=CT.parse_landed,
+             fetch_errors: DataFrame | None = None) -> RunResult:
     """items(resource_pos, item_pos, title, link, description, published, guid[, media]),
-    resources(resource_pos, feed_url, feed_title, parser, type, agents, enabled, filters)."""
+    resources(resource_pos, feed_url, feed_title, parser, type, agents, enabled, filters),
+    fetch_errors(resource_pos, message): sources that could not be read, with the run's other errors."""
     now = int(opts.now if opts.now is not None else time.time())
-    pk, ak = ["url", "parser_type"], ["url", "parser_type", "agent_pipeline"]
-    if opts.clean:  # D6: an empty base hides every earlier part
-        store.compact("parser_cache", spark.createDataFrame([], C.PARSER_CACHE_SCHEMA))
-        store.compact("parser_cache_access", spark.createDataFrame([], "url string, parser_type string, accessed_at long"))
-        store.compact("agent_cache_access", spark.createDataFrame(
-            [], "url string, parser_type string, agent_pipeline string, accessed_at long"))
-        store.compact("agent_cache", spark.createDataFrame([], C.AGENT_CACHE_STORED))
-        return RunResult()
-    history = store.read("history", HISTORY_SCHEMA)
-    if opts.regenerate:  # D7 rewrites the (small) history once, as a new base
-        store.compact("history", ST.delete_latest_generation(history))
-        history = store.read("history", HISTORY_SCHEMA)
-
+    run_id = opts.run_id or f"{now}-{uuid.uuid4().hex}"
+    done = store.committed(run_id)
+    if done:
+        return RunResult(run_id, done["info"], True, digest_path=done["info"].get("digest"))
+    if opts.clean:
+        clean(store, run_id)
+        return RunResult(run_id)
     CFG.validate(spark, resources)
+    change = store.begin(run_id)
+    history = store.read("history", HISTORY_SCHEMA)
+    if opts.regenerate:  # D7: the newest run's rows go, in the commit of this run
+        history = materialize(ST.delete_latest_generation(history))
     res = CFG.enabled(resources)
     res_cols = bounded_broadcast(res.select("resource_pos", "feed_url", "feed_title", "parser", "agents"))
     it = items.join(res_cols, "resource_pos").withColumn("ts", T.unix_ts("published"))
@@ -89,13 +121,12 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     kept = decided.where("include").drop("include", "reason")
 
     # content: caches, fresh parse, agents (J3-J6, E3). Only the cache rows of this
-    # run's links enter the latest-wins view.
+    # run's links are looked up, and only their buckets are read.
     run_links = kept.select(T.s("link").alias("url")).distinct()
-    pc = store.read_for("parser_cache", C.PARSER_CACHE_SCHEMA, ["url"], run_links)
-    ac = store.read_for("agent_cache", C.AGENT_CACHE_STORED, ["url"], run_links)
+    pc = store.read_for("parser_cache", C.PARSER_CACHE_SCHEMA, PARSER_KEYS, run_links)
+    ac = store.read_for("agent_cache", C.AGENT_CACHE_STORED, AGENT_KEYS, run_links)
     if not opts.reuse_failed_agents:
-        ac = ac.where(F.coalesce(F.col("status"), F.lit("ok")) != "failed")
-    # resolved content feeds the marks, agents, digest, errors and both cache writes
+        ac = ac.where(F.coalesce(F.col("status"), F.lit("ok")) == "ok")
     casc = materialize(C.resolve(kept, pc, ac, parse))
     # every kept item moves its feed's mark, parsed or not (A1)
     marks = (casc.groupBy("resource_pos", "feed_url", "feed_title").agg(F.max("ts").alias("last_processed_at"))
@@ -104,20 +135,14 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     registry = opts.make_registry or (lambda: {})
     enriched = EN.enrich(todo.select("link", "parser", "pipeline", "agents", "content").distinct(),
                          registry, opts.policy, partitions=opts.agent_partitions)
-    enriched = materialize(enriched)  # agent calls are not repeated on recomputation
-    resolved = (casc.join(enriched.select("link", "parser", "pipeline", "enriched", "agent_status", "agent_errors"),
-                          ["link", "parser", "pipeline"], "left")
-                .withColumn("final", F.coalesce("enriched", "content")))
+    # written once: agent calls are not repeated by the pages, the errors, the digest and the caches
+    resolved = materialize(casc.join(enriched.select("link", "parser", "pipeline", "enriched", "agent_status", "agent_errors"),
+                                     ["link", "parser", "pipeline"], "left").withColumn("final", F.coalesce("enriched", "content")))
 
     pages = (resolved.where(F.col("final").isNotNull())
              .select("resource_pos", "item_pos", "title", "link", F.col("final").alias("content"),
                      T.page_id("link").alias("page_id"), "published"))
-    errors = (resolved.where(F.col("content_source") == "failed")
-              .select("resource_pos", "item_pos", F.lit("parse").alias("stage"),
-                      F.coalesce(F.col("parse_error") if "parse_error" in resolved.columns else F.lit(None),
-                                 F.lit("parse failed")).alias("message"))
-              .unionByName(resolved.select("resource_pos", "item_pos", F.lit("agent").alias("stage"),
-                                           F.explode("agent_errors").alias("message"))))
+    errors = run_errors(resolved, fetch_errors)
 
     digest_path = None
     if opts.out_dir:
@@ -125,44 +150,79 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
         lines = DG.digest_lines(pages, res.select("resource_pos", "feed_title"), escape=opts.escape)
         digest_path = DG.write_digest(lines, opts.out_dir, run_date, opts.title)
 
+    # the run's report: its figures are counted while the rows are written
+    run = F.lit(run_id).alias("run")
+    info = observed_append(change, "rejected", rejected.select(run, "*"), [F.count(F.lit(1)).alias("rejected")])
+    info |= observed_append(change, "errors", errors.select(run, "*"), [
+        F.count_if(F.col("stage") == stage).alias(f"errors_{stage}") for stage in STAGES])
+    if opts.keep_pages:
+        change.append("pages", pages.select(run, "*"))
+
     # caches (D3, D4, D5): new outputs are appended as full rows; a hit appends only
-    # (key, accessed_at) to the table's access log, never the payload again
-    hit_p = resolved.where("parser_hit").select(F.col("link").alias("url"), F.col("parser").alias("parser_type"))
-    fresh = resolved.where(F.col("content_source") == "parsed").select(
-        F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("fresh_payload").alias("output_data"))
-    store.append("parser_cache", C.put(pc.where(F.lit(False)), fresh.distinct(), pk, now))
-    store.append("parser_cache_access", hit_p.distinct().withColumn("accessed_at", F.lit(now).cast("long")))
-    hit_a = resolved.where("agent_hit").select(F.col("link").alias("url"), F.col("parser").alias("parser_type"),
-                                               F.col("pipeline").alias("agent_pipeline"))
+    # (key, accessed_at) to the table's access log, never the payload again. The marks
+    # are counted with them.
+    stamped = F.lit(now).cast("long")
+    page_key = (F.col("link").alias("url"), F.col("parser").alias("parser_type"))
+    agent_key = (*page_key, F.col("pipeline").alias("agent_pipeline"))
+    fresh = resolved.where(F.col("content_source") == "parsed").select(*page_key, F.col("fresh_payload").alias("output_data"))
+    change.append("parser_cache", C.put(pc.where(F.lit(False)), fresh.distinct(), PARSER_KEYS, now), "url")
+    change.append("parser_cache_access", resolved.where("parser_hit").select(*page_key).distinct().withColumn("accessed_at", stamped))
+    # a chain that skipped an unknown name is not finished
+    status = F.when((F.col("agent_status") == "ok") & (F.size("agent_errors") > 0), "incomplete").otherwise(F.col("agent_status"))
     agent_rows = resolved.where(F.col("enriched").isNotNull()).select(
-        F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.col("pipeline").alias("agent_pipeline"),
-        F.col("enriched").alias("output_data"), F.col("agent_status").alias("status")).distinct()
-    store.append("agent_cache", C.put(ac.where(F.lit(False)), agent_rows, ak, now))
-    store.append("agent_cache_access", hit_a.distinct().withColumn("accessed_at", F.lit(now).cast("long")))
+        *agent_key, F.col("enriched").alias("output_data"), status.alias("status")).distinct()
+    change.append("agent_cache", C.put(ac.where(F.lit(False)), agent_rows, AGENT_KEYS, now), "url")
+    change.append("agent_cache_access", resolved.where("agent_hit").select(*agent_key).distinct().withColumn("accessed_at", stamped))
 
-    # marks (A1, D1, D2); include-all writes none; the history part is the commit point
+    # marks (A1, D1, D2); include-all writes none
+    new = None
     if not opts.include_all and marks.take(1):
         new_feeds = ST.latest_wins(marks.select(F.col("feed_url").alias("url"), F.col("feed_title").alias("title"),
                                                 "last_processed_at", "resource_pos"), ["url"], ["resource_pos"])
-        store.append("feed", new_feeds.select("url", "title", "last_processed_at"))
+        change.append("feed", new_feeds.select("url", "title", "last_processed_at"))
         base = history.agg(F.max("id")).first()[0] or 0
-        store.append("history", ST.history_rows(marks, now, base))
-    # keep reads short: fold long part chains into a base (rare; costs one rewrite)
-    access_p = "url string, parser_type string, accessed_at long"
-    access_a = "url string, parser_type string, agent_pipeline string, accessed_at long"
-    for table, schema, keys in (("parser_cache", C.PARSER_CACHE_SCHEMA, pk), ("agent_cache", C.AGENT_CACHE_STORED, ak),
-                                ("feed", FEED_SCHEMA, ["url"]), ("history", HISTORY_SCHEMA, None)):
-        store.maybe_compact(table, schema, keys, opts.max_parts)
-    for table, schema, keys in (("parser_cache_access", access_p, pk), ("agent_cache_access", access_a, ak)):
-        if store.live_parts(table) > opts.max_parts:
-            latest = store.read(table, schema).groupBy(*keys).agg(F.max("accessed_at").alias("accessed_at"))
-            store.compact(table, latest)
-    stats = C.stats(cache_view(store, "parser_cache", C.PARSER_CACHE_SCHEMA, pk),
-                    cache_view(store, "agent_cache", C.AGENT_CACHE_SCHEMA, ak))
-    return RunResult(pages=pages, rejected=rejected, errors=errors, marks=marks, stats=stats,
+        new = ST.history_rows(marks, now, base)
+    if opts.regenerate:
+        change.replace("history", history if new is None else history.unionByName(new))
+    elif new is not None:
+        change.append("history", new)
+    info["pages"] = pages.count()
+    if digest_path:
+        info["digest"] = digest_path
+    change.commit(info)
+
+    # keep reads short: fold long part chains into one part (rare; costs one rewrite)
+    for table, (schema, keys, by) in TABLES.items():
+        store.maybe_compact(table, schema, keys, opts.max_parts, by)
+    stats = C.stats(cache_view(store, "parser_cache", C.PARSER_CACHE_SCHEMA, PARSER_KEYS),
+                    cache_view(store, "agent_cache", C.AGENT_CACHE_SCHEMA, AGENT_KEYS))
+    return RunResult(run_id, info, pages=pages, rejected=rejected, errors=errors, marks=marks, stats=stats,
                      digest_path=digest_path)
 
 
+STAGES = ("fetch", "parse", "agent")
+
+
+def run_errors(resolved: DataFrame, fetch_errors: DataFrame | None = None) -> DataFrame:
+    """(resource_pos, item_pos, stage, message): sources not read, items not parsed, agents that failed or are unknown."""
+    said = F.col("parse_error") if "parse_error" in resolved.columns else F.lit(None).cast("string")
+    out = (resolved.where(F.col("content_source") == "failed")
+           .select("resource_pos", "item_pos", F.lit("parse").alias("stage"), F.coalesce(said, F.lit("parse failed")).alias("message"))
+           .unionByName(resolved.select("resource_pos", "item_pos", F.lit("agent").alias("stage"),
+                                        F.explode("agent_errors").alias("message"))))
+    if fetch_errors is not None:
+        out = out.unionByName(fetch_errors.select("resource_pos", F.lit(None).cast("long").alias("item_pos"),
+                                                  F.lit("fetch").alias("stage"), "message"))
+    return out
+
+
+def observed_append(change: ST.Change, table: str, rows: DataFrame, counts: list) -> dict:
+    """Append rows to a state table; the counts are taken on their way to the files."""
+    seen = Observation(uuid.uuid4().hex)
+    change.append(table, rows.observe(seen, *counts))
+    return dict(seen.get)
+
+
 def cache_view(store: ST.StateStore, table: str, schema: str, keys: list[str]) -> DataFrame:
     """A cache table as of now: latest row per key with its latest access time."""
     rows = store.read(table, schema, keys)

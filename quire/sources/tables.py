@@ -34,7 +34,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source_number(source) -> F.Column:
-    return F.regexp_extract(T._c(source), r"(\d+)$", 1).cast("int")
+    return F.regexp_extract(T._c(source), r"(\d+)$", 1).try_cast("int")
 
 
 def items_from_documents(docs: DataFrame) -> DataFrame:

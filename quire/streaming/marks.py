@@ -4,21 +4,17 @@ Each micro-batch is one run: items meet the current feed table (stream-static
 join), items at or below their feed's mark are dropped (there is no watermark
 delay: the mark is per feed and exact to the second), the new marks are
 upserted into the feed table and appended to the history under the batch id.
-`foreachBatch` may replay a batch after a failure; the feed changes are
-appended (the latest part wins, and a replay carries the same marks) and the
-history rows of a batch go to a folder named by its id, so a replay rewrites
-the same rows.
+`foreachBatch` may replay a batch after a failure; the batch is the id of one
+commit of both tables, so a batch that has committed is not run again and one
+that has not leaves nothing behind.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import incremental as INC
-from quire import fs
 from quire.session import materialize
 from quire.operators import state as ST
 
@@ -38,12 +34,12 @@ class MarkJob:
         return self.store.read(self.feed_table, FEED_SCHEMA, keys=["url"])
 
     def history(self, spark: SparkSession) -> DataFrame:
-        d = os.path.join(self.store.root, self.history_table)
-        if not fs.exists(spark, d):
-            return spark.createDataFrame([], HISTORY_SCHEMA)
-        return spark.read.schema(HISTORY_SCHEMA).parquet(d)
+        return self.store.read(self.history_table, HISTORY_SCHEMA)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        run_id = f"{self.feed_table}-{batch_id}"
+        if self.store.committed(run_id):
+            return
         marks = self.feed_state().select(F.col("url").alias("feed_url"), "last_processed_at")
         passed = INC.skip_processed(batch, marks)
         new = materialize(INC.new_marks(passed))  # lineage cut under spark.checkpoint.dir
@@ -52,10 +48,11 @@ class MarkJob:
         created = int(batch.agg(F.max("ts")).first()[0] or 0)
         hist = new.select((F.lit(batch_id) * (1 << 32) + F.monotonically_increasing_id()).alias("id"),
                           "feed_url", "last_processed_at", F.lit(created).cast("long").alias("created_at"))
-        # a replayed batch rewrites its own folder and re-appends the same marks
-        hist.write.mode("overwrite").parquet(os.path.join(self.store.root, self.history_table, f"batch_id={batch_id}"))
-        self.store.append(self.feed_table, new.select(F.col("feed_url").alias("url"),
-                                                      F.col("feed_url").alias("title"), "last_processed_at"))
+        change = self.store.begin(run_id)
+        change.append(self.history_table, hist)
+        change.append(self.feed_table, new.select(F.col("feed_url").alias("url"),
+                                                  F.col("feed_url").alias("title"), "last_processed_at"))
+        change.commit()
 
 
 def run(spark: SparkSession, items: DataFrame, store: ST.StateStore, checkpoint: str,
