@@ -109,6 +109,16 @@ def apply_rules(items: DataFrame, names: list[str], rule_sets: dict[str, RuleSet
             .withColumn("include", F.col("reason").isNull()).drop("_ftext", "_words"))
 
 
+def pattern_matches(texts: DataFrame, patterns: list[str], text: str = "text") -> DataFrame:
+    """(columns but the text, pattern_no): the patterns that each text matches; refused patterns match nothing.
+
+    One pass over the texts, all patterns in one projection.
+    """
+    valid = [(i, java) for i, p in enumerate(patterns) for _, java in R.compile_patterns("patterns", [p])]
+    hits = F.filter(F.array(*[F.when(T.s(text).rlike(java), F.lit(i)) for i, java in valid]), lambda x: x.isNotNull())
+    return texts.select(*[c for c in texts.columns if c != text], F.explode(hits).alias("pattern_no"))
+
+
 def resource_filter_lists(resources: DataFrame, max_lists: int = 10_000) -> list[list[str]]:
     """Distinct filter lists of the configuration (a small, bounded table)."""
     rows = resources.select("filters").distinct().limit(max_lists + 1).collect()

@@ -81,6 +81,25 @@ def rule_checks(spark, sf_dir):
                     T.has_paragraphs(t).alias("paragraphs"))
 
 
+# Patterns over what the two dialects read differently.
+DIALECT = [
+    r"the(?i) [A-F]", r"[?+]", r"\++", r"\x{1F600}|\x2e", r"\Q$\E[0-9]", r"\Qa.b\E|\Q(\E[a-z]+\Q)", r"(?m:^[A-Z][a-z]+ [a-z]+.$)",
+    r"(?m:^a)|[.]$", r"(?U)a.+e{1,2}", r"\bla\b", r"\Bing\b", r"[[:punct:]]{2}", r"\p{Lu}\p{Ll}+ \p{Lu}", r"[^[:ascii:]]",
+    r"(?s)License.*[.]", r"License.*[.]", r"\s$", r"(?i)É|ß|ſ", r"[\d\-]{5,}", r"\A\w+\b", r"x{0,3}y{1}", r"(?P<y>20[0-9]{2})",
+    r"[a-c&&[b]]", r"[^\S\n]{2}", r"(?i:[k-m]{2})(?-i)[A-C]?Z", r"e{,2}|\w\x{A}$", r"[]a]b", r"(?i)[^\W_]+[^[:^digit:]]", r"\PL\pN{2}\PL",
+    r"a++", r"(?=x)", r"\1", r"a{2000}",
+]
+
+
+@register("pattern_matches", "\nUNION ALL ".join(
+    f"SELECT doc_id, {i} AS pattern_no FROM documents WHERE regexp_matches(coalesce(text, ''), {O._q(p)})"
+    for i, p in enumerate(DIALECT[:-4])))
+def pattern_matches(spark, sf_dir):
+    """Patterns in the RE2 dialect over every document: each pattern that a text matches (refused ones match none)."""
+    docs = S.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.pattern_matches(docs, DIALECT)
+
+
 @register("kept_pages", f"""
 WITH d AS ({O.resource_decided()})
 SELECT resource_pos, item_pos, title, link, substr(sha256(link), 1, 16) AS page_id
