@@ -7,6 +7,7 @@ Configuration (the resource and filter tables of the original, plus folders):
     output_directory  = "/shared/digests"
     state_directory   = "/shared/state"       # run history, feed marks, caches
     landing_directory = "/shared/landing"     # what the fetchers land
+    agents = "my.module:make_registry"        # returns {agent name: callable}; needed when a resource names agents
 
     [[resources]]
     feed_url = "https://example.com/feed.xml"
@@ -34,6 +35,7 @@ from __future__ import annotations
 
 import argparse
 import hashlib
+import importlib
 import os
 import tomllib
 
@@ -82,6 +84,14 @@ def resources_frame(spark: SparkSession, conf: dict) -> DataFrame:
     return local_table(spark, rows, RES_SCHEMA)
 
 
+def registry_of(conf: dict):
+    """The function that makes the agents, from `package.module:function`; None when the configuration names none."""
+    if not conf.get("agents"):
+        return None
+    module, _, name = conf["agents"].partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def _landed(spark: SparkSession, path: str) -> bool:
     return fs.exists(spark, path)
 
@@ -179,7 +189,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> R.
     rule_sets = RL.compile_rule_sets(conf.get("filters", {}))
     res = resources_frame(spark, conf)
     opts = R.RunOptions(include_all=a.include_all, regenerate=a.regenerate, clean=a.clean, now=a.now,
-                        out_dir=conf.get("output_directory"))
+                        out_dir=conf.get("output_directory"), make_registry=registry_of(conf), strict_agents=True)
     rss, titles, unread = rss_items(spark, landing, res)
     unread = unread.unionByName(channel_errors(res))
     chan = channel_items(spark, landing, res)

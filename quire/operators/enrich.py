@@ -1,18 +1,24 @@
-"""Agent chains: pluggable batch content transformers with retries.
-
-An agent is a Python callable `content -> content` that raises `AgentError`
-on failure. The whole chain of an item runs in one `mapInPandas` pass (one
-Python boundary), in list order: an unknown name is recorded and skipped, a
-failure is recorded and stops the chain, keeping the last good text.
-Concurrency against a rate-limited API is bounded by the number of
-partitions handed to `enrich`.
+"""Agent chains: pluggable content transformers with retries and deadlines.
+
+An agent is a callable `text -> text`, or one marked with `batch_agent`, which
+takes a list of texts and returns as many. It may fail with any exception.
+The chains of a batch of items run in one `mapInPandas` pass (one Python
+boundary), step by step in list order, and keep the order of the rows: an
+unknown name is recorded and skipped, a failure is recorded and stops the
+item's chain, keeping the last good text. In a task, up to `threads` calls run
+at a time, each in a thread of its own, which is left behind when the call
+outlasts the deadline; so calls against a rate-limited API are bounded by
+`threads` times the partitions handed to `enrich`.
 """
 
 from __future__ import annotations
 
+import queue
 import re
+import threading
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
@@ -40,7 +46,11 @@ Provide your summary below in markdown format:"""
 
 
 class AgentError(Exception):
-    pass
+    """For agents that have nothing more telling to raise; any exception is a failed call."""
+
+
+class OutOfTime(Exception):
+    """The call did not return before its deadline."""
 
 
 @dataclass(frozen=True)
@@ -48,7 +58,15 @@ class RetryPolicy:
     max_retries: int = 10
     initial_backoff: float = 1.0
     max_backoff: float = 30.0
-    timeout: float = 300.0
+    timeout: float = 300.0    # of all tries of a call and the pauses between them
+    threads: int = 4          # calls at a time in a task
+    batch_size: int = 16      # texts handed to a batch agent at once
+
+
+def batch_agent(f: Callable[[list[str]], list[str]]) -> Callable[[list[str]], list[str]]:
+    """Mark an agent that takes a list of texts."""
+    f.takes_batch = True
+    return f
 
 
 def prompt_request(content, template: str = SUMMARY_PROMPT) -> Column:
@@ -87,53 +105,107 @@ def retry_delay(msg: str) -> float:
     return 0.0
 
 
-def call_with_retry(agent: Callable[[str], str], content: str, policy: RetryPolicy,
-                    sleep=time.sleep, clock=time.monotonic) -> tuple[str | None, str | None, int]:
-    """(result, error, attempts). Non-retryable errors fail at once; at most
-    max_retries + 1 tries; no sleep after the last; overall deadline."""
+def _bounded(agent: Callable, content, seconds: float):
+    """agent(content), or OutOfTime after `seconds`; the thread of a call that hangs does not hold up the task."""
+    box: queue.SimpleQueue = queue.SimpleQueue()
+
+    def call() -> None:
+        try:
+            box.put((agent(content), None))
+        except BaseException as e:  # noqa: BLE001 - handed to the caller, whatever it is
+            box.put((None, e))
+
+    threading.Thread(target=call, daemon=True).start()
+    try:
+        result, error = box.get(timeout=max(0.0, seconds))
+    except queue.Empty:
+        raise OutOfTime from None
+    if error is not None:
+        raise error
+    return result
+
+
+def call_with_retry(agent: Callable, content, policy: RetryPolicy, sleep=time.sleep, clock=time.monotonic
+                    ) -> tuple[object | None, str | None, int]:
+    """(result, error, tries). An error that does not ask for a retry ends it at
+    once; at most max_retries + 1 tries, no pause after the last, and nothing
+    goes on beyond the deadline."""
     deadline = clock() + policy.timeout
     last = ""
     for attempt in range(policy.max_retries + 1):
-        if clock() >= deadline:
-            return None, f"operation timed out after {attempt} attempts", attempt
+        left = deadline - clock()
+        if left <= 0:
+            return None, f"deadline of {policy.timeout:g} s passed, tries: {attempt}", attempt
         try:
-            return agent(content), None, attempt + 1
-        except AgentError as e:
-            last = str(e)
-            if not is_retryable(last):
-                return None, f"non-retryable error: {last}", attempt + 1
-            if attempt == policy.max_retries:
-                break
-            pause = min(policy.initial_backoff * 2.0 ** attempt, policy.max_backoff)
-            suggested = retry_delay(last)
-            if suggested > 0:
-                pause = min(suggested, policy.max_backoff)
-            if clock() + pause >= deadline:
-                return None, f"operation cancelled during backoff: {last}", attempt + 1
-            sleep(pause)
-    return None, f"max retries ({policy.max_retries}) exceeded: {last}", policy.max_retries + 1
-
-
-def run_chain(names, registry: dict[str, Callable[[str], str]], content: str,
-              policy: RetryPolicy) -> tuple[str, str, list[str]]:
-    """(final text, status, errors) for one item."""
-    errors: list[str] = []
-    status = "ok"
-    for name in list(names if names is not None else []):
-        agent = registry.get(name)
-        if agent is None:
-            errors.append(f"agent '{name}' not found")
-            continue
-        out, err, _ = call_with_retry(agent, content, policy)
-        if err is not None:
-            errors.append(f"agent '{name}' processing failed: {err}")
-            status = "failed"
+            return _bounded(agent, content, left), None, attempt + 1
+        except OutOfTime:
+            return None, f"no answer within {policy.timeout:g} s, tries: {attempt + 1}", attempt + 1
+        except Exception as e:  # noqa: BLE001 - any error is classified by what it says
+            last = str(e) or type(e).__name__
+        if not is_retryable(last):
+            return None, f"failed for good: {last}", attempt + 1
+        if attempt == policy.max_retries:
             break
-        content = out
-    return content, status, errors
-
-
-def enrich(df: DataFrame, make_registry: Callable[[], dict[str, Callable[[str], str]]],
+        pause = min(retry_delay(last) or policy.initial_backoff * 2.0 ** attempt, policy.max_backoff)
+        if clock() + pause >= deadline:
+            return None, f"no time left to try again: {last}", attempt + 1
+        sleep(pause)
+    return None, f"gave up, tries: {policy.max_retries + 1}: {last}", policy.max_retries + 1
+
+
+def call_all(agent: Callable, contents: list[str], policy: RetryPolicy, pool: ThreadPoolExecutor) -> list[tuple]:
+    """call_with_retry() for each text, in order. A batch agent gets them by batches; those of a failed batch go alone."""
+    if not getattr(agent, "takes_batch", False):
+        return list(pool.map(lambda c: call_with_retry(agent, c, policy), contents))
+
+    def one_batch(texts: list[str]) -> list[tuple]:
+        out, error, tries = call_with_retry(agent, texts, policy)
+        if error is None and len(out) == len(texts):
+            return [(o, None, tries) for o in out]
+        error = error or f"{len(out)} results for {len(texts)} texts"
+        if len(texts) == 1:
+            return [(None, error, tries)]
+        return [r for t in texts for r in one_batch([t])]
+
+    parts = [contents[i:i + policy.batch_size] for i in range(0, len(contents), policy.batch_size)]
+    return [r for part in pool.map(one_batch, parts) for r in part]
+
+
+def run_chains(chains: list, registry: dict[str, Callable], contents: list[str], policy: RetryPolicy
+               ) -> list[tuple[str, str, list[str]]]:
+    """(final text, status, errors) of each item, in order."""
+    chains = [list(c) if c is not None else [] for c in chains]
+    text, status, errors = list(contents), ["ok"] * len(chains), [[] for _ in chains]
+    with ThreadPoolExecutor(policy.threads) as pool:
+        for step in range(max(map(len, chains), default=0)):
+            at: dict[str, list[int]] = {}
+            for i, c in enumerate(chains):
+                if step < len(c) and status[i] == "ok":
+                    at.setdefault(c[step], []).append(i)
+            for name, rows in at.items():
+                if name not in registry:
+                    for i in rows:
+                        errors[i].append(f"no agent named '{name}'")
+                    continue
+                for i, (out, error, _) in zip(rows, call_all(registry[name], [text[i] for i in rows], policy, pool), strict=True):
+                    if error is None:
+                        text[i] = out
+                    else:
+                        errors[i].append(f"agent '{name}': {error}")
+                        status[i] = "failed"
+    return list(zip(text, status, errors, strict=True))
+
+
+def run_chain(names, registry: dict[str, Callable], content: str, policy: RetryPolicy) -> tuple[str, str, list[str]]:
+    """run_chains() for one item."""
+    return run_chains([names], registry, [content], policy)[0]
+
+
+def unknown_agents(named: list[str], registry: dict[str, Callable]) -> list[str]:
+    return sorted(set(named) - set(registry))
+
+
+def enrich(df: DataFrame, make_registry: Callable[[], dict[str, Callable]],
            policy: RetryPolicy = RetryPolicy(), content: str = "content", agents: str = "agents",
            partitions: int | None = None) -> DataFrame:
     """Add `enriched`, `agent_status`, `agent_errors` by running each row's chain.
@@ -146,8 +218,7 @@ def enrich(df: DataFrame, make_registry: Callable[[], dict[str, Callable[[str],
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         registry = make_registry()
         for pdf in batches:
-            res = [run_chain(a, registry, c if isinstance(c, str) else "", policy)
-                   for a, c in zip(pdf[agents], pdf[content])]
+            res = run_chains(list(pdf[agents]), registry, [c if isinstance(c, str) else "" for c in pdf[content]], policy)
             pdf = pdf.copy()
             pdf["enriched"] = [r[0] for r in res]
             pdf["agent_status"] = [r[1] for r in res]

@@ -828,3 +828,58 @@ def run_errors(spark, sf_dir):
                        parse=CT.parse_with_pages(_landed_pages(spark, sf_dir)), fetch_errors=unread)
     return SESSION.local_table(spark, [(k, res.info[k]) for k in ("rejected", "errors_fetch", "errors_parse", "errors_agent", "pages")],
                                "kind string, n long")
+
+
+@register("agent_cache_after_run", f"""WITH d AS ({O.resource_decided()}), {O.RESOURCES},
+k AS (SELECT d.*, r.parser, array_to_string(r.agents, ',') AS pipeline FROM d JOIN resources r USING (resource_pos)
+      WHERE reason IS NULL AND coalesce(d.enabled, TRUE)),
+c AS (SELECT *, {O.fresh()} AS content FROM k WHERE pipeline <> '')
+SELECT link AS url, parser AS parser_type, pipeline AS agent_pipeline,
+       CASE WHEN contains(content, 'License') THEN content ELSE 'summary: ' || content END AS output_data,
+       CASE WHEN contains(content, 'License') THEN 'failed' WHEN pipeline = 'summary,format' THEN 'incomplete' ELSE 'ok' END AS status
+FROM c""")
+def agent_cache_after_run(spark, sf_dir):
+    """The agent cache that a run leaves (D4): finished chains, chains that failed part way, chains that skipped a name."""
+    docs = S.read(spark, sf_dir, "documents")
+    store = RUN.state_store(spark, f"agents-{uuid.uuid4().hex}")
+    opts = RUN.RunOptions(now=RUN_TIME, make_registry=EN.stand_in_registry, policy=FAST_RETRY)
+    RUN.run_once(spark, S.items_from_documents(docs), S.resources_from_documents(docs), _rule_sets(), store, opts)
+    return store.read("agent_cache", C.AGENT_CACHE_STORED, RUN.AGENT_KEYS).select(
+        "url", "parser_type", "agent_pipeline", "output_data", "status")
+
+
+# --- links that several feeds carry (J3-J6, W3, S9) -----------------------------------------
+
+@register("repeated_links", f"""WITH {O.ITEMS}, {O.RESOURCES},
+i AS (SELECT i.* EXCLUDE (link), 'https://example.com/shared/' || item_pos % 97 AS link, item_pos % 97 AS k, r.parser,
+             array_to_string(r.agents, ',') AS pipeline FROM items i JOIN resources r USING (resource_pos)),
+a AS (SELECT *, pipeline = 'summary' AND k % 7 = 0 AS agent_hit, k % 5 = 0 AND parser <> 'youtube' AS stored FROM i),
+f AS (SELECT link, parser, arg_min({O.fresh()}, CAST(resource_pos AS BIGINT) * 1000000000 + item_pos) AS fresh FROM a WHERE NOT agent_hit GROUP BY link, parser)
+SELECT resource_pos, item_pos, link, parser,
+       CASE WHEN agent_hit THEN 'agent_cache' WHEN stored THEN 'parser_cache' ELSE 'parsed' END AS content_source,
+       CASE WHEN agent_hit THEN 'agent ' || link WHEN stored THEN CASE WHEN k % 10 = 0 THEN 'new ' ELSE 'old ' END || link ELSE fresh END AS content
+FROM a LEFT JOIN f USING (link, parser)""")
+def repeated_links(spark, sf_dir):
+    """Items of several feeds and agent lists that share links: stored results by key, and one parse per (link, parser)."""
+    docs = S.read(spark, sf_dir, "documents")
+    res = S.resources_from_documents(docs).select("resource_pos", "parser", "agents")
+    items = S.items_from_documents(docs).withColumn(
+        "link", F.concat(F.lit(S.LINK_BASE + "shared/"), (F.col("item_pos") % 97).cast("string"))).join(res, "resource_pos")
+    items = SESSION.materialize(items)
+    store = RUN.state_store(spark, f"links-{uuid.uuid4().hex}")
+    k = F.regexp_extract("link", r"(\d+)$", 1).cast("int")
+    keys = items.select("link", "parser").distinct().withColumn("k", k)
+    stamps = (F.lit(1).cast("long").alias("created_at"), F.lit(1).cast("long").alias("accessed_at"))
+    for word, every in (("old ", 5), ("new ", 10)):  # two commits; the second stores some links again
+        rows = keys.where((F.col("k") % every == 0) & (F.col("parser") != "youtube")).select(
+            F.col("link").alias("url"), F.col("parser").alias("parser_type"),
+            C.encode_html("parser", F.concat(F.lit(word), F.col("link"))).alias("output_data"), *stamps)
+        store.append("parser_cache", rows, bucket_by="url")
+    stored = keys.where(F.col("k") % 7 == 0).select(
+        F.col("link").alias("url"), F.col("parser").alias("parser_type"), F.lit("summary").alias("agent_pipeline"),
+        F.concat(F.lit("agent "), F.col("link")).alias("output_data"), *stamps, F.lit("ok").alias("status"))
+    store.append("agent_cache", stored, bucket_by="url")
+    links = items.select(F.col("link").alias("url")).distinct()
+    pc = store.read_for("parser_cache", C.PARSER_CACHE_SCHEMA, RUN.PARSER_KEYS, links)
+    ac = store.read_for("agent_cache", C.AGENT_CACHE_STORED, RUN.AGENT_KEYS, links)
+    return C.resolve(items, pc, ac, CT.parse_landed).select("resource_pos", "item_pos", "link", "parser", "content_source", "content")

@@ -63,6 +63,7 @@ class RunOptions:
     agent_partitions: int | None = None   # bound on concurrent agent calls
     max_parts: int = 32                   # compact a state table beyond this many live parts
     reuse_failed_agents: bool = True      # serve cached outputs of chains that failed or skipped a name
+    strict_agents: bool = False           # an enabled resource that names an unknown agent fails the run at its start
     run_id: str | None = None             # a run of an id that has committed is not repeated
     keep_pages: bool = False              # also store the pages of the digest as rows
 
@@ -105,6 +106,11 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
         clean(store, run_id)
         return RunResult(run_id)
     CFG.validate(spark, resources)
+    if opts.strict_agents:
+        named = [r.agent for r in CFG.agent_types(resources).collect()]  # names of the configuration
+        unknown = EN.unknown_agents(named, opts.make_registry() if opts.make_registry else {})
+        if unknown:
+            raise ValueError("unknown agents: " + ", ".join(unknown))
     change = store.begin(run_id)
     history = store.read("history", HISTORY_SCHEMA)
     if opts.regenerate:  # D7: the newest run's rows go, in the commit of this run
