@@ -398,6 +398,26 @@ def transcript_similarity(spark, sf_dir):
     return TR.similarity(exp, act, key="file_id")
 
 
+@register("pair_similarity", f"""WITH
+ew AS (SELECT item_id, w, count(*) AS n FROM (SELECT item_id, unnest({O._norm_words("coalesce(text, '')")}) AS w FROM benchmark) GROUP BY ALL),
+aw AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest({O._norm_words("coalesce(text, '')")}) AS w FROM documents) GROUP BY ALL),
+h AS (SELECT w, count(*) AS df FROM aw GROUP BY w),
+r AS (SELECT item_id, w FROM (SELECT item_id, w, row_number() OVER (PARTITION BY item_id ORDER BY df, w) AS k FROM ew JOIN h USING (w)) WHERE k <= 8),
+p AS (SELECT item_id, doc_id FROM r JOIN aw USING (w) GROUP BY item_id, doc_id
+      HAVING count(*) >= least(3, (SELECT count(*) FROM r x WHERE x.item_id = r.item_id))),
+c AS (SELECT p.item_id, p.doc_id, coalesce(sum(aw.n) FILTER (ew.w IS NOT NULL), 0) AS common, sum(aw.n) AS n_actual
+      FROM p JOIN aw USING (doc_id) LEFT JOIN ew ON ew.item_id = p.item_id AND ew.w = aw.w GROUP BY ALL),
+t AS (SELECT item_id, sum(n) AS n_expected FROM ew GROUP BY item_id)
+SELECT item_id, doc_id, CAST(n_expected AS BIGINT) AS n_expected, CAST(n_actual AS BIGINT) AS n_actual, CAST(common AS BIGINT) AS common,
+       least(n_actual / n_expected, n_expected / n_actual) * 0.3 + common / n_expected * 0.7 AS similarity FROM c JOIN t USING (item_id)""")
+def pair_similarity(spark, sf_dir):
+    """Benchmark items against the documents that share their rarest words: the similarity score over differing texts."""
+    exp = S.read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("e"), "text")
+    act = S.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("a"), "text")
+    return TR.pair_similarity(exp, act).select(F.col("e").alias("item_id"), F.col("a").alias("doc_id"),
+                                               "n_expected", "n_actual", "common", "similarity")
+
+
 @register("transcript_validity", f"""WITH {O.SUBTITLES}
 SELECT file_id, count(*) AS n_segments, CAST(sum(CASE WHEN start < 0 THEN 1 ELSE 0 END) AS BIGINT) AS bad_start,
        CAST(sum(CASE WHEN "end" <= start THEN 1 ELSE 0 END) AS BIGINT) AS bad_timing,
