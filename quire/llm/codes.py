@@ -231,7 +231,8 @@ def assign(x: np.ndarray, books: Codebooks, ids: list[bytes] | None, low: list[b
 
 def _first_entries(rows: DataFrame, vec_id: str, vector: str, parts: int, k: int) -> np.ndarray | None:
     """The entries that the k smallest ids start with, (parts, entries, d): a table of k rows."""
-    first = rows.where(F.col(vec_id).isNotNull()).groupBy(vec_id).agg(F.min(vector).alias("v")).orderBy(vec_id).limit(k).collect()
+    least = [r[0] for r in rows.where(F.col(vec_id).isNotNull()).select(vec_id).distinct().orderBy(vec_id).limit(k).collect()]
+    first = rows.where(F.col(vec_id) <= least[-1]).groupBy(vec_id).agg(F.min(vector).alias("v")).orderBy(vec_id).collect() if least else []
     if not first:  # only null ids: their smallest vector decides the length and starts the codebooks
         first = rows.select(F.col(vector).alias("v")).orderBy("v").limit(1).collect()
         if not first:
