@@ -46,7 +46,8 @@ SIMILAR = (3, 4)      # similarity of at least 3/4
 SKETCH_BITS = 21      # buckets of the n-gram frequency sketch: 2^21, whatever the input
 FRAGMENTS = 4
 PART = 1 << 18        # prefix n-grams in a part of the hash space, about
-ROUNDS = 2            # rounds of one centre per n-gram, at most, before pairs across components
+ROUNDS = 5            # rounds of one centre per n-gram, at most, before pairs across components
+MANY = 4              # rounds also go on while pairs across components are more than so many to a posting
 FEW = 100             # rounds go on while one links at least this fraction of the classes that are left
 HOT = 1 << 20         # documents in a frequency bucket from which its n-grams are not gathered in a part
 
@@ -327,7 +328,9 @@ def link_classes(classes: DataFrame, docs: DataFrame, order: Broadcast, rounds:
     share = posts.groupBy("cid", "n").count().select("cid", (F.col("count") / prefix).alias("share"))
     rest, found = _mixed(posts.select("h", "cid", "n", "pos").join(share, "cid"), components(links)), links.count()
     for k in range(1, rounds + 1):
-        if found * FEW < rest.select("cid").distinct().count():
+        size = rest.groupBy("h", "root").count().groupBy("h").agg(F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("own"))
+        held, across = size.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.lit(0))).first()
+        if not found or (found * FEW < rest.select("cid").distinct().count() and across <= MANY * held):
             break
         pairs = C.staged(_best(_stars(rest, k).join(
             tried.select(F.col("b").alias("cid"), F.col("a").alias("low")), ["cid", "low"], "left_anti")), "stars")
