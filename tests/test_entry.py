@@ -15,7 +15,7 @@ def test_contract_keys():
     assert set(o) <= set(q)
     assert len(q) >= 40
     numbered = {name for name in q if name.startswith("op") or name == "pipeline"}
-    assert len(numbered) in (0, 11)  # all of the optional part, or nothing of it
+    assert len(numbered) in (0, 14)  # all of the optional part, or nothing of it
 
 
 def test_small_queries_run(spark):
