@@ -22,6 +22,9 @@ BATCH_BYTES = 8 << 20
 # A side of a join is broadcast only when its counted rows fit into this.
 BROADCAST_BYTES = 48 << 20
 
+# Spark's setting for removing the shuffle files of an execution at its end.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 0xD6E8FEB86659FD93
 _STEP_INV = pow(_STEP, -1, 1 << 64)
@@ -45,18 +48,35 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet below spark.checkpoint.dir and read it back.
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder below spark.checkpoint.dir that no other table has."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/quire-llm/{uuid.uuid4().hex}-{name}"
+
+
+def staged(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+    """Write `df` once as Parquet below spark.checkpoint.dir (to `path` if given) and read it back.
 
     Cuts the lineage into files that every executor sees, so a lost executor
-    costs its running tasks only.
+    costs its running tasks only. The shuffle files of the write go when it has
+    ended: nothing reads them after that.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/quire-llm/{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
+    path = path or new_path(spark, name)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged table that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def checked_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`broadcast(df)` when its counted rows fit the bound, else `df` (a shuffle join)."""
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df

@@ -15,9 +15,15 @@ gain: the failure weight of its state, and its arc's weight less what the
 failure path would have given. Occurrences are joined with the gains by key and
 summed per document.
 
-The most frequent keys (HEAD, HEAD_GRAMS) have their gains in every task, and a
-bitmap of hashes that drops most keys without a row goes along. Both only spare
-rows of the join; the scores are the same without them.
+N-grams are counted in parts of the hash space of their state, to which tasks
+send packed runs of (state, shorter n-gram, count): a part sees all arcs of a
+state, so it drops those seen once and knows what is left for the failure arc.
+States of very many arcs are spread over all parts and summed after. Looked-up
+occurrences travel in the same way, as runs of keys per document and part.
+
+The most frequent keys (HEAD, HEAD_GRAMS) have their gains in every task, and
+bitmaps of hashes that drop most keys without a row go along. Both only spare
+rows of the lookup; the scores are the same without them.
 
 Defined results: null, empty and blank texts have one token (the end); a null
 id is never held out; repeated rows are learned from and scored each; without
@@ -31,6 +37,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +53,10 @@ DISCOUNT = 0.75
 ADD = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 FLUSH = 3_000_000       # keys gathered before a task passes on their counts
+PART = 1 << 19          # training tokens to a part of the states, about
+LOOK = 1 << 20          # rows of the automaton to a part of the lookup, about
+HOT = 1 << 18           # a state seen this often has its arcs spread over all parts
+OTHER = np.uint64(0x2545F4914F6CDD1D)  # stands for all words after a state that cannot be arcs
 SLOTS = 20              # a bitmap has 2**SLOTS numbers of 64 bits
 
 
@@ -76,12 +87,6 @@ def _join_keys(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return a ^ (b << np.uint64(t) | b >> np.uint64(64 - t))
 
 
-def _joined_key(n: int) -> Column:
-    """_join_keys() as a Column of a and b."""
-    t = _turn(n)
-    return F.col("a").bitwiseXOR(F.shiftleft("b", t).bitwiseOR(F.shiftrightunsigned("b", 64 - t)))
-
-
 def grams_of(tokens: np.ndarray, first: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For n = 1..order, the key of the n-gram that starts at each token and whether it lies within the text."""
     left = np.repeat(first[1:], np.diff(first)) - np.arange(len(tokens))
@@ -108,82 +113,141 @@ def _may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def _counted(df: DataFrame, keys: Callable[[list], np.ndarray]) -> DataFrame:
     """(key, c) over the rows of df; keys(texts) gives the keys of a run of texts."""
 
-    def rows(texts: list[str | None]) -> dict[str, np.ndarray]:
-        return {"key": keys(texts).view(np.int64)}
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (all_,) in _gathered(batches, lambda texts: (keys(texts),)):
+            key, c = np.unique(all_, return_counts=True)
+            yield pd.DataFrame({"key": key.view(np.int64), "c": c})
 
-    return _summed(df, rows, ["key"], "key")
+    return df.select("text").mapInPandas(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
-def _summed(df: DataFrame, rows: Callable[[list], dict], names: list[str], by: str) -> DataFrame:
-    """(names, c): how often rows(texts), arrays by name, have each row; the value of `by` tells rows apart."""
+def _gathered(batches: Iterator[pd.DataFrame], make: Callable[[list], tuple]) -> Iterator[list[np.ndarray]]:
+    """make(texts), a tuple of arrays, of runs of texts, joined until about FLUSH entries are held."""
+    held, size = [], 0
+    for b in batches:
+        texts = b["text"].tolist()
+        for s in C.text_slices(texts):
+            held.append(make(texts[s]))
+            size += len(held[-1][0])
+            if size >= FLUSH:
+                yield [np.concatenate(x) for x in zip(*held, strict=True)]
+                held, size = [], 0
+    if size:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
-    def flush(held: list[dict]) -> pd.DataFrame:
-        all_ = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
-        _, at, c = np.unique(all_[by], return_index=True, return_counts=True)
-        return pd.DataFrame({k: all_[k][at] for k in names} | {"c": c})
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-        for b in batches:
-            texts = b["text"].tolist()
-            for s in C.text_slices(texts):
-                held.append(rows(texts[s]))
-                size += len(held[-1][by])
-                if size >= FLUSH:
-                    yield flush(held)
-                    held, size = [], 0
-        if held:
-            yield flush(held)
+def _among(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key is one of sorted_keys."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), bool)
+    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)] == keys
+
+
+def _keys_of(df: DataFrame) -> np.ndarray:
+    return np.sort(df.select("key").toArrow()["key"].to_numpy().view(np.uint64))
+
+
+def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
 
-    schema = ", ".join(f"{k} {'int' if k == 'n' else 'long'}" for k in [*names, "c"])
-    return df.select("text").mapInPandas(count, schema).groupBy(*names).agg(F.sum("c").alias("c"))
+def _bounds(x: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    at = _runs(x)
+    return zip(at, np.append(at, len(x))[1:], strict=True)
 
 
-def _gram_counts(docs: DataFrame, words: DataFrame, floor: float, order: int) -> DataFrame:
-    """(n, a, b, c) of all n-grams seen `floor` times: keys of their first and of their last n-1 words.
+def _opened(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(table[column].to_pylist()), kind)
 
-    Shorter lengths are counted by key alone first. An n-gram is no more
-    frequent than its parts, so one with a part outside the bitmap is not sent.
+
+ARCS = "kind int, key long, a long, b long, c long, seen long, used double"
+
+
+def _arcs(docs: DataFrame, n: int, floor: float, total: int, states: np.ndarray, known: np.ndarray | None,
+          hot: np.ndarray, discount: float) -> DataFrame:
+    """Arcs of length n and their states (ARCS), by kind.
+
+    0: an arc: its key, key b of its last n-1 words, count, and of its state
+    how often it was seen and what its arcs use of that. 1: a state with arcs.
+    2: an arc whose state a is in `hot`, without the state's figures. 3: a part
+    of the figures of a hot state. states: bitmap of the n-grams one shorter;
+    known: the words that may take part (None: the bitmap's).
     """
-    context = docs.sparkSession.sparkContext
-    maps = [_bitmap(words)]
-    for n in range(2, order):
-        shared = context.broadcast(maps[-1])
-
-        def keys(texts: list[str | None], n=n, shared=shared) -> np.ndarray:
-            key, ok = grams_of(*tokens_of(texts), n)
-            part = _may_have(shared.value, key[n - 2])
-            return key[n - 1][ok[n - 1] & part & np.roll(part, -1)]
-
-        maps.append(_bitmap(_counted(docs, keys).where(F.col("c") >= floor)))
-        shared.destroy()
-    shared = context.broadcast(maps)
-
-    def rows(texts: list[str | None]) -> dict[str, np.ndarray]:
-        key, ok = grams_of(*tokens_of(texts), order)
-        out = []
-        for n in range(2, order + 1):
-            if n < order:
-                at = np.flatnonzero(ok[n - 1])
-                at = at[_may_have(shared.value[n - 1], key[n - 1][at])]
-            else:
-                part = _may_have(shared.value[n - 2], key[n - 2])
-                at = np.flatnonzero(ok[n - 1] & part & np.roll(part, -1))
-            out.append((np.full(len(at), n, np.int32), key[n - 2][at].view(np.int64),
-                        key[n - 2][np.minimum(at + 1, len(key[0]) - 1)].view(np.int64), key[n - 1][at].view(np.int64)))
-        return dict(zip(("n", "a", "b", "key"), map(np.concatenate, zip(*out)), strict=True))
-
-    out = C.staged(_summed(docs, rows, ["n", "a", "b"], "key").where(F.col("c") >= floor), "grams")
-    shared.destroy()
-    return out
+    parts = max(1, total // PART)
+    shared = docs.sparkSession.sparkContext.broadcast((states, known, hot))
+
+    def pairs(texts: list[str | None]) -> tuple:
+        bits, words, _ = shared.value
+        tokens, first = tokens_of(texts)
+        key, ok = grams_of(tokens, first, n)
+        state, follows = ok[n - 1] & _may_have(bits, key[n - 2]), _may_have(bits, np.roll(key[n - 2], -1))
+        if words is not None:
+            have = _among(words, tokens)
+            for i in range(n - 1):
+                state &= np.roll(have, -i)
+            follows &= np.roll(have, 1 - n)
+        at = np.flatnonzero(state)
+        return key[n - 2][at], np.where(follows[at], np.roll(key[n - 2], -1)[at], OTHER)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for a, b in _gathered(batches, pairs):
+            _, at, c = np.unique(_join_keys(a, b, n), return_index=True, return_counts=True)
+            a, b = a[at], b[at]
+            where = _part_of(np.where(_among(shared.value[2], a), C.mix(a + b), a), parts)
+            by = np.lexsort((a, where))
+            a, b, c, where = a[by], b[by], c[by].astype("<u4"), where[by]
+            out = []
+            for i, j in _bounds(where):
+                run = _runs(a[i:j])
+                out.append((where[i], a[i:j][run].tobytes(), np.diff(run, append=j - i).astype("<u4").tobytes(),
+                            b[i:j].tobytes(), c[i:j].tobytes()))
+            yield pd.DataFrame(out, columns=["part", "states", "runs", "nexts", "counts"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        a = np.repeat(_opened(table, "states", "<u8"), _opened(table, "runs", "<u4"))
+        b, c = _opened(table, "nexts", "<u8"), _opened(table, "counts", "<u4").astype(np.int64)
+        by = np.lexsort((b, a))
+        a, b, c = a[by], b[by], c[by]
+        start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        a, b, c = a[start], b[start], np.add.reduceat(c, start)
+        at = _runs(a)
+        own = np.repeat(np.arange(len(at)), np.diff(at, append=len(a)))
+        arc = (c >= floor) & (b != OTHER)
+        seen, used = np.add.reduceat(c, at), np.add.reduceat(np.where(arc, c - discount, 0.0), at)
+        is_hot = _among(shared.value[2], a[at])
+        state = np.flatnonzero((used > 0) | is_hot)
+        arc = np.flatnonzero(arc)
+        far, both = is_hot[own[arc]], len(arc) + len(state)
+        none = np.arange(both) >= len(arc)  # rows of states
+        gone = np.concatenate([far, np.zeros(len(state), bool)])
+        join = lambda x, y, t: np.concatenate([x, y]).astype(t, copy=False)
+        key = join(_join_keys(a[arc], b[arc], n), a[at][state], np.uint64).view(np.int64)
+        blank = np.zeros(len(state), np.int64)
+        return pa.table({
+            "kind": pa.array(join(np.where(far, 2, 0), np.where(is_hot[state], 3, 1), np.int32)),
+            "key": pa.array(key),
+            "a": pa.array(join(a[arc].view(np.int64), blank, np.int64), mask=~gone),
+            "b": pa.array(join(b[arc].view(np.int64), blank, np.int64), mask=none),
+            "c": pa.array(join(c[arc], blank, np.int64), mask=none),
+            "seen": pa.array(join(seen[own[arc]], seen[state], np.int64), mask=gone),
+            "used": pa.array(join(used[own[arc]], used[state], np.float64), mask=gone)})
+
+    rows = docs.select("text").mapInPandas(packed, "part long, states binary, runs binary, nexts binary, counts binary")
+    return rows.groupBy("part").applyInArrow(meet, ARCS)
 
 
 class Model:
     """Numbers of training tokens and words, and the tables of the automaton.
 
-    counts: (key, c) of all words. gains: (n, key, c, gain) of the words and
-    n-grams whose gain is not 0 at all events: for a word the failure weight of
-    its state, for longer ones that plus what their arc adds.
+    counts: (key, c) of all words. gains: (n, key, c, gain) of the states whose
+    failure weight and the arcs whose gain is not 0; an n-gram that is both has
+    two rows, and what one occurrence adds is their sum.
     """
 
     def __init__(self, total: int, distinct: int, counts: DataFrame, gains: DataFrame):
@@ -192,33 +256,37 @@ class Model:
 
 
 def train(docs: DataFrame, words: float = WORDS, grams: float = GRAMS, order: int = ORDER,
-          discount: float = DISCOUNT) -> Model:
-    C.prepare(docs.sparkSession)
+          discount: float = DISCOUNT, hot: int = HOT) -> Model:
+    """hot: a state seen this often (and in a share of 1/HEAD) has its arcs spread; no effect on the model."""
+    spark = C.prepare(docs.sparkSession)
     counts = C.staged(_counted(docs, lambda texts: tokens_of(texts)[0]), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    known = counts.where(F.col("c") >= max(LEAST, total / words))
-    # of each length: key, count, probability and the gain of the arc over the failure path
-    level = known.select("key", "c", ((F.col("c") + ADD) / (total + ADD * (distinct + 1))).alias("q"), F.lit(0.0).alias("arc"))
-    found = _gram_counts(docs, known, max(LEAST, total / grams), order) if order > 1 else None
-    gains = []
+    level = counts.where(F.col("c") >= max(LEAST, total / words)).select(
+        "key", "c", ((F.col("c") + ADD) / (total + ADD * (distinct + 1))).alias("q"))
+    known = _keys_of(level) if words < WORDS else None  # at most `words` rows
+    floor = max(LEAST, total / grams)
+    table = spark.createDataFrame([], "n int, key long, c long, gain double")
     for n in range(2, order + 1):
-        arcs = found.where(F.col("n") == n).drop("n").join(
-            level.select(F.col("key").alias("b"), F.col("q").alias("shorter")), "b")
-        used = arcs.groupBy("a").agg(F.sum(F.col("c") - discount).alias("used"))
-        states = C.staged(level.join(used.withColumnRenamed("a", "key"), "key", "left").select(
-            "key", "c", ((F.col("c") - F.coalesce("used", F.lit(0.0))) / F.col("c")).alias("fail"), "arc"), f"states{n - 1}")
-        gains.append(states.select(F.lit(n - 1).alias("n"), "key", "c", (F.col("arc") + F.log10("fail")).alias("gain"))
-                     .where("gain <> 0"))
-        q = (F.col("c") - discount) / F.col("seen") + F.col("fail") * F.col("shorter")
-        level = arcs.join(states.where("fail < 1").select(F.col("key").alias("a"), F.col("c").alias("seen"), "fail"), "a").select(
-            _joined_key(n).alias("key"), "c", q.alias("q"), (F.log10(q / F.col("shorter")) - F.log10("fail")).alias("arc"))
+        many = _keys_of(level.where(F.col("c") >= max(hot, total / HEAD)))  # at most HEAD rows
+        path = C.new_path(spark, f"raw{n}")
+        raw = C.staged(_arcs(docs, n, floor, total, _bitmap(level), known, many, discount), path=path)
+        spread = raw.where("kind = 3").groupBy("key").agg(F.sum("seen").alias("seen"), F.sum("used").alias("used"))
+        arcs = raw.where("kind = 0").select("key", "b", "c", "seen", "used").unionByName(
+            raw.where("kind = 2").select("key", "a", "b", "c").join(
+                C.checked_broadcast(spread.withColumnRenamed("key", "a"), 24), "a").drop("a"))
+        states = raw.where("kind = 1").select("key", "seen", "used").unionByName(spread.where("used > 0"))
+        left = F.col("seen") - F.col("used")
+        table = table.unionByName(C.staged(states.select(
+            F.lit(n - 1).alias("n"), "key", F.col("seen").alias("c"), F.log10(left / F.col("seen")).alias("gain")), f"states{n - 1}"))
+        rest = (F.col("c") - discount) / F.col("seen")
+        q = rest + left / F.col("seen") * F.col("shorter")
+        found = arcs.join(level.select(F.col("key").alias("b"), F.col("q").alias("shorter")), "b").select(
+            "key", "c", q.alias("q"), F.log10(q * F.col("seen") / (left * F.col("shorter"))).alias("gain"))
+        found = C.staged(found if n < order else found.drop("q"), f"arcs{n}")
+        C.discard(spark, path)
+        table = table.unionByName(found.select(F.lit(n).alias("n"), "key", "c", "gain"))
         if n < order:
-            level = C.staged(level, f"arcs{n}")
-    if order > 1:  # the longest are arcs only: after them the state is a shorter one
-        gains.append(C.staged(level.select(F.lit(order).alias("n"), "key", "c", F.col("arc").alias("gain")), f"arcs{order}"))
-    table = docs.sparkSession.createDataFrame([], "n int, key long, c long, gain double")
-    for g in gains:
-        table = table.unionByName(g)
+            level = found.select("key", "c", "q")
     return Model(total, distinct, counts, table)
 
 
@@ -243,8 +311,69 @@ def _heads(model: Model, head: int, head_grams: int) -> tuple[Head, Head]:
         model.gains.where("n = 1").select("key", "gain"), "key", "left").select(
             "key", "c", F.coalesce("gain", F.lit(0.0)).alias("gain")).toArrow()
     long = model.gains.where((F.col("n") > 1) & (F.col("c") >= max(1, model.total / head_grams))).toArrow()
-    one = lambda t: Head(t["key"].to_numpy().view(np.uint64), t["c"].to_numpy(), t["gain"].to_numpy())
-    return one(top), one(long)
+    key, at, row = np.unique(long["key"].to_numpy().view(np.uint64), return_index=True, return_inverse=True)
+    return (Head(top["key"].to_numpy().view(np.uint64), top["c"].to_numpy(), top["gain"].to_numpy()),
+            Head(key, long["c"].to_numpy()[at], np.bincount(row, long["gain"].to_numpy(), len(key))))
+
+
+def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared, order: int) -> DataFrame:
+    """(doc_id, _th, _add, _more, _gains): sums over the occurrences whose key is in no head, per document and part.
+
+    docs: (doc_id, _th, text); table: (key, c, gain), where c is of words only.
+    """
+    parts = max(1, table.count() // LOOK)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts = b["text"].tolist()
+            ids = b["doc_id"].fillna(0).to_numpy(np.int64)
+            th = np.where(b["doc_id"].isna(), ~b["_th"].to_numpy(np.int64), b["_th"].to_numpy(np.int64))
+            for s in C.text_slices(texts, 8 * C.SLICE_BYTES):
+                words, longer, maps = shared.value
+                key, own = [], []
+                for piece in C.text_slices(texts[s]):
+                    tokens, first = tokens_of(texts[s][piece])
+                    doc = np.repeat(np.arange(len(first) - 1), np.diff(first)) + piece.start
+                    keys, ok = grams_of(tokens, first, max(lengths))
+                    for n in lengths:
+                        at = np.flatnonzero(ok[n - 1])
+                        if n > 1:
+                            at = at[_may_have(maps[n], keys[n - 1][at])]
+                        at = at[(words if n == 1 else longer).find(keys[n - 1][at]) < 0]
+                        key.append(keys[n - 1][at])
+                        own.append(doc[at])
+                key, own = np.concatenate(key), np.concatenate(own)
+                where = _part_of(key, parts)
+                by = np.lexsort((own, where))
+                key, own, where = key[by], own[by], where[by]
+                out = []
+                for i, j in _bounds(where):
+                    run = _runs(own[i:j])
+                    who = own[i:j][run] + s.start
+                    out.append((where[i], ids[who].tobytes(), th[who].tobytes(), np.diff(run, append=j - i).astype("<u4").tobytes(),
+                                key[i:j].tobytes()))
+                yield pd.DataFrame(out, columns=["part", "ids", "ths", "runs", "keys"])
+
+    def meet(rows: pa.Table, gains: pa.Table) -> pa.Table:
+        keys, runs = _opened(rows, "keys", "<u8"), _opened(rows, "runs", "<u4").astype(np.int64)
+        have, row = np.unique(gains["key"].to_numpy().view(np.uint64), return_inverse=True)
+        c = np.bincount(row, gains["c"].to_numpy(), len(have))
+        gain = np.bincount(row, gains["gain"].to_numpy(), len(have))
+        add, more, more_gain = (np.zeros(len(keys)) for _ in range(3))
+        if len(have):
+            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+            hit = have[at] == keys
+            word = hit & (c[at] > 0)
+            add[word], more[word], more_gain[hit] = np.log10(c[at[word]] + ADD), 1, gain[at[hit]]
+        first = np.cumsum(runs) - runs
+        sums = [np.add.reduceat(x, first) if len(first) else x for x in (add, more, more_gain)]
+        return pa.table({"doc_id": _opened(rows, "ids", "<i8"), "_th": _opened(rows, "ths", "<i8"),
+                         "_add": sums[0], "_more": sums[1].astype(np.int64), "_gains": sums[2]})
+
+    rows = docs.mapInPandas(packed, "part long, ids binary, ths binary, runs binary, keys binary")
+    part = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(parts).cast("long"), 32)
+    return rows.groupBy("part").cogroup(table.withColumn("part", part).groupBy("part")).applyInArrow(
+        meet, "doc_id long, _th long, _add double, _more long, _gains double")
 
 
 def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, head_grams: int = HEAD_GRAMS,
@@ -258,10 +387,11 @@ def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, he
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id"), parts, part))
     model = train(docs.where(~F.col("held_out")), order=order, **options)
     scale = model.scale
-    shared = spark.sparkContext.broadcast((*_heads(model, head, head_grams), _bitmap(model.gains.where("n > 1"))))
+    maps = {n: _bitmap(model.gains.where(F.col("n") == n)) for n in range(2, order + 1)}
+    shared = spark.sparkContext.broadcast((*_heads(model, head, head_grams), maps))
 
     def local(texts: list[str | None]) -> dict:
-        """Sums over the keys of the heads; the others as they are."""
+        """Sums over the keys of the heads."""
         words, longer, bits = shared.value
         tokens, first = tokens_of(texts)
         keys, ok = grams_of(tokens, first, order)
@@ -270,34 +400,34 @@ def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, he
         base, gain = np.zeros(len(tokens)), np.zeros(len(tokens))
         base[near] = np.log10(words.c[at[near]] + ADD)
         gain[near] = words.gain[at[near]]
-        rest_key, rest_at = [tokens[~near]], [np.flatnonzero(~near)]
         for n in range(2, order + 1):
             pos = np.flatnonzero(ok[n - 1])
-            pos = pos[_may_have(bits, keys[n - 1][pos])]
+            pos = pos[_may_have(bits[n], keys[n - 1][pos])]
             row = longer.find(keys[n - 1][pos])
             gain[pos[row >= 0]] += longer.gain[row[row >= 0]]
-            rest_key.append(keys[n - 1][pos[row < 0]])
-            rest_at.append(pos[row < 0])
-        rest, where = np.concatenate(rest_key).view(np.int64), np.concatenate(rest_at)
-        by = np.argsort(where, kind="stable")
-        rest, cut = rest[by], np.searchsorted(where[by], first)
         begin = first[:-1]
-        unseen = np.add.reduceat(~near, begin, dtype=np.int64)
-        return {"n_tokens": np.diff(first), "_far": unseen, "_base": np.add.reduceat(base, begin),
-                "_gain": np.add.reduceat(gain, begin), "_rest": [rest[cut[i]:cut[i + 1]] for i in range(len(texts))]}
-
-    rows = C.by_text(docs, "n_tokens long, _far long, _base double, _gain double, _rest array<long>", local)
-    rows = C.staged(rows.drop("text").withColumn("_row", F.monotonically_increasing_id()), "local")
-    # the other occurrences meet their counts and gains, then come together per document
-    far = model.counts.select("key", "c", F.lit(0.0).alias("gain")).unionByName(
-        model.gains.select("key", F.lit(None).cast("long").alias("c"), "gain"))
-    rest = rows.select("_row", F.explode("_rest").alias("key")).join(far, "key")
-    sums = rest.groupBy("_row").agg(F.sum(F.log10(F.col("c") + F.lit(ADD))).alias("_add"), F.count("c").alias("_more"),
-                                    F.sum("gain").alias("_gains"))
-    out = rows.drop("_rest").join(sums, "_row", "left")
-    more = F.coalesce("_more", F.lit(0))
-    unknown = F.col("_far") - more
-    base = F.col("_base") + F.coalesce("_add", F.lit(0.0)) + unknown * math.log10(ADD) - F.col("n_tokens") * scale
+        return {"n_tokens": np.diff(first), "_far": np.add.reduceat(~near, begin, dtype=np.int64),
+                "_base": np.add.reduceat(base, begin), "_gain": np.add.reduceat(gain, begin)}
+
+    # the id and a hash of the text name a document in the lookups; equal rows share their sums
+    docs = docs.withColumn("_th", F.xxhash64("text"))
+    rows = C.staged(C.by_rows(docs, ["text"], "n_tokens long, _far long, _base double, _gain double",
+                              lambda cols: local(cols["text"]), drop=["text"]), "local")
+    own = F.when(F.col("doc_id").isNull(), F.bitwise_not("_th")).otherwise(F.col("_th"))
+    rows = rows.withColumn("_id", F.coalesce("doc_id", F.lit(0)).cast("long")).withColumn("_th", own)
+    far = model.counts.select(F.lit(1).alias("n"), "key", "c", F.lit(0.0).alias("gain")).unionByName(
+        model.gains.select("n", "key", F.lit(0).cast("long").alias("c"), "gain"))
+    sums = rows.select(F.col("_id").alias("doc_id"), "_th", F.lit(0.0).alias("_add"), F.lit(0).cast("long").alias("_more"),
+                       F.lit(0.0).alias("_gains"), F.lit(1).alias("_rows"))
+    for lengths in ([n for n in range(1, order + 1) if n < max(order, 2)], [n for n in range(2, order + 1) if n == order]):
+        if lengths:
+            found = _looked_up(docs.select("doc_id", "_th", "text"), far.where(F.col("n").isin(lengths)).drop("n"), lengths, shared, order)
+            found = found.groupBy("doc_id", "_th").agg(*[F.sum(c).alias(c) for c in ("_add", "_more", "_gains")])
+            sums = sums.unionByName(C.staged(found, "found").withColumn("_rows", F.lit(0)))
+    sums = sums.groupBy(F.col("doc_id").alias("_id"), "_th").agg(*[F.sum(c).alias(c) for c in ("_add", "_more", "_gains", "_rows")])
+    out = rows.join(sums, ["_id", "_th"])
+    unknown = F.col("_far") - F.expr("_more div _rows")
+    base = F.col("_base") + F.col("_add") / F.col("_rows") + unknown * math.log10(ADD) - F.col("n_tokens") * scale
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_tokens") - unknown).alias("n_known"),
                       F.lit(int(model.total)).cast("long").alias("train_tokens"), F.round(base, 6).alias("base_score"),
-                      F.round(base + F.col("_gain") + F.coalesce("_gains", F.lit(0.0)), 6).alias("score"))
+                      F.round(base + F.col("_gain") + F.col("_gains") / F.col("_rows"), 6).alias("score"))

@@ -53,7 +53,7 @@ def check(spark, rows, **options):
     key = lambda r: str([r[0], *[round(x, 4) if isinstance(x, float) else x for x in r[1:]]])
     got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
                   for r in lm.scores(df, **options).collect()), key=key)
-    want = sorted(((rows[i][0], *v) for i, v in brute(rows, options.get("words", lm.WORDS), options.get("grams", lm.GRAMS)).items()), key=key)
+    want = sorted(((rows[i][0], *v) for i, v in brute(rows, options.get("words", lm.WORDS), options.get("grams", lm.GRAMS), options.get("order", 3)).items()), key=key)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want):
         assert abs(g[5] - w[5]) < 1e-4 and abs(g[6] - w[6]) < 1e-4
@@ -89,3 +89,21 @@ def test_floor_does_not_grow(spark):
         got = {r.doc_id: r for r in lm.scores(df, **options).collect()}
         for i, (doc, _) in enumerate(pairs):
             assert abs(got[doc].score - want[i][5]) < 1e-4 and got[doc].score > got[doc].base_score + 1
+
+
+def test_spread_states_and_many_parts(spark, small, monkeypatch):
+    """States whose arcs lie in all parts, small parts and flushes: the same figures."""
+    monkeypatch.setattr(lm, "HEAD", 1000)
+    monkeypatch.setattr(lm, "PART", 50)
+    monkeypatch.setattr(lm, "LOOK", 40)
+    monkeypatch.setattr(lm, "FLUSH", 300)
+    rows = [(r.doc_id, r.text) for r in small.where("doc_id < 25").collect()]
+    check(spark, rows, hot=3)
+    check(spark, rows, hot=3, head=1, head_grams=1)
+    check(spark, rows, order=1, head=1)
+
+
+def test_equal_rows_share_their_sums(spark):
+    """Repeated rows, repeated ids with other texts and null ids, with every key looked up."""
+    rows = [(1, "a b c d a b c"), (1, "a b c d a b c"), (1, "a b c"), (None, "x y z x y"), (None, "x y z x y"), (0, "x y z x y"), (3, None)]
+    check(spark, rows, head=1, head_grams=1)
