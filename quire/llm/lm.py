@@ -52,9 +52,9 @@ ORDER = 3
 DISCOUNT = 0.75
 ADD = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
-FLUSH = 3_000_000       # keys gathered before a task passes on their counts
+FLUSH = 2_000_000       # keys gathered before a task passes on their counts
 PART = 1 << 19          # training tokens to a part of the states, about
-LOOK = 1 << 20          # rows of the automaton to a part of the lookup, about
+LOOK = 1 << 19          # rows of the automaton to a part of the lookup, about
 HOT = 1 << 18           # a state seen this often has its arcs spread over all parts
 OTHER = np.uint64(0x2545F4914F6CDD1D)  # stands for all words after a state that cannot be arcs
 SLOTS = 20              # a bitmap has 2**SLOTS numbers of 64 bits
@@ -355,20 +355,27 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared, or
                 yield pd.DataFrame(out, columns=["part", "ids", "ths", "runs", "keys"])
 
     def meet(rows: pa.Table, gains: pa.Table) -> pa.Table:
-        keys, runs = _opened(rows, "keys", "<u8"), _opened(rows, "runs", "<u4").astype(np.int64)
         have, row = np.unique(gains["key"].to_numpy().view(np.uint64), return_inverse=True)
         c = np.bincount(row, gains["c"].to_numpy(), len(have))
         gain = np.bincount(row, gains["gain"].to_numpy(), len(have))
-        add, more, more_gain = (np.zeros(len(keys)) for _ in range(3))
-        if len(have):
-            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-            hit = have[at] == keys
-            word = hit & (c[at] > 0)
-            add[word], more[word], more_gain[hit] = np.log10(c[at[word]] + ADD), 1, gain[at[hit]]
-        first = np.cumsum(runs) - runs
-        sums = [np.add.reduceat(x, first) if len(first) else x for x in (add, more, more_gain)]
-        return pa.table({"doc_id": _opened(rows, "ids", "<i8"), "_th": _opened(rows, "ths", "<i8"),
-                         "_add": sums[0], "_more": sums[1].astype(np.int64), "_gains": sums[2]})
+        log = np.where(c > 0, np.log10(c + ADD), 0.0)
+        sums = []
+        for r in range(rows.num_rows):  # one run of texts at a time: the numbers of a whole part are many
+            keys, runs = (np.frombuffer(rows[k][r].as_buffer(), t) for k, t in (("keys", "<u8"), ("runs", "<u4")))
+            first = np.cumsum(runs, dtype=np.int64) - runs
+            at = np.minimum(np.searchsorted(have, keys), max(0, len(have) - 1))
+            hit = have[at] == keys if len(have) else np.zeros(len(keys), bool)
+            at = at[hit]
+            more = (np.zeros(len(keys)) for _ in range(3))
+            made = [np.frombuffer(rows[k][r].as_buffer(), "<i8") for k in ("ids", "ths")]
+            for full, values in zip(more, (log, c > 0, gain), strict=True):
+                full[hit] = values[at]
+                made.append(np.add.reduceat(full, first))
+            sums.append(made)
+        names = ["doc_id", "_th", "_add", "_more", "_gains"]
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+        columns = zip(*sums, strict=True) if sums else [[np.zeros(0)]] * len(names)
+        return pa.table({k: pa.array(np.concatenate(x)).cast(t) for k, t, x in zip(names, kinds, columns, strict=True)})
 
     rows = docs.mapInPandas(packed, "part long, ids binary, ths binary, runs binary, keys binary")
     part = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(parts).cast("long"), 32)
