@@ -52,9 +52,10 @@ ORDER = 3
 DISCOUNT = 0.75
 ADD = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
-FLUSH = 2_000_000       # keys gathered before a task passes on their counts
+FLUSH = 1_000_000       # keys gathered before a task passes on their counts
 PART = 1 << 19          # training tokens to a part of the states, about
 LOOK = 1 << 19          # rows of the automaton to a part of the lookup, about
+FRAME = 32              # parts that a task sends on at once
 HOT = 1 << 18           # a state seen this often has its arcs spread over all parts
 OTHER = np.uint64(0x2545F4914F6CDD1D)  # stands for all words after a state that cannot be arcs
 SLOTS = 20              # a bitmap has 2**SLOTS numbers of 64 bits
@@ -207,7 +208,9 @@ def _arcs(docs: DataFrame, n: int, floor: float, total: int, states: np.ndarray,
                 run = _runs(a[i:j])
                 out.append((where[i], a[i:j][run].tobytes(), np.diff(run, append=j - i).astype("<u4").tobytes(),
                             b[i:j].tobytes(), c[i:j].tobytes()))
-            yield pd.DataFrame(out, columns=["part", "states", "runs", "nexts", "counts"])
+            names = ["part", "states", "runs", "nexts", "counts"]
+            for i in range(0, len(out), FRAME):  # frames of a few parts, as the JVM holds a frame whole
+                yield pd.DataFrame(out[i:i + FRAME], columns=names)
 
     def meet(table: pa.Table) -> pa.Table:
         a = np.repeat(_opened(table, "states", "<u8"), _opened(table, "runs", "<u4"))
