@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.session import materialize
 
 # The page skeleton (styles kept out) and the line templates.
 HEAD = ['<!DOCTYPE html>', '<html>', '<head>', '<meta charset="UTF-8">', '<title>%s</title>', '</head>',
@@ -76,6 +77,24 @@ def write_digest(lines: DataFrame, out_dir: str, run_date: str, title: str = "Di
     return path
 
 
+def positions(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """lines plus `position`: the number of each line, from 1, in the whole digest.
+
+    Ranges of the order are sorted apart and written once to the checkpoint
+    folder; the lines of the ranges before a line's own come from one count per
+    range. No window over all lines or over one resource: a resource of any
+    size spans several ranges. Lines of equal keys are ordered by their text.
+    """
+    n = partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["section", "resource_pos", "item_pos", "line_no", "line"]
+    ranged = lines.repartitionByRange(n, *key).sortWithinPartitions(*key).withColumn("_id", F.monotonically_increasing_id())
+    ranged = materialize(ranged.select("*", F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_row")))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))  # one row per range
+    before = counts.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_before"))
+    return ranged.join(F.broadcast(before), "_range").select(
+        *lines.columns, (F.col("_before") + F.col("_row") + 1).alias("position"))
+
+
 def run_totals(pages: DataFrame) -> DataFrame:
     return pages.agg(F.countDistinct("resource_pos").alias("resources"), F.count(F.lit(1)).alias("pages"))
 

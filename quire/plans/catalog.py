@@ -703,6 +703,15 @@ def digest_lines(spark, sf_dir):
     return DG.digest_lines(pages, res)
 
 
+@register("digest_positions", f"""SELECT section, resource_pos, item_pos, line_no, line,
+       row_number() OVER (ORDER BY section, resource_pos, item_pos, line_no, line) AS position
+FROM ({ORACLE["digest_lines"]}) lines""")
+def digest_positions(spark, sf_dir):
+    """Every digest line with its number in the whole digest."""
+    pages, res = _digest_pages(spark, sf_dir)
+    return DG.positions(DG.digest_lines(pages, res))
+
+
 @register("run_totals", f"""WITH {O.digest_pages()}
 SELECT count(DISTINCT resource_pos) AS resources, count(*) AS pages FROM dpages""")
 def run_totals(spark, sf_dir):
