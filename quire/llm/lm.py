@@ -54,7 +54,8 @@ ADD = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 FLUSH = 1_000_000       # keys gathered before a task passes on their counts
 PART = 1 << 19          # training tokens to a part of the states, about
-LOOK = 1 << 19          # rows of the automaton to a part of the lookup, about
+LOOK = 1 << 18          # rows of the automaton to a part of the lookup, about
+RUN_SLICES = 4          # slices of text whose lookups travel as one run for each part
 FRAME = 32              # parts that a task sends on at once
 HOT = 1 << 18           # a state seen this often has its arcs spread over all parts
 OTHER = np.uint64(0x2545F4914F6CDD1D)  # stands for all words after a state that cannot be arcs
@@ -293,6 +294,10 @@ def train(docs: DataFrame, words: float = WORDS, grams: float = GRAMS, order: in
     return Model(total, distinct, counts, table)
 
 
+FOUND = {"doc_id": pa.int64(), "_th": pa.int64(), "_add": pa.float64(), "_more": pa.float64(), "_gains": pa.float64(),
+         "n_tokens": pa.int64(), "_far": pa.int64(), "_base": pa.float64(), "_null": pa.bool_()}
+
+
 class Head:
     """The most frequent keys: count of a word (0 for longer ones) and gain."""
 
@@ -319,43 +324,62 @@ def _heads(model: Model, head: int, head_grams: int) -> tuple[Head, Head]:
             Head(key, long["c"].to_numpy()[at], np.bincount(row, long["gain"].to_numpy(), len(key))))
 
 
-def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared, order: int) -> DataFrame:
-    """(doc_id, _th, _add, _more, _gains): sums over the occurrences whose key is in no head, per document and part.
+def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) -> DataFrame:
+    """One pass over the texts for n-grams of `lengths`: sums of the heads per row, of all other occurrences per document and part.
 
     docs: (doc_id, _th, text); table: (key, c, gain), where c is of words only.
+    Rows with n_tokens are one for each row of docs, if words are looked up, with the
+    sums of its head words and head n-grams; all others add to their document.
     """
     parts = max(1, table.count() // LOOK)
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, longer, maps = shared.value
         for b in batches:
             texts = b["text"].tolist()
+            null = b["doc_id"].isna().to_numpy()
             ids = b["doc_id"].fillna(0).to_numpy(np.int64)
-            th = np.where(b["doc_id"].isna(), ~b["_th"].to_numpy(np.int64), b["_th"].to_numpy(np.int64))
-            for s in C.text_slices(texts, 8 * C.SLICE_BYTES):
-                words, longer, maps = shared.value
-                key, own = [], []
+            th = np.where(null, ~b["_th"].to_numpy(np.int64), b["_th"].to_numpy(np.int64))
+            for s in C.text_slices(texts, RUN_SLICES * C.SLICE_BYTES):
+                key, own, near = [], [], []
                 for piece in C.text_slices(texts[s]):
                     tokens, first = tokens_of(texts[s][piece])
-                    doc = np.repeat(np.arange(len(first) - 1), np.diff(first)) + piece.start
+                    begin = first[:-1]
+                    doc = np.repeat(np.arange(len(begin)), np.diff(first)) + piece.start
                     keys, ok = grams_of(tokens, first, max(lengths))
+                    n_far, base, gain = np.zeros(len(begin), np.int64), np.zeros(len(begin)), np.zeros(len(tokens))
                     for n in lengths:
                         at = np.flatnonzero(ok[n - 1])
                         if n > 1:
                             at = at[_may_have(maps[n], keys[n - 1][at])]
-                        at = at[(words if n == 1 else longer).find(keys[n - 1][at]) < 0]
+                        head = words if n == 1 else longer
+                        row = head.find(keys[n - 1][at])
+                        found = row >= 0
+                        gain[at[found]] += head.gain[row[found]]
+                        if n == 1:  # every token is a word
+                            log = np.zeros(len(tokens))
+                            log[found] = np.log10(words.c[row[found]] + ADD)
+                            base, n_far = np.add.reduceat(log, begin), np.add.reduceat(~found, begin, dtype=np.int64)
+                        at = at[~found]
                         key.append(keys[n - 1][at])
                         own.append(doc[at])
+                    near.append((np.diff(first), n_far, base, np.add.reduceat(gain, begin)))
                 key, own = np.concatenate(key), np.concatenate(own)
                 where = _part_of(key, parts)
                 by = np.lexsort((own, where))
                 key, own, where = key[by], own[by], where[by]
-                out = []
+                sums = [np.concatenate(x) for x in zip(*near, strict=True)]
+                out = [(_part_of(C.mix(th[s][:1].view(np.uint64)), parts)[0], ids[s].tobytes(), th[s].tobytes(), null[s].tobytes(),
+                        b"".join(x.tobytes() for x in sums))]
                 for i, j in _bounds(where):
                     run = _runs(own[i:j])
                     who = own[i:j][run] + s.start
                     out.append((where[i], ids[who].tobytes(), th[who].tobytes(), np.diff(run, append=j - i).astype("<u4").tobytes(),
                                 key[i:j].tobytes()))
-                yield pd.DataFrame(out, columns=["part", "ids", "ths", "runs", "keys"])
+                frame = pd.DataFrame(out, columns=["part", "ids", "ths", "runs", "keys"])
+                yield frame.assign(near=np.arange(len(out)) == 0)
+
+    with_words = 1 in lengths
 
     def meet(rows: pa.Table, gains: pa.Table) -> pa.Table:
         have, row = np.unique(gains["key"].to_numpy().view(np.uint64), return_inverse=True)
@@ -364,26 +388,33 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared, or
         log = np.where(c > 0, np.log10(c + ADD), 0.0)
         sums = []
         for r in range(rows.num_rows):  # one run of texts at a time: the numbers of a whole part are many
-            keys, runs = (np.frombuffer(rows[k][r].as_buffer(), t) for k, t in (("keys", "<u8"), ("runs", "<u4")))
+            get = lambda k, t: np.frombuffer(rows[k][r].as_buffer(), t)  # noqa: B023, E731
+            who = [get(k, "<i8") for k in ("ids", "ths")]
+            if rows["near"][r].as_py():
+                n, none = len(who[0]), np.zeros(len(who[0]))
+                tokens, far = get("keys", "<i8")[:2 * n].reshape(2, n)
+                base, near = get("keys", "<f8")[2 * n:].reshape(2, n)
+                sums.append([*who, none, none, near, np.where(with_words, tokens, -1), far, base, get("runs", "?")])
+                continue
+            keys, runs = get("keys", "<u8"), get("runs", "<u4")
             first = np.cumsum(runs, dtype=np.int64) - runs
             at = np.minimum(np.searchsorted(have, keys), max(0, len(have) - 1))
             hit = have[at] == keys if len(have) else np.zeros(len(keys), bool)
             at = at[hit]
-            more = (np.zeros(len(keys)) for _ in range(3))
-            made = [np.frombuffer(rows[k][r].as_buffer(), "<i8") for k in ("ids", "ths")]
-            for full, values in zip(more, (log, c > 0, gain), strict=True):
+            made = []
+            for values in (log, c > 0, gain):
+                full = np.zeros(len(keys))
                 full[hit] = values[at]
                 made.append(np.add.reduceat(full, first))
-            sums.append(made)
-        names = ["doc_id", "_th", "_add", "_more", "_gains"]
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
-        columns = zip(*sums, strict=True) if sums else [[np.zeros(0)]] * len(names)
-        return pa.table({k: pa.array(np.concatenate(x)).cast(t) for k, t, x in zip(names, kinds, columns, strict=True)})
+            none = np.zeros(len(runs))
+            sums.append([*who, *made, none - 1, none, none, none])
+        columns = zip(*sums, strict=True) if sums else [[np.zeros(0)]] * len(FOUND)
+        return pa.table({k: pa.array(np.concatenate(x)).cast(t) for (k, t), x in zip(FOUND.items(), columns, strict=True)})
 
-    rows = docs.mapInPandas(packed, "part long, ids binary, ths binary, runs binary, keys binary")
+    rows = docs.mapInPandas(packed, "part long, ids binary, ths binary, runs binary, keys binary, near boolean")
     part = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(parts).cast("long"), 32)
-    return rows.groupBy("part").cogroup(table.withColumn("part", part).groupBy("part")).applyInArrow(
-        meet, "doc_id long, _th long, _add double, _more long, _gains double")
+    kinds = ", ".join(f"{k} {'double' if t == pa.float64() else 'boolean' if t == pa.bool_() else 'long'}" for k, t in FOUND.items())
+    return rows.groupBy("part").cogroup(table.withColumn("part", part).groupBy("part")).applyInArrow(meet, kinds)
 
 
 def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, head_grams: int = HEAD_GRAMS,
@@ -400,43 +431,23 @@ def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, he
     maps = {n: _bitmap(model.gains.where(F.col("n") == n)) for n in range(2, order + 1)}
     shared = spark.sparkContext.broadcast((*_heads(model, head, head_grams), maps))
 
-    def local(texts: list[str | None]) -> dict:
-        """Sums over the keys of the heads."""
-        words, longer, bits = shared.value
-        tokens, first = tokens_of(texts)
-        keys, ok = grams_of(tokens, first, order)
-        at = words.find(tokens)
-        near = at >= 0
-        base, gain = np.zeros(len(tokens)), np.zeros(len(tokens))
-        base[near] = np.log10(words.c[at[near]] + ADD)
-        gain[near] = words.gain[at[near]]
-        for n in range(2, order + 1):
-            pos = np.flatnonzero(ok[n - 1])
-            pos = pos[_may_have(bits[n], keys[n - 1][pos])]
-            row = longer.find(keys[n - 1][pos])
-            gain[pos[row >= 0]] += longer.gain[row[row >= 0]]
-        begin = first[:-1]
-        return {"n_tokens": np.diff(first), "_far": np.add.reduceat(~near, begin, dtype=np.int64),
-                "_base": np.add.reduceat(base, begin), "_gain": np.add.reduceat(gain, begin)}
-
     # the id and a hash of the text name a document in the lookups; equal rows share their sums
-    docs = docs.withColumn("_th", F.xxhash64("text"))
-    rows = C.staged(C.by_rows(docs, ["text"], "n_tokens long, _far long, _base double, _gain double",
-                              lambda cols: local(cols["text"]), drop=["text"]), "local")
-    own = F.when(F.col("doc_id").isNull(), F.bitwise_not("_th")).otherwise(F.col("_th"))
-    rows = rows.withColumn("_id", F.coalesce("doc_id", F.lit(0)).cast("long")).withColumn("_th", own)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_th"), "text")
     far = model.counts.select(F.lit(1).alias("n"), "key", "c", F.lit(0.0).alias("gain")).unionByName(
         model.gains.select("n", "key", F.lit(0).cast("long").alias("c"), "gain"))
-    sums = rows.select(F.col("_id").alias("doc_id"), "_th", F.lit(0.0).alias("_add"), F.lit(0).cast("long").alias("_more"),
-                       F.lit(0.0).alias("_gains"), F.lit(1).alias("_rows"))
-    for lengths in ([n for n in range(1, order + 1) if n < max(order, 2)], [n for n in range(2, order + 1) if n == order]):
-        if lengths:
-            found = _looked_up(docs.select("doc_id", "_th", "text"), far.where(F.col("n").isin(lengths)).drop("n"), lengths, shared, order)
-            found = found.groupBy("doc_id", "_th").agg(*[F.sum(c).alias(c) for c in ("_add", "_more", "_gains")])
-            sums = sums.unionByName(C.staged(found, "found").withColumn("_rows", F.lit(0)))
-    sums = sums.groupBy(F.col("doc_id").alias("_id"), "_th").agg(*[F.sum(c).alias(c) for c in ("_add", "_more", "_gains", "_rows")])
+    lengths = [list(range(1, max(order, 2))), *([[order]] if order > 1 else [])]
+    found = [C.staged(_looked_up(texts, far.where(F.col("n").isin(ns)).drop("n"), ns, shared), "found") for ns in lengths]
+    rows = found[0].where("n_tokens >= 0")
+    adds = ["_add", "_more", "_gains"]
+    sums = rows.select("doc_id", "_th", *[F.lit(0.0).alias(c) for c in adds], F.lit(1).alias("_rows"))
+    for f in (found[0].where("n_tokens < 0"), *found[1:]):
+        sums = sums.unionByName(f.select("doc_id", "_th", *adds, F.lit(0).alias("_rows")))
+    sums = sums.groupBy(F.col("doc_id").alias("_id"), "_th").agg(*[F.sum(c).alias(c) for c in (*adds, "_rows")])
+    rows = rows.select(F.col("doc_id").alias("_id"), "_th", "n_tokens", "_far", "_base", F.col("_gains").alias("_gain"),
+                       F.when(~F.col("_null"), F.col("doc_id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"))
+    rows = rows.withColumn("held_out", held_out(F.col("doc_id"), parts, part))
     out = rows.join(sums, ["_id", "_th"])
-    unknown = F.col("_far") - F.expr("_more div _rows")
+    unknown = F.col("_far") - F.round(F.col("_more") / F.col("_rows")).cast("long")
     base = F.col("_base") + F.col("_add") / F.col("_rows") + unknown * math.log10(ADD) - F.col("n_tokens") * scale
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_tokens") - unknown).alias("n_known"),
                       F.lit(int(model.total)).cast("long").alias("train_tokens"), F.round(base, 6).alias("base_score"),
