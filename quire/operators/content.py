@@ -64,21 +64,26 @@ def parse_landed(df: DataFrame) -> DataFrame:
 PAGE_MISSING_ERROR = "could not go to '%s': page not landed"
 
 
-def parse_with_pages(pages: DataFrame, url: str = "url", html: str = "html"):
+def parse_with_pages(pages: DataFrame, url: str = "url", html: str = "html", by_depth: bool = False):
     """A parse function whose web items read their landed page (link = url) and
     keep its main content; other parser types render as in `parse_landed`.
 
+    by_depth: the content is found by the stack pass of `readability`, else by
+    the regex contract of `extract`. Either runs only on pages that meet a link.
+
     Web items without a page, or whose page has no main content, get NULL
     content and a `parse_error` (they are not cached, and are retried next run).
     """
     from quire.operators import extract as EX
+    from quire.operators import readability as RD
 
     def parse(df: DataFrame) -> DataFrame:
         base = parse_landed(df)
         pg = pages.select(F.col(url).alias("_page_url"), F.col(html).alias("_html"))
         # join first: the extraction runs only on pages that meet a missed link
-        j = (base.join(pg, T.s(base["link"]) == pg["_page_url"], "left")
-             .withColumn("_page_content", EX.main_content("_html")))
+        j = base.join(pg, T.s(base["link"]) == pg["_page_url"], "left")
+        j = (RD.with_main_content(j, "_html", "_page_").drop("_page_title", "_page_rule", "_page_text_bytes") if by_depth
+             else j.withColumn("_page_content", EX.main_content("_html")))
         web = F.col("parser") == "web"
         err = (F.when(web & F.col("_page_url").isNull(), F.format_string(PAGE_MISSING_ERROR, T.s("link")))
                .when(web & F.col("_page_content").isNull(), F.format_string(EX.EMPTY_ERROR, T.s("link"))))

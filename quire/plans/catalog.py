@@ -446,6 +446,7 @@ def subtitle_choice(spark, sf_dir):
 from quire.operators import config as CFG  # noqa: E402
 from quire.operators import errors as ERR  # noqa: E402
 from quire.operators import extract as EX  # noqa: E402
+from quire.operators import readability as RD  # noqa: E402
 
 _BP = EX.BOILERPLATE_RE.replace("'", "''")
 
@@ -478,6 +479,24 @@ def web_items_content(spark, sf_dir):
                                                     "parse_error")
 
 
+_P = "array_to_string(list_transform(string_split({0}, '<'), lambda x: CASE WHEN contains(x, '>') THEN substr(x, strpos(x, '>') + 1) ELSE x END), '')"
+
+
+@register("page_main", f"""
+WITH a AS (SELECT page_id, url, coalesce(string_split(string_split(html, '<title>')[2], '</title>')[1], '') AS title,
+                  string_split(string_split(html, '<article')[2], '</article>')[1] AS inside FROM pages),
+c AS (SELECT *, trim(substr(inside, strpos(inside, '>') + 1), ' ' || chr(9) || chr(10) || chr(13)) AS content FROM a),
+t AS (SELECT *, strlen(regexp_replace({_P.format("content")}, '{O.WS}+', '', 'g')) AS text_bytes FROM c)
+SELECT page_id, url, title, CASE WHEN text_bytes > 0 THEN content END AS content, coalesce(text_bytes, 0) AS text_bytes,
+       CASE WHEN text_bytes > 0 THEN 'article' END AS rule FROM t""")
+def page_main(spark, sf_dir):
+    """Main content of every landed page by the stack pass, and the rule that chose it.
+
+    The statement states the pages of the test tables, whose articles hold nothing that is left out.
+    """
+    return RD.with_main_content(S.read(spark, sf_dir, "pages")).drop("html")
+
+
 # --- error triage and retry schedule (C19-C21, A12) --------------------------------
 
 ERROR_TEMPLATES = [  # fixed values: API error messages, %d = whole part of the event value
@@ -759,6 +778,8 @@ def stream_marks(spark, sf_dir):
 
 from quire.streaming import keyed as SK  # noqa: E402
 
+SLICES = 3  # landing slices of the streams
+
 
 @register("stream_marks_keyed", """
 SELECT CAST(user_id AS VARCHAR) AS feed_url, max(CAST(epoch_us(ts) // 1000000 AS BIGINT)) AS last_processed_at
@@ -781,13 +802,51 @@ def stream_marks_keyed(spark, sf_dir):
     return INC.new_marks(passed)
 
 
+def _late_slices(spark, sf_dir):
+    """(feed table of the first half, items of the second half by landing slice): some items land a slice late, some twice."""
+    items = S.event_items(S.read(spark, sf_dir, "events"))
+    first = S.event_history(items).select("feed_url", "last_processed_at")
+    lo, hi = (F.col(c) for c in ("_lo", "_hi"))
+    ends = items.agg(((F.min("ts") + F.max("ts")) / 2).cast("long").alias("_lo"), F.max("ts").alias("_hi"))
+    late = F.when(F.col("event_id") % 17 == 5, 1).otherwise(0)
+    slice_ = F.least(F.lit(SLICES - 1), F.floor((F.col("ts") - lo - 1) * SLICES / (hi - lo)) + late).cast("int")
+    after = items.join(F.broadcast(ends), F.col("ts") > lo).withColumn("slice", slice_).drop("_lo", "_hi")
+    again = after.where((F.col("event_id") % 23 == 3) & (F.col("slice") < SLICES - 1)).withColumn("slice", F.col("slice") + 1)
+    return first, after.unionByName(again)
+
+
+@register("stream_marks_handover", f"""WITH
+i AS (SELECT CAST(user_id AS VARCHAR) AS feed_url, event_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS ts FROM events),
+e AS (SELECT CAST(floor((min(ts) + max(ts)) / 2) AS BIGINT) AS lo, max(ts) AS hi FROM i),
+first AS (SELECT feed_url, max(ts) AS mark FROM i, e WHERE ts <= lo GROUP BY feed_url),
+s AS (SELECT feed_url, event_id, ts, CAST(least({SLICES} - 1, floor((ts - lo - 1) * {SLICES} / (hi - lo))
+        + CASE WHEN event_id % 17 = 5 THEN 1 ELSE 0 END) AS INTEGER) AS slice FROM i, e WHERE ts > lo),
+landed AS (SELECT * FROM s UNION ALL SELECT feed_url, event_id, ts, slice + 1 FROM s WHERE event_id % 23 = 3 AND slice < {SLICES} - 1),
+m AS (SELECT *, max(ts) OVER (PARTITION BY feed_url ORDER BY slice RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM landed),
+p AS (SELECT m.feed_url, m.ts FROM m LEFT JOIN first f USING (feed_url) WHERE m.ts <= 0 OR m.ts > greatest(coalesce(m.before, 0), coalesce(f.mark, 0)))
+SELECT feed_url, max(ts) FILTER (ts > 0) AS last_processed_at, CAST(sum(n) AS BIGINT) AS n_passed
+FROM (SELECT feed_url, mark AS ts, 0 AS n FROM first UNION ALL SELECT feed_url, ts, 1 FROM p) GROUP BY feed_url""")
+def stream_marks_handover(spark, sf_dir):
+    """The feed table of a batch run over the first half is handed to keyed state, which takes up the rest.
+
+    Each slice lands and the stream is started again from its checkpoint; late and replayed items are skipped.
+    """
+    root = os.path.join(SESSION.checkpoint_dir(spark), f"handover-{uuid.uuid4().hex}")
+    first, items = _late_slices(spark, sf_dir)
+    marks, items = SESSION.materialize(first), SESSION.materialize(items)
+    landing, out = os.path.join(root, "landing"), os.path.join(root, "passed")
+    for k in range(SLICES):
+        items.where(F.col("slice") == k).drop("slice").write.parquet(os.path.join(landing, f"slice={k}"))
+        stream = spark.readStream.schema(SK.PASSED_SCHEMA).parquet(landing).drop("slice")
+        SK.run(stream, out, os.path.join(root, "checkpoint"), marks).awaitTermination()
+    return SK.marks_after(spark.read.schema(SK.PASSED_SCHEMA).parquet(out), marks)
+
+
 # --- whole runs: a stream of commits, errors by stage (K1, K3, K5, S10, S13, A12, D2) ------
 
 from quire.plans import run as RUN  # noqa: E402
 from quire.streaming import runs as SRUN  # noqa: E402
 
-SLICES = 3
-
 
 def _landed_slices(items: DataFrame):
     """The items in the order they land: slices by position; some come one slice late."""
