@@ -19,7 +19,8 @@ N-grams are counted in parts of the hash space of their state, to which tasks
 send packed runs of (state, shorter n-gram, count): a part sees all arcs of a
 state, so it drops those seen once and knows what is left for the failure arc.
 States of very many arcs are spread over all parts and summed after. Looked-up
-occurrences travel in the same way, as runs of keys per document and part.
+occurrences travel in the same way, as keys per run of texts and part, and
+come back as sums per document of the run.
 
 The most frequent keys (HEAD, HEAD_GRAMS) have their gains in every task, and
 bitmaps of hashes that drop most keys without a row go along. Both only spare
@@ -38,6 +39,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -294,8 +296,7 @@ def train(docs: DataFrame, words: float = WORDS, grams: float = GRAMS, order: in
     return Model(total, distinct, counts, table)
 
 
-FOUND = {"doc_id": pa.int64(), "_th": pa.int64(), "_add": pa.float64(), "_more": pa.float64(), "_gains": pa.float64(),
-         "n_tokens": pa.int64(), "_far": pa.int64(), "_base": pa.float64(), "_null": pa.bool_()}
+FOUND = "run long, place int, doc_id long, n_tokens long, unknown long, logs double, gain double"
 
 
 class Head:
@@ -325,27 +326,30 @@ def _heads(model: Model, head: int, head_grams: int) -> tuple[Head, Head]:
 
 
 def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) -> DataFrame:
-    """One pass over the texts for n-grams of `lengths`: sums of the heads per row, of all other occurrences per document and part.
+    """One pass over the texts for n-grams of `lengths`: FOUND of every row of docs.
 
-    docs: (doc_id, _th, text); table: (key, c, gain), where c is of words only.
-    Rows with n_tokens are one for each row of docs, if words are looked up, with the
-    sums of its head words and head n-grams; all others add to their document.
+    docs: (doc_id, text); table: (key, c, gain), where c is of words only. A task
+    numbers its runs of texts; a run sends its keys that are in no head to
+    their parts, each part sends back sums by place in the run, and these
+    meet the run's own sums (ids, tokens, head words, head gains) again.
     """
     parts = max(1, table.count() // LOOK)
+    with_words = 1 in lengths
+    kinds = "run long, near boolean, docs binary, sums binary"
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, longer, maps = shared.value
+        number = TaskContext.get().partitionId() << 32
         for b in batches:
             texts = b["text"].tolist()
             null = b["doc_id"].isna().to_numpy()
             ids = b["doc_id"].fillna(0).to_numpy(np.int64)
-            th = np.where(null, ~b["_th"].to_numpy(np.int64), b["_th"].to_numpy(np.int64))
             for s in C.text_slices(texts, RUN_SLICES * C.SLICE_BYTES):
                 key, own, near = [], [], []
                 for piece in C.text_slices(texts[s]):
                     tokens, first = tokens_of(texts[s][piece])
                     begin = first[:-1]
-                    doc = np.repeat(np.arange(len(begin)), np.diff(first)) + piece.start
+                    doc = np.repeat(np.arange(len(begin), dtype=np.uint32), np.diff(first)) + np.uint32(piece.start)
                     keys, ok = grams_of(tokens, first, max(lengths))
                     n_far, base, gain = np.zeros(len(begin), np.int64), np.zeros(len(begin)), np.zeros(len(tokens))
                     for n in lengths:
@@ -368,87 +372,96 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) ->
                 where = _part_of(key, parts)
                 by = np.lexsort((own, where))
                 key, own, where = key[by], own[by], where[by]
-                sums = [np.concatenate(x) for x in zip(*near, strict=True)]
-                out = [(_part_of(C.mix(th[s][:1].view(np.uint64)), parts)[0], ids[s].tobytes(), th[s].tobytes(), null[s].tobytes(),
-                        b"".join(x.tobytes() for x in sums))]
+                sums = b"".join(np.concatenate(x).tobytes() for x in zip(*near, strict=True))
+                home = _part_of(C.mix(np.array([number], np.uint64)), parts)[0]
+                out = [(home, number, True, ids[s].tobytes(), null[s].tobytes(), sums)]
                 for i, j in _bounds(where):
                     run = _runs(own[i:j])
-                    who = own[i:j][run] + s.start
-                    out.append((where[i], ids[who].tobytes(), th[who].tobytes(), np.diff(run, append=j - i).astype("<u4").tobytes(),
+                    out.append((where[i], number, False, own[i:j][run].tobytes(), np.diff(run, append=j - i).astype("<u4").tobytes(),
                                 key[i:j].tobytes()))
-                frame = pd.DataFrame(out, columns=["part", "ids", "ths", "runs", "keys"])
-                yield frame.assign(near=np.arange(len(out)) == 0)
-
-    with_words = 1 in lengths
+                yield pd.DataFrame(out, columns=["part", "run", "near", "docs", "runs", "keys"])
+                number += 1
 
     def meet(rows: pa.Table, gains: pa.Table) -> pa.Table:
         have, row = np.unique(gains["key"].to_numpy().view(np.uint64), return_inverse=True)
         c = np.bincount(row, gains["c"].to_numpy(), len(have))
         gain = np.bincount(row, gains["gain"].to_numpy(), len(have))
         log = np.where(c > 0, np.log10(c + ADD), 0.0)
-        sums = []
+        out = []
         for r in range(rows.num_rows):  # one run of texts at a time: the numbers of a whole part are many
-            get = lambda k, t: np.frombuffer(rows[k][r].as_buffer(), t)  # noqa: B023, E731
-            who = [get(k, "<i8") for k in ("ids", "ths")]
-            if rows["near"][r].as_py():
-                n, none = len(who[0]), np.zeros(len(who[0]))
-                tokens, far = get("keys", "<i8")[:2 * n].reshape(2, n)
-                base, near = get("keys", "<f8")[2 * n:].reshape(2, n)
-                sums.append([*who, none, none, near, np.where(with_words, tokens, -1), far, base, get("runs", "?")])
+            number, near, docs, runs, keys = (rows[k][r] for k in ("run", "near", "docs", "runs", "keys"))
+            if near.as_py():
+                out.append((number.as_py(), True, docs.as_py() + runs.as_py(), keys.as_py()))
                 continue
-            keys, runs = get("keys", "<u8"), get("runs", "<u4")
-            first = np.cumsum(runs, dtype=np.int64) - runs
+            docs, runs, keys = (np.frombuffer(x.as_buffer(), t) for x, t in ((docs, "<u4"), (runs, "<u4"), (keys, "<u8")))
             at = np.minimum(np.searchsorted(have, keys), max(0, len(have) - 1))
             hit = have[at] == keys if len(have) else np.zeros(len(keys), bool)
-            at = at[hit]
-            made = []
-            for values in (log, c > 0, gain):
-                full = np.zeros(len(keys))
-                full[hit] = values[at]
-                made.append(np.add.reduceat(full, first))
-            none = np.zeros(len(runs))
-            sums.append([*who, *made, none - 1, none, none, none])
-        columns = zip(*sums, strict=True) if sums else [[np.zeros(0)]] * len(FOUND)
-        return pa.table({k: pa.array(np.concatenate(x)).cast(t) for (k, t), x in zip(FOUND.items(), columns, strict=True)})
-
-    rows = docs.mapInPandas(packed, "part long, ids binary, ths binary, runs binary, keys binary, near boolean")
+            if not hit.any():
+                continue
+            own, at = np.repeat(np.arange(len(docs)), runs)[hit], at[hit]
+            some = _runs(own)
+            values = (log, c > 0, gain) if with_words else (gain,)
+            sums = [np.add.reduceat(x[at].astype(np.float64, copy=False), some) for x in values]
+            out.append((number.as_py(), False, docs[own[some]].tobytes(), b"".join(x.tobytes() for x in sums)))
+        columns = list(zip(*out, strict=True)) if out else [[]] * 4
+        return pa.table({k: pa.array(x, t) for k, t, x in zip(
+            ("run", "near", "docs", "sums"), (pa.int64(), pa.bool_(), pa.binary(), pa.binary()), columns, strict=True)})
+
+    def total(rows: pa.Table) -> pa.Table:
+        at = rows["near"].to_pylist().index(True)
+        docs = rows["docs"][at].as_py()
+        n = len(docs) // 9
+        tokens, far = np.frombuffer(rows["sums"][at].as_py()[:16 * n], "<i8").reshape(2, n)
+        base, near = np.frombuffer(rows["sums"][at].as_py()[16 * n:], "<f8").reshape(2, n)
+        base, near, more = base.copy(), near.copy(), np.zeros(n)
+        for r in range(rows.num_rows):
+            if r != at:
+                place = np.frombuffer(rows["docs"][r].as_buffer(), "<u4")  # each once
+                sums = np.frombuffer(rows["sums"][r].as_buffer(), "<f8").reshape(-1, len(place))
+                near[place] += sums[-1]
+                if with_words:
+                    base[place] += sums[0]
+                    more[place] += sums[1]
+        null = np.frombuffer(docs[8 * n:], "?")
+        return pa.table({"run": pa.array(np.full(n, rows["run"][0].as_py(), np.int64)), "place": pa.array(np.arange(n, dtype=np.int32)),
+                         "doc_id": pa.array(np.frombuffer(docs[:8 * n], "<i8"), mask=null), "n_tokens": pa.array(tokens),
+                         "unknown": pa.array(far - more.astype(np.int64)), "logs": pa.array(base), "gain": pa.array(near)})
+
+    rows = docs.mapInPandas(packed, "part long, run long, near boolean, docs binary, runs binary, keys binary")
     part = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(parts).cast("long"), 32)
-    kinds = ", ".join(f"{k} {'double' if t == pa.float64() else 'boolean' if t == pa.bool_() else 'long'}" for k, t in FOUND.items())
-    return rows.groupBy("part").cogroup(table.withColumn("part", part).groupBy("part")).applyInArrow(meet, kinds)
+    back = rows.groupBy("part").cogroup(table.withColumn("part", part).groupBy("part")).applyInArrow(meet, kinds)
+    return back.groupBy("run").applyInArrow(total, FOUND)
 
 
 def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, head_grams: int = HEAD_GRAMS,
            order: int = ORDER, **options) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
-    docs: (doc_id, text). Documents whose crc32(id) modulo parts equals part
-    are held out of training. options: as of train().
+    docs: (doc_id, text), read several times: its rows must come in the same
+    order and partitions each time, as from a written table. Documents whose
+    crc32(id) modulo parts equals part are held out of training. options: as
+    of train().
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id"), parts, part))
     model = train(docs.where(~F.col("held_out")), order=order, **options)
-    scale = model.scale
     maps = {n: _bitmap(model.gains.where(F.col("n") == n)) for n in range(2, order + 1)}
     shared = spark.sparkContext.broadcast((*_heads(model, head, head_grams), maps))
 
-    # the id and a hash of the text name a document in the lookups; equal rows share their sums
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_th"), "text")
+    # the same texts come in the same runs in every pass: a row is known by its run and its place there
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     far = model.counts.select(F.lit(1).alias("n"), "key", "c", F.lit(0.0).alias("gain")).unionByName(
         model.gains.select("n", "key", F.lit(0).cast("long").alias("c"), "gain"))
     lengths = [list(range(1, max(order, 2))), *([[order]] if order > 1 else [])]
-    found = [C.staged(_looked_up(texts, far.where(F.col("n").isin(ns)).drop("n"), ns, shared), "found") for ns in lengths]
-    rows = found[0].where("n_tokens >= 0")
-    adds = ["_add", "_more", "_gains"]
-    sums = rows.select("doc_id", "_th", *[F.lit(0.0).alias(c) for c in adds], F.lit(1).alias("_rows"))
-    for f in (found[0].where("n_tokens < 0"), *found[1:]):
-        sums = sums.unionByName(f.select("doc_id", "_th", *adds, F.lit(0).alias("_rows")))
-    sums = sums.groupBy(F.col("doc_id").alias("_id"), "_th").agg(*[F.sum(c).alias(c) for c in (*adds, "_rows")])
-    rows = rows.select(F.col("doc_id").alias("_id"), "_th", "n_tokens", "_far", "_base", F.col("_gains").alias("_gain"),
-                       F.when(~F.col("_null"), F.col("doc_id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"))
-    rows = rows.withColumn("held_out", held_out(F.col("doc_id"), parts, part))
-    out = rows.join(sums, ["_id", "_th"])
-    unknown = F.col("_far") - F.round(F.col("_more") / F.col("_rows")).cast("long")
-    base = F.col("_base") + F.col("_add") / F.col("_rows") + unknown * math.log10(ADD) - F.col("n_tokens") * scale
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_tokens") - unknown).alias("n_known"),
+    out, *longer = [C.staged(_looked_up(texts, far.where(F.col("n").isin(ns)).drop("n"), ns, shared), "found") for ns in lengths]
+    for more in longer:
+        more = more.select("run", "place", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "n_tokens", "gain")])
+        same = F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_n_tokens") == F.col("n_tokens"))
+        out = out.join(more, ["run", "place"], "left").withColumn("gain", F.when(same, F.col("gain") + F.col("_gain")).otherwise(
+            F.raise_error(F.lit("the documents came in another order in the second pass")).cast("double"))).drop(*more.columns[2:])
+    out = out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    out = out.withColumn("held_out", held_out(F.col("doc_id"), parts, part))
+    base = F.col("logs") + F.col("unknown") * math.log10(ADD) - F.col("n_tokens") * model.scale
+    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_tokens") - F.col("unknown")).alias("n_known"),
                       F.lit(int(model.total)).cast("long").alias("train_tokens"), F.round(base, 6).alias("base_score"),
-                      F.round(base + F.col("_gain") + F.col("_gains") / F.col("_rows"), 6).alias("score"))
+                      F.round(base + F.col("gain"), 6).alias("score"))
