@@ -638,10 +638,21 @@ def agent_requests(spark, sf_dir):
 
 # --- syndication documents (S1, S2, S13) ---------------------------------------------
 
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from quire import session as SESSION  # noqa: E402
 from quire.operators import digest as DG  # noqa: E402
 from quire.sources import feeds as FD  # noqa: E402
 
 
+def _rss_item() -> F.Column:
+    date = F.concat(F.lit("<pubDate>"), F.date_format("published", "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("</pubDate>"))
+    return F.concat(F.lit("<item><title>"), F.col("title"), F.lit("</title><link>"), F.col("link"), F.lit("</link><description>"),
+                    FD.xml_escape("description"), F.lit("</description><guid>"), F.col("guid"), F.lit("</guid>"),
+                    F.coalesce(date, F.lit("")), F.lit("</item>"))
+
+
 def _feed_documents(spark, sf_dir):
     """One landed feed document per document row: RSS for even ids, Atom for odd ids;
     the document of an item labelled toxic arrives cut short (malformed)."""
@@ -651,8 +662,6 @@ def _feed_documents(spark, sf_dir):
           .withColumn("source", F.regexp_extract("link", r"^https://example\.com/([^/]+)/", 1)))
     d = F.col("item_pos")
     pub = F.col("published")
-    rss_date = F.when(pub.isNotNull(), F.concat(F.lit("<pubDate>"),
-                                                F.date_format(pub, "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("</pubDate>")))
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssXXX")
     atom_date = (F.when(pub.isNull(), F.lit(""))
                  .when(d % 4 == 1, F.concat(F.lit("<updated>"), iso(pub), F.lit("</updated>")))
@@ -660,9 +669,7 @@ def _feed_documents(spark, sf_dir):
                                      iso(pub + F.expr("INTERVAL 1 DAY")), F.lit("</updated>"))))
     desc = FD.xml_escape("description")
     rss = F.concat(F.lit('<rss version="2.0"><channel><title>'), F.col("source"), F.lit("</title><description>Feed "),
-                   F.col("source"), F.lit("</description><item><title>"), F.col("title"), F.lit("</title><link>"),
-                   F.col("link"), F.lit("</link><description>"), desc, F.lit("</description><guid>"), F.col("guid"),
-                   F.lit("</guid>"), F.coalesce(rss_date, F.lit("")), F.lit("</item></channel></rss>"))
+                   F.col("source"), F.lit("</description>"), _rss_item(), F.lit("</channel></rss>"))
     atom = F.concat(F.lit("<feed><title>"), F.col("source"), F.lit("</title><entry><title>"), F.col("title"),
                     F.lit('</title><link href="'), F.col("link"), F.lit('"/><summary>'), desc, F.lit("</summary><id>"),
                     F.col("guid"), F.lit("</id>"), atom_date, F.lit("</entry></feed>"))
@@ -683,6 +690,26 @@ def feed_items(spark, sf_dir):
         F.unix_seconds("published").alias("published_ts"), "guid")
 
 
+@register("feed_items_large", f"""WITH {O.ITEMS}
+SELECT regexp_extract(link, '^https://example\\.com/([^/]+)/', 1) AS feed_title, item_pos, title, link, description,
+       ts AS published_ts, guid FROM items""")
+def feed_items_large(spark, sf_dir):
+    """One landed RSS document per feed with all its items, read an item a record by many tasks."""
+    root = os.path.join(SESSION.checkpoint_dir(spark), f"feeds-{uuid.uuid4().hex}")
+    it = _items(spark, sf_dir).withColumn("source", F.regexp_extract("link", r"^https://example\.com/([^/]+)/", 1))
+    feeds = it.select("source").distinct()
+    head = F.concat(F.lit('<rss version="2.0"><channel><title>'), F.col("source"), F.lit("</title>"))
+    lines = (it.select("source", F.lit(1).alias("k"), _rss_item().alias("value"))
+             .unionByName(feeds.select("source", F.lit(0).alias("k"), head.alias("value")))
+             .unionByName(feeds.select("source", F.lit(2).alias("k"), F.lit("</channel></rss>").alias("value"))))
+    (lines.repartition("source").sortWithinPartitions("source", "k").select("source", "value")
+     .write.partitionBy("source").text(root))
+    found, items, _ = FD.read_large(spark, root)
+    return items.join(found, "feed_id").select(
+        "feed_title", F.col("guid").cast("long").alias("item_pos"), "title", "link", "description",
+        F.unix_seconds("published").alias("published_ts"), "guid")
+
+
 @register("feed_errors", "SELECT count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
 def feed_errors(spark, sf_dir):
     """Malformed feed documents become error rows; the other feeds go on."""
@@ -748,10 +775,6 @@ def pages_per_resource(spark, sf_dir):
 
 # --- streaming marks (K1, K3, K5) ------------------------------------------------------
 
-import os  # noqa: E402
-import uuid  # noqa: E402
-
-from quire import session as SESSION  # noqa: E402
 from quire.streaming import marks as SM  # noqa: E402
 
 
