@@ -33,6 +33,7 @@ training tokens every probability is that of an unknown word.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -121,6 +122,8 @@ def _counted(df: DataFrame, keys: Callable[[list], np.ndarray]) -> DataFrame:
         for (all_,) in _gathered(batches, lambda texts: (keys(texts),)):
             key, c = np.unique(all_, return_counts=True)
             yield pd.DataFrame({"key": key.view(np.int64), "c": c})
+            del key, c, all_
+            _trimmed()
 
     return df.select("text").mapInPandas(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
@@ -147,6 +150,14 @@ def _among(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return sorted_keys[np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)] == keys
 
 
+def _trimmed() -> None:
+    """Give freed memory of this Python worker back to the system (workers are reused by later stages)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _keys_of(df: DataFrame) -> np.ndarray:
     return np.sort(df.select("key").toArrow()["key"].to_numpy().view(np.uint64))
 
@@ -214,8 +225,11 @@ def _arcs(docs: DataFrame, n: int, floor: float, total: int, states: np.ndarray,
             names = ["part", "states", "runs", "nexts", "counts"]
             for i in range(0, len(out), FRAME):  # frames of a few parts, as the JVM holds a frame whole
                 yield pd.DataFrame(out[i:i + FRAME], columns=names)
+            del a, b, c, where, by, out
+            _trimmed()
 
     def meet(table: pa.Table) -> pa.Table:
+        _trimmed()
         a = np.repeat(_opened(table, "states", "<u8"), _opened(table, "runs", "<u4"))
         b, c = _opened(table, "nexts", "<u8"), _opened(table, "counts", "<u4").astype(np.int64)
         by = np.lexsort((b, a))
@@ -381,8 +395,11 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) ->
                                 key[i:j].tobytes()))
                 yield pd.DataFrame(out, columns=["part", "run", "near", "docs", "runs", "keys"])
                 number += 1
+                del key, own, where, by, sums, out
+                _trimmed()
 
     def meet(rows: pa.Table, gains: pa.Table) -> pa.Table:
+        _trimmed()
         have, row = np.unique(gains["key"].to_numpy().view(np.uint64), return_inverse=True)
         c = np.bincount(row, gains["c"].to_numpy(), len(have))
         gain = np.bincount(row, gains["gain"].to_numpy(), len(have))
@@ -408,6 +425,7 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) ->
             ("run", "near", "docs", "sums"), (pa.int64(), pa.bool_(), pa.binary(), pa.binary()), columns, strict=True)})
 
     def total(rows: pa.Table) -> pa.Table:
+        _trimmed()
         at = rows["near"].to_pylist().index(True)
         docs = rows["docs"][at].as_py()
         n = len(docs) // 9
