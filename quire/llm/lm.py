@@ -57,7 +57,7 @@ ADD = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 FLUSH = 1_000_000       # keys gathered before a task passes on their counts
 PART = 1 << 19          # training tokens to a part of the states, about
-LOOK = 1 << 18          # rows of the automaton to a part of the lookup, about
+LOOK = 1 << 20          # rows of the automaton to a part of the lookup, about
 RUN_SLICES = 4          # slices of text whose lookups travel as one run for each part
 FRAME = 32              # parts that a task sends on at once
 HOT = 1 << 18           # a state seen this often has its arcs spread over all parts
@@ -270,8 +270,11 @@ class Model:
     two rows, and what one occurrence adds is their sum.
     """
 
-    def __init__(self, total: int, distinct: int, counts: DataFrame, gains: DataFrame):
-        self.total, self.distinct, self.counts, self.gains = total, distinct, counts, gains
+    def __init__(self, total: int, distinct: int, counts: DataFrame, shorter: DataFrame, arcs: DataFrame | None = None,
+                 longest: str | None = None):
+        self.total, self.distinct, self.counts, self.shorter = total, distinct, counts, shorter
+        self.gains = shorter if arcs is None else shorter.unionByName(arcs)
+        self.longest = longest  # folder of the longest arcs, the only gains of their length
         self.scale = math.log10(total + ADD * (distinct + 1))
 
 
@@ -286,6 +289,7 @@ def train(docs: DataFrame, words: float = WORDS, grams: float = GRAMS, order: in
     known = _keys_of(level) if words < WORDS else None  # at most `words` rows
     floor = max(LEAST, total / grams)
     table = spark.createDataFrame([], "n int, key long, c long, gain double")
+    longest = None
     for n in range(2, order + 1):
         many = _keys_of(level.where(F.col("c") >= max(hot, total / HEAD)))  # at most HEAD rows
         path = C.new_path(spark, f"raw{n}")
@@ -302,12 +306,14 @@ def train(docs: DataFrame, words: float = WORDS, grams: float = GRAMS, order: in
         q = rest + left / F.col("seen") * F.col("shorter")
         found = arcs.join(level.select(F.col("key").alias("b"), F.col("q").alias("shorter")), "b").select(
             "key", "c", q.alias("q"), F.log10(q * F.col("seen") / (left * F.col("shorter"))).alias("gain"))
-        found = C.staged(found if n < order else found.drop("q"), f"arcs{n}")
+        longest = C.new_path(spark, f"arcs{n}")
+        found = C.staged(found if n < order else found.drop("q"), path=longest)
         C.discard(spark, path)
-        table = table.unionByName(found.select(F.lit(n).alias("n"), "key", "c", "gain"))
+        arcs = found.select(F.lit(n).alias("n"), "key", "c", "gain")
         if n < order:
+            table = table.unionByName(arcs)
             level = found.select("key", "c", "q")
-    return Model(total, distinct, counts, table)
+    return Model(total, distinct, counts, table, arcs if order > 1 else None, longest)
 
 
 FOUND = "run long, place int, doc_id long, n_tokens long, unknown long, logs double, gain double"
@@ -470,9 +476,17 @@ def scores(docs: DataFrame, parts: int = 10, part: int = 0, head: int = HEAD, he
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     far = model.counts.select(F.lit(1).alias("n"), "key", "c", F.lit(0.0).alias("gain")).unionByName(
         model.gains.select("n", "key", F.lit(0).cast("long").alias("c"), "gain"))
-    lengths = [list(range(1, max(order, 2))), *([[order]] if order > 1 else [])]
-    out, *longer = [C.staged(_looked_up(texts, far.where(F.col("n").isin(ns)).drop("n"), ns, shared), "found") for ns in lengths]
-    for more in longer:
+
+    def pass_of(ns: list[int]) -> DataFrame:
+        return C.staged(_looked_up(texts, far.where(F.col("n").isin(ns)).drop("n"), ns, shared), "found")
+
+    more = pass_of([order]) if order > 1 else None
+    if more is not None:  # the longest arcs have served
+        C.discard(spark, model.longest)
+        far = model.counts.select(F.lit(1).alias("n"), "key", "c", F.lit(0.0).alias("gain")).unionByName(
+            model.shorter.select("n", "key", F.lit(0).cast("long").alias("c"), "gain"))
+    out = pass_of(list(range(1, max(order, 2))))
+    if more is not None:
         more = more.select("run", "place", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "n_tokens", "gain")])
         same = F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_n_tokens") == F.col("n_tokens"))
         out = out.join(more, ["run", "place"], "left").withColumn("gain", F.when(same, F.col("gain") + F.col("_gain")).otherwise(
