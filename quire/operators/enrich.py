@@ -2,8 +2,8 @@
 
 An agent is a callable `text -> text`, or one marked with `batch_agent`, which
 takes a list of texts and returns as many. It may fail with any exception.
-The chains of a batch of items run in one `mapInPandas` pass (one Python
-boundary), step by step in list order, and keep the order of the rows: an
+The chains of a run of items of bounded bytes run in one `mapInArrow` pass (one
+Python boundary), step by step in list order, and keep the order of the rows: an
 unknown name is recorded and skipped, a failure is recorded and stops the
 item's chain, keeping the last good text. In a task, up to `threads` calls run
 at a time, each in a thread of its own, which is left behind when the call
@@ -13,6 +13,7 @@ outlasts the deadline; so calls against a rate-limited API are bounded by
 
 from __future__ import annotations
 
+import hashlib
 import queue
 import re
 import threading
@@ -21,11 +22,18 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from quire.functions import text as T
+from quire.session import bound_batches, ship_package
+
+# Bytes of text whose chains run together; a longer single text goes alone.
+RUN_BYTES = 2 << 20
 
 # The summary prompt (front matter removed); {{content}} is replaced.
 SUMMARY_PROMPT = """You are a content summarization assistant. Your task is to create a concise, informative summary of the provided content.
@@ -205,30 +213,45 @@ def unknown_agents(named: list[str], registry: dict[str, Callable]) -> list[str]
     return sorted(set(named) - set(registry))
 
 
+def _runs(sizes: list[int], limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, number of rows) of the runs of texts of at most `limit` bytes in which a batch is worked off."""
+    begin, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > begin and held + size > limit:
+            yield begin, i - begin
+            begin, held = i, 0
+        held += size
+    if sizes:
+        yield begin, len(sizes) - begin
+
+
 def enrich(df: DataFrame, make_registry: Callable[[], dict[str, Callable]],
            policy: RetryPolicy = RetryPolicy(), content: str = "content", agents: str = "agents",
            partitions: int | None = None) -> DataFrame:
     """Add `enriched`, `agent_status`, `agent_errors` by running each row's chain.
 
     `make_registry` is called once per task, so clients are built on executors.
+    The other columns pass through in Arrow; a task holds a batch of bounded
+    bytes and the texts of one run of it.
     """
-    out_schema = (df.schema.simpleString()[len("struct<"):-1]
-                  + ",enriched:string,agent_status:string,agent_errors:array<string>")
+    added = StructType.fromDDL("enriched string, agent_status string, agent_errors array<string>")
+    schema = StructType(df.schema.fields + added.fields)
+    names, kinds = [f.name for f in schema.fields], [to_arrow_type(f.dataType) for f in added.fields]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         registry = make_registry()
-        for pdf in batches:
-            res = run_chains(list(pdf[agents]), registry, [c if isinstance(c, str) else "" for c in pdf[content]], policy)
-            pdf = pdf.copy()
-            pdf["enriched"] = [r[0] for r in res]
-            pdf["agent_status"] = [r[1] for r in res]
-            pdf["agent_errors"] = [r[2] for r in res]
-            yield pdf
-
-    from quire.session import ship_package
+        for b in batches:
+            sizes = pc.fill_null(pc.binary_length(b.column(content)), 0).to_pylist()
+            for first, n in _runs(sizes):
+                part = b.slice(first, n)
+                res = run_chains(part.column(agents).to_pylist(), registry, [c or "" for c in part.column(content).to_pylist()], policy)
+                made = [pa.array([r[k] for r in res], type=t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     src = df.repartition(partitions) if partitions else df
-    return src.mapInPandas(run, f"struct<{out_schema}>")
+    return src.mapInArrow(run, schema)
 
 
 # --- deterministic stand-ins used by the bundled queries and tests -------------
@@ -236,14 +259,15 @@ def enrich(df: DataFrame, make_registry: Callable[[], dict[str, Callable]],
 def stand_in_registry() -> dict[str, Callable[[str], str]]:
     """'summary' prefixes the text; it refuses text naming a license (non-retryable)
     and is rate limited twice on text naming a copyright (retryable)."""
-    calls: dict[str, int] = {}
+    calls: dict[bytes, int] = {}  # by digest: no text stays in memory
 
     def summary(text: str) -> str:
         if "License" in text:
             raise AgentError("invalid input: licensed content")
         if "Copyright" in text:
-            calls[text] = calls.get(text, 0) + 1
-            if calls[text] <= 2:
+            key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            calls[key] = calls.get(key, 0) + 1
+            if calls[key] <= 2:
                 raise AgentError("Error 429: rate limit exceeded, retry in 0s")
         return "summary: " + text
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Broadcast threshold used by `bounded_broadcast` when the session sets none.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Bytes of an Arrow batch handed to a Python worker.
+BATCH_BYTES = 8 << 20
 
 
 def get_session(master: str | None = None, app: str = "quire",
@@ -112,6 +114,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded bytes, which the JVM and the Python worker of a task both hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -121,3 +121,28 @@ def test_batches_keep_order_and_isolate_failures():
 
 def test_unknown_agents():
     assert EN.unknown_agents(["summary", "format", "format"], {"summary": str}) == ["format"]
+
+
+def test_a_task_works_on_runs_of_bounded_bytes(spark):
+    """Agents of a batch see the texts of one run, not all rows of a partition; a longer text goes alone."""
+    @EN.batch_agent
+    def held(texts):
+        return [str(sum(map(len, texts)))] * len(texts)
+
+    big, n = 300_000, 60
+    df = spark.range(n, numPartitions=1).selectExpr(
+        "id", f"repeat('x', IF(id = 7, {3 * EN.RUN_BYTES}, {big})) AS content", "array('held') AS agents")
+    rows = EN.enrich(df, lambda: {"held": held}, EN.RetryPolicy(batch_size=10**6)).select("id", "enriched", "agent_status").collect()
+    assert [r.id for r in rows] == list(range(n)) and {r.agent_status for r in rows} == {"ok"}
+    assert rows[7].enriched == str(3 * EN.RUN_BYTES)
+    assert max(int(r.enriched) for r in rows if r.id != 7) <= EN.RUN_BYTES
+    assert list(EN._runs([])) == [] and list(EN._runs([5, 5, 9, 1], 10)) == [(0, 2), (2, 2)]
+
+
+def test_the_stand_in_keeps_no_text():
+    summary = EN.stand_in_registry()["summary"]
+    text = "Copyright " + "x" * 1000
+    assert EN.call_with_retry(summary, text, FAST) == ("summary: " + text, None, 3)
+    assert EN.call_with_retry(summary, text, FAST)[2] == 1
+    calls, = (c.cell_contents for c in summary.__closure__)
+    assert len(calls) == 1 and text not in calls and all(len(k) < 100 for k in calls)
