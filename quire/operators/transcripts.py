@@ -37,9 +37,20 @@ def _score(ne, na, common):
             .otherwise(ratio * LENGTH_WEIGHT + common / ne * OVERLAP_WEIGHT))
 
 
-def word_counts(texts: DataFrame, key: str) -> DataFrame:
-    """(key, w, n): how often each normalised word occurs in the texts of a key."""
-    return texts.select(key, F.explode(T.normalise_words("text")).alias("w")).groupBy(key, "w").agg(F.count(F.lit(1)).alias("n"))
+# Words of the expected texts up to which they are broadcast, so that other words are counted without being told apart.
+MAX_VOCABULARY = 500_000
+
+
+def word_counts(texts: DataFrame, key: str, only: DataFrame | None = None) -> DataFrame:
+    """(key, w, n): how often each normalised word occurs in the texts of a key.
+
+    only: (w) distinct words, broadcast; all others count as one word, which is null.
+    """
+    # outer: else the optimizer derives a filter from the words, and they are made once more for it
+    words = texts.select(key, F.explode_outer(T.normalise_words("text")).alias("w")).where("w IS NOT NULL")
+    if only is not None:
+        words = words.join(F.broadcast(only.select("w", F.col("w").alias("_in"))), "w", "left").select(key, F.col("_in").alias("w"))
+    return words.groupBy(key, "w").agg(F.count(F.lit(1)).alias("n"))
 
 
 def blocked_pairs(expected: DataFrame, actual: DataFrame, rarest: int = 8, shared: int = 3) -> DataFrame:
@@ -54,7 +65,7 @@ def blocked_pairs(expected: DataFrame, actual: DataFrame, rarest: int = 8, share
     which the actual text holds four in five of the expected words; long texts
     that hold half of them by chance are mostly not.
     """
-    held = actual.groupBy("w").agg(F.count(F.lit(1)).alias("df"))  # a text holds a word in one row
+    held = actual.where("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("df"))  # a text holds a word in one row
     rank = F.row_number().over(Window.partitionBy("e").orderBy("df", "w"))
     asked = expected.join(held, "w").withColumn("rank", rank).where(F.col("rank") <= rarest).select("e", "w")
     asked = asked.withColumn("need", F.least(F.lit(shared), F.count(F.lit(1)).over(Window.partitionBy("e"))))
@@ -66,9 +77,13 @@ def pair_similarity(expected: DataFrame, actual: DataFrame, **options) -> DataFr
     """expected(e, text), actual(a, text) -> e, a, n_expected, n_actual, common, similarity of the blocked pairs.
 
     The words of a pair meet by (text, word); no text is compared that the
-    blocking did not propose. options: as of blocked_pairs().
+    blocking did not propose. Of the actual texts only words that an expected
+    one holds are told apart; the others just count. options: as of blocked_pairs().
     """
-    ew, aw = materialize(word_counts(expected, "e")), materialize(word_counts(actual, "a"))
+    ew = materialize(word_counts(expected, "e"))
+    asked = materialize(ew.select("w").distinct())
+    few = asked.count() <= MAX_VOCABULARY
+    aw = materialize(word_counts(actual, "a", asked if few else None))
     pairs = materialize(blocked_pairs(ew, aw, **options))
     total = lambda df, key, name: df.groupBy(key).agg(F.sum("n").alias(name))
     common = (pairs.join(ew.select("e", "w"), "e").join(aw, ["a", "w"]).groupBy("e", "a").agg(F.sum("n").alias("common")))

@@ -45,3 +45,21 @@ def test_edges(spark):
     got = {(r.e, r.a): (r.common, round(r.similarity, 6)) for r in TR.pair_similarity(e, a).collect()}
     assert got == {(1, 1): (3, 1.0), (1, 5): (3, round(0.3 * 3 / 5 + 0.7, 6)), (4, 4): (2, round(0.15 + 1.4, 6))}
     assert TR.pair_similarity(e.limit(0), a).count() == TR.pair_similarity(e, a.limit(0)).count() == 0
+
+
+def test_words_are_made_once_and_only_expected_ones_told_apart(spark):
+    texts = spark.createDataFrame([(1, "One ONE two; three\x0bfour—five d'un_x 9"), (2, "zz zz!"), (3, None), (4, " \t"), (1, "two\r\n\fzz")], "a long, text string")
+    counted = TR.word_counts(texts, "a")
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    want = Counter((a, w) for a, t in texts.collect() for w in words(t))
+    assert {(r.a, r.w): r.n for r in counted.collect()} == want
+    some = spark.createDataFrame([("one",), ("zz",)], "w string")
+    assert {(r.a, r.w): r.n for r in TR.word_counts(texts, "a", some).collect()} == {(1, "one"): 2, (1, "zz"): 1, (1, None): 5, (2, "zz"): 2}
+
+
+def test_same_scores_without_a_broadcast_vocabulary(spark, monkeypatch):
+    exp = spark.read.parquet(f"{SF}/benchmark.parquet").select(F.col("item_id").alias("e"), "text")
+    act = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").alias("a"), "text")
+    got = sorted(map(tuple, TR.pair_similarity(exp, act).collect()))
+    monkeypatch.setattr(TR, "MAX_VOCABULARY", 0)
+    assert got and got == sorted(map(tuple, TR.pair_similarity(exp, act).collect()))
