@@ -338,19 +338,35 @@ def _char(c: str) -> str:
     return c if c.isalnum() and c < "\x80" else rf"\x{{{ord(c):X}}}"
 
 
-def _class(node: Chars) -> str:
-    body = "".join(_char(a) if a == b else f"{_char(a)}-{_char(b)}" for a, b in node.ranges)
-    for name, negated in node.sets:
-        body += (f"[^{name}]" if negated else name)
+def _chars(node: Chars) -> str:
+    """A class as Java evaluates it fast: of a class and its complement the one of fewer ranges, and single
+    characters, which are one table lookup there, instead of several ranges, each of which is a call a character."""
+    ranges, negated, fold = node.ranges, node.negated, node.flags.i
+    if ranges and not node.sets:
+        kept = complement(complement(ranges))  # sorted, merged
+        rest = complement(kept)
+        if fold and negated and rest and rest[-1][1] < "\x80":
+            # what has no case variant in the class: here only ASCII, whose variants are known
+            own = {chr(c) for a, b in rest for c in range(ord(a), ord(b) + 1)}
+            ranges, negated, fold = [(c, c) for c in sorted(own) if c.upper() in own and c.lower() in own], False, False
+        elif not fold and rest and len(rest) < len(kept):
+            ranges, negated = rest, not negated
+        elif not fold:
+            ranges = kept
+    if not fold and sum(a != b for a, b in ranges) > 1:
+        ranges = [r for a, b in ranges for r in ([(chr(c), chr(c)) for c in range(ord(a), ord(b) + 1)] if b <= "\xff" else [(a, b)])]
+    body = "".join(_char(a) if a == b else f"{_char(a)}-{_char(b)}" for a, b in ranges)
+    for name, without in node.sets:
+        body += (f"[^{name}]" if without else name)
     if not body:
+        if node.ranges:
+            return "(?!)"  # no character is left
         raise PatternError("empty class")
-    return f"[{'^' if node.negated else ''}{body}]"
+    return f"(?iu:[{'^' * negated}{body}])" if fold else f"[{'^' * negated}{body}]"
 
 
-_WORD = "0-9A-Za-z_"
-_EDGES = {"A": r"\A", "z": r"\z",
-          "b": f"(?:(?<=[{_WORD}])(?![{_WORD}])|(?<![{_WORD}])(?=[{_WORD}]))",
-          "B": f"(?:(?<=[{_WORD}])(?=[{_WORD}])|(?<![{_WORD}])(?![{_WORD}]))"}
+# \w of Java is ASCII, as in RE2
+_EDGES = {"A": r"\A", "z": r"\z", "b": r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))", "B": r"(?:(?<=\w)(?=\w)|(?<!\w)(?!\w))"}
 
 
 def _java(node: object) -> str:
@@ -361,11 +377,11 @@ def _java(node: object) -> str:
     if isinstance(node, Edge):
         if node.kind in "^$":
             if node.flags.m:
-                return r"(?:\A|(?<=\n))" if node.kind == "^" else r"(?:(?=\n)|\z)"
+                return r"(?<![^\n])" if node.kind == "^" else r"(?![^\n])"
             return r"\A" if node.kind == "^" else r"\z"
         return _EDGES[node.kind]
     if isinstance(node, Chars):
-        return f"(?iu:{_class(node)})" if node.flags.i else _class(node)
+        return _chars(node)
     if isinstance(node, Repeat):
         inner = _java(node.node)
         if isinstance(node.node, (Sequence, Choice, Repeat)) or (isinstance(node.node, Edge)):
@@ -378,6 +394,10 @@ def _java(node: object) -> str:
     if isinstance(node, Group):
         return ("(" if node.captured else "(?:") + _java(node.node) + ")"
     parts = [_java(n) for n in node.nodes]
+    if isinstance(node, Sequence):
+        for i, (a, b) in enumerate(zip(node.nodes, node.nodes[1:])):
+            if isinstance(a, Edge) and a.kind in "bB" and isinstance(b, Literal) and not b.flags.i:
+                parts[i] = f"(?={_char(b.char)})" + parts[i]  # one comparison before the four looks around
     return "".join(parts) if isinstance(node, Sequence) else "(?:" + "|".join(parts) + ")"
 
 
