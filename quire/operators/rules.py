@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import regex as R
 from quire.functions import text as T
-from quire.session import bounded_broadcast
+from quire.session import RESOURCE_BYTES, bounded_broadcast
 
 log = logging.getLogger(__name__)
 
@@ -134,7 +134,7 @@ def apply_resource_rules(items: DataFrame, resources: DataFrame, rule_sets: dict
         filter_lists = resource_filter_lists(resources)
     res = bounded_broadcast(resources.select(
         "resource_pos", F.array_join(F.coalesce("filters", F.array().cast("array<string>")), ",")
-        .alias("_fkey")))
+        .alias("_fkey")), row_bytes=RESOURCE_BYTES)
     all_names = sorted({n for lst in filter_lists for n in lst})
     j, text, words = _with_text(items.join(res, "resource_pos"), rule_sets, all_names)
     reason = None

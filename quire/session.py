@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Broadcast threshold used by `bounded_broadcast` when the session sets none.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Bytes that a row of the resource configuration takes at most, about.
+RESOURCE_BYTES = 4096
 # Bytes of an Arrow batch handed to a Python worker.
 BATCH_BYTES = 8 << 20
 
@@ -69,11 +71,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(size) if isinstance(size, int) else int(size.toString())  # Scala BigInt via py4j
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None, row_bytes: int | None = None) -> DataFrame:
     """Broadcast-hint `df` only when its estimated size is within the bound.
 
     Beyond the bound the frame is returned unchanged, so the join shuffles
-    (and AQE may still switch to a broadcast once real sizes are known).
+    (and AQE may still switch to a broadcast once real sizes are known, but
+    then the other side has been shuffled for nothing). row_bytes: for tables
+    much smaller than what they are derived from, whose estimate follows their
+    source; beyond the bound their rows are counted, so many bytes each.
     """
     if max_bytes is None:
         try:
@@ -84,6 +89,8 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
         size = estimated_bytes(df)
     except Exception:
         return df
+    if size > max_bytes and row_bytes is not None:
+        size = df.limit(max_bytes // row_bytes + 1).count() * row_bytes
     return F.broadcast(df) if size <= max_bytes else df
 
 

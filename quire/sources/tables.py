@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.session import local_table, spread
+from quire.session import RESOURCE_BYTES, bounded_broadcast, local_table, spread
 
 # Fixed values of the document-to-item mapping.
 EPOCH_BASE = 1704067200          # 2024-01-01T00:00:00Z
@@ -122,7 +122,7 @@ def orders_history(orders: DataFrame) -> DataFrame:
 def labelled_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     items = items_from_documents(docs)
-    res = resources_from_documents(docs).select("resource_pos", "parser", "agents")
+    res = bounded_broadcast(resources_from_documents(docs).select("resource_pos", "parser", "agents"), row_bytes=RESOURCE_BYTES)
     lab = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("item_pos"), "quality", "toxic")
     return items.join(res, "resource_pos").join(lab, "item_pos", "left")
 

@@ -37,3 +37,12 @@ def test_bounded_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_tables_of_large_sources_are_counted(spark):
+    """The estimate of a few distinct rows follows the table they come from; counted, they are broadcast."""
+    few = spark.range(10_000).selectExpr("id % 3 AS k").distinct()
+    hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert not hint(bounded_broadcast(few, 1000))
+    assert hint(bounded_broadcast(few, 1000, row_bytes=100))
+    assert not hint(bounded_broadcast(few, 1000, row_bytes=400))
