@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -62,13 +63,32 @@ def staged(df: DataFrame, name: str = "table", path: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = path or new_path(spark, name)
+    with cleaned(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what is run inside go when it has ended."""
     before = spark.conf.get(CLEAN, "false")
     spark.conf.set(CLEAN, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame) -> int:
+    """Rows of df; the shuffle files of the count go."""
+    with cleaned(df.sparkSession):
+        return df.count()
+
+
+def only_row(df: DataFrame):
+    """The row of a table of one row; the shuffle files of the query go."""
+    with cleaned(df.sparkSession):
+        return df.first()
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -77,9 +97,28 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """staged() for tables that are removed together at the end of a `with` block, when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __call__(self, df: DataFrame, name: str = "table") -> DataFrame:
+        self.paths.append(new_path(self.spark, name))
+        return staged(df, name, self.paths[-1])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            discard(self.spark, path)
+        self.paths = []
+
+
 def checked_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`broadcast(df)` when its counted rows fit the bound, else `df` (a shuffle join)."""
-    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
+    return F.broadcast(df) if counted(df) * row_bytes <= max_bytes else df
 
 
 def join_keyed(df: DataFrame, table: DataFrame, key: str, total: int, heavy: int = 1000) -> DataFrame:

@@ -17,8 +17,8 @@ their occurrences.
 Candidates are not all pairs of a bucket: first every class is paired with one
 smallest member only, the one it shares most prefix n-grams with; then, in a
 few rounds, with a centre of each n-gram, the class of which most is shared,
-if that is of another component. What is linked so far is one component, and
-at last all pairs of different components are tried whose first shared n-gram
+if that is of another component as far as known. What is linked so far is one
+component, and at last all pairs of different components are tried whose first shared n-gram
 leaves enough behind it. No link between components is lost, and a group of
 near copies costs about as much as it has members.
 
@@ -29,7 +29,7 @@ id, so its row has the component of its links, or null without any.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -97,8 +97,9 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
     part = docs.select("text").mapInPandas(count, "chunk long, n binary")
     out = np.zeros((chunks, (1 << SKETCH_BITS) // chunks), np.int32)
-    for r in part.groupBy("chunk").applyInPandas(add, "chunk long, n binary").toPandas().itertuples():
-        out[r.chunk] = np.frombuffer(r.n, np.int32)
+    with C.cleaned(docs.sparkSession):
+        for r in part.groupBy("chunk").applyInPandas(add, "chunk long, n binary").toPandas().itertuples():
+            out[r.chunk] = np.frombuffer(r.n, np.int32)
     return out.ravel()
 
 
@@ -151,13 +152,15 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         C.checked_broadcast(wanted, 64), F.col("_id").eqNullSafe(F.col("first_id"))).drop("_id", "first_id")
 
 
-def postings(docs: DataFrame, classes: DataFrame, order: Broadcast, part: int = PART, hot: int = HOT) -> DataFrame:
+def postings(docs: DataFrame, classes: DataFrame, order: Broadcast, part: int = PART, hot: int = HOT,
+             stage: Callable[[DataFrame, str], DataFrame] = C.staged) -> DataFrame:
     """(h, cid, n, pos, low, n_low, pos_low): prefix n-grams that several classes share, with the smallest class of each.
 
     pos: a lower bound of the n-gram's place in the class's order. order:
-    the n-gram frequencies and the cuts between fragments.
+    the n-gram frequencies and the cuts between fragments. stage: writes the
+    result, as of C.staged().
     """
-    total = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1)).first()[0] or 0
+    total = C.only_row(classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1)))[0] or 0
     parts = max(1, int(total) // part)
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,20 +217,21 @@ def postings(docs: DataFrame, classes: DataFrame, order: Broadcast, part: int =
                              "low": cid[low], "n_low": n[low], "pos_low": pos[low]})
 
     ddl = "h long, cid long, n long, pos long, low long, n_low long, pos_low long"
-    rows = C.staged(rows, "prefixes")
-    cold = rows.where("part >= 0").groupBy("part").applyInPandas(meet, ddl)
-    if not rows.where("part < 0").limit(1).count():
-        return C.staged(cold, "postings")
 
     def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             h, cid, n, pos = opened(b, "<i8")
             yield pd.DataFrame({"h": h, "cid": cid, "n": n, "pos": pos})
 
-    frequent = C.staged(rows.where("part < 0").mapInPandas(apart, "h long, cid long, n long, pos long"), "frequent")
-    least = frequent.groupBy("h").agg(F.min(F.struct("cid", "n", "pos")).alias("l"), F.max("cid").alias("high")).where("l.cid <> high")
-    least = least.select("h", F.col("l.cid").alias("low"), F.col("l.n").alias("n_low"), F.col("l.pos").alias("pos_low"))
-    return C.staged(cold.unionByName(frequent.join(least, "h").dropDuplicates(["h", "cid"])), "postings")
+    with C.Scratch(docs.sparkSession) as held:
+        rows = held(rows, "prefixes")
+        cold = rows.where("part >= 0").groupBy("part").applyInPandas(meet, ddl)
+        if not C.counted(rows.where("part < 0").limit(1)):
+            return stage(cold, "postings")
+        frequent = held(rows.where("part < 0").mapInPandas(apart, "h long, cid long, n long, pos long"), "frequent")
+        least = frequent.groupBy("h").agg(F.min(F.struct("cid", "n", "pos")).alias("l"), F.max("cid").alias("high")).where("l.cid <> high")
+        least = least.select("h", F.col("l.cid").alias("low"), F.col("l.n").alias("n_low"), F.col("l.pos").alias("pos_low"))
+        return stage(cold.unionByName(frequent.join(least, "h").dropDuplicates(["h", "cid"])), "postings")
 
 
 def _sizes(n: str, m: str):
@@ -260,45 +264,64 @@ def segments(docs: DataFrame, wanted: DataFrame, order: Broadcast) -> DataFrame:
     return made.where("segments IS NOT NULL")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, order: Broadcast, one_each: bool = False) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, order: Broadcast, one_each: bool = False,
+             stage: Callable[[DataFrame, str], DataFrame] = C.staged) -> DataFrame:
     """The pairs (a, b) whose summed partial overlaps reach the similarity.
 
     The n-grams of b travel to those of a, cut into the fragments; they are
     made from the texts once per class on the way, so no table of n-grams is
     written. One row per pair: its overlap is counted fragment by fragment.
     one_each: every b has one a, so its n-grams are shuffled once only.
+    stage: writes the result, as of C.staged().
     """
     sets = classes.select("cid", "first_id", "n", "s1")
-    centres = sets.join(pairs.select(F.col("a").alias("cid")).distinct(), "cid")
-    left = segments(docs, C.staged(centres, "centres"), order).select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("segments").alias("ga"))
-    named = (F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("segments").alias("gb"))
-    if one_each:  # a comes along on the way from the text
-        members = sets.join(pairs.select("a", F.col("b").alias("cid")), "cid")
-        right = segments(docs, C.staged(members, "members"), order).select("a", *named)
-    else:
-        members = sets.join(pairs.select(F.col("b").alias("cid")).distinct(), "cid")
-        right = pairs.select("a", "b").join(segments(docs, C.staged(members, "members"), order).select(*named), "b")
-    partial = [F.size(F.array_intersect(F.col("ga")[f], F.col("gb")[f])) for f in range(FRAGMENTS)]
-    over = right.join(left, "a").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("o"))
-    return over.where(F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select(
-        "a", "b").distinct()  # repeated rows say the same
+    with C.Scratch(docs.sparkSession) as held:
+        centres = held(sets.join(pairs.select(F.col("a").alias("cid")).distinct(), "cid"), "centres")
+        left = segments(docs, centres, order).select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("segments").alias("ga"))
+        named = (F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("segments").alias("gb"))
+        if one_each:  # a comes along on the way from the text
+            members = held(sets.join(pairs.select("a", F.col("b").alias("cid")), "cid"), "members")
+            right = segments(docs, members, order).select("a", *named)
+        else:
+            members = held(sets.join(pairs.select(F.col("b").alias("cid")).distinct(), "cid"), "members")
+            right = pairs.select("a", "b").join(segments(docs, members, order).select(*named), "b")
+        partial = [F.size(F.array_intersect(F.col("ga")[f], F.col("gb")[f])) for f in range(FRAGMENTS)]
+        over = right.join(left, "a").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("o"))
+        return stage(over.where(F.col("o") * SIMILAR[1] >= (F.col("na") + F.col("nb") - F.col("o")) * SIMILAR[0]).select(
+            "a", "b").distinct(), "links")  # repeated rows say the same
 
 
 def _best(counted: DataFrame) -> DataFrame:
-    """(a, b): for each class b its centre a with which it shares most prefix n-grams. counted: (cid, low, count)."""
-    best = counted.groupBy("cid").agg(F.max(F.struct("count", -F.col("low"))).alias("m"))
-    return best.select((-F.col("m.col2")).alias("a"), F.col("cid").alias("b"))
+    """(a, b): for each class b its centre a with which it shares most prefix n-grams, and their roots if known.
+
+    counted: (cid, low, count), and root of cid, root_low of low.
+    """
+    roots = [c for c in ("root", "root_low") if c in counted.columns]
+    best = counted.groupBy("cid").agg(F.max(F.struct("count", (-F.col("low")).alias("col2"), *roots)).alias("m"))
+    return best.select((-F.col("m.col2")).alias("a"), F.col("cid").alias("b"), *[F.col(f"m.{c}") for c in roots])
+
+
+def _near_roots(links: DataFrame) -> DataFrame:
+    """(node, root): the smallest of each linked node's neighbours and their neighbours, itself included.
+
+    Of one component, but not always the same for all of it: what stays apart
+    is tried again, which costs less than exact components in every round.
+    """
+    both = links.union(links.select("b", "a"))
+    near = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
+    return both.join(near, "b").groupBy(F.col("a").alias("node")).agg(F.min("m").alias("root"))
 
 
-def _mixed(posts: DataFrame, root: DataFrame) -> DataFrame:
-    """posts with `root`: the postings of those n-grams that still belong to more than one component."""
-    own = posts.join(root.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+def _mixed(posts: DataFrame, roots: DataFrame) -> DataFrame:
+    """posts with the roots of their roots: the postings of those n-grams that still belong to more than one."""
+    new = roots.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    own = posts.join(new, "root", "left").withColumn("root", F.coalesce("new", "root")).drop("new")
     mixed = own.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-    return C.staged(own.join(mixed, "h"), "mixed")
+    return own.join(mixed, "h")
 
 
 def _stars(rest: DataFrame, seed: int) -> DataFrame:
-    """(cid, low, count): each class with the centres, of other components, of its n-grams.
+    """(cid, root, low, root_low, count): each class with the centres, of other components, of its n-grams.
 
     Centres of an n-gram: the class of which most of the prefix is shared with
     others (in a group of near copies the one with the fewest changes), and
@@ -311,59 +334,75 @@ def _stars(rest: DataFrame, seed: int) -> DataFrame:
         "h", F.explode(F.array_distinct(F.array(*[F.struct(*[f"{k}.{c}" for c in cols]) for k in by]))).alias("c"))
     centre = centre.select("h", *[F.col(f"c.{c}").alias(f"{c}_low") for c in cols])
     met = rest.join(centre, "h").where((F.col("root") != F.col("root_low")) & _possible("n", "pos", "n_low", "pos_low"))
-    return met.groupBy("cid", F.col("cid_low").alias("low")).count()
+    return met.groupBy("cid", "root", F.col("cid_low").alias("low"), "root_low").count()
 
 
-def link_classes(classes: DataFrame, docs: DataFrame, order: Broadcast, rounds: int = ROUNDS, **options) -> DataFrame:
+def link_classes(classes: DataFrame, docs: DataFrame, order: Broadcast, rounds: int = ROUNDS,
+                 stage: Callable[[DataFrame, str], DataFrame] = C.staged, **options) -> DataFrame:
     """(a, b) links that connect all similar classes. classes: (cid, n, s1, s2, first_id).
 
     rounds: how often classes are paired with one centre each before all pairs
     that are left between components are tried; no effect on what is connected.
+    stage: writes the result, as of C.staged().
     """
-    posts = postings(docs, classes, order, **options)
-    stars = posts.where(F.col("cid") != F.col("low")).where(_possible("n", "pos", "n_low", "pos_low")).groupBy("cid", "low").count()
-    tried = C.staged(_best(stars), "stars")
-    links = C.staged(verified(tried, classes, docs, order, True), "links-0")
-    prefix = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1
-    share = posts.groupBy("cid", "n").count().select("cid", (F.col("count") / prefix).alias("share"))
-    rest, found = _mixed(posts.select("h", "cid", "n", "pos").join(share, "cid"), components(links)), links.count()
-    for k in range(1, rounds + 1):
-        size = rest.groupBy("h", "root").count().groupBy("h").agg(F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("own"))
-        held, across = size.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.lit(0))).first()
-        if not found or (found * FEW < rest.select("cid").distinct().count() and across <= MANY * held):
-            break
-        pairs = C.staged(_best(_stars(rest, k).join(
-            tried.select(F.col("b").alias("cid"), F.col("a").alias("low")), ["cid", "low"], "left_anti")), "stars")
-        more = C.staged(verified(pairs, classes, docs, order, True), f"links-{k}")
-        found = more.count()
-        tried, links = tried.union(pairs), links.union(more)
-        if found:
-            rest = _mixed(rest.drop("root"), components(links))
-    x, y = (rest.select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("cid", "n", "pos", "root")]) for k in "xy")
-    # what a similar pair shares first has enough left behind it in both
-    cross = x.join(y, "h").where((F.col("root_x") != F.col("root_y")) & (F.col("cid_x") < F.col("cid_y"))
-                                 & _possible("n_x", "pos_x", "n_y", "pos_y")).select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct()
-    done = tried.union(tried.select("b", "a"))
-    more = C.staged(cross.join(done, ["a", "b"], "left_anti"), "cross")
-    if not more.limit(1).count():
-        return links
-    return links.union(verified(more, classes, docs, order))
-
-
-def grouped(docs: DataFrame, rows: DataFrame, names: dict[str, str], **options) -> DataFrame:
+    spark = docs.sparkSession
+    with C.Scratch(spark) as held:  # tables of all rounds; those of one round go with it
+        with C.Scratch(spark) as first:
+            posts = postings(docs, classes, order, stage=first, **options)
+            stars = posts.where(F.col("cid") != F.col("low")).where(_possible("n", "pos", "n_low", "pos_low")).groupBy("cid", "low").count()
+            tried = held(_best(stars), "stars")
+            links = verified(tried, classes, docs, order, True, held)
+            prefix = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]) + 1
+            share = posts.groupBy("cid", "n").count().select("cid", (F.col("count") / prefix).alias("share"))
+            last = C.Scratch(spark)
+            rest = last(_mixed(posts.select("h", "cid", "n", "pos", F.col("cid").alias("root")).join(share, "cid"),
+                               components(links, stage=first)), "mixed")
+        found = C.counted(links)
+        for k in range(1, rounds + 1):
+            size = rest.groupBy("h", "root").count().groupBy("h").agg(F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("own"))
+            held_by, across = C.only_row(size.agg(
+                F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.lit(0))))
+            if not found or (found * FEW < C.counted(rest.select("cid").distinct()) and across <= MANY * held_by):
+                break
+            pairs = held(_best(_stars(rest, k).join(
+                tried.select(F.col("b").alias("cid"), F.col("a").alias("low")), ["cid", "low"], "left_anti")), "stars")
+            more = verified(pairs, classes, docs, order, True, held)
+            found = C.counted(more)
+            tried, links = tried.union(pairs.select("a", "b")), links.union(more)
+            if found:
+                now = C.Scratch(spark)
+                with last, C.Scratch(spark) as here:
+                    met = here(more.join(pairs, ["a", "b"]).select(F.col("root_low").alias("a"), F.col("root").alias("b")).distinct(), "met")
+                    rest = now(_mixed(rest, here(_near_roots(met), "roots")), "mixed")
+                last = now
+        with last:
+            x, y = (rest.select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("cid", "n", "pos", "root")]) for k in "xy")
+            # what a similar pair shares first has enough left behind it in both
+            cross = x.join(y, "h").where((F.col("root_x") != F.col("root_y")) & (F.col("cid_x") < F.col("cid_y")) & _possible(
+                "n_x", "pos_x", "n_y", "pos_y")).select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct()
+            done = tried.union(tried.select("b", "a"))
+            more = held(cross.join(done, ["a", "b"], "left_anti"), "cross")
+        if C.counted(more.limit(1)):
+            links = links.union(verified(more, classes, docs, order, stage=held))
+        return stage(links, "links")
+
+
+def grouped(docs: DataFrame, rows: DataFrame, names: dict[str, str],
+            stage: Callable[[DataFrame, str], DataFrame] = C.staged, **options) -> DataFrame:
     """(cid, n, s1, s2, first_id, root): the classes of equal shingle sets and the component of each.
 
-    docs: (doc_id, text); rows: their signatures, under `names`.
+    docs: (doc_id, text); rows: their signatures, under `names`; stage: writes
+    what the result is read from, as of C.staged().
     """
     freq = sketch(docs)
     order = docs.sparkSession.sparkContext.broadcast((freq, cuts(freq)))  # of fixed size, one for all steps
     sets = rows.select("doc_id", *[F.col(v).alias(k) for k, v in names.items()])
-    classes = C.staged(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("first_id")).withColumn(
+    classes = stage(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("first_id")).withColumn(
         "cid", F.monotonically_increasing_id()), "classes")
-    links = C.staged(link_classes(classes, docs, order, **options), "links")
+    with C.Scratch(docs.sparkSession) as held:
+        roots = components(link_classes(classes, docs, order, stage=held, **options), stage=stage)
     order.destroy()
-    return classes.join(components(links).withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "root", F.coalesce("root", "cid"))
+    return classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
 NAMES = {"n": "_jj_n", "s1": "_jj_s1", "s2": "_jj_s2"}
@@ -394,17 +433,18 @@ def representatives(docs: DataFrame, **options) -> DataFrame:
     """
     C.prepare(docs.sparkSession)
     pure = docs.select("doc_id", "text")
-    found = C.staged(signatures(pure.withColumn("_jj_t", F.xxhash64("text")), NAMES), "signatures")
-    named = grouped(pure, found, NAMES, **options)
-    best = named.groupBy("root").agg(F.min(F.struct(
-        F.col("first_id").isNull().alias("no_id"), "first_id", "cid", "n", "s1", "s2")).alias("b")).select(
-            "root", F.col("b.first_id").alias("_jj_id"), *[F.col(f"b.{k}").alias(f"{v}_best") for k, v in NAMES.items()])
-    same = F.col("doc_id").eqNullSafe(F.col("_jj_id"))
-    for v in NAMES.values():
-        same = same & (F.col(v) == F.col(f"{v}_best"))
-    stands = C.staged(found.join(best, same), "stands")  # rows that could stay; of a group with several texts of one id, one text does
+    with C.Scratch(docs.sparkSession) as held:
+        found = held(signatures(pure.withColumn("_jj_t", F.xxhash64("text")), NAMES), "signatures")
+        named = grouped(pure, found, NAMES, held, **options)
+        best = named.groupBy("root").agg(F.min(F.struct(
+            F.col("first_id").isNull().alias("no_id"), "first_id", "cid", "n", "s1", "s2")).alias("b")).select(
+                "root", F.col("b.first_id").alias("_jj_id"), *[F.col(f"b.{k}").alias(f"{v}_best") for k, v in NAMES.items()])
+        same = F.col("doc_id").eqNullSafe(F.col("_jj_id"))
+        for v in NAMES.values():
+            same = same & (F.col(v) == F.col(f"{v}_best"))
+        stands = C.staged(found.join(best, same), "stands")  # rows that could stay; of a group with several texts of one id, one text does
     one = stands.groupBy("root", "_jj_id").agg(F.min("_jj_t").alias("_jj_text")).drop("root")
-    several = stands.groupBy("root").count().where("count > 1").limit(1).count()
+    several = C.counted(stands.groupBy("root").count().where("count > 1").limit(1))
     chosen = docs.join(C.checked_broadcast(one.withColumn("_jj_best", F.lit(True)), 64), F.col("doc_id").eqNullSafe(F.col("_jj_id"))
                        & (F.xxhash64("text") == F.col("_jj_text")), "left")
     held = chosen.where(F.col("_jj_best") | ~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))

@@ -1,9 +1,12 @@
 """N-gram Jaccard join against all pairs."""
 
+import os
 import random
 import re
 
 from quire.llm import common, jaccard
+from quire.llm.components import components
+from quire.session import checkpoint_dir
 
 
 def shingles(text):
@@ -107,3 +110,25 @@ def test_shuffled_sides_and_hot_grams(spark, monkeypatch):
     assert result(jaccard.jaccard_components(df, hot=2)) == brute(rows)
     kept = jaccard.representatives(df, hot=2)
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
+
+
+def test_tables_of_rounds_go(spark):
+    """Only what the result is read from stays on disk: it was every table of every round."""
+    top = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "quire-llm")
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    rows = made(seed=9, n=60)
+    assert result(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    left = sorted(x.split("-", 1)[1] for x in set(os.listdir(top)) - before)
+    assert left == ["classes", "components", "signatures"]
+
+
+def test_components_of_stars_and_chains(spark):
+    links = [(9, 1), (9, 2), (9, 3), (4, 5), (5, 6), (6, 7), (7, 8), (8, 8), (5, 4)]
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 4), (7, 4), (8, 4), (9, 1)]
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_roots(spark):
+    found = jaccard._near_roots(spark.createDataFrame([(5, 1), (5, 2), (5, 9)], "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 1), (5, 1), (9, 1)]
