@@ -166,6 +166,29 @@ def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """np.lexsort of arrays of small numbers, the last one first: packed with the place into one number, values are sorted faster than places."""
+    n = len(keys[0])
+    widths = [int(k.max()).bit_length() if n else 0 for k in keys]
+    place = n.bit_length()
+    if sum(widths) + place > 64:
+        return np.lexsort(keys)
+    packed = np.zeros(n, np.uint64)
+    for k, w in zip(reversed(keys), reversed(widths), strict=True):
+        packed = packed << np.uint64(w) | k.astype(np.uint64)
+    packed = packed << np.uint64(place) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << place) - 1)).astype(np.int64)
+
+
+def _found_at(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """np.searchsorted, by the keys in order: neighbours find theirs in the cache."""
+    order = np.argsort(keys)
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.searchsorted(sorted_keys, keys[order])
+    return out
+
+
 def _runs(x: np.ndarray) -> np.ndarray:
     """Where a new value begins."""
     return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
@@ -212,11 +235,18 @@ def _arcs(docs: DataFrame, n: int, floor: float, total: int, states: np.ndarray,
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b in _gathered(batches, pairs):
-            _, at, c = np.unique(_join_keys(a, b, n), return_index=True, return_counts=True)
-            a, b = a[at], b[at]
             where = _part_of(np.where(_among(shared.value[2], a), C.mix(a + b), a), parts)
-            by = np.lexsort((a, where))
-            a, b, c, where = a[by], b[by], c[by].astype("<u4"), where[by]
+            # equal pairs stand together in order of the part, the state and both; two that others part are added up later
+            bits = max(1, (parts - 1).bit_length())
+            half = (64 - bits) // 2
+            by = where.astype(np.uint64) << np.uint64(64 - bits)
+            by |= C.mix(a) >> np.uint64(64 - half) << np.uint64(64 - bits - half)
+            by |= C.mix(_join_keys(a, b, n)) >> np.uint64(bits + half)
+            by = np.argsort(by)
+            a, b, where = a[by], b[by], where[by]
+            at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            c = np.diff(at, append=len(a)).astype("<u4")
+            a, b, where = a[at], b[at], where[at]
             out = []
             for i, j in _bounds(where):
                 run = _runs(a[i:j])
@@ -225,17 +255,19 @@ def _arcs(docs: DataFrame, n: int, floor: float, total: int, states: np.ndarray,
             names = ["part", "states", "runs", "nexts", "counts"]
             for i in range(0, len(out), FRAME):  # frames of a few parts, as the JVM holds a frame whole
                 yield pd.DataFrame(out[i:i + FRAME], columns=names)
-            del a, b, c, where, by, out
+            del a, b, c, where, at, by, out
             _trimmed()
 
     def meet(table: pa.Table) -> pa.Table:
         _trimmed()
         a = np.repeat(_opened(table, "states", "<u8"), _opened(table, "runs", "<u4"))
         b, c = _opened(table, "nexts", "<u8"), _opened(table, "counts", "<u4").astype(np.int64)
-        by = np.lexsort((b, a))
+        by = np.argsort(_join_keys(a, b, n))  # first the pairs, then what is left by state
         a, b, c = a[by], b[by], c[by]
         start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
         a, b, c = a[start], b[start], np.add.reduceat(c, start)
+        by = np.argsort(a)
+        a, b, c = a[by], b[by], c[by]
         at = _runs(a)
         own = np.repeat(np.arange(len(at)), np.diff(at, append=len(a)))
         arc = (c >= floor) & (b != OTHER)
@@ -330,7 +362,7 @@ class Head:
         """Row of each key (-1: none)."""
         if not len(self.key):
             return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        at = np.minimum(_found_at(self.key, keys), len(self.key) - 1)
         return np.where(self.key[at] == keys, at, -1)
 
 
@@ -390,7 +422,7 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) ->
                     near.append((np.diff(first), n_far, base, np.add.reduceat(gain, begin)))
                 key, own = np.concatenate(key), np.concatenate(own)
                 where = _part_of(key, parts)
-                by = np.lexsort((own, where))
+                by = _order(own, where)
                 key, own, where = key[by], own[by], where[by]
                 sums = b"".join(np.concatenate(x).tobytes() for x in zip(*near, strict=True))
                 home = _part_of(C.mix(np.array([number], np.uint64)), parts)[0]
@@ -417,7 +449,7 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) ->
                 out.append((number.as_py(), True, docs.as_py() + runs.as_py(), keys.as_py()))
                 continue
             docs, runs, keys = (np.frombuffer(x.as_buffer(), t) for x, t in ((docs, "<u4"), (runs, "<u4"), (keys, "<u8")))
-            at = np.minimum(np.searchsorted(have, keys), max(0, len(have) - 1))
+            at = np.minimum(_found_at(have, keys), max(0, len(have) - 1))
             hit = have[at] == keys if len(have) else np.zeros(len(keys), bool)
             if not hit.any():
                 continue

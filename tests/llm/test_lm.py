@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+
 from quire.llm import lm
 
 
@@ -107,3 +109,13 @@ def test_equal_rows_share_their_sums(spark):
     """Repeated rows, repeated ids with other texts and null ids, with every key looked up."""
     rows = [(1, "a b c d a b c"), (1, "a b c d a b c"), (1, "a b c"), (None, "x y z x y"), (None, "x y z x y"), (0, "x y z x y"), (3, None)]
     check(spark, rows, head=1, head_grams=1)
+
+
+def test_order_and_lookup_are_those_of_numpy():
+    rng = np.random.default_rng(3)
+    own, where = rng.integers(0, 50, 5000), rng.integers(0, 7, 5000)
+    assert (lm._order(own, where) == np.lexsort((own, where))).all() and len(lm._order(own[:0], where[:0])) == 0
+    assert (lm._order(own << 40, where << 30) == np.lexsort((own, where))).all()  # too wide to be packed
+    keys = rng.integers(0, 1 << 62, 300).astype(np.uint64)
+    have = np.sort(keys[:100])
+    assert (lm._found_at(have, keys) == np.searchsorted(have, keys)).all()
