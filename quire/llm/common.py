@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -17,9 +18,9 @@ from pyspark.sql.types import StructType
 from quire.session import checkpoint_dir, ship_package
 
 # Bytes of text turned into numpy arrays at once; longer single texts go alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # Bytes of an Arrow batch, which the JVM and the Python worker of a task both hold.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 # A side of a join is broadcast only when its counted rows fit into this.
 BROADCAST_BYTES = 48 << 20
 
@@ -41,10 +42,10 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(cols or ("doc_id", "text")))
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> SparkSession:
     """What every operator with Python tasks needs: shared folder known, package shipped, batches of bounded bytes."""
     checkpoint_dir(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     ship_package(spark)
     return spark
 
@@ -136,6 +137,14 @@ def join_keyed(df: DataFrame, table: DataFrame, key: str, total: int, heavy: int
         df.join(hot.select("_hot_key"), is_hot, "left_anti").join(rest, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key"))
 
 
+def trimmed() -> None:
+    """Give freed memory of this Python worker back to the system (workers are reused by later stages)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pow2_at_least(n: int) -> int:
     return 1 << max(0, int(n) - 1).bit_length()
 
@@ -268,6 +277,9 @@ def by_rows(df: DataFrame, needs: list[str], added: str, make: Callable[[dict[st
                 made = make({k: part.column(b.schema.get_field_index(k)).to_pylist() for k in needs})
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in stay] + [pa.array(made[k], type=t) for k, t in kinds], names=names)
+                del part, made
+            del b
+            trimmed()
 
     return base.mapInArrow(run, schema)
 

@@ -87,9 +87,13 @@ def sketch(docs: DataFrame) -> np.ndarray:
             for s in C.text_slices(texts):
                 at, n = np.unique(bucket(shingle_sets(texts[s])[0]), return_counts=True)
                 total[at] += n.astype(np.uint32)
+            del b, texts
+            C.trimmed()
         parts = total.reshape(chunks, -1)
         used = np.flatnonzero(parts.any(axis=1))
         yield pd.DataFrame({"chunk": used, "n": [parts[i].tobytes() for i in used]})
+        del total, parts
+        C.trimmed()
 
     def add(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in b["n"])
@@ -192,6 +196,9 @@ def postings(docs: DataFrame, classes: DataFrame, order: Broadcast, part: int =
                                 h[e].astype("<u4").tobytes() if where[e[0]] >= 0 else h[e].tobytes(),
                                 (pos[e] * 256 // keep[own[e]]).astype(np.uint8).tobytes()))
                 yield pd.DataFrame(out, columns=["part", "cids", "ns", "runs", "hs", "ps"])
+                del out, rows
+            del b, texts
+            C.trimmed()
 
     rows = texts_of(docs, classes.select("cid", "first_id", "n", "s1")).mapInPandas(
         packed, "part long, cids binary, ns binary, runs binary, hs binary, ps binary")
@@ -203,7 +210,9 @@ def postings(docs: DataFrame, classes: DataFrame, order: Broadcast, part: int =
                 (join("ps", np.uint8).astype(np.int64) * np.repeat(n - needed(n) + 1, runs)) >> 8)
 
     def meet(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        C.trimmed()
         h, cid, n, pos = opened(b, "<u4")
+        del b
         order = np.lexsort((pos, cid, h))
         h, cid, n, pos = h[order], cid[order], n[order], pos[order]
         new = np.ones(len(h), bool)

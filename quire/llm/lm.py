@@ -33,7 +33,6 @@ training tokens every probability is that of an unknown word.
 
 from __future__ import annotations
 
-import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -58,7 +57,8 @@ END = np.uint64(0x5851F42D4C957F2D)
 FLUSH = 1_000_000       # keys gathered before a task passes on their counts
 PART = 1 << 19          # training tokens to a part of the states, about
 LOOK = 1 << 20          # rows of the automaton to a part of the lookup, about
-RUN_SLICES = 4          # slices of text whose lookups travel as one run for each part
+BATCH_BYTES = 8 << 20   # bytes of an Arrow batch, which holds two runs
+RUN_SLICES = 16         # slices of text whose lookups travel as one run for each part
 FRAME = 32              # parts that a task sends on at once
 HOT = 1 << 18           # a state seen this often has its arcs spread over all parts
 OTHER = np.uint64(0x2545F4914F6CDD1D)  # stands for all words after a state that cannot be arcs
@@ -123,7 +123,7 @@ def _counted(df: DataFrame, keys: Callable[[list], np.ndarray]) -> DataFrame:
             key, c = np.unique(all_, return_counts=True)
             yield pd.DataFrame({"key": key.view(np.int64), "c": c})
             del key, c, all_
-            _trimmed()
+            C.trimmed()
 
     return df.select("text").mapInPandas(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
@@ -150,14 +150,6 @@ def _among(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return sorted_keys[np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)] == keys
 
 
-def _trimmed() -> None:
-    """Give freed memory of this Python worker back to the system (workers are reused by later stages)."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def _keys_of(df: DataFrame) -> np.ndarray:
     return np.sort(df.select("key").toArrow()["key"].to_numpy().view(np.uint64))
 
@@ -256,10 +248,10 @@ def _arcs(docs: DataFrame, n: int, floor: float, total: int, states: np.ndarray,
             for i in range(0, len(out), FRAME):  # frames of a few parts, as the JVM holds a frame whole
                 yield pd.DataFrame(out[i:i + FRAME], columns=names)
             del a, b, c, where, at, by, out
-            _trimmed()
+            C.trimmed()
 
     def meet(table: pa.Table) -> pa.Table:
-        _trimmed()
+        C.trimmed()
         a = np.repeat(_opened(table, "states", "<u8"), _opened(table, "runs", "<u4"))
         b, c = _opened(table, "nexts", "<u8"), _opened(table, "counts", "<u4").astype(np.int64)
         by = np.argsort(_join_keys(a, b, n))  # first the pairs, then what is left by state
@@ -313,7 +305,7 @@ class Model:
 def train(docs: DataFrame, words: float = WORDS, grams: float = GRAMS, order: int = ORDER,
           discount: float = DISCOUNT, hot: int = HOT) -> Model:
     """hot: a state seen this often (and in a share of 1/HEAD) has its arcs spread; no effect on the model."""
-    spark = C.prepare(docs.sparkSession)
+    spark = C.prepare(docs.sparkSession, BATCH_BYTES)
     counts = C.staged(_counted(docs, lambda texts: tokens_of(texts)[0]), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     level = counts.where(F.col("c") >= max(LEAST, total / words)).select(
@@ -434,10 +426,10 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) ->
                 yield pd.DataFrame(out, columns=["part", "run", "near", "docs", "runs", "keys"])
                 number += 1
                 del key, own, where, by, sums, out
-                _trimmed()
+                C.trimmed()
 
     def meet(rows: pa.Table, gains: pa.Table) -> pa.Table:
-        _trimmed()
+        C.trimmed()
         have, row = np.unique(gains["key"].to_numpy().view(np.uint64), return_inverse=True)
         c = np.bincount(row, gains["c"].to_numpy(), len(have))
         gain = np.bincount(row, gains["gain"].to_numpy(), len(have))
@@ -463,7 +455,7 @@ def _looked_up(docs: DataFrame, table: DataFrame, lengths: list[int], shared) ->
             ("run", "near", "docs", "sums"), (pa.int64(), pa.bool_(), pa.binary(), pa.binary()), columns, strict=True)})
 
     def total(rows: pa.Table) -> pa.Table:
-        _trimmed()
+        C.trimmed()
         at = rows["near"].to_pylist().index(True)
         docs = rows["docs"][at].as_py()
         n = len(docs) // 9

@@ -53,6 +53,8 @@ def ngram_counts(df: DataFrame, bits: int = BITS) -> DataFrame:
                 ids, doc = bucket_ids(w, w.hashes(), bits)
                 total[0] += np.bincount(ids, minlength=1 << bits)
                 total[1] += np.bincount(ids[trusted[s][doc]], minlength=1 << bits)
+            del b, texts
+            C.trimmed()
         at = np.flatnonzero(total[0])
         yield pd.DataFrame({"bucket": at, "raw": total[0][at], "target": total[1][at]})
 
