@@ -365,6 +365,45 @@ def _chars(node: Chars) -> str:
     return f"(?iu:[{'^' * negated}{body}])" if fold else f"[{'^' * negated}{body}]"
 
 
+def _first(node: object) -> tuple[set[str], bool] | None:
+    """The ASCII characters with which whatever the node matches may begin, and whether others may, too; None: any, or it may be empty."""
+    if isinstance(node, (Literal, Chars)):
+        ranges = ((node.char, node.char),) if isinstance(node, Literal) else node.ranges
+        if isinstance(node, Chars) and (node.negated or node.sets or not ranges):
+            return None
+        if node.flags.i and any(b > "\x7f" for _, b in ranges):
+            return None  # its variants may be anything
+        own = {chr(c) for a, b in ranges for c in range(ord(a), min(ord(b), 127) + 1)}
+        folds = node.flags.i and any(c.isalpha() for c in own)
+        return (own | {x for c in own for x in c.lower() + c.upper()} if folds else own), folds or any(b > "\x7f" for _, b in ranges)
+    if isinstance(node, Repeat):
+        return _first(node.node) if node.low else None
+    if isinstance(node, Group):
+        return _first(node.node)
+    if isinstance(node, Sequence):
+        return next((_first(n) for n in node.nodes if not isinstance(n, Edge)), None)
+    if isinstance(node, Choice) and node.nodes:
+        firsts = [_first(n) for n in node.nodes]
+        return None if None in firsts else (set().union(*(f[0] for f in firsts)), any(f[1] for f in firsts))
+    return None
+
+
+def _ahead(node: object) -> str:
+    """One comparison before what is costly to try at every character."""
+    first = _first(node)
+    if first is None:
+        return ""
+    return "(?=[" + "".join(map(_char, sorted(first[0]))) + r"\x{80}-\x{10FFFF}" * first[1] + "])"
+
+
+def _ends_before(run: object, rest: tuple) -> bool:
+    """Whether a run of characters can't go on with what must follow it, so that nothing of it ever has to be given back."""
+    if not isinstance(run, Repeat) or run.lazy or run.high == run.low or not isinstance(run.node, (Chars, Literal)):
+        return False
+    own, then = _first(run.node), _first(Sequence(rest))
+    return own is not None and then is not None and not own[0] & then[0] and not (own[1] and then[1])
+
+
 # \w of Java is ASCII, as in RE2
 _EDGES = {"A": r"\A", "z": r"\z", "b": r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))", "B": r"(?:(?<=\w)(?=\w)|(?<!\w)(?!\w))"}
 
@@ -398,12 +437,18 @@ def _java(node: object) -> str:
         for i, (a, b) in enumerate(zip(node.nodes, node.nodes[1:])):
             if isinstance(a, Edge) and a.kind in "bB" and isinstance(b, Literal) and not b.flags.i:
                 parts[i] = f"(?={_char(b.char)})" + parts[i]  # one comparison before the four looks around
+            elif isinstance(a, Edge) and a.kind in "bB":
+                parts[i] = _ahead(Sequence(node.nodes[i + 1:])) + parts[i]
+            elif _ends_before(a, node.nodes[i + 1:]):
+                parts[i] += "+"
     return "".join(parts) if isinstance(node, Sequence) else "(?:" + "|".join(parts) + ")"
 
 
 def to_java(pattern: str) -> str:
     """An equivalent java.util.regex pattern; PatternError when RE2 refuses the pattern."""
-    return _java(parse(pattern))
+    node = parse(pattern)
+    several = isinstance(node, Choice) and any(isinstance(n, Sequence) and len(n.nodes) > 1 for n in node.nodes)
+    return (_ahead(node) if several else "") + _java(node)
 
 
 def validate(pattern: str) -> None:

@@ -134,7 +134,7 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     ac = store.read_for("agent_cache", C.AGENT_CACHE_STORED, AGENT_KEYS, run_links)
     if not opts.reuse_failed_agents:
         ac = ac.where(F.coalesce(F.col("status"), F.lit("ok")) == "ok")
-    casc = materialize(C.resolve(kept, pc, ac, parse))
+    casc = materialize(C.resolve(kept, pc, ac, parse).drop("agent_out", "parser_out", "fresh"))  # content is one of them
     # every kept item moves its feed's mark, parsed or not (A1)
     marks = (casc.groupBy("resource_pos", "feed_url", "feed_title").agg(F.max("ts").alias("last_processed_at"))
              .where(F.col("last_processed_at") > 0))
@@ -171,13 +171,14 @@ def run_once(spark: SparkSession, items: DataFrame, resources: DataFrame, rule_s
     stamped = F.lit(now).cast("long")
     page_key = (F.col("link").alias("url"), F.col("parser").alias("parser_type"))
     agent_key = (*page_key, F.col("pipeline").alias("agent_pipeline"))
+    # put() leaves one row of a key, so repeated rows need no shuffle of their own
     fresh = resolved.where(F.col("content_source") == "parsed").select(*page_key, F.col("fresh_payload").alias("output_data"))
-    change.append("parser_cache", C.put(pc.where(F.lit(False)), fresh.distinct(), PARSER_KEYS, now), "url")
+    change.append("parser_cache", C.put(pc.where(F.lit(False)), fresh, PARSER_KEYS, now), "url")
     change.append("parser_cache_access", resolved.where("parser_hit").select(*page_key).distinct().withColumn("accessed_at", stamped))
     # a chain that skipped an unknown name is not finished
     status = F.when((F.col("agent_status") == "ok") & (F.size("agent_errors") > 0), "incomplete").otherwise(F.col("agent_status"))
     agent_rows = resolved.where(F.col("enriched").isNotNull()).select(
-        *agent_key, F.col("enriched").alias("output_data"), status.alias("status")).distinct()
+        *agent_key, F.col("enriched").alias("output_data"), status.alias("status"))
     change.append("agent_cache", C.put(ac.where(F.lit(False)), agent_rows, AGENT_KEYS, now), "url")
     change.append("agent_cache_access", resolved.where("agent_hit").select(*agent_key).distinct().withColumn("accessed_at", stamped))
 

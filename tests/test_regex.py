@@ -82,3 +82,27 @@ def test_printed_classes_and_edges_match_as_re2(spark):
     for i, p in enumerate(PRINTED):
         want = {n for n, in con.execute("SELECT n FROM t WHERE regexp_matches(text, $1)", [p]).fetchall()}
         assert {r.n for r in got if r.pattern_no == i} == want, (p, R.to_java(p))
+
+
+AHEAD = [r"\b[0-9]{1,3}(\.[0-9]{1,3}){3}\b", r"(?i)copyright|license", r"(?i)kilo|straße|e", r"\b(?:a|b+c)x?", r"\B[a-z_]+[0-9]", r"[a-z]+@[a-z.]+\.[a-z]+", r"a{1,2}b",
+         r"(?i)a+B", r"(?i)[a-f]+g", r"(?i)k+s", r"\b(a|)b", r"a|b*", r"[0-9]+\b[a-z]", r"[0-9]*\bx|\By+z", r"é+e", r"[é-ÿ]+a", r"(?i)é|x", r"(?i)é+E", r"(?m)^a+\nb", r"x+$", r"(?U)a+b", r"(?U)a+?b"]
+
+
+def test_costly_patterns_begin_with_one_comparison():
+    assert R.to_java(AHEAD[0]).startswith("(?=[0123456789])")
+    assert R.to_java(AHEAD[1]).startswith(r"(?=[CLcl\x{80}-\x{10FFFF}])")
+    assert R.to_java("[a-z]+@") == R.to_java("[a-z]") + r"++\x{40}"
+    assert "(?=" not in R.to_java("a|b*") and "++" not in R.to_java("[a-z]+a")
+
+
+def test_comparisons_ahead_and_runs_without_return_match_as_re2(spark):
+    own = ["192.168.10.1", "v1.2.3.4x", "1234.1.1.1 ", "1.2.3.1234", "LICENSE", "no copyRight", "KILO", "straßE", "É", "aab", "aaab", "ab", "aB g", "Abcfg", "kS kks", "12 x", "12x", "yyz", "_yz",
+           "ééa", "ée", "a\nb", "a_1", "q1", "a@b.c.d", "a.b@c", "xx", "a b", "abc bcx"]
+    rows = [(i, t) for i, t in enumerate(own + [t for t in texts(13) if not set(t) & {"ſ", "K"}])]
+    got = rules.pattern_matches(spark.createDataFrame(rows, "n int, text string"), AHEAD).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (n INTEGER, text VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    for i, p in enumerate(AHEAD):
+        want = {n for n, in con.execute("SELECT n FROM t WHERE regexp_matches(text, $1)", [p]).fetchall()}
+        assert {r.n for r in got if r.pattern_no == i} == want, (p, R.to_java(p))
